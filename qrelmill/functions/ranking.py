@@ -3,6 +3,7 @@ explode and no shuffle."""
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import Column
@@ -31,6 +32,13 @@ def reciprocal_rank(ranked: Column, expect: Column) -> Column:
     return F.coalesce(F.lit(1.0) / F.array_min(ranks), F.lit(0.0))
 
 
+def ideal_gain(wanted: Column, k: int) -> Column:
+    """Gain of a perfect ranking. It depends on min(wanted, k) only: a k-entry
+    constant looked up by size."""
+    sums = list(itertools.accumulate(1.0 / math.log2(i + 1) for i in range(1, k + 1)))
+    return F.get(F.lit(sums), (F.least(wanted, F.lit(k)) - 1).cast("int"))
+
+
 def ndcg_at_k(ranked: Column, expect: Column, k: int) -> Column:
     """Binary gain. A repeated id in ``ranked`` gains at every position."""
     if k <= 0:
@@ -41,15 +49,8 @@ def ndcg_at_k(ranked: Column, expect: Column, k: int) -> Column:
         lambda d, i: F.when(F.array_contains(expect, d), 1.0 / F.log2(i + F.lit(2.0))).otherwise(0.0),
     )
     dcg = F.aggregate(gains, F.lit(0.0), lambda a, x: a + x)
-    # The ideal gain depends on min(distinct expected, k) only: a k-entry
-    # constant looked up by size, folded once at planning time.
-    ideal, total = [], 0.0
-    for i in range(1, k + 1):
-        total += 1.0 / math.log2(i + 1)
-        ideal.append(total)
-    n_rel = F.least(F.size(F.array_distinct(expect)), F.lit(k))
-    idcg = F.get(F.lit(ideal), n_rel - 1)
-    return F.when(n_rel > 0, dcg / idcg).otherwise(0.0)
+    wanted = F.size(F.array_distinct(expect))
+    return F.when(wanted > 0, dcg / ideal_gain(wanted, k)).otherwise(0.0)
 
 
 def recall_at_k(ranked: Column, expect: Column, k: int) -> Column:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ranking import METRICS, lang_bucket, metric_columns
+from ..functions.ranking import METRICS, ideal_gain, lang_bucket, metric_columns
 
 LANG_ORDER = ("all", "zh", "en", "other")
 
@@ -56,6 +56,27 @@ def split_metrics(per_query: DataFrame, keys: Sequence[str] = ("run_id",)) -> Da
     return _with_all(scored, keys)
 
 
+def graded_metrics(judged: DataFrame) -> DataFrame:
+    """The five metrics of rows whose ranked list is already judged:
+    ``relevant`` flags in rank order and the number ``wanted`` of expected
+    documents. For expectations too large to hold as a list per query."""
+    rel, wanted = F.col("relevant"), F.col("wanted")
+
+    def found(k: int) -> Column:
+        return F.size(F.filter(F.slice(rel, 1, k), lambda x: x))
+
+    gains = F.transform(F.slice(rel, 1, 10), lambda x, i: F.when(x, 1.0 / F.log2(i + F.lit(2.0))).otherwise(0.0))
+    first = F.array_position(rel, True)
+    columns = {
+        "hit_at_3": (found(3) > 0).cast("double"),
+        "hit_at_10": (found(10) > 0).cast("double"),
+        "mrr": F.when(first > 0, 1.0 / F.nullif(first, F.lit(0))).otherwise(0.0),
+        "ndcg_at_10": F.when(wanted > 0, F.aggregate(gains, F.lit(0.0), lambda a, x: a + x) / ideal_gain(wanted, 10)).otherwise(0.0),
+        "recall_at_100": F.when(wanted > 0, found(100) / wanted).otherwise(0.0),
+    }
+    return judged.withColumns(columns)
+
+
 def mode_view_metrics(per_query: DataFrame, keys: Sequence[str] = ("run_id", "mode")) -> DataFrame:
     """The same metrics per view: documents, assets and chunks. ``ranked``,
     ``ranked_assets`` and ``ranked_chunks`` are scored against the matching

@@ -63,7 +63,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "v_thresholds": (
         ("v_datasets", "v_threshold_names"),
-        """select d.dataset, cast(t.pos as int) as pos, t.key, 0.5 + (d.num % 5) * 0.1 as value,
+        """select d.dataset, cast(t.pos as int) as pos, t.key, cast(0.5 + (d.num % 5) * 0.1 as double) as value,
           not (d.num % 6 = 0 and t.pos = 1) as numeric
           from v_datasets d join v_threshold_names t on t.key <> 'precision' or d.num % 5 = 0""",
     ),
@@ -126,7 +126,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "v_scored": (
         ("v_lines",),
         """select run_id, o_orderkey as pos, concat('q', o_orderkey) as q, max(case when relevant then 1 else 0 end) = 0 as negative,
-          case when o_orderkey % 7 = 3 or run_id = 'run-5' then null else max(price) / 105000.0 end as score,
+          case when o_orderkey % 7 = 3 or run_id = 'run-5' then null else max(price) / cast(105000 as double) end as score,
           max(case when rk = 1 then doc end) as top_doc
           from v_lines group by run_id, o_orderkey""",
     ),
@@ -323,6 +323,11 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
             when o_orderkey % 4001 = 7 then 3 else 0 end as int) as exit_code from orders""",
     ),
     "v_vectors": ((), """select concat('v-', cast(label as string)) as dataset, concat('e', vec_id) as id, concat('e', vec_id) as doc, embedding as vec, label from embeddings"""),
+    "v_vector_docs": (
+        (),
+        """select concat('v-', cast(label as string)) as dataset, concat('e', vec_id) as id, concat('e', vec_id) as stem, text as q, text
+          from embeddings join documents on vec_id = doc_id""",
+    ),
     "v_bench_queries": (
         (),
         """select 'all' as dataset, concat('b', item_id) as id, text as q from benchmark""",

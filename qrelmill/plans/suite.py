@@ -6,6 +6,7 @@ scalars so both sides compare by value."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,9 @@ from ..functions import text as T
 from ..operators import catalog, corpus, curation, gates, ordering, quality, ranking, review, scoring
 from ..operators import separation as sep
 from ..operators import tasks, validate
-from ..session import configure
+from ..session import configure, ensure_checkpoint_dir
 from ..sources import readers
+from ..streaming import audit
 from .bindings import Tables, duck
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,8 +61,8 @@ QUERY_METRICS_SQL = """
 q as (select o_orderkey, run_id, mode, id, ranked, expect_any from v_per_query),
 m as (
   select run_id, mode, id, o_orderkey,
-    case when len(list_filter(ranked[1:3], lambda x: list_contains(expect_any, x))) > 0 then 1.0 else 0.0 end as hit_at_3,
-    case when len(list_filter(ranked[1:10], lambda x: list_contains(expect_any, x))) > 0 then 1.0 else 0.0 end as hit_at_10,
+    case when len(list_filter(ranked[1:3], lambda x: list_contains(expect_any, x))) > 0 then 1.0::double else 0.0::double end as hit_at_3,
+    case when len(list_filter(ranked[1:10], lambda x: list_contains(expect_any, x))) > 0 then 1.0::double else 0.0::double end as hit_at_10,
     coalesce(1.0 / list_min(list_filter(list_transform(expect_any, lambda x: list_position(ranked, x)), lambda p: p > 0)), 0.0) as mrr,
     case when len(expect_any) = 0 then 0.0 else
       coalesce(list_sum(list_transform(range(1, least(10, len(ranked)) + 1), lambda i: case when list_contains(expect_any, ranked[i]) then 1.0 / log2(i + 1) else 0.0 end)), 0.0)
@@ -742,3 +744,924 @@ def _(t):
 )
 def _(t):
     return quality.repair_corpus(t.corpus, _rendered(t))[2].select("dataset", "moved", "repaired", "total")
+
+
+# --- D: integrity ----------------------------------------------------------
+
+
+def _package(t) -> validate.Package:
+    return validate.Package(
+        datasets=t.datasets,
+        thresholds=t.thresholds,
+        queries=t.queries,
+        assets=t.assets,
+        chunks=t.chunks,
+        corpus=t.corpus.select("dataset", "stem", "file_name", "text"),
+        asset_files=t.asset_files,
+    )
+
+
+PKG_VIEWS = "v_datasets v_thresholds v_queries v_assets v_chunks v_corpus v_asset_files"
+BASE_SQL = """
+live as (select * from v_datasets where has_corpus),
+tgt as (select * from live where has_targets),
+a as (select x.*, c.text, c.stem is not null as found from v_assets x join tgt on tgt.dataset = x.dataset left join v_corpus c on c.dataset = x.dataset and c.stem = x.doc),
+c as (select x.*, c.text, c.stem is not null as found, coalesce(asset_id, '') <> '' as one from v_chunks x join tgt on tgt.dataset = x.dataset left join v_corpus c on c.dataset = x.dataset and c.stem = x.doc),
+q as (select x.*, expect_any_kind <> 'absent' as has_any from v_queries x join live l on l.dataset = x.dataset and l.has_queries),
+good_assets as (select distinct dataset, id from a where is_mapping and id <> ''),
+good_chunks as (select distinct dataset, id from c where is_mapping and id <> ''),
+refs as (select dataset, pos, unnest(case when one then [asset_id] else asset_ids end) as item from c where is_mapping and found and one <> (asset_ids_kind = 'list')),
+images as (select c.dataset, c.file_name, split_part(trim(unnest(regexp_extract_all(text, '!\\[[^\\]]*\\]\\(([^)\\n]+)\\)', 1))), ' ', 1) as path from v_corpus c join live l on l.dataset = c.dataset)""".replace("\\\\", "\\")
+
+
+def _hash(n: str) -> str:
+    return f"{n} #' || pos || '"
+
+
+CHECK_SQL = {
+    "presence": """select dataset, 'missing_meta' as code, 'missing dataset.yaml' as message from v_datasets where not has_meta
+      union all select dataset, 'missing_queries', 'missing queries.yaml' from v_datasets where not has_queries
+      union all select dataset, 'missing_corpus', 'missing corpus/' from v_datasets where not has_corpus""",
+    "empty_corpus": "select dataset, 'empty_corpus' as code, 'corpus/ has no markdown files' as message from live where dataset not in (select dataset from v_corpus)",
+    "target_lists": """select dataset, 'no_assets' as code, 'targets.yaml must contain non-empty assets list' as message from tgt where dataset not in (select dataset from v_assets)
+      union all select dataset, 'no_chunks', 'targets.yaml must contain non-empty chunks list' from tgt where dataset not in (select dataset from v_chunks)""",
+    "asset_fields": f"""select dataset, 'asset_not_mapping' as code, '{_hash("asset target")} must be a mapping' as message from a where not is_mapping
+      union all select dataset, 'asset_empty_id', '{_hash("asset target")} has empty id' from a where is_mapping and id = ''
+      union all select dataset, 'asset_empty_path', '{_hash("asset target")} has empty path' from a where is_mapping and path = ''
+      union all select dataset, 'asset_empty_heading', '{_hash("asset target")} has empty heading' from a where is_mapping and heading = ''""",
+    "asset_documents": f"""select dataset, 'asset_missing_doc' as code, '{_hash("asset target")} references missing doc: ' || doc as message from a where is_mapping and not found
+      union all select dataset, 'asset_heading_not_found', '{_hash("asset target")} heading not found in ' || doc || '.md: ' || heading from a where is_mapping and found and heading <> '' and not contains(text, '## ' || heading)""",
+    "asset_files": f"""select dataset, 'asset_missing_file' as code, '{_hash("asset target")} references missing file: ' || path as message from a where is_mapping and path <> ''
+      and not exists (select 1 from v_asset_files f where f.dataset = a.dataset and f.path = replace(a.path, './', ''))""",
+    "chunk_fields": f"""select dataset, 'chunk_not_mapping' as code, '{_hash("chunk target")} must be a mapping' as message from c where not is_mapping
+      union all select dataset, 'chunk_empty_id', '{_hash("chunk target")} has empty id' from c where is_mapping and id = ''""",
+    "chunk_documents": f"""select dataset, 'chunk_missing_doc' as code, '{_hash("chunk target")} references missing doc: ' || doc as message from c where is_mapping and not found
+      union all select dataset, 'chunk_empty_heading', '{_hash("chunk target")} has empty heading' from c where is_mapping and found and heading = ''
+      union all select dataset, 'chunk_heading_not_found', '{_hash("chunk target")} heading not found in ' || doc || '.md: ' || heading from c where is_mapping and found and heading <> '' and not contains(text, '## ' || heading)
+      union all select dataset, 'chunk_empty_anchor', '{_hash("chunk target")} has empty anchor' from c where is_mapping and found and anchor = ''
+      union all select dataset, 'chunk_anchor_not_found', '{_hash("chunk target")} anchor not found in ' || doc || '.md: ' || anchor from c where is_mapping and found and anchor <> '' and not contains(text, 'Target: ' || anchor)
+      union all select dataset, 'chunk_both_asset_fields', '{_hash("chunk target")} must not set both asset_id and asset_ids' from c where is_mapping and found and one and asset_ids_kind = 'list'
+      union all select dataset, 'chunk_asset_ids_not_list', '{_hash("chunk target")} asset_ids must be a non-empty list' from c where is_mapping and found and not one and asset_ids_kind = 'bad'
+      union all select dataset, 'chunk_empty_asset_id', '{_hash("chunk target")} has empty asset_id' from c where is_mapping and found and not one and asset_ids_kind = 'absent'""",
+    "chunk_assets": f"""select dataset, 'chunk_empty_asset_ref' as code, '{_hash("chunk target")} asset_ids contains empty id' as message from refs where item = ''
+      union all select dataset, 'chunk_missing_asset', '{_hash("chunk target")} references missing asset target: ' || item from refs r where item <> ''
+        and dataset in (select dataset from good_assets) and not exists (select 1 from good_assets g where g.dataset = r.dataset and g.id = r.item)""",
+    "images": """select dataset, 'image_remote' as code, file_name || ' uses remote image reference: ' || path as message from images where starts_with(path, 'http')
+      union all select dataset, 'image_missing', file_name || ' references missing image: ' || path from images i where not starts_with(path, 'http')
+        and not exists (select 1 from v_asset_files f where f.dataset = i.dataset and f.path = replace(i.path, './', ''))""",
+    "thresholds": """select t.dataset, 'threshold_unknown' as code, 'unknown threshold key: ' || key as message from v_thresholds t join live on live.dataset = t.dataset and has_meta where key = 'precision'
+      union all select t.dataset, 'threshold_not_numeric', 'threshold ' || key || ' must be numeric' from v_thresholds t join live on live.dataset = t.dataset and has_meta where not numeric""",
+    "query_fields": f"""select dataset, 'query_not_mapping' as code, '{_hash("query")} must be a mapping' as message from q where not is_mapping
+      union all select dataset, 'query_empty_id', '{_hash("query")} has empty id' from q where is_mapping and trim(id) = ''
+      union all select dataset, 'query_empty_q', '{_hash("query")} has empty q' from q where is_mapping and trim(q) = ''
+      union all select dataset, 'query_both', '{_hash("query")} has both expect_any and expect_none' from q where is_mapping and has_any and expect_none
+      union all select dataset, 'query_neither', '{_hash("query")} must set expect_any or expect_none' from q where is_mapping and not has_any and not expect_none
+      union all select dataset, 'query_expect_not_list', '{_hash("query")} expect_any must be a list' from q where is_mapping and expect_any_kind = 'other'
+      union all select dataset, 'query_asset_not_list', '{_hash("query")} expect_asset_any must be a non-empty list' from q where is_mapping and expect_asset_kind = 'bad'
+      union all select dataset, 'query_chunk_not_list', '{_hash("query")} expect_chunk_any must be a non-empty list' from q where is_mapping and expect_chunk_kind = 'bad'""",
+    "query_duplicates": """select dataset, 'query_duplicate_id' as code, 'duplicate query id: ' || id as message from q where is_mapping and trim(id) <> '' qualify row_number() over (partition by dataset, id order by pos) > 1
+      union all select dataset, 'query_duplicate_text', 'duplicate query text: ' || q from (select dataset, pos, q as q from q where is_mapping and trim(q) <> '' qualify row_number() over (partition by dataset, q order by pos) > 1)""",
+    "query_references": f"""select x.dataset, 'query_missing_' || split_part(what, ' ', 1) as code, '{_hash("query")} references missing ' || what || ': ' || item as message from (
+        select dataset, pos, 'stem' as what, unnest(expect_any) as item from q where is_mapping and expect_any_kind = 'list'
+        union all select dataset, pos, 'asset target', unnest(expect_asset_any) from q where is_mapping and expect_asset_kind = 'list' and dataset in (select dataset from tgt)
+        union all select dataset, pos, 'chunk target', unnest(expect_chunk_any) from q where is_mapping and expect_chunk_kind = 'list' and dataset in (select dataset from tgt)) x
+      where not exists (select 1 from (select dataset, 'stem' as what, stem as item from v_corpus union all select dataset, 'asset target', id from good_assets
+        union all select dataset, 'chunk target', id from good_chunks) k where k.dataset = x.dataset and k.what = x.what and k.item = x.item)""",
+}
+ALL_CHECKS_SQL = " union all ".join(f"select * from ({s})" for s in CHECK_SQL.values())
+
+for _name, _sql in CHECK_SQL.items():
+
+    def _check(t, name=_name):
+        return validate.CHECKS[name](_package(t)).select("dataset", "code", "message")
+
+    register(f"check_{_name}", PKG_VIEWS, f"with {BASE_SQL} {_sql}")(_check)
+
+
+@register("validate_packages", PKG_VIEWS, f"with {BASE_SQL} select dataset, code, count(*) as n, min(message) as first_message from ({ALL_CHECKS_SQL}) group by dataset, code")
+def _(t):
+    out = validate.validate_packages(_package(t))
+    return out.groupBy("dataset", "code").agg(F.count(F.lit(1)).alias("n"), F.min("message").alias("first_message"))
+
+
+@register(
+    "package_verdict",
+    PKG_VIEWS,
+    f"""with {BASE_SQL}, v as (select dataset, count(*) as n from ({ALL_CHECKS_SQL}) group by dataset)
+    select d.dataset, coalesce(v.n, 0) as n_violations, coalesce(v.n, 0) = 0 as valid from v_datasets d left join v on v.dataset = d.dataset""",
+)
+def _(t):
+    return validate.package_verdict(_package(t))
+
+
+@register(
+    "coverage_balance",
+    "v_corpus v_queries",
+    """with gold as (select distinct dataset, unnest(expect_any) as stem from v_queries where not expect_none),
+    u as (select c.dataset, count(*) filter (where g.stem is null) as uncovered from v_corpus c left join gold g on g.dataset = c.dataset and g.stem = c.stem group by c.dataset),
+    l as (select dataset, count(*) filter (where starts_with(id, 'zh-')) as n_zh, count(*) filter (where starts_with(id, 'en-')) as n_en from v_queries group by dataset)
+    select u.dataset, uncovered, n_zh, n_en, abs(n_zh - n_en) <= 0.5 * (n_zh + n_en) as balanced, uncovered = 0 and abs(n_zh - n_en) <= 0.5 * (n_zh + n_en) as accepted from u join l on l.dataset = u.dataset""",
+)
+def _(t):
+    return validate.coverage_balance(t.corpus, t.queries, 0.5)
+
+
+# --- E: curation -----------------------------------------------------------
+
+CANDIDATES_SQL = """
+lines as (select * from v_candidate_lines where value <> 'not json'),
+lists as (select dataset, conv_id, turn, line_no, 0 as item, 'list ' || line_no as q, '' as expect, '' as given, '' as evidence, false as expect_none, false as plain from lines where starts_with(value, '[')
+  union all select dataset, conv_id, turn, line_no, 2, 'list b ' || line_no, 'a|b', '', '', false, false from lines where starts_with(value, '[')),
+direct as (select l.dataset, l.conv_id, l.turn, l.line_no, 0 as item, t.text as q, concat('doc-', l.line_no, '|', case when l.source = 'direct' then 'x' end) as expect,
+  case when l.line_no % 3 = 0 then 'cand-' || (l.line_no % 50) else '' end as given, t.role as evidence, false as expect_none, true as plain
+  from lines l join v_turns t on t.line_no = l.line_no where l.source = 'direct' and not starts_with(l.value, '[')),
+drafted as (select l.dataset, l.conv_id, l.turn, l.line_no, 0 as item, t.text as q, '' as expect, '' as given, '' as evidence, l.turn % 2 = 0 as expect_none, true as plain
+  from lines l join v_turns t on t.line_no = l.line_no where l.source = 'audit' and not starts_with(l.value, '[') and l.turn % 3 <> 2 and l.line_no % 5 <> 4),
+found as (select * from lists union all select * from direct union all select * from drafted),
+named as (select *, case when given <> '' then given else substr(sha1(concat('{"evidence": "', evidence, '", "expect_any": [',
+    case when expect = '' then '' else '"' || replace(expect, '|', '", "') || '"' end, '], "q": "', replace(trim(q), chr(10), chr(92) || 'n'), '"}')), 1, 12) end as candidate_id from found),
+cands as (select * from named qualify row_number() over (partition by dataset, candidate_id order by line_no, item) = 1),
+decided as (select * from v_decision_log qualify row_number() over (partition by dataset, candidate_id order by updated_at desc) = 1)"""
+
+
+def _lines_of(t):
+    return readers.parse_lines(t.candidate_lines.select("dataset", "source", F.struct("line_no").alias("line_no"), "value"))
+
+
+def _candidates(t):
+    return curation.load_candidates(_lines_of(t))
+
+
+def _decisions(t):
+    return curation.upsert_decisions(t.decision_log)
+
+
+@register("extract_candidates", "v_candidate_lines v_turns", f"""with {CANDIDATES_SQL} select dataset, line_no, item as item_no, md5(trim(q)) as q_md5 from found
+  union all select dataset, line_no, 1, md5('') from drafted""")
+def _(t):
+    raw = curation.extract_candidates(_lines_of(t))
+    v = F.col("raw")
+    q = F.coalesce(F.try_variant_get(v, "$.q", "string"), F.try_variant_get(v, "$.corrected_q", "string"))
+    return raw.select("dataset", F.col("pos.line_no.line_no").alias("line_no"), big("pos.item_no", "item_no"), F.md5(T.strip(q)).alias("q_md5"))
+
+
+@register("normalize_candidates", "v_candidate_lines v_turns", f"with {CANDIDATES_SQL} select dataset, line_no, item as item_no, candidate_id, md5(trim(q)) as q_md5, expect as expected from named")
+def _(t):
+    c = curation.normalize_candidates(curation.extract_candidates(_lines_of(t)))
+    return c.select("dataset", F.col("pos.line_no.line_no").alias("line_no"), big("pos.item_no", "item_no"), "candidate_id", F.md5("q").alias("q_md5"), joined("expect_any").alias("expected"))
+
+
+@register("dedup_candidates", "v_candidate_lines v_turns", f"with {CANDIDATES_SQL} select dataset, candidate_id, line_no, md5(trim(q)) as q_md5 from cands")
+def _(t):
+    return _candidates(t).select("dataset", "candidate_id", F.col("pos.line_no.line_no").alias("line_no"), F.md5("q").alias("q_md5"))
+
+
+@register("upsert_decisions", "v_decision_log", """select dataset, candidate_id, decision, edited_q, array_to_string(edited_expect_any, '|') as edited_expect, notes, updated_at from v_decision_log
+  qualify row_number() over (partition by dataset, candidate_id order by updated_at desc) = 1""")
+def _(t):
+    d = _decisions(t)
+    return d.select("dataset", "candidate_id", "decision", "edited_q", joined("edited_expect_any").alias("edited_expect"), "notes", "updated_at")
+
+
+def _draft_state(t):
+    """Audit rows of the drafting stage, per dataset of the candidates."""
+    state = t.turns.select(
+        "dataset", F.concat(F.lit("t-"), "line_no").alias("task_id"),
+        F.when(F.col("turn") % 2 == 0, "generate_candidates").otherwise("generate_corpus").alias("stage"),
+        F.col("role").alias("status"), F.col("turn").cast("int").alias("attempts"), F.lit(None).cast("string").alias("last_error"),
+        F.lpad(F.col("line_no").cast("string"), 9, "0").alias("updated_at"),
+    )
+    return tasks.recent_tasks(state, 300)
+
+
+@register(
+    "review_queue",
+    "v_candidate_lines v_turns v_decision_log",
+    f"""with {CANDIDATES_SQL}, newest as (select * from v_turns qualify row_number() over (partition by dataset order by line_no desc) <= 300),
+    note as (select dataset, concat(arg_min(role, line_no), ' · attempts ', arg_min(turn, line_no), ' · ') as note from newest where turn % 2 = 0 group by dataset)
+    select c.dataset, c.candidate_id, coalesce(nullif(d.decision, ''), 'pending') as status, md5(coalesce(nullif(d.edited_q, ''), trim(c.q))) as q_md5,
+      case when len(d.edited_expect_any) > 0 then array_to_string(d.edited_expect_any, '|') else c.expect end as expected, c.evidence,
+      case when c.evidence <> '' then '0.5' else '' end as confidence, coalesce(note, '') as audit
+    from cands c left join decided d on d.dataset = c.dataset and d.candidate_id = c.candidate_id left join note n on n.dataset = c.dataset""",
+)
+def _(t):
+    q = curation.review_queue(_candidates(t), _decisions(t), _draft_state(t))
+    return q.select("dataset", "candidate_id", "status", F.md5("edited_q").alias("q_md5"), joined("expected").alias("expected"), "evidence", "confidence", "audit")
+
+
+REVIEWED_SQL = CANDIDATES_SQL + """,
+chosen as (select d.*, c.q as c_q, c.expect as c_expect, c.expect_none as c_none, c.candidate_id is not null as known, case when len(d.edited_expect_any) > 0 then array_to_string(d.edited_expect_any, '|') else coalesce(c.expect, '') end as expected,
+  c.given from decided d left join cands c on c.dataset = d.dataset and c.candidate_id = d.candidate_id where decision in ('approve', 'rewrite'))"""
+
+
+@register("export_queries", "v_candidate_lines v_turns v_decision_log", f"""with {REVIEWED_SQL} select dataset, candidate_id as id, md5(coalesce(nullif(trim(edited_q), ''), trim(c_q))) as q_md5, expected, c_none and expected = '' as negative, updated_at
+  from chosen where known and (expected <> '' or c_none)""")
+def _(t):
+    e = curation.export_queries(_candidates(t), _decisions(t))
+    return e.select("dataset", "id", F.md5("q").alias("q_md5"), F.coalesce(joined("expect_any"), F.lit("")).alias("expected"), F.coalesce("expect_none", F.lit(False)).alias("negative"), "updated_at")
+
+
+@register(
+    "export_violations",
+    "v_candidate_lines v_turns v_decision_log",
+    f"""with {REVIEWED_SQL}, stems as (select distinct dataset, 'doc-' || line_no as stem from v_turns where role <> 'assistant'),
+    items as (select dataset, candidate_id, unnest(string_split(expected, '|')) as item from chosen where known and expected <> '')
+    select dataset, 'reviewed candidate not found: ' || candidate_id as message from chosen where not known
+    union all select dataset, candidate_id || ': must set expect_any or expect_none' from chosen where known and expected = '' and not c_none
+    union all select dataset, candidate_id || ': expect_any references missing stem: ' || item from items i where not exists (select 1 from stems s where s.dataset = i.dataset and s.stem = i.item)
+    union all select dataset, 'no approved or rewritten candidates to export' from (select dataset from stems union select dataset from decided)
+      where dataset not in (select dataset from chosen where known and (expected <> '' or c_none))""",
+)
+def _(t):
+    stems = t.turns.where("role <> 'assistant'").select("dataset", F.concat(F.lit("doc-"), "line_no").alias("stem"))
+    return curation.export_violations(_candidates(t), _decisions(t), stems).select("dataset", "message")
+
+
+@register(
+    "even_spread",
+    "v_docs",
+    """with r as (select dataset, doc_id, row_number() over (partition by dataset order by doc_id) - 1 as idx, count(*) over (partition by dataset) as n from v_docs),
+    picks as (select distinct dataset, cast(floor(i * (n / 17.0::double)) as bigint) as idx from (select distinct dataset, n from r), range(0, 17) g(i) where 17 < n)
+    select r.dataset, r.doc_id from r left join picks p on p.dataset = r.dataset and p.idx = r.idx where n <= 17 or p.idx is not null""",
+)
+def _(t):
+    return ordering.even_spread(t.docs, 17, ["dataset"], ["doc_id"]).select("dataset", "doc_id")
+
+
+@register(
+    "even_spread_ranges",
+    "v_per_query",
+    """with r as (select mode, id, row_number() over (partition by mode order by top_price, o_orderkey) - 1 as idx, count(*) over (partition by mode) as n from v_per_query),
+    picks as (select distinct mode, cast(floor(i * (n / 1000.0::double)) as bigint) as idx from (select distinct mode, n from r), range(0, 1000) g(i))
+    select r.mode, r.id from r join picks p on p.mode = r.mode and p.idx = r.idx""",
+)
+def _(t):
+    return ordering.even_spread(t.per_query, 1000, ["mode"], ["top_price", "o_orderkey"], safe_rows=1000).select("mode", "id")
+
+
+MARKER_SQL = """
+docs as (select dataset, stem, file_name, case when starts_with(file_name, 'zh-') then 'zh' when starts_with(file_name, 'en-') then 'en' end as lang from v_corpus),
+r as (select *, row_number() over (partition by dataset, lang order by file_name) - 1 as idx, count(*) over (partition by dataset, lang) as n from docs where lang is not null),
+z as (select dataset, least(count(*) filter (where lang = 'zh'), 10) as taken from r group by dataset),
+w as (select r.*, case when lang = 'zh' then 10 else 21 - taken end as k from r join z on z.dataset = r.dataset),
+picks as (select distinct dataset, lang, cast(floor(i * (n / k::double)) as bigint) as idx from (select distinct dataset, lang, n, k from w where k < n), range(0, 21) g(i) where i < k),
+picked as (select w.* from w left join picks p on p.dataset = w.dataset and p.lang = w.lang and p.idx = w.idx where k >= n or p.idx is not null),
+marked as (select dataset, stem, case when lang = 'zh' then '哪个文档包含检索标记 docmark' || replace(stem, '-', '') || '？' else 'Which document contains retrieval marker docmark' || replace(stem, '-', '') || '?' end as q from picked)"""
+
+
+@register("marker_queries", "v_corpus", f"with {MARKER_SQL} select dataset, q, stem as expected from marked")
+def _(t):
+    return curation.marker_queries(t.corpus, 21).select("dataset", "q", joined("expect_any").alias("expected"))
+
+
+NEGATIVES = ["What is the weather tomorrow?", "How do I bake bread?", "怎样修理汽车？"]
+
+
+@register(
+    "append_negatives",
+    "v_corpus",
+    f"""with {MARKER_SQL} select dataset, q, stem as expected, false as negative from marked
+    union all select d.dataset, n.q, '', true from (select distinct dataset from marked) d, (values ('{NEGATIVES[0]}'), ('{NEGATIVES[1]}')) n(q)""",
+)
+def _(t):
+    out = curation.append_negatives(curation.marker_queries(t.corpus, 21), NEGATIVES, 2)
+    return out.select("dataset", "q", joined("expect_any").alias("expected"), F.coalesce("expect_none", F.lit(False)).alias("negative"))
+
+
+@register("catalog_assets", "v_items_catalog", """select dataset, pos, category || '.' || slug || '.image' as id, category as doc, 'images/' || image_dir || '/' || slug || '.png' as path,
+  zh || ' / ' || en as heading, category || '.' || slug as anchor from v_items_catalog""")
+def _(t):
+    return catalog.catalog_assets(t.items_catalog)
+
+
+@register("catalog_chunks", "v_items_catalog", """select dataset, pos, category || '.' || slug || '.text' as id, category as doc, zh || ' / ' || en as heading, category || '.' || slug as anchor,
+  category || '.' || slug || '.image' as asset_id from v_items_catalog""")
+def _(t):
+    return catalog.catalog_chunks(t.items_catalog)
+
+
+@register("catalog_queries", "v_items_catalog", """select dataset, category || '_' || slug || '_asset' as id, 'asset' as query_type, asset_query as q, category as expected, category || '.' || slug || '.image' as assets, '' as chunks from v_items_catalog
+  union all select dataset, category || '_' || slug || '_chunk', 'text_chunk', chunk_query, category, '', category || '.' || slug || '.text' from v_items_catalog""")
+def _(t):
+    return _flat_queries(catalog.catalog_queries(t.items_catalog))
+
+
+def _flat_queries(df):
+    return df.select(
+        "dataset", "id", "query_type", "q", joined("expect_any").alias("expected"),
+        F.coalesce(joined("expect_asset_any"), F.lit("")).alias("assets"), F.coalesce(joined("expect_chunk_any"), F.lit("")).alias("chunks"),
+    )
+
+
+@register(
+    "catalog_documents",
+    "v_items_catalog",
+    """with parts as (select dataset, category, -1 as pos, concat('---', chr(10), 'title: ', any_value(title), chr(10), 'language: zh-CN', chr(10), 'source: local-synthetic', chr(10), 'modality: image-text', chr(10), 'version: v1', chr(10),
+      'category: ', category, chr(10), '---', chr(10), chr(10), '# ', any_value(title), chr(10), chr(10), any_value(intro), chr(10)) as part from v_items_catalog group by dataset, category
+    union all select dataset, category, pos, concat('## ', zh, ' / ', en, chr(10), chr(10), 'Target: ', category, '.', slug, chr(10), chr(10), '![', zh, '图片 - ', en, '](./images/', image_dir, '/', slug, '.png)', chr(10), chr(10),
+      "desc", chr(10), chr(10), visual, chr(10), chr(10), use, chr(10), chr(10), '检索提示：', zh, '、', en, '、', title, '、图片、颜色、形状、局部特征、用途。', chr(10)) from v_items_catalog)
+    select dataset, category as stem, md5(string_agg(part, chr(10) order by pos)) as text_md5 from parts group by dataset, category""",
+)
+def _(t):
+    return catalog.documents_of(catalog.catalog_pieces(t.items_catalog, "v1")).select("dataset", "stem", F.md5("text").alias("text_md5"))
+
+
+@register("union_catalogs", "v_items_catalog", "select dataset, count(*) * 2 as n, count(distinct slug) as n_slugs from v_items_catalog group by dataset")
+def _(t):
+    both = catalog.union_catalogs(t.items_catalog, t.items_catalog)
+    return both.groupBy("dataset").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("slug").alias("n_slugs"))
+
+
+@register("group_chunks", "v_groups", "select dataset, pos, 'groups.' || slug || '.text' as id, doc, zh || ' / ' || en as heading, 'groups.' || slug as anchor, array_to_string(assets, '|') as asset_ids from v_groups")
+def _(t):
+    return catalog.group_chunks(t.groups).withColumn("asset_ids", joined("asset_ids"))
+
+
+@register("group_queries", "v_groups", """select dataset, 'groups_' || slug || '_chunk' as id, 'text_chunk' as query_type, chunk_query as q, doc as expected, array_to_string(assets, '|') as assets, 'groups.' || slug || '.text' as chunks from v_groups
+  union all select dataset, 'groups_' || slug || '_asset_group', 'asset_group', asset_query, doc, array_to_string(assets, '|'), 'groups.' || slug || '.text' from v_groups""")
+def _(t):
+    return _flat_queries(catalog.group_queries(t.groups))
+
+
+@register(
+    "group_documents",
+    "v_groups",
+    """with parts as (select dataset, doc, -1 as pos, concat('---', chr(10), 'title: ', any_value(title), chr(10), 'language: zh-CN', chr(10), 'source: local-synthetic', chr(10), 'modality: image-text', chr(10), 'version: v1', chr(10),
+      'target_shape: multi-image-chunk', chr(10), '---', chr(10), chr(10), '# ', any_value(title), chr(10), chr(10), any_value(intro), chr(10)) as part from v_groups group by dataset, doc
+    union all select dataset, doc, pos, concat('## ', zh, ' / ', en, chr(10), chr(10), 'Target: groups.', slug, chr(10), chr(10),
+      '![', zh, ' / ', en, '](./', image_paths[1], ')', chr(10), chr(10), '![', zh, ' / ', en, '](./', image_paths[2], ')', chr(10), chr(10), summary, chr(10), chr(10), detail, chr(10)) from v_groups)
+    select dataset, doc as stem, md5(string_agg(part, chr(10) order by pos)) as text_md5 from parts group by dataset, doc""",
+)
+def _(t):
+    return catalog.documents_of(catalog.group_pieces(t.groups, "v1")).select("dataset", "stem", F.md5("text").alias("text_md5"))
+
+
+@register(
+    "replace_by_prefix",
+    "v_items_catalog v_groups",
+    """select dataset, category || '.' || slug || '.text' as id from v_items_catalog where not starts_with(category, 'brand-1')
+    union all select dataset, 'groups.' || slug || '.text' from v_groups""",
+)
+def _(t):
+    return curation.replace_by_prefix(catalog.catalog_chunks(t.items_catalog), catalog.group_chunks(t.groups), "brand-1").select("dataset", "id")
+
+
+@register(
+    "expand_topics",
+    "v_topics",
+    """select dataset, stem, md5(concat('---', chr(10), 'title: ', title, chr(10), case when language <> '' then concat('language: ', language, chr(10)) else '' end,
+      'source: local-diverse-synthetic', chr(10), '---', chr(10), chr(10), body, chr(10))) as text_md5, question as q from v_topics""",
+)
+def _(t):
+    docs, queries = catalog.expand_topics(t.topics)
+    asked = queries.select("dataset", F.get("expect_any", F.lit(0)).alias("stem"), "q")
+    return docs.join(asked, ["dataset", "stem"]).select("dataset", "stem", F.md5("text").alias("text_md5"), "q")
+
+
+@register(
+    "cluster_siblings",
+    "v_cluster_docs",
+    """select a.dataset, a.cluster, a.slug, coalesce(string_agg(b.title || ' (' || b.focus || ')', '; ' order by b.pos), '') as siblings
+    from v_cluster_docs a left join v_cluster_docs b on b.dataset = a.dataset and b.cluster = a.cluster and b.slug <> a.slug group by all""",
+)
+def _(t):
+    return curation.cluster_siblings(t.cluster_docs)
+
+
+@register(
+    "cluster_listing",
+    "v_cluster_docs",
+    """select dataset, cluster, md5(string_agg(concat('- stem=', cluster, '-', slug, ' | title=', title, ' | focus: ', focus), chr(10) order by pos)) as listing_md5, count(*) as n from v_cluster_docs group by dataset, cluster""",
+)
+def _(t):
+    return curation.cluster_listing(t.cluster_docs).select("dataset", "cluster", F.md5("listing").alias("listing_md5"), big("n", "n"))
+
+
+@register(
+    "materialize_cluster_queries",
+    "v_cluster_results v_cluster_docs",
+    """select d.dataset, r.task_id, d.language || '-' || d.stem as id, 'ask ' || d.pos as q from v_cluster_results r join v_cluster_docs d on r.task_id = 'q-' || d.stem
+    where r.status = 'succeeded' and d.pos % 7 <> 0 and d.pos % 9 <> 0 and d.focus <> 'BUILDING'""",
+)
+def _(t):
+    docs = t.cluster_docs
+    corpus_ = docs.where("focus <> 'BUILDING'")
+    out = curation.materialize_cluster_queries(t.cluster_results, docs, corpus_)
+    return out.select("dataset", "task_id", "id", "q")
+
+
+@register(
+    "materialize_corpus",
+    "v_results v_meta",
+    """with r as (select v.*, d.n, d.doc_id, m.stem as m_stem, m.language as m_lang, m.title as m_title from v_results v join v_docs d on v.ord = d.doc_id left join v_meta m on m.dataset = v.dataset and m.task_id = v.task_id where v.status = 'succeeded'),
+    d as (select dataset, task_id, source_ord, ord, doc_id,
+      case doc_id % 3 when 0 then coalesce(lower(replace(m_stem, ' ', '-')), task_id) when 1 then 'doc-' || (n % 30) else task_id end as stem,
+      case doc_id % 3 when 0 then m_title when 1 then 'T ' || doc_id end as title0,
+      case doc_id % 3 when 0 then coalesce(m_lang, '') when 1 then 'en' else '' end as language,
+      case doc_id % 3 when 0 then case when doc_id % 33 = 0 then '' when doc_id % 2 = 0 then '# H body ' || doc_id else 'body ' || doc_id end else 'md ' || doc_id end as body from r),
+    f as (select *, coalesce(title0, stem) as title from d qualify row_number() over (partition by dataset, stem order by source_ord, ord, task_id) = 1)
+    select dataset, stem, language, md5(concat('---', chr(10), 'title: ', title, chr(10), case when language <> '' then concat('language: ', language, chr(10)) else '' end, 'source: marker', chr(10), '---', chr(10), chr(10),
+      case when starts_with(body, '#') then body else concat('# ', title, chr(10), chr(10), body) end, chr(10))) as text_md5 from f where body <> ''""",
+)
+def _(t):
+    return curation.materialize_corpus(t.results, t.meta, "marker").select("dataset", "stem", "language", F.md5("text").alias("text_md5"))
+
+
+# --- F: tasks --------------------------------------------------------------
+
+
+def _doc_tasks(t):
+    docs = t.docs
+    return tasks.prompt_tasks(
+        docs, "generate_corpus", "v1", F.lit("Write a document."),
+        tasks.fill("About {lang}:\n{body}", {"lang": F.col("lang"), "body": F.col("body")}), F.col("body"), carry=("doc_id",),
+    )
+
+
+TASK_ID_SQL = """tk as (select dataset, doc_id, sha256(body) as source_hash, substr(sha256(concat_ws(chr(10), dataset, 'generate_corpus', sha256(body), 'v1', 'Write a document.',
+  concat('About ', lang, ':', chr(10), body))), 1, 32) as task_id from v_docs)"""
+
+
+@register("task_ids", "v_docs", f"with {TASK_ID_SQL} select doc_id, source_hash, task_id from tk")
+def _(t):
+    return _doc_tasks(t).select("doc_id", "source_hash", "task_id")
+
+
+@register(
+    "grid_tasks",
+    "v_corpus",
+    f"""with {GRID_SQL}, tk as (select *, case when lang = 'zh' then '写 ' || lpad(cast(idx as varchar), case when idx < 1000 then 3 else 4 end, '0') || ' topic' else 'Write ' || stem end as usr,
+      sha256(concat_ws(':', dataset, 'topic', idx, lang, stem, 'v2')) as source_hash from grid)
+    select dataset, stem, substr(sha256(concat_ws(chr(10), dataset, 'generate_bilingual_corpus', source_hash, 'v2', 'sys', usr)), 1, 32) as task_id from tk""",
+)
+def _(t):
+    grid = quality.expected_grid(t.corpus.select("dataset").distinct(), GRID)
+    return tasks.grid_tasks(grid, "topic", "v2", "sys", "写 {index} {topic}", "Write {stem}").select("dataset", "stem", "task_id")
+
+
+@register(
+    "topic_tasks",
+    "v_topics",
+    """select dataset, substr(sha256(concat_ws(chr(10), dataset, 'generate_factbook', sha256(title || ':30'), 'v1', 'sys', 'Create 30 entries for ' || title)), 1, 32) as task_id from v_topics""",
+)
+def _(t):
+    topics = t.topics.withColumnRenamed("title", "topic")
+    return tasks.topic_tasks(topics, 30, "v1", "sys", "Create {items} entries for {topic}").select("dataset", "task_id")
+
+
+@register(
+    "pack_tasks",
+    "v_corpus",
+    """with p as (select dataset, string_agg(concat(chr(10), chr(10), '# STEM: ', stem, chr(10), text), '' order by file_name) as pack from v_corpus group by dataset)
+    select dataset, substr(sha256(concat_ws(chr(10), dataset, 'generate_candidates', sha256(pack), 'v1', 'sys', 'Draft 30 queries.' || pack)), 1, 32) as task_id from p""",
+)
+def _(t):
+    packs = corpus.assemble_packs(corpus.corpus_pack(t.corpus), max_chars=1_000_000_000)
+    return tasks.pack_tasks(packs, 30, "v1", "sys", "Draft {queries} queries.{corpus}").select("dataset", "task_id")
+
+
+@register(
+    "cluster_doc_tasks",
+    "v_cluster_docs",
+    """with s as (select a.dataset, a.stem, a.language, a.title, coalesce(string_agg(b.title || ' (' || b.focus || ')', '; ' order by b.pos), '') as siblings
+      from v_cluster_docs a left join v_cluster_docs b on b.dataset = a.dataset and b.cluster = a.cluster and b.slug <> a.slug group by all)
+    select dataset, stem, substr(sha256(concat_ws(chr(10), dataset, 'generate_cluster_corpus', sha256(concat_ws(':', dataset, stem, language, 'v1')), 'v1', 'sys', concat(title, ' not ', siblings))), 1, 32) as task_id from s""",
+)
+def _(t):
+    return curation.cluster_doc_tasks(t.cluster_docs.drop("stem"), "v1", "sys", "{title} not {siblings}").select("dataset", "stem", "task_id")
+
+
+@register(
+    "cluster_query_tasks",
+    "v_cluster_docs",
+    """with l as (select dataset, cluster, string_agg(concat('- stem=', cluster, '-', slug, ' | title=', title, ' | focus: ', focus), chr(10) order by pos) as listing, count(*) as n from v_cluster_docs group by dataset, cluster)
+    select dataset, cluster, substr(sha256(concat_ws(chr(10), dataset, 'generate_cluster_queries', sha256(concat_ws(':', dataset, 'queries', cluster, 'v1')), 'v1', 'sys', concat(n, ' docs: ', listing))), 1, 32) as task_id from l""",
+)
+def _(t):
+    return curation.cluster_query_tasks(t.cluster_docs, "v1", "sys", "{n} docs: {listing}").select("dataset", "cluster", "task_id")
+
+
+FOLD_SQL = """
+ordered as (select *, row_number() over (partition by task_id order by seq desc) as back, max(case when kind = 'finish' then seq end) over (partition by task_id) as finish_seq from v_audit_events),
+fold as (select task_id, max(dataset) as dataset, max(stage) as stage, max(case when back = 1 then case when kind = 'start' then 'running' else status end end) as status,
+  coalesce(max(case when seq = finish_seq then attempts end), 0) as attempts, max(case when seq = finish_seq then last_error end) as last_error,
+  max(case when seq = finish_seq then result end) as result, min(ts) as created_at, max(case when back = 1 then ts end) as updated_at from ordered group by task_id)"""
+
+
+def _fold(t):
+    return tasks.fold_audit(t.audit_events)
+
+
+@register("fold_audit", "v_audit_events", f"with {FOLD_SQL} select task_id, dataset, stage, status, attempts, last_error, result, created_at, updated_at from fold")
+def _(t):
+    return _fold(t).select("task_id", "dataset", "stage", "status", "attempts", "last_error", "result", "created_at", "updated_at")
+
+
+@register("merge_states", "v_audit_events", f"with {FOLD_SQL} select task_id, status, attempts, last_error, created_at, updated_at from fold")
+def _(t):
+    odd = F.xxhash64("seq") % 2 == 0
+    merged = tasks.merge_states(tasks.fold_audit(t.audit_events.where(odd)), tasks.fold_audit(t.audit_events.where(~odd)))
+    return merged.select("task_id", "status", "attempts", "last_error", "created_at", "updated_at")
+
+
+@register("scan_audit", "v_audit_events", f"with {FOLD_SQL} select task_id, stage, status, updated_at from fold where stage = 'purchase' and status = 'succeeded'")
+def _(t):
+    return tasks.scan_audit(_fold(t), "purchase", "succeeded").select("task_id", "stage", "status", "updated_at")
+
+
+@register("audit_status_counts", "v_audit_events", f"with {FOLD_SQL} select dataset, status, count(*) as n from fold group by dataset, status")
+def _(t):
+    return tasks.audit_status_counts(_fold(t))
+
+
+@register("recent_tasks", "v_audit_events", f"with {FOLD_SQL}, r as (select *, row_number() over (partition by dataset order by updated_at desc, task_id) as rank from fold) select dataset, task_id, status, updated_at, rank from r where rank <= 40")
+def _(t):
+    return tasks.recent_tasks(_fold(t), 40).select("dataset", "task_id", "status", "updated_at", big("rank", "rank"))
+
+
+@register("batch_outcome", "v_audit_events", f"with {FOLD_SQL} select stage as dataset, bool_or(status in ('failed', 'needs_manual_review')) as failed from fold group by stage")
+def _(t):
+    return tasks.batch_outcome(_fold(t).withColumn("dataset", F.col("stage")))
+
+
+@register(
+    "plan_tasks",
+    "v_docs v_results",
+    f"""with {TASK_ID_SQL}, st as (select tk.task_id, r.status, r.result from v_results r join tk on tk.doc_id = r.ord)
+    select tk.doc_id, tk.task_id, st.task_id is not null as skipped, st.result from tk left join st on st.task_id = tk.task_id and st.status = 'succeeded'""",
+)
+def _(t):
+    planned = _doc_tasks(t)
+    ids = planned.select("doc_id", "task_id")
+    state = t.results.select(F.col("ord").alias("doc_id"), "status", "result").join(ids, "doc_id").select(
+        "task_id", "status", F.lit(1).alias("attempts"), "result", F.lit("raw").alias("raw_response")
+    )
+    return tasks.plan_tasks(planned, state, resume=True).select("doc_id", "task_id", "skipped", "result")
+
+
+CLASSIFY_SQL = """
+p as (select *, task_no % 6 in (0, 1, 4) as ok1, task_no % 4 = 0 as ok2 from v_responses),
+k as (select dataset, task_no, case when not expected_json or ok1 or ok2 then 'succeeded' else 'needs_manual_review' end as status,
+  case when expected_json and not ok1 and not ok2 then case when task_no % 4 = 1 then 'JSON parse failed' when task_no % 6 = 5 then 'JSON root must be an object or array' else 'JSON parse failed' end end as error,
+  case when not expected_json then null when task_no % 6 = 0 then concat('{"t":', task_no, '}') when task_no % 6 = 1 then concat('[', task_no, ',2]') when task_no % 6 = 4 then concat('{"a":{"b":', task_no, '}}')
+    when ok2 then concat('{"fixed":', task_no, '}') end as result from p)"""
+
+
+@register("classify_responses", "v_responses", f"with {CLASSIFY_SQL} select dataset, task_no, status, error, result from k")
+def _(t):
+    out = tasks.classify_responses(t.responses)
+    return out.select("dataset", "task_no", "status", "error", F.when(F.col("expected_json"), F.col("result")).alias("result"))
+
+
+@register("retry_decision", "v_attempts", "select task_id, attempt, status_code, status_code is null or status_code in (408, 409, 429, 529) or (status_code not in (400, 401, 403) and status_code >= 500) as retry from v_attempts")
+def _(t):
+    return t.attempts.select("task_id", "attempt", "status_code", K.retry_decision(F.col("status_code")).alias("retry"))
+
+
+@register(
+    "backoff_schedule",
+    "v_attempts",
+    """with a as (select *, status_code is not null or error is not null or trim(body) = '' as failed from v_attempts),
+    i as (select *, sum(case when failed then 0 else 1 end) over (partition by task_id order by attempt) as island from a),
+    s as (select *, sum(case when status_code = 429 then 1 else 0 end) over (partition by task_id, island order by attempt) as streak from i)
+    select task_id, attempt, failed, cast(streak as bigint) as streak, case when failed then least(60, 2 * pow(2, attempt - 1)) * 0.5 end as wait_low,
+      case when failed then least(60, 2 * pow(2, attempt - 1)) * 1.5 end as wait_high, case when failed and streak >= 3 then least(60::double, 2.0::double * streak) end as slowdown from s""",
+)
+def _(t):
+    return tasks.backoff_schedule(t.attempts).select("task_id", "attempt", "failed", "streak", "wait_low", "wait_high", "slowdown")
+
+
+@register(
+    "attempt_rollup",
+    "v_attempts",
+    """with a as (select *, status_code is not null or error is not null or trim(body) = '' as failed, status_code is null or status_code in (429, 529) or status_code >= 500 as retryable from v_attempts where attempt <= 4),
+    e as (select task_id, min(attempt) as at from a where not failed or not retryable or attempt = 4 group by task_id)
+    select t.task_id, case when e.at is null then 'running' when x.failed then 'failed' else 'succeeded' end as status,
+      cast(case when e.at is null then 0 when not x.failed then e.at when x.retryable then 4 else 1 end as int) as attempts,
+      case when x.failed then coalesce(x.error, 'empty response') end as error
+    from (select distinct task_id from a) t left join e on e.task_id = t.task_id left join a x on x.task_id = e.task_id and x.attempt = e.at""",
+)
+def _(t):
+    return tasks.attempt_rollup(t.attempts, 4)
+
+
+def _echo(system: str, user: str, model: str) -> str:
+    return '{"chars": %d}' % len(user.split("\n\nReturn strict JSON only")[0])
+
+
+@register("run_tasks", "v_docs", f"with {TASK_ID_SQL} select tk.task_id, 'succeeded' as status, 1 as attempts, concat('{{\"chars\":', len(concat('About ', lang, ':', chr(10), body)), '}}') as result, false as skipped from tk join v_docs d on d.doc_id = tk.doc_id")
+def _(t):
+    plan = tasks.plan_tasks(_doc_tasks(t), t.results.select(F.lit("none").alias("task_id"), "status", F.lit(1).alias("attempts"), "result", F.lit("").alias("raw_response")))
+    return tasks.run_tasks(plan, _echo).select("task_id", "status", "attempts", "result", "skipped")
+
+
+@register("chunk_rows", "v_docs", "with r as (select dataset, doc_id, row_number() over (partition by dataset order by doc_id) - 1 as idx from v_docs) select dataset, doc_id, idx // 8 as grp, idx % 8 as slot from r")
+def _(t):
+    return ordering.chunk_rows(t.docs, 8, ["dataset"], ["doc_id"]).select("dataset", "doc_id", "grp", big("slot", "slot"))
+
+
+# --- G: quality review -----------------------------------------------------
+
+
+@register(
+    "dataset_mode",
+    PKG_VIEWS,
+    r"""select d.dataset, case when any_value(has_targets) then 'multimodal' when bool_or(regexp_matches(text, '!\[([^\]]*)\]\(([^)\n]+)\)')) then 'multimodal_without_targets' else 'text_doc_level' end as dataset_mode
+    from v_datasets d left join v_corpus c on c.dataset = d.dataset group by d.dataset""",
+)
+def _(t):
+    return review.dataset_mode(_package(t))
+
+
+SUMMARY_SQL = """
+wanted as (select distinct dataset, unnest(expect_any) as doc from v_queries where not expect_none),
+flagged as (select w.*, c.stem is null as missing from wanted w left join v_corpus c on c.dataset = w.dataset and c.stem = w.doc),
+totals as (select dataset, count(*) as total, count(*) filter (where not expect_none) as positive, count(*) filter (where expect_none) as negative from v_queries group by dataset)"""
+
+
+@register("query_summary", "v_queries v_corpus", f"""with {SUMMARY_SQL} select t.dataset, total, positive, negative, count(f.doc) as n_expected, count(*) filter (where missing) as n_missing from totals t left join flagged f on f.dataset = t.dataset group by all""")
+def _(t):
+    return review.query_summary(t.queries, t.corpus)
+
+
+@register("summary_docs", "v_queries v_corpus", f"with {SUMMARY_SQL} select dataset, doc, missing from flagged")
+def _(t):
+    return review.summary_docs(t.queries, t.corpus)
+
+
+HEADINGS_SQL = r"array_to_string(regexp_extract_all(c.text, '(?m)^##\s+(.+)$', 1), ',')"
+
+
+@register(
+    "expected_contexts",
+    "v_queries v_corpus",
+    rf"""with w as (select dataset, pos, unnest(expect_any) as doc, generate_subscripts(expect_any, 1) as i from v_queries where not expect_none),
+    e as (select w.*, concat(w.doc, ':', c.stem is not null, ':', coalesce({HEADINGS_SQL}, ''), ':', md5(coalesce(case when len(c.text) > 1800 then c.text[1:1800] || chr(10) || '...[truncated]' else c.text end, ''))) as entry
+      from w left join v_corpus c on c.dataset = w.dataset and c.stem = w.doc)
+    select q.dataset, q.pos, coalesce(string_agg(entry, '|' order by i), '') as contexts from v_queries q left join e on e.dataset = q.dataset and e.pos = q.pos group by q.dataset, q.pos""",
+)
+def _(t):
+    ctx = review.expected_contexts(t.queries, t.corpus)
+    shown = F.transform("contexts", lambda x: F.concat(x["doc"], F.lit(":"), x["exists"].cast("string"), F.lit(":"), F.array_join(x["headings"], ","), F.lit(":"), F.md5(x["text"])))
+    return ctx.select("dataset", "pos", joined(shown).alias("contexts"))
+
+
+def _target_rows(df):
+    return df.select("dataset", big("kind_ord", "kind_ord"), "target_type", "target_id")
+
+
+@register(
+    "review_targets",
+    PKG_VIEWS,
+    """select dataset, 0 as kind_ord, 'dataset' as target_type, dataset as target_id from v_datasets
+    union all select dataset, 1, 'corpus_doc', stem from v_corpus
+    union all select dataset, 2, 'query', case when id = '' then 'query-' || pos else id end from v_queries where is_mapping
+    union all select dataset, 3, 'target_asset', case when id = '' then 'asset-' || pos else id end from v_assets where is_mapping
+    union all select dataset, 4, 'target_chunk', case when id = '' then 'chunk-' || pos else id end from v_chunks where is_mapping""",
+)
+def _(t):
+    return _target_rows(review.review_targets(_package(t)))
+
+
+@register(
+    "review_payloads",
+    PKG_VIEWS,
+    rf"""with {SECTIONS_SQL}, {SUMMARY_SQL},
+    ls as (select dataset, stem, heading, case when len(section_text) > 4000 then section_text[1:4000] || chr(10) || '...[truncated]' else section_text end as t from last_secs)
+    select c.dataset, 'corpus_doc' as target_type, c.stem as target_id, md5(case when len(c.text) > 6000 then c.text[1:6000] || chr(10) || '...[truncated]' else c.text end) as text_md5, len(regexp_extract_all(c.text, '!\[([^\]]*)\]\(([^)\n]+)\)')) as n from v_corpus c
+    union all select a.dataset, 'target_asset', case when id = '' then 'asset-' || pos else id end, md5(coalesce(ls.t, '')), coalesce(len(regexp_extract_all(c.text, '!\[([^\]]*)\]\(([^)\n]+)\)')), 0) from v_assets a
+      left join ls on ls.dataset = a.dataset and ls.stem = a.doc and ls.heading = a.heading left join v_corpus c on c.dataset = a.dataset and c.stem = a.doc where is_mapping
+    union all select a.dataset, 'target_chunk', case when id = '' then 'chunk-' || pos else id end, md5(coalesce(ls.t, '')), len(regexp_extract_all(coalesce(ls.t, ''), '!\[([^\]]*)\]\(([^)\n]+)\)')) from v_chunks a
+      left join ls on ls.dataset = a.dataset and ls.stem = a.doc and ls.heading = a.heading where is_mapping
+    union all select q.dataset, 'query', case when id = '' then 'query-' || pos else id end, md5(case when expect_none then 'negative' else 'positive' end), case when expect_none then 0 else coalesce(len(expect_any), 0) end from v_queries q where is_mapping
+    union all select d.dataset, 'dataset', d.dataset, md5(concat(coalesce(t.total, 0), '/', coalesce(t.positive, 0))), (select count(*) from v_corpus c where c.dataset = d.dataset) from v_datasets d
+      left join (select dataset, count(*) as total, count(*) filter (where not expect_none) as positive from v_queries where is_mapping group by dataset) t on t.dataset = d.dataset""",
+)
+def _(t):
+    rows = review.review_targets(_package(t)).withColumn("v", F.parse_json("payload"))
+    v = F.col("v")
+
+    def text(path):
+        return F.try_variant_get(v, path, "string")
+
+    def size(path):
+        return F.coalesce(F.size(F.try_variant_get(v, path, "array<variant>")), F.lit(0))
+
+    kind = F.col("target_type")
+    shown = (
+        F.when(kind == "corpus_doc", text("$.text"))
+        .when(kind == "query", text("$.query_role"))
+        .when(kind == "dataset", F.concat(text("$.query_summary.total"), F.lit("/"), text("$.query_summary.positive")))
+        .otherwise(text("$.section_text"))
+    )
+    n = (
+        F.when(kind == "corpus_doc", size("$.image_refs"))
+        .when(kind == "query", size("$.expected_doc_contexts"))
+        .when(kind == "dataset", F.try_variant_get(v, "$.corpus_doc_count", "int"))
+        .when(kind == "target_asset", size("$.image_refs_in_doc"))
+        .otherwise(size("$.section_image_refs"))
+    )
+    return rows.select("dataset", "target_type", "target_id", F.md5(shown).alias("text_md5"), big(n, "n"))
+
+
+@register(
+    "review_groups",
+    "v_targets",
+    """with r as (select *, row_number() over (partition by dataset order by pos) - 1 as idx from v_targets),
+    g as (select dataset, idx // 8 as grp, '[' || string_agg(concat('{"target_type":"', target_type, '","target_id":"', target_id, '",', substr(payload, 2)), ', ' order by idx) || ']' as source, count(*) as n from r group by dataset, idx // 8)
+    select dataset, grp, n, substr(sha256(concat_ws(chr(10), dataset, 'quality_review', sha256(source), 'v1', 'sys', concat('Batch ', grp + 1, ': ', source))), 1, 32) as task_id from g""",
+)
+def _(t):
+    g = review.review_groups(t.targets, 8, "v1", "sys", "Batch {index}: {source}")
+    return g.select("dataset", "grp", big(F.size("targets"), "n"), "task_id")
+
+
+NORMAL_SQL = """
+st as (select *, coalesce(status = 'succeeded' and doc_id % 17 <> 0 and not (doc_id % 7 = 0 and doc_id % 21 = 0) and not (doc_id % 7 <> 0 and doc_id % 13 = 0), false) as ok from v_review_results r),
+a as (select st.dataset, st.batch_id, st.task_id, st.doc_id, 0 as pos, 'query' as target_type, 't-' || d.n as target_id, case when st.doc_id % 2 = 0 then 'warn' else 'pass' end as decision,
+  case st.doc_id % 5 when 0 then 87 when 1 then 100 when 2 then 0 when 3 then 0 else 55 end as score, 'r' || st.doc_id as reason, case when st.doc_id % 3 = 0 then 'duplicate' else 'a|3' end as flags
+  from st join v_docs d on d.doc_id = st.doc_id where ok),
+b as (select dataset, batch_id, task_id, doc_id, 1, 'corpus_doc', 'd-' || doc_id, 'fail', 0, '', '' from st where ok and doc_id % 7 = 0)"""
+
+
+def _normalized(t):
+    return review.normalize_items(t.review_results)
+
+
+@register("normalize_items", "v_review_results v_docs", f"with {NORMAL_SQL} select dataset, task_id, pos, target_type, target_id, decision, score, reason, flags from (select * from a union all select * from b)")
+def _(t):
+    i = review.item_rows(_normalized(t))
+    return i.select("dataset", "task_id", big("pos", "pos"), "target_type", "target_id", "decision", big("score", "score"), "reason", joined("risk_flags").alias("flags"))
+
+
+@register(
+    "fill_failed_items",
+    "v_review_results v_docs",
+    f"""with {NORMAL_SQL} select dataset, task_id, target_id, decision, score, reason, flags from (select * from a union all select * from b)
+    union all select st.dataset, task_id, 'd-' || doc_id, 'fail', 0, case when status = 'succeeded' then 'Invalid review JSON' else error end, 'schema_issue' from st where not ok""",
+)
+def _(t):
+    groups = t.review_results.select("task_id", F.array(F.struct(F.lit("corpus_doc").alias("target_type"), F.concat(F.lit("d-"), "doc_id").alias("target_id"))).alias("targets"))
+    i = review.fill_failed_items(_normalized(t), groups)
+    return i.select("dataset", "task_id", "target_id", "decision", big("score", "score"), "reason", joined("risk_flags").alias("flags"))
+
+
+LATEST_SQL = "latest as (select * from v_batches qualify row_number() over (partition by dataset order by created_at desc, batch_id desc) = 1)"
+
+
+@register("latest_batch", "v_batches", f"with {LATEST_SQL} select dataset, batch_id, status, created_at from latest")
+def _(t):
+    return review.latest_batch(t.batches).select("dataset", "batch_id", "status", "created_at")
+
+
+@register("running_batch", "v_batches", "select dataset, max(batch_id) as batch_id, max(created_at) as created_at from v_batches where status = 'running' group by dataset")
+def _(t):
+    return review.running_batch(t.batches).select("dataset", "batch_id", "created_at")
+
+
+@register("batch_may_start", "v_batches", "select dataset, not bool_or(status = 'running') as may_start from v_batches group by dataset")
+def _(t):
+    return review.batch_may_start(t.batches)
+
+
+@register("batch_items", "v_items v_batches", f"with {LATEST_SQL} select i.dataset, i.batch_id, target_type, target_id, decision, score, case decision when 'fail' then 0 when 'warn' then 1 else 2 end as severity from v_items i join latest l on l.dataset = i.dataset and l.batch_id = i.batch_id")
+def _(t):
+    return review.batch_items(t.items, t.batches)
+
+
+@register("batch_stats", "v_items v_batches", f"""with {LATEST_SQL} select l.dataset, l.batch_id, count(*) filter (where decision = 'pass') as pass, count(*) filter (where decision = 'warn') as warn, count(*) filter (where decision = 'fail') as fail
+  from latest l left join v_items i on l.dataset = i.dataset and l.batch_id = i.batch_id group by l.dataset, l.batch_id""")
+def _(t):
+    return review.batch_stats(t.items, t.batches)
+
+
+@register("retry_failed_targets", "v_items v_batches v_targets", f"""with {LATEST_SQL}, bad as (select distinct i.dataset, target_id from v_items i join latest l on l.dataset = i.dataset and l.batch_id = i.batch_id where decision = 'fail')
+  select t.dataset, t.target_type, t.target_id from v_targets t join bad b on b.dataset = t.dataset and b.target_id = t.target_id""")
+def _(t):
+    return review.retry_failed_targets(t.targets, t.items, t.batches).select("dataset", "target_type", "target_id")
+
+
+# --- K: bulk ranking -------------------------------------------------------
+
+
+def _bm25_sql(queries: str, corpus_: str, top: int) -> str:
+    return f"""
+dt as (select dataset, stem, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+')) as term from {corpus_}),
+tf as (select dataset, stem, term, count(*) as tf from dt group by dataset, stem, term),
+dl as (select dataset, stem, sum(tf) as dl from tf group by dataset, stem),
+st as (select dataset, count(*) as n, sum(dl) / count(*) as avg_len from dl group by dataset),
+qt as (select dataset, id, term, count(*) as times from (select dataset, id, unnest(regexp_extract_all(lower(q), '[\\p{{L}}\\p{{N}}_]+')) as term from {queries}) group by all),
+df as (select dataset, term, count(*) as df from tf group by dataset, term),
+bm as (select qt.dataset, qt.id, tf.stem as doc, round(sum(times * ln(1 + (n - df + 0.5::double) / (df + 0.5::double)) * tf * 2.2::double / (tf + 1.2::double * (0.25::double + 0.75::double * dl / avg_len))), 9) as score
+  from qt join tf on tf.term = qt.term and tf.dataset = qt.dataset join df on df.term = qt.term and df.dataset = qt.dataset join dl on dl.stem = tf.stem and dl.dataset = tf.dataset
+  join st on st.dataset = qt.dataset group by qt.dataset, qt.id, tf.stem),
+bm25 as (select *, row_number() over (partition by dataset, id order by score desc, doc) as rank from bm qualify rank <= {top})"""
+
+
+@register("rank_bm25", "v_bench_queries v_bench_corpus", f"with {_bm25_sql('v_bench_queries', 'v_bench_corpus', 100)} select id, doc, round(score, 6) as score, rank from bm25")
+def _(t):
+    hits = ranking.rank_bm25(t.bench_queries, t.bench_corpus)
+    return hits.select("id", "doc", r6("score").alias("score"), big("rank", "rank"))
+
+
+VECTOR_SQL = """
+vv as (select dataset, id, cast(vec as double[]) as vec from v_vectors),
+cs as (select a.dataset, a.id, b.id as doc, round(list_inner_product(a.vec, b.vec) / sqrt(list_inner_product(a.vec, a.vec)) / sqrt(list_inner_product(b.vec, b.vec)), 9) as score from vv a join vv b on a.dataset = b.dataset),
+vec as (select *, row_number() over (partition by dataset, id order by score desc, doc) as rank from cs qualify rank <= 20)"""
+
+
+def _vector(t):
+    return ranking.rank_vector(t.vectors.select("dataset", "id", "vec"), t.vectors.select("dataset", "doc", "vec"), top=20)
+
+
+@register("rank_vector", "v_vectors", f"with {VECTOR_SQL} select dataset, id, doc, round(score, 6) as score, rank from vec")
+def _(t):
+    return _vector(t).select("dataset", "id", "doc", r6("score").alias("score"), big("rank", "rank"))
+
+
+LEGS_SQL = VECTOR_SQL + "," + _bm25_sql("v_vector_docs", "v_vector_docs", 20)
+
+
+def _legs(t):
+    docs = t.vector_docs
+    return ranking.rank_bm25(docs, docs, top=20), _vector(t)
+
+
+def _rrf_sql(label: str, k: str, wb: str, wv: str) -> str:
+    return f"""select '{label}' as label, dataset, id, doc, round(sum(s), 9) as score from (select dataset, id, doc, {wb}::double / ({k} + rank) as s from bm25
+      union all select dataset, id, doc, {wv}::double / ({k} + rank) from vec) group by all"""
+
+
+@register(
+    "rank_hybrid",
+    "v_vectors v_vector_docs",
+    f"with {LEGS_SQL}, f as ({_rrf_sql('x', '60', '0.3', '1.5')}) select dataset, id, doc, round(score, 6) as score, row_number() over (partition by dataset, id order by score desc, doc) as rank from f qualify rank <= 100",
+)
+def _(t):
+    bm25, vec = _legs(t)
+    return ranking.rank_hybrid(bm25, vec).select("dataset", "id", "doc", r6("score").alias("score"), big("rank", "rank"))
+
+
+@register(
+    "sweep_hybrid",
+    "v_vectors v_vector_docs",
+    f"""with {LEGS_SQL}, f as ({_rrf_sql('baseline', '60', '0.3', '1.5')} union all {_rrf_sql('rrf_k=30', '30', '0.3', '1.5')} union all {_rrf_sql('w_bm25=1.0,w_vec=1.0', '60', '1.0', '1.0')})
+    select label, dataset, id, doc, round(score, 6) as score, row_number() over (partition by label, dataset, id order by score desc, doc) as rank from f qualify rank <= 5""",
+)
+def _(t):
+    bm25, vec = _legs(t)
+    grid = gates.variant_grid(vec.select("dataset").distinct(), VARIANTS, BASE_SETTINGS)
+    out = ranking.sweep_hybrid(bm25, vec, grid, top=5)
+    return out.select("label", "dataset", "id", "doc", r6("score").alias("score"), big("rank", "rank"))
+
+
+@register(
+    "evaluate_ranking",
+    "v_vectors",
+    """with vv as (select id, label, cast(vec as double[]) as vec from v_vectors),
+    cs as (select a.id, a.label, b.label = a.label as rel, b.id as doc, round(list_inner_product(a.vec, b.vec) / sqrt(list_inner_product(a.vec, a.vec)) / sqrt(list_inner_product(b.vec, b.vec)), 9) as score from vv a, vv b),
+    r as (select *, row_number() over (partition by id order by score desc, doc) as rk from cs),
+    m as (select id, label, max(case when rel and rk <= 3 then 1.0::double else 0 end) as h3, max(case when rel and rk <= 10 then 1.0::double else 0 end) as h10, coalesce(max(case when rel and rk <= 100 then 1.0::double / rk end), 0) as rr,
+      sum(case when rel and rk <= 10 then 1 / log2(rk + 1) else 0 end) / list_sum(list_transform(range(1, least(10, cast(sum(case when rel then 1 else 0 end) as bigint)) + 1), lambda i: 1 / log2(i + 1))) as ndcg,
+      sum(case when rel and rk <= 100 then 1.0::double else 0 end) / sum(case when rel then 1 else 0 end) as recall from r group by id, label)
+    select label, count(*) as n, round(avg(h3), 6) as hit_at_3, round(avg(h10), 6) as hit_at_10, round(avg(rr), 6) as mrr, round(avg(ndcg), 6) as ndcg_at_10, round(avg(recall), 6) as recall_at_100 from m group by label""",
+)
+def _(t):
+    """Rank every vector against all others, then score against its label."""
+    vectors = t.vectors.withColumn("dataset", F.lit("all"))
+    hits = ranking.rank_vector(vectors.select("dataset", "id", "vec"), vectors.select("dataset", "doc", "vec"), top=100)
+    labels = vectors.select("id", "label")
+    # The expected set of a query is its whole label; only the ranked part and
+    # the size of the set matter, so no list of a label's members is built.
+    sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("wanted"))
+    doc_labels = labels.select(F.col("id").alias("doc"), F.col("label").alias("doc_label"))
+    asked = labels.join(sizes, "label")
+    rows = (
+        hits.join(doc_labels, "doc")
+        .join(asked, "id")
+        .groupBy("id", "label", "wanted")
+        .agg(F.sort_array(F.collect_list(F.struct("rank", (F.col("doc_label") == F.col("label")).alias("rel")))).alias("r"))
+    )
+    out = scoring.graded_metrics(rows.select("label", F.col("r.rel").alias("relevant"), "wanted"))
+    return out.groupBy("label").agg(F.count(F.lit(1)).alias("n"), *[F.round(F.avg(m), 6).alias(m) for m in METRIC_LIST])
+
+
+# --- L: streaming ----------------------------------------------------------
+
+
+@register("stream_fold_audit", "v_audit_events", f"with {FOLD_SQL} select task_id, dataset, stage, status, attempts, last_error, created_at, updated_at from fold")
+def _(t):
+    """Write the audit log as JSON, stream it into the folded state, read that."""
+    return _streamed(t)[0].select("task_id", "dataset", "stage", "status", "attempts", "last_error", "created_at", "updated_at")
+
+
+@register("stream_status_counts", "v_audit_events", f"with {FOLD_SQL} select dataset, stage, status, count(*) as n from fold group by dataset, stage, status")
+def _(t):
+    return _streamed(t)[1]
+
+
+def _streamed(t):
+    root = f"{ensure_checkpoint_dir(t.spark)}/audit-{uuid.uuid4().hex}"
+    t.audit_events.write.json(f"{root}/log")
+    audit.stream_status_counts(t.spark, f"{root}/log", f"{root}/state", f"{root}/counts", f"{root}/offsets").awaitTermination()
+    return audit.read_state(t.spark, f"{root}/state"), t.spark.read.parquet(f"{root}/counts")
