@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import none_if_empty, strip
+from .text import let, none_if_empty, strip
 
 NUMERIC_KIND = r"^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)"
 FENCE = r"(?is)```(?:json)?\s*(.*?)```"
@@ -116,34 +116,40 @@ def extract_json_text(text: Column) -> Column:
     """The JSON part of a model response: fenced body, else the text when it
     starts like JSON, else the span from the earliest opener to the last
     closer of the same kind, else the text."""
-    s = strip(text)
-
-    def span(opener: str, closer: str) -> tuple[Column, Column]:
-        start = F.instr(s, opener)
-        back = F.instr(F.reverse(s), closer)
-        end = F.when(back > 0, F.length(s) - back + 1).otherwise(0)
-        return F.when((start > 0) & (end > start), start), end
-
-    obj, obj_end = span("{", "}")
-    arr, arr_end = span("[", "]")
-    start = F.least(obj, arr)
-    end = F.when(obj.isNotNull() & (obj == start), obj_end).otherwise(arr_end)
-    return (
-        F.when(s.rlike(FENCE), strip(F.regexp_extract(s, FENCE, 1)))
-        .when(s.startswith("{") | s.startswith("["), s)
-        .when(start.isNotNull(), F.substring(s, start, end - start + 1))
-        .otherwise(s)
-    )
+
+    def pick(s: Column) -> Column:
+        def span(opener: str, closer: str) -> tuple[Column, Column]:
+            start = F.instr(s, opener)
+            back = F.instr(F.reverse(s), closer)
+            end = F.when(back > 0, F.length(s) - back + 1).otherwise(0)
+            return F.when((start > 0) & (end > start), start), end
+
+        obj, obj_end = span("{", "}")
+        arr, arr_end = span("[", "]")
+        start = F.least(obj, arr)
+        end = F.when(obj.isNotNull() & (obj == start), obj_end).otherwise(arr_end)
+        return (
+            F.when(s.rlike(FENCE), strip(F.regexp_extract(s, FENCE, 1)))
+            .when(s.startswith("{") | s.startswith("["), s)
+            .when(start.isNotNull(), F.substring(s, start, end - start + 1))
+            .otherwise(s)
+        )
+
+    return let(strip(text), pick)
 
 
 def parse_model_json(text: Column) -> Column:
     """struct<v variant, error string>: the value, or why there is none."""
-    v = F.try_parse_json(extract_json_text(text))
-    root_ok = is_object(v) | is_array(v)
-    return F.struct(
-        F.when(root_ok, v).alias("v"),
-        F.when(v.isNull(), PARSE_FAILED).when(~root_ok, BAD_ROOT).alias("error"),
-    )
+
+
+    def judge(v: Column) -> Column:
+        root_ok = is_object(v) | is_array(v)
+        return F.struct(
+            F.when(root_ok, v).alias("v"),
+            F.when(v.isNull(), PARSE_FAILED).when(~root_ok, BAD_ROOT).alias("error"),
+        )
+
+    return let(F.try_parse_json(extract_json_text(text)), judge)
 
 
 def json_quote(s: Column) -> Column:

@@ -3,6 +3,8 @@ the JVM; none needs a Python UDF."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,6 +25,12 @@ MARKER_LABEL_EN = "Retrieval marker: {marker}."
 # --- end of fixed values
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once per row, however often the
+    body names it. Inside lambdas nothing else shares a repeated expression."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}++\z", "")
 
@@ -46,45 +54,47 @@ def none_if_empty(c: Column) -> Column:
 def split_lines(text: Column) -> Column:
     """Lines as ``str.splitlines`` yields them: no empty line after a final
     line end, none at all for an empty text."""
-    parts = F.split(text, LINE_END, -1)
-    return F.when(
-        F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)
-    ).otherwise(parts)
+    return let(
+        F.split(text, LINE_END, -1),
+        lambda p: F.when(F.element_at(p, -1) == "", F.slice(p, 1, F.size(p) - 1)).otherwise(p),
+    )
 
 
 def strip_front_matter(text: Column) -> Column:
-    third = F.get(F.split(text, "---", 3), 2)
-    return F.when(text.startswith("---"), F.coalesce(third, text)).otherwise(text)
+    third = F.when(text.startswith("---"), F.get(F.split(text, "---", 3), 2))
+    return F.coalesce(third, text)
 
 
 def document_language(text: Column, file_name: Column) -> Column:
-    declared = F.regexp_extract(text, LANGUAGE, 1)
-    return (
-        F.when(declared != "", F.lower(strip(declared)))
-        .when(file_name.startswith("zh-"), "zh")
-        .when(file_name.startswith("en-"), "en")
-        .otherwise("")
+    by_name = F.when(file_name.startswith("zh-"), "zh").when(file_name.startswith("en-"), "en").otherwise("")
+    return let(
+        F.regexp_extract(text, LANGUAGE, 1),
+        lambda d: F.when(d != "", F.lower(strip(d))).otherwise(by_name),
     )
 
 
 def front_matter(text: Column) -> Column:
     """``key: value`` lines of the leading block; a repeated key keeps its last value."""
-    parts = F.split(text, "---", 3)
-    block = F.when(text.startswith("---") & (F.size(parts) == 3), F.get(parts, 1)).otherwise("")
-    lines = F.filter(F.split(block, "\n"), lambda x: F.contains(x, F.lit(":")))
+    parts = F.when(text.startswith("---"), F.split(text, "---", 3))
+    block = F.when(F.size(parts) == 3, F.get(parts, 1)).otherwise("")
     entries = F.transform(
-        lines,
+        F.filter(F.split(block, "\n"), lambda x: F.contains(x, F.lit(":"))),
         lambda x: F.struct(
             strip(F.substring_index(x, ":", 1)).alias("key"),
             strip(F.regexp_replace(x, r"(?s)^[^:]*:", "")).alias("value"),
         ),
     )
-    keys = F.transform(entries, lambda e: e["key"])
-    last = F.filter(
-        entries,
-        lambda e, i: F.array_position(F.slice(keys, i + 2, F.size(keys)), e["key"]) == 0,
-    )
-    return F.map_from_entries(last)
+
+    def last_per_key(e: Column) -> Column:
+        keys = F.transform(e, lambda x: x["key"])
+        return let(
+            keys,
+            lambda k: F.filter(
+                e, lambda x, i: F.array_position(F.slice(k, i + 2, F.size(k)), x["key"]) == 0
+            ),
+        )
+
+    return F.map_from_entries(let(entries, last_per_key))
 
 
 def headings(text: Column) -> Column:
@@ -116,10 +126,16 @@ def section_list(text: Column) -> Column:
             strip(s).alias("section_text"),
         ),
     )
-    names = F.reverse(F.transform(whole, lambda s: s["heading"]))
-    return F.filter(
-        whole,
-        lambda s, i: F.array_position(names, s["heading"]) == F.size(names) - i,
+
+    def last_per_heading(w: Column) -> Column:
+        names = F.reverse(F.transform(w, lambda x: x["heading"]))
+        return let(
+            names,
+            lambda n: F.filter(w, lambda x, i: F.array_position(n, x["heading"]) == F.size(n) - i),
+        )
+
+    return F.when(text.contains("##"), let(whole, last_per_heading)).otherwise(
+        F.slice(whole, 1, 0)
     )
 
 
@@ -146,22 +162,36 @@ def insert_marker(text: Column, is_zh: Column, marker: Column) -> Column:
     label = F.when(is_zh, F.replace(F.lit(MARKER_LABEL_ZH), F.lit("{marker}"), marker)).otherwise(
         F.replace(F.lit(MARKER_LABEL_EN), F.lit("{marker}"), marker)
     )
-    lines = split_lines(text)
-    first = F.array_position(F.transform(lines, lambda x: x.startswith("# ")), True).cast("int")
-    stamped = F.concat(
-        F.slice(lines, 1, first),
-        F.array(F.lit(""), label),
-        F.slice(lines, first + 1, F.size(lines)),
-    )
-    return F.when(first > 0, F.concat(F.array_join(stamped, "\n"), F.lit("\n"))).otherwise(
-        F.concat(rstrip(text), F.lit("\n\n"), label, F.lit("\n"))
+
+    def stamped(lines: Column) -> Column:
+        flags = F.transform(lines, lambda x: x.startswith("# "))
+        return let(
+            F.array_position(flags, True).cast("int"),
+            lambda first: F.when(
+                first > 0,
+                F.concat(
+                    F.array_join(
+                        F.concat(
+                            F.slice(lines, 1, first),
+                            F.array(F.lit(""), label),
+                            F.slice(lines, first + 1, F.size(lines)),
+                        ),
+                        "\n",
+                    ),
+                    F.lit("\n"),
+                ),
+            ),
+        )
+
+    return F.coalesce(
+        let(split_lines(text), stamped), F.concat(rstrip(text), F.lit("\n\n"), label, F.lit("\n"))
     )
 
 
 def safe_stem(value: Column) -> Column:
     slug = F.regexp_replace(F.lower(strip(value)), r"[^a-z0-9_-]+", "-")
     slug = F.regexp_replace(F.regexp_replace(slug, r"-{2,}", "-"), r"^-+|-+\z", "")
-    return F.coalesce(none_if_empty(slug), F.lit(DEFAULT_STEM))
+    return let(slug, lambda s: F.when(s == "", F.lit(DEFAULT_STEM)).otherwise(s))
 
 
 def word_count(text: Column, min_len: int) -> Column:
@@ -190,14 +220,16 @@ def normalize_path(path: Column) -> Column:
 def tokenize(text: Column) -> Column:
     """Lower-cased word tokens; runs of CJK characters become character
     bigrams (a single character stays as it is)."""
-    runs = F.regexp_extract_all(
-        F.lower(text), F.lit(r"[\u4e00-\u9fff]+|[\p{L}\p{N}_&&[^\u4e00-\u9fff]]+"), F.lit(0)
-    )
-    return F.flatten(
+    cjk = r"[\u4e00-\u9fff]"
+    lower = F.lower(text)
+    # Text without CJK, the usual case, needs no second look at its tokens.
+    words = F.regexp_extract_all(lower, F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
+    runs = F.regexp_extract_all(lower, F.lit(rf"{cjk}+|[\p{{L}}\p{{N}}_&&[^\u4e00-\u9fff]]+"), F.lit(0))
+    bigrams = F.flatten(
         F.transform(
             runs,
             lambda r: F.when(
-                r.rlike(r"^[\u4e00-\u9fff]{2,}"),
+                r.rlike(rf"^{cjk}{{2,}}"),
                 F.transform(
                     F.sequence(F.lit(1), F.greatest(F.length(r) - 1, F.lit(1))),
                     lambda i: F.substring(r, i, F.lit(2)),
@@ -205,3 +237,4 @@ def tokenize(text: Column) -> Column:
             ).otherwise(F.array(r)),
         )
     )
+    return F.when(text.rlike(cjk), bigrams).otherwise(words)

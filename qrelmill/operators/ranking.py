@@ -132,28 +132,39 @@ def _ranked(hits: DataFrame, top: int) -> DataFrame:
 # --- BM25 ------------------------------------------------------------------
 
 
-def term_weights(queries: DataFrame, tokens: DataFrame) -> DataFrame:
-    """(dataset, id, term, weight) of the query terms the corpus knows:
-    occurrences in the query times the term's inverse document frequency.
+def corpus_statistics(asked: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(dataset, term, docs, length) of the asked terms in one pass over
+    ``tokens(dataset, doc, tokens)``.
+
+    Every document also counts once for the empty term, whose row holds the
+    number of documents and their total length. Other terms are dropped before
+    counting, so the shuffle carries counts of asked terms only."""
+    wanted = asked.select("dataset", "term").distinct()
+    wanted = wanted.unionByName(asked.select("dataset").distinct().withColumn("term", F.lit("")))
+    present = F.explode(F.array_append(F.array_distinct("tokens"), F.lit(""))).alias("term")
+    return (
+        tokens.select("dataset", F.size("tokens").alias("len"), present)
+        .join(wanted, ["dataset", "term"], "left_semi")
+        .groupBy("dataset", "term")
+        .agg(F.count(F.lit(1)).alias("docs"), F.sum("len").alias("length"))
+    )
 
-    ``tokens(dataset, doc, tokens)``. Document terms are filtered to query terms
-    before they are counted, so the shuffle carries counts of query terms only."""
-    asked = (
+
+def query_terms(queries: DataFrame) -> DataFrame:
+    return (
         queries.select("dataset", "id", F.explode(tokenize(F.col("q"))).alias("term"))
         .groupBy("dataset", "id", "term")
         .agg(F.count(F.lit(1)).alias("times"))
     )
-    vocabulary = asked.select("dataset", "term").distinct()
-    frequency = (
-        tokens.select("dataset", F.explode(F.array_distinct("tokens")).alias("term"))
-        .join(vocabulary, ["dataset", "term"], "left_semi")
-        .groupBy("dataset", "term")
-        .agg(F.count(F.lit(1)).alias("df"))
-    )
-    size = tokens.groupBy("dataset").agg(F.count(F.lit(1)).alias("n"))
-    idf = F.log(F.lit(1.0) + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+
+
+def term_weights(asked: DataFrame, statistics: DataFrame) -> DataFrame:
+    """(dataset, id, term, weight): occurrences in the query times the term's
+    inverse document frequency, for terms the corpus knows."""
+    size = statistics.where("term = ''").select("dataset", F.col("docs").alias("n"))
+    idf = F.log(F.lit(1.0) + (F.col("n") - F.col("docs") + 0.5) / (F.col("docs") + 0.5))
     return (
-        asked.join(frequency, ["dataset", "term"])
+        asked.join(statistics.where("term <> ''"), ["dataset", "term"])
         .join(size, "dataset")
         .select("dataset", "id", "term", (F.col("times") * idf).alias("weight"))
     )
@@ -208,8 +219,10 @@ def rank_bm25(
 
     ``queries(dataset, id, q)``, ``corpus(dataset, stem, text)``."""
     tokens = corpus.select("dataset", F.col("stem").alias("doc"), tokenize(F.col("text")).alias("tokens"))
-    average = tokens.groupBy("dataset").agg(F.avg(F.size("tokens")).alias("avg_len"))
-    weights = term_weights(queries, tokens).persist()
+    asked = query_terms(queries)
+    statistics = corpus_statistics(asked, tokens).persist()
+    average = statistics.where("term = ''").select("dataset", (F.col("length") / F.col("docs")).alias("avg_len"))
+    weights = term_weights(asked, statistics).persist()
     measured = weights.count() * 64
     limit_hit = broadcast_bytes is not None and measured > broadcast_bytes
     size = BROADCAST_BYTES + 1 if limit_hit else measured

@@ -197,37 +197,40 @@ def review_targets(pkg: Package, inline_docs: int = INLINE_DOCS) -> DataFrame:
         F.col("pos"),
         none,
     )
-    secs = sections(pkg.corpus)
-    refs = pkg.corpus.select("dataset", F.col("stem").alias("doc"), T.image_refs(text).alias("refs"))
-    assets = section_for(pkg.assets.where("is_mapping"), secs, SECTION_CHARS).join(refs, ["dataset", "doc"], "left")
-    asset_rows = out(
-        assets,
-        3,
-        "target_asset",
-        F.coalesce(T.none_if_empty(F.col("id")), F.concat(F.lit("asset-"), F.col("pos").cast("string"))),
-        F.struct(
-            F.struct("id", "doc", "path", "heading", "anchor").alias("asset"),
-            "section_text",
-            F.coalesce("refs", F.expr("cast(array() as array<struct<alt string, path string>>)")).alias("image_refs_in_doc"),
+    # Assets and chunks look their sections up together: one pass over the text.
+    marked = pkg.assets.where("is_mapping").select(
+        F.lit(3).alias("kind_ord"), "dataset", "pos", "id", "doc", "path", "heading", "anchor"
+    ).unionByName(
+        pkg.chunks.where("is_mapping").select(
+            F.lit(4).alias("kind_ord"), "dataset", "pos", "id", "doc", "heading", "anchor", "asset_id", "asset_ids"
         ),
-        F.col("pos"),
-        none,
+        allowMissingColumns=True,
     )
-    chunks = section_for(pkg.chunks.where("is_mapping"), secs, SECTION_CHARS)
-    chunk_rows_ = out(
-        chunks,
-        4,
-        "target_chunk",
-        F.coalesce(T.none_if_empty(F.col("id")), F.concat(F.lit("chunk-"), F.col("pos").cast("string"))),
-        F.struct(
-            F.struct("id", "doc", "heading", "anchor", "asset_id", "asset_ids").alias("chunk"),
-            "section_text",
-            T.image_refs(F.col("section_text")).alias("section_image_refs"),
-        ),
-        F.col("pos"),
-        none,
+    refs = pkg.corpus.select("dataset", F.col("stem").alias("doc"), T.image_refs(text).alias("refs"))
+    found = section_for(marked, sections(pkg.corpus), SECTION_CHARS).join(refs, ["dataset", "doc"], "left")
+    no_refs = F.expr("cast(array() as array<struct<alt string, path string>>)")
+    asset = F.struct(
+        F.struct("id", "doc", "path", "heading", "anchor").alias("asset"),
+        "section_text",
+        F.coalesce("refs", no_refs).alias("image_refs_in_doc"),
+    )
+    chunk = F.struct(
+        F.struct("id", "doc", "heading", "anchor", "asset_id", "asset_ids").alias("chunk"),
+        "section_text",
+        T.image_refs(F.col("section_text")).alias("section_image_refs"),
+    )
+    is_asset = F.col("kind_ord") == 3
+    numbered = F.concat(F.when(is_asset, "asset-").otherwise("chunk-"), F.col("pos").cast("string"))
+    target_rows = found.select(
+        "dataset",
+        "kind_ord",
+        F.col("pos").cast("bigint").alias("pos"),
+        none.alias("name"),
+        F.when(is_asset, "target_asset").otherwise("target_chunk").alias("target_type"),
+        F.coalesce(T.none_if_empty(F.col("id")), numbered).alias("target_id"),
+        F.when(is_asset, F.to_json(asset)).otherwise(F.to_json(chunk)).alias("payload"),
     )
-    return data.unionByName(docs).unionByName(query_rows).unionByName(asset_rows).unionByName(chunk_rows_)
+    return data.unionByName(docs).unionByName(query_rows).unionByName(target_rows)
 
 
 def review_groups(

@@ -78,7 +78,7 @@ def _rows(df: DataFrame, section: int, pos: Column, sub: Column | int, code: str
     )
 
 
-def _exploded(df: DataFrame, section: int, pos: Column, findings: list[tuple[Column, str, Column]]) -> DataFrame:
+def _exploded(df: DataFrame, section: int | Column, pos: Column, findings: list[tuple[Column, str, Column]]) -> DataFrame:
     """Several row-local findings per row in one pass over ``df``."""
     built = F.array_compact(
         F.array(
@@ -95,8 +95,9 @@ def _exploded(df: DataFrame, section: int, pos: Column, findings: list[tuple[Col
             ]
         )
     )
+    section = section if isinstance(section, Column) else F.lit(section)
     return df.select(
-        "dataset", F.lit(section).alias("section"), pos.cast("bigint").alias("pos"), F.explode(built).alias("f")
+        "dataset", section.alias("section"), pos.cast("bigint").alias("pos"), F.explode(built).alias("f")
     ).select("dataset", "section", "pos", "f.sub", "f.code", "f.message")
 
 
@@ -192,51 +193,90 @@ def check_chunk_fields(pkg: Package) -> DataFrame:
     )
 
 
-def _in_text(pkg: Package, targets: DataFrame, needles: dict[str, Column]) -> DataFrame:
-    """``targets`` plus found_doc and one flag per needle.
+def _with_text_flags(pkg: Package, targets: DataFrame) -> DataFrame:
+    """Target rows plus found_doc, found_heading and found_anchor.
 
     The inner join meets the corpus text with the (small) target rows and
     keeps flags only, so a broadcastable target side leaves the text
     unshuffled; the flags then return to all targets by position."""
     text = pkg.corpus.select("dataset", F.col("stem").alias("doc"), "text")
+    needles = {
+        "found_heading": F.concat(F.lit("## "), F.coalesce("heading", F.lit(""))),
+        "found_anchor": F.concat(F.lit("Target: "), F.coalesce("anchor", F.lit(""))),
+    }
     hits = (
         targets.where("is_mapping")
+        .select("section", "dataset", "pos", "doc", "heading", "anchor")
         .join(text, ["dataset", "doc"])
-        .select("dataset", "pos", *[F.contains("text", n).alias(f) for f, n in needles.items()])
-        .groupBy("dataset", "pos")
+        .select("section", "dataset", "pos", *[F.contains("text", n).alias(f) for f, n in needles.items()])
+        .groupBy("section", "dataset", "pos")
         .agg(*[F.bool_or(f).alias(f) for f in needles], F.lit(True).alias("found_doc"))
     )
-    out = targets.join(hits, ["dataset", "pos"], "left")
+    out = targets.join(hits, ["section", "dataset", "pos"], "left")
     return out.withColumns({f: F.coalesce(F.col(f), F.lit(False)) for f in [*needles, "found_doc"]})
 
 
-def check_asset_documents(pkg: Package) -> DataFrame:
-    """Missing document; heading absent from the document (as a substring)."""
-    checked = _in_text(
-        pkg,
-        _active(pkg.assets, pkg, "has_targets"),
-        {"found_heading": F.concat(F.lit("## "), F.coalesce("heading", F.lit("")))},
-    )
-    ok = F.col("is_mapping")
-    return _exploded(
-        checked,
-        ASSET,
-        F.col("pos"),
-        [
-            (
-                ok & ~F.col("found_doc"),
-                "asset_missing_doc",
-                _numbered("asset target", "references missing doc: %s", _shown("doc")),
-            ),
-            (
-                ok & F.col("found_doc") & ~_blank("heading") & ~F.col("found_heading"),
-                "asset_heading_not_found",
-                _numbered("asset target", "heading not found in %s.md: %s", F.col("doc"), F.col("heading")),
-            ),
-        ],
+def check_target_documents(pkg: Package, sections: tuple[int, ...] = (ASSET, CHUNK)) -> DataFrame:
+    """Missing document (which ends the checks of a chunk), heading or anchor
+    absent from the text (as substrings), and the shape of a chunk's asset
+    reference. Assets and chunks share one pass over the corpus text."""
+    parts = []
+    if ASSET in sections:
+        parts.append(_active(pkg.assets, pkg, "has_targets").withColumn("section", F.lit(ASSET)))
+    if CHUNK in sections:
+        parts.append(_active(pkg.chunks, pkg, "has_targets").withColumn("section", F.lit(CHUNK)))
+    targets = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+    for name, kind in (("asset_id", "string"), ("asset_ids_kind", "string")):
+        if name not in targets.columns:
+            targets = targets.withColumn(name, F.lit(None).cast(kind))
+    checked = _with_text_flags(pkg, targets)
+    chunk = F.col("section") == CHUNK
+    label = F.when(chunk, "chunk").otherwise("asset")
+    ok, found = F.col("is_mapping"), F.col("is_mapping") & F.col("found_doc")
+    one, many = ~_blank("asset_id"), F.col("asset_ids_kind") == "list"
+
+    def message(rest: str, *args: Column) -> Column:
+        return F.format_string(f"%s target #%d {rest}", label, F.col("pos"), *args)
+
+    findings = [
+        (ok & ~F.col("found_doc"), "missing_doc", message("references missing doc: %s", _shown("doc"))),
+        (chunk & found & _blank("heading"), "empty_heading", message("has empty heading")),
+        (
+            found & ~_blank("heading") & ~F.col("found_heading"),
+            "heading_not_found",
+            message("heading not found in %s.md: %s", F.col("doc"), F.col("heading")),
+        ),
+        (chunk & found & _blank("anchor"), "empty_anchor", message("has empty anchor")),
+        (
+            chunk & found & ~_blank("anchor") & ~F.col("found_anchor"),
+            "anchor_not_found",
+            message("anchor not found in %s.md: %s", F.col("doc"), F.col("anchor")),
+        ),
+        (chunk & found & one & many, "both_asset_fields", message("must not set both asset_id and asset_ids")),
+        (
+            chunk & found & ~one & (F.col("asset_ids_kind") == "bad"),
+            "asset_ids_not_list",
+            message("asset_ids must be a non-empty list"),
+        ),
+        (
+            chunk & found & ~one & (F.col("asset_ids_kind") == "absent"),
+            "empty_asset_id",
+            message("has empty asset_id"),
+        ),
+    ]
+    return _exploded(checked, F.col("section"), F.col("pos"), findings).withColumn(
+        "code", F.concat(F.when(F.col("section") == CHUNK, "chunk_").otherwise("asset_"), "code")
     )
 
 
+def check_asset_documents(pkg: Package) -> DataFrame:
+    return check_target_documents(pkg, (ASSET,))
+
+
+def check_chunk_documents(pkg: Package) -> DataFrame:
+    return check_target_documents(pkg, (CHUNK,))
+
+
 def check_asset_files(pkg: Package) -> DataFrame:
     files = pkg.asset_files.select("dataset", T.normalize_path(F.col("path")).alias("norm"))
     assets = _active(pkg.assets, pkg, "has_targets").where(F.col("is_mapping") & ~_blank("path"))
@@ -251,60 +291,6 @@ def check_asset_files(pkg: Package) -> DataFrame:
     )
 
 
-def check_chunk_documents(pkg: Package) -> DataFrame:
-    """Missing document (which ends the checks of that chunk), then heading,
-    anchor and the asset reference fields."""
-    checked = _in_text(
-        pkg,
-        _active(pkg.chunks, pkg, "has_targets"),
-        {
-            "found_heading": F.concat(F.lit("## "), F.coalesce("heading", F.lit(""))),
-            "found_anchor": F.concat(F.lit("Target: "), F.coalesce("anchor", F.lit(""))),
-        },
-    )
-    ok, found = F.col("is_mapping"), F.col("is_mapping") & F.col("found_doc")
-    one, many = ~_blank("asset_id"), F.col("asset_ids_kind") == "list"
-    return _exploded(
-        checked,
-        CHUNK,
-        F.col("pos"),
-        [
-            (
-                ok & ~F.col("found_doc"),
-                "chunk_missing_doc",
-                _numbered("chunk target", "references missing doc: %s", _shown("doc")),
-            ),
-            (found & _blank("heading"), "chunk_empty_heading", _numbered("chunk target", "has empty heading")),
-            (
-                found & ~_blank("heading") & ~F.col("found_heading"),
-                "chunk_heading_not_found",
-                _numbered("chunk target", "heading not found in %s.md: %s", F.col("doc"), F.col("heading")),
-            ),
-            (found & _blank("anchor"), "chunk_empty_anchor", _numbered("chunk target", "has empty anchor")),
-            (
-                found & ~_blank("anchor") & ~F.col("found_anchor"),
-                "chunk_anchor_not_found",
-                _numbered("chunk target", "anchor not found in %s.md: %s", F.col("doc"), F.col("anchor")),
-            ),
-            (
-                found & one & many,
-                "chunk_both_asset_fields",
-                _numbered("chunk target", "must not set both asset_id and asset_ids"),
-            ),
-            (
-                found & ~one & (F.col("asset_ids_kind") == "bad"),
-                "chunk_asset_ids_not_list",
-                _numbered("chunk target", "asset_ids must be a non-empty list"),
-            ),
-            (
-                found & ~one & (F.col("asset_ids_kind") == "absent"),
-                "chunk_empty_asset_id",
-                _numbered("chunk target", "has empty asset_id"),
-            ),
-        ],
-    )
-
-
 def _valid_ids(df: DataFrame) -> DataFrame:
     return df.where(F.col("is_mapping") & ~_blank("id")).select("dataset", F.col("id").alias("item")).distinct()
 
@@ -524,8 +510,12 @@ CHECKS = {
 
 
 def validate_packages(pkg: Package) -> DataFrame:
+    shared = {"asset_documents": check_target_documents, "chunk_documents": None}
     out = None
-    for check in CHECKS.values():
+    for name, check in CHECKS.items():
+        check = shared.get(name, check)
+        if check is None:
+            continue
         part = check(pkg).select(*OUT)
         out = part if out is None else out.unionByName(part)
     return out

@@ -14,6 +14,8 @@ TABLES = (
     "documents embeddings pages benchmark labels conversations"
 ).split()
 
+LONG_TEXT = ("documents",)
+
 N = "cast(floor(doc_id / 20) as bigint)"
 NUM = "cast(doc_id % 20 as int)"
 DS = "source || '-' || cast(cast(floor(doc_id / 20000) as bigint) as string)"
@@ -398,7 +400,12 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        tasks = self.spark.sparkContext.defaultParallelism
+        if name in LONG_TEXT and df.rdd.getNumPartitions() < tasks:
+            # One small file is one task; text work needs all cores.
+            df = df.repartition(tasks)
+        return df
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
