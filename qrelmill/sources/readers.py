@@ -23,10 +23,7 @@ def _decoded(path: Column) -> Column:
 
 def _whole_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
     return (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-        .text(root)
+        spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
         .select(_decoded(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("text"))
     )
 
@@ -236,10 +233,7 @@ def load_packages(spark: SparkSession, root: str) -> Package:
 def _lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """Text lines with a sortable ``line_no`` (block start, order inside), so a
     large file is read by many tasks and still keeps its order."""
-    reader = spark.read.option("recursiveFileLookup", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.text(path).select(
+    return spark.read.text(path, recursiveFileLookup=True, pathGlobFilter=glob).select(
         _decoded(F.col("_metadata.file_path")).alias("path"),
         F.struct(
             F.col("_metadata.file_block_start").alias("block"),
