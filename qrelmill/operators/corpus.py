@@ -45,13 +45,15 @@ def sections(corpus: DataFrame) -> DataFrame:
 
 
 def section_for(targets: DataFrame, sections_df: DataFrame, limit: int = 4000) -> DataFrame:
-    """Text of the section each target names; '' where there is none. The text
-    is cut before the join, so the shuffle carries at most ``limit`` characters."""
-    cut = sections_df.select(
-        "dataset",
-        F.col("stem").alias("doc"),
-        "heading",
-        T.truncate(F.col("section_text"), limit).alias("section_text"),
+    """Text of the section each target names; '' where there is none.
+
+    Sections nobody names drop out in a semi-join on the same key (a broadcast
+    where targets are few), and the text is cut before it is shuffled."""
+    key = ["dataset", "doc", "heading"]
+    cut = (
+        sections_df.withColumnRenamed("stem", "doc")
+        .join(targets.select(*key).distinct(), key, "left_semi")
+        .select(*key, T.truncate(F.col("section_text"), limit).alias("section_text"))
     )
     return targets.join(cut, ["dataset", "doc", "heading"], "left").withColumn(
         "section_text", F.coalesce("section_text", F.lit(""))

@@ -65,18 +65,25 @@ def query_summary(queries: DataFrame, corpus: DataFrame) -> DataFrame:
     return counts.join(docs, "dataset", "left").fillna(0, ["n_expected", "n_missing"])
 
 
+def _named_docs(corpus: DataFrame, named: DataFrame) -> DataFrame:
+    """The documents that ``named(dataset, doc)`` mentions, before any text is
+    shuffled further: a broadcast semi-join where few are named."""
+    docs = corpus.withColumnRenamed("stem", "doc")
+    return docs.join(named.select("dataset", "doc").distinct(), ["dataset", "doc"], "left_semi")
+
+
 def expected_contexts(queries: DataFrame, corpus: DataFrame, limit: int = CONTEXT_CHARS) -> DataFrame:
     """Per query the expected documents in stated order with existence,
     headings and leading text; empty for negatives. Texts are cut before they
     meet the query side."""
-    cut = corpus.select(
+    wanted = _positive(queries).select("dataset", "pos", F.posexplode("expect_any").alias("i", "doc"))
+    cut = _named_docs(corpus, wanted).select(
         "dataset",
-        F.col("stem").alias("doc"),
+        "doc",
         F.lit(True).alias("exists"),
         T.headings(F.col("text")).alias("headings"),
         T.truncate(F.col("text"), limit).alias("text"),
     )
-    wanted = _positive(queries).select("dataset", "pos", F.posexplode("expect_any").alias("i", "doc"))
     entry = F.struct(
         "i",
         "doc",
@@ -206,7 +213,7 @@ def review_targets(pkg: Package, inline_docs: int = INLINE_DOCS) -> DataFrame:
         ),
         allowMissingColumns=True,
     )
-    refs = pkg.corpus.select("dataset", F.col("stem").alias("doc"), T.image_refs(text).alias("refs"))
+    refs = _named_docs(pkg.corpus, marked.where("kind_ord = 3")).select("dataset", "doc", T.image_refs(text).alias("refs"))
     found = section_for(marked, sections(pkg.corpus), SECTION_CHARS).join(refs, ["dataset", "doc"], "left")
     no_refs = F.expr("cast(array() as array<struct<alt string, path string>>)")
     asset = F.struct(

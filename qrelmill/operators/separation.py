@@ -87,38 +87,37 @@ def separation(
     of negatives below the cutoff (default: midpoint of the means). Without a
     score on either side only the counts are filled."""
     keys = list(keys)
-
-    def counted(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-
-    def summary(df: DataFrame, prefix: str) -> DataFrame:
-        s = score_summary(df, keys)
-        return s.select(*keys, *[F.col(c).alias(f"{prefix}_{c}") for c in ("mean", "median", "min", "max")])
-
-    base = (
-        counted(positives, "positives")
-        .join(counted(negatives, "negatives"), keys, "full")
-        .fillna(0, ["positives", "negatives"])
-        .join(summary(positives, "pos"), keys, "left")
-        .join(summary(negatives, "neg"), keys, "left")
+    stats = ("mean", "median", "min", "max")
+    # Both sides go through one set of aggregations, told apart by a flag.
+    both = positives.select(*keys, "score", F.lit(False).alias("neg")).unionByName(
+        negatives.select(*keys, "score", F.lit(True).alias("neg"))
+    )
+    counts = both.groupBy(*keys).agg(
+        F.count_if(~F.col("neg")).alias("positives"), F.count_if(F.col("neg")).alias("negatives")
+    )
+    side = score_summary(both, [*keys, "neg"])
+    wide = side.groupBy(*keys).agg(
+        *[
+            F.max(F.when(F.col("neg") == is_neg, F.col(c))).alias(f"{prefix}_{c}")
+            for prefix, is_neg in (("pos", False), ("neg", True))
+            for c in stats
+        ]
     )
     ready = F.col("pos_mean").isNotNull() & F.col("neg_mean").isNotNull()
     limit = F.lit(cutoff).cast("double") if cutoff is not None else (F.col("pos_mean") + F.col("neg_mean")) / 2
-    base = (
-        base.withColumn("scores_available", ready)
-        .withColumn("separation_margin", F.when(ready, F.col("pos_mean") - F.col("neg_mean")))
-        .withColumn("cutoff", F.when(ready, limit))
+    base = counts.join(wide, keys, "left").withColumn("scores_available", ready)
+    base = base.withColumns(
+        {
+            **{f"{p}_{c}": F.when(F.col("scores_available"), F.col(f"{p}_{c}")) for p in ("pos", "neg") for c in stats},
+            "cutoff": F.when(F.col("scores_available"), limit),
+            "separation_margin": F.when(F.col("scores_available"), F.col("pos_mean") - F.col("neg_mean")),
+        }
     )
-    for side in ("pos", "neg"):
-        for c in ("mean", "median", "min", "max"):
-            base = base.withColumn(f"{side}_{c}", F.when(ready, F.col(f"{side}_{c}")))
-    cut = base.select(*keys, "cutoff")
+    cut = base.where("scores_available").select(*keys, "cutoff")
     share = expect_none_satisfaction(
         negatives.select(*keys, "score").join(cut, keys), F.col("cutoff"), keys
     )
-    return base.join(share, keys, "left").withColumn(
-        "expect_none_satisfaction", F.when(F.col("scores_available"), F.col("expect_none_satisfaction"))
-    )
+    return base.join(share, keys, "left")
 
 
 def separation_report(sep: DataFrame, leaks: DataFrame | None = None, name: str = "run_id") -> DataFrame:

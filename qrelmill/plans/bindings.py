@@ -58,16 +58,12 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         """select dataset, concat('images/', doc_id, case when doc_id % 6 = 0 then '.jpg' else '.png' end) as path,
           cast(1 as bigint) as length from v_docs""",
     ),
-    "v_threshold_names": (
-        (),
-        """select 'hit_at_3' as key, 0 as pos union all select 'mrr', 1 union all select 'precision', 2
-          union all select 'ndcg_at_10', 3""",
-    ),
     "v_thresholds": (
-        ("v_datasets", "v_threshold_names"),
-        """select d.dataset, cast(t.pos as int) as pos, t.key, cast(0.5 + (d.num % 5) * 0.1 as double) as value,
-          not (d.num % 6 = 0 and t.pos = 1) as numeric
-          from v_datasets d join v_threshold_names t on t.key <> 'precision' or d.num % 5 = 0""",
+        ("v_datasets",),
+        """select dataset, 0 as pos, 'hit_at_3' as key, cast(0.5 + (num % 5) * 0.1 as double) as value, true as numeric from v_datasets
+          union all select dataset, 1, 'mrr', cast(0.5 + (num % 5) * 0.1 as double), num % 6 <> 0 from v_datasets
+          union all select dataset, 2, case when num % 5 = 0 then 'precision' else 'hit_at_10' end, cast(0.5 + (num % 5) * 0.1 as double), true from v_datasets
+          union all select dataset, 3, 'ndcg_at_10', cast(0.5 + (num % 5) * 0.1 as double), true from v_datasets""",
     ),
     "v_assets": (
         ("v_corpus",),
@@ -332,9 +328,9 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "v_bench_queries": (
         (),
-        """select 'all' as dataset, concat('b', item_id) as id, text as q from benchmark""",
+        """select case when item_id < 0 then 'none' else 'all' end as dataset, concat('b', item_id) as id, text as q from benchmark""",
     ),
-    "v_bench_corpus": ((), """select 'all' as dataset, concat('d', doc_id) as stem, text from documents"""),
+    "v_bench_corpus": ((), """select case when doc_id < 0 then 'none' else 'all' end as dataset, concat('d', doc_id) as stem, text from documents"""),
 }
 
 SPARK_SPELLING = {

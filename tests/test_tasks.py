@@ -72,6 +72,24 @@ def test_retry_and_backoff(spark):
     assert (flat.wait_low, flat.wait_high) == (2.0, 2.0)
 
 
+def test_streak_across_buckets(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows, want = [], {}
+    for task in range(4):
+        streak = 0
+        for k in range(1, 200):
+            code = rnd.choice([429, 429, 500, None])
+            streak = 0 if code is None else streak + (code == 429)
+            rows.append((f"t{task}", k, code, None if code else "ok", None))
+            want[f"t{task}", k] = streak
+    df = spark.createDataFrame(rows, ATTEMPTS)
+    for bucket in (7, 1000):
+        got = {(r.task_id, r.attempt): r.streak for r in T.backoff_schedule(df, bucket=bucket).collect()}
+        assert got == want
+
+
 EVENTS = [
     ("a", "d", "s", "start", 1, None, None, None, None, None, "t1"),
     ("a", "d", "s", "finish", 2, "failed", 3, "boom", "raw", None, "t2"),
