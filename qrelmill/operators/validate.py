@@ -125,6 +125,14 @@ def _active(df: DataFrame, pkg: Package, flag: str | None = None) -> DataFrame:
 
 # --- package level ---------------------------------------------------------
 
+# table of a package -> flag it needs, section and finding when it is empty
+_LISTS = {
+    "corpus": (None, PACKAGE, "empty_corpus", "corpus/ has no markdown files"),
+    "assets": ("has_targets", ASSET, "no_assets", "targets.yaml must contain non-empty assets list"),
+    "chunks": ("has_targets", CHUNK, "no_chunks", "targets.yaml must contain non-empty chunks list"),
+    "queries": ("has_queries", QUERY, "no_queries", "queries.yaml must contain non-empty queries list"),
+}
+
 
 def check_presence(pkg: Package) -> DataFrame:
     return _exploded(
@@ -139,60 +147,46 @@ def check_presence(pkg: Package) -> DataFrame:
     )
 
 
-def _without(pkg: Package, table: DataFrame, flag: str | None, section: int, code: str, message: str) -> DataFrame:
-    # distinct first: a package with many rows must not make a hot join key
-    filled = table.select("dataset").distinct()
-    empty = _active(pkg.datasets, pkg, flag).join(filled, "dataset", "left_anti")
-    return _rows(empty, section, F.lit(0), 0, code, F.lit(message))
+def check_lists(pkg: Package, tables: tuple[str, ...] = tuple(_LISTS)) -> DataFrame:
+    """Packages whose tables are empty. Each table is reduced to its dataset
+    names before the join, so a large package is no hot key."""
+    filled = None
+    for name in tables:
+        part = getattr(pkg, name).select("dataset").distinct().withColumn("filled", F.lit(name))
+        filled = part if filled is None else filled.unionByName(part)
+    filled = filled.groupBy("dataset").agg(F.collect_set("filled").alias("filled"))
+    empty = pkg.datasets.where("has_corpus").join(filled, "dataset", "left")
+    found = []
+    for name in tables:
+        flag, section, code, message = _LISTS[name]
+        lacks = ~F.coalesce(F.array_contains("filled", name), F.lit(False))
+        found.append(
+            F.when(
+                lacks & F.col(flag) if flag else lacks,
+                F.struct(F.lit(section).alias("section"), F.lit(code).alias("code"), F.lit(message).alias("message")),
+            )
+        )
+    return empty.select("dataset", F.explode(F.array_compact(F.array(*found))).alias("f")).select(
+        "dataset",
+        "f.section",
+        F.lit(0).cast("bigint").alias("pos"),
+        F.lit(5).cast("bigint").alias("sub"),
+        "f.code",
+        "f.message",
+    )
 
 
 def check_empty_corpus(pkg: Package) -> DataFrame:
-    return _without(pkg, pkg.corpus, None, PACKAGE, "empty_corpus", "corpus/ has no markdown files")
+    return check_lists(pkg, ("corpus",))
 
 
 def check_target_lists(pkg: Package) -> DataFrame:
-    assets = _without(
-        pkg, pkg.assets, "has_targets", ASSET, "no_assets", "targets.yaml must contain non-empty assets list"
-    )
-    chunks = _without(
-        pkg, pkg.chunks, "has_targets", CHUNK, "no_chunks", "targets.yaml must contain non-empty chunks list"
-    )
-    return assets.unionByName(chunks)
+    return check_lists(pkg, ("assets", "chunks"))
 
 
 # --- targets ---------------------------------------------------------------
 
 
-def check_asset_fields(pkg: Package) -> DataFrame:
-    ok = F.col("is_mapping")
-    return _exploded(
-        _active(pkg.assets, pkg, "has_targets"),
-        ASSET,
-        F.col("pos"),
-        [
-            (~ok, "asset_not_mapping", _numbered("asset target", "must be a mapping")),
-            (ok & _blank("id"), "asset_empty_id", _numbered("asset target", "has empty id")),
-            (ok & _blank("path"), "asset_empty_path", _numbered("asset target", "has empty path")),
-            (ok & _blank("heading"), "asset_empty_heading", _numbered("asset target", "has empty heading")),
-        ],
-    )
-
-
-def check_chunk_fields(pkg: Package) -> DataFrame:
-    """Shape of chunk rows. A chunk whose document is missing is only checked
-    for its id, see ``check_chunk_documents``."""
-    ok = F.col("is_mapping")
-    return _exploded(
-        _active(pkg.chunks, pkg, "has_targets"),
-        CHUNK,
-        F.col("pos"),
-        [
-            (~ok, "chunk_not_mapping", _numbered("chunk target", "must be a mapping")),
-            (ok & _blank("id"), "chunk_empty_id", _numbered("chunk target", "has empty id")),
-        ],
-    )
-
-
 def _with_text_flags(pkg: Package, targets: DataFrame) -> DataFrame:
     """Target rows plus found_doc, found_heading and found_anchor.
 
@@ -216,65 +210,87 @@ def _with_text_flags(pkg: Package, targets: DataFrame) -> DataFrame:
     return out.withColumns({f: F.coalesce(F.col(f), F.lit(False)) for f in [*needles, "found_doc"]})
 
 
-def check_target_documents(pkg: Package, sections: tuple[int, ...] = (ASSET, CHUNK)) -> DataFrame:
-    """Missing document (which ends the checks of a chunk), heading or anchor
-    absent from the text (as substrings), and the shape of a chunk's asset
-    reference. Assets and chunks share one pass over the corpus text."""
+def check_targets(
+    pkg: Package, sections: tuple[int, ...] = (ASSET, CHUNK), fields: bool = True, documents: bool = True
+) -> DataFrame:
+    """Asset and chunk rows in one pass over them and over the corpus text.
+
+    ``fields``: shape of the rows. ``documents``: missing document (which ends
+    the checks of a chunk), heading or anchor absent from the text (as
+    substrings), and the shape of a chunk's asset reference."""
     parts = []
     if ASSET in sections:
         parts.append(_active(pkg.assets, pkg, "has_targets").withColumn("section", F.lit(ASSET)))
     if CHUNK in sections:
         parts.append(_active(pkg.chunks, pkg, "has_targets").withColumn("section", F.lit(CHUNK)))
     targets = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
-    for name, kind in (("asset_id", "string"), ("asset_ids_kind", "string")):
+    for name in ("asset_id", "asset_ids_kind", "path"):
         if name not in targets.columns:
-            targets = targets.withColumn(name, F.lit(None).cast(kind))
-    checked = _with_text_flags(pkg, targets)
-    chunk = F.col("section") == CHUNK
+            targets = targets.withColumn(name, F.lit(None).cast("string"))
+    chunk, asset = F.col("section") == CHUNK, F.col("section") == ASSET
     label = F.when(chunk, "chunk").otherwise("asset")
-    ok, found = F.col("is_mapping"), F.col("is_mapping") & F.col("found_doc")
-    one, many = ~_blank("asset_id"), F.col("asset_ids_kind") == "list"
 
     def message(rest: str, *args: Column) -> Column:
         return F.format_string(f"%s target #%d {rest}", label, F.col("pos"), *args)
 
-    findings = [
-        (ok & ~F.col("found_doc"), "missing_doc", message("references missing doc: %s", _shown("doc"))),
-        (chunk & found & _blank("heading"), "empty_heading", message("has empty heading")),
-        (
-            found & ~_blank("heading") & ~F.col("found_heading"),
-            "heading_not_found",
-            message("heading not found in %s.md: %s", F.col("doc"), F.col("heading")),
-        ),
-        (chunk & found & _blank("anchor"), "empty_anchor", message("has empty anchor")),
-        (
-            chunk & found & ~_blank("anchor") & ~F.col("found_anchor"),
-            "anchor_not_found",
-            message("anchor not found in %s.md: %s", F.col("doc"), F.col("anchor")),
-        ),
-        (chunk & found & one & many, "both_asset_fields", message("must not set both asset_id and asset_ids")),
-        (
-            chunk & found & ~one & (F.col("asset_ids_kind") == "bad"),
-            "asset_ids_not_list",
-            message("asset_ids must be a non-empty list"),
-        ),
-        (
-            chunk & found & ~one & (F.col("asset_ids_kind") == "absent"),
-            "empty_asset_id",
-            message("has empty asset_id"),
-        ),
-    ]
-    return _exploded(checked, F.col("section"), F.col("pos"), findings).withColumn(
+    ok = F.col("is_mapping")
+    findings = []
+    if fields:
+        findings += [
+            (~ok, "not_mapping", message("must be a mapping")),
+            (ok & _blank("id"), "empty_id", message("has empty id")),
+            (asset & ok & _blank("path"), "empty_path", message("has empty path")),
+            (asset & ok & _blank("heading"), "empty_heading", message("has empty heading")),
+        ]
+    if documents:
+        targets = _with_text_flags(pkg, targets)
+        found = ok & F.col("found_doc")
+        one, many = ~_blank("asset_id"), F.col("asset_ids_kind") == "list"
+        findings += [
+            (ok & ~F.col("found_doc"), "missing_doc", message("references missing doc: %s", _shown("doc"))),
+            (chunk & found & _blank("heading"), "empty_heading", message("has empty heading")),
+            (
+                found & ~_blank("heading") & ~F.col("found_heading"),
+                "heading_not_found",
+                message("heading not found in %s.md: %s", F.col("doc"), F.col("heading")),
+            ),
+            (chunk & found & _blank("anchor"), "empty_anchor", message("has empty anchor")),
+            (
+                chunk & found & ~_blank("anchor") & ~F.col("found_anchor"),
+                "anchor_not_found",
+                message("anchor not found in %s.md: %s", F.col("doc"), F.col("anchor")),
+            ),
+            (chunk & found & one & many, "both_asset_fields", message("must not set both asset_id and asset_ids")),
+            (
+                chunk & found & ~one & (F.col("asset_ids_kind") == "bad"),
+                "asset_ids_not_list",
+                message("asset_ids must be a non-empty list"),
+            ),
+            (
+                chunk & found & ~one & (F.col("asset_ids_kind") == "absent"),
+                "empty_asset_id",
+                message("has empty asset_id"),
+            ),
+        ]
+    return _exploded(targets, F.col("section"), F.col("pos"), findings).withColumn(
         "code", F.concat(F.when(F.col("section") == CHUNK, "chunk_").otherwise("asset_"), "code")
     )
 
 
+def check_asset_fields(pkg: Package) -> DataFrame:
+    return check_targets(pkg, (ASSET,), documents=False)
+
+
+def check_chunk_fields(pkg: Package) -> DataFrame:
+    return check_targets(pkg, (CHUNK,), documents=False)
+
+
 def check_asset_documents(pkg: Package) -> DataFrame:
-    return check_target_documents(pkg, (ASSET,))
+    return check_targets(pkg, (ASSET,), fields=False)
 
 
 def check_chunk_documents(pkg: Package) -> DataFrame:
-    return check_target_documents(pkg, (CHUNK,))
+    return check_targets(pkg, (CHUNK,), fields=False)
 
 
 def check_asset_files(pkg: Package) -> DataFrame:
@@ -310,22 +326,22 @@ def check_chunk_assets(pkg: Package) -> DataFrame:
             F.posexplode(F.when(one, F.array("asset_id")).otherwise(F.col("asset_ids"))).alias("sub", "item"),
         )
     )
-    known = _valid_ids(_active(pkg.assets, pkg, "has_targets"))
-    empty = refs.where(_blank("item"))
-    lost = (
-        refs.where(~_blank("item"))
-        .join(known.select("dataset").distinct(), "dataset", "left_semi")
-        .join(known, ["dataset", "item"], "left_anti")
+    known = _valid_ids(_active(pkg.assets, pkg, "has_targets")).withColumn("known", F.lit(True))
+    any_known = known.select("dataset").distinct().withColumn("any_known", F.lit(True))
+    bad = (
+        refs.join(known, ["dataset", "item"], "left")
+        .join(any_known, "dataset", "left")
+        .where(_blank("item") | (F.col("known").isNull() & F.col("any_known")))
     )
-    sub = F.col("sub") + 10
-    return _rows(
-        empty, CHUNK, F.col("pos"), sub, "chunk_empty_asset_ref",
-        _numbered("chunk target", "asset_ids contains empty id"),
-    ).unionByName(
-        _rows(
-            lost, CHUNK, F.col("pos"), sub, "chunk_missing_asset",
-            _numbered("chunk target", "references missing asset target: %s", F.col("item")),
-        )
+    return bad.select(
+        "dataset",
+        F.lit(CHUNK).alias("section"),
+        F.col("pos").cast("bigint").alias("pos"),
+        (F.col("sub") + 10).cast("bigint").alias("sub"),
+        F.when(_blank("item"), "chunk_empty_asset_ref").otherwise("chunk_missing_asset").alias("code"),
+        F.when(_blank("item"), _numbered("chunk target", "asset_ids contains empty id"))
+        .otherwise(_numbered("chunk target", "references missing asset target: %s", F.col("item")))
+        .alias("message"),
     )
 
 
@@ -340,21 +356,25 @@ def check_images(pkg: Package) -> DataFrame:
         .select("dataset", "file_name", "sub", T.strip(F.col("ref.path")).alias("path"))
     )
     remote = F.col("path").startswith("http://") | F.col("path").startswith("https://")
-    files = pkg.asset_files.select("dataset", T.normalize_path(F.col("path")).alias("norm"))
-    lost = (
-        refs.where(~remote)
-        .withColumn("norm", T.normalize_path(F.col("path")))
-        .join(files, ["dataset", "norm"], "left_anti")
+    files = pkg.asset_files.select(
+        "dataset", T.normalize_path(F.col("path")).alias("norm"), F.lit(True).alias("exists")
+    ).distinct()
+    # A remote reference has no local name, so it matches no file either.
+    bad = (
+        refs.withColumn("remote", remote)
+        .withColumn("norm", F.when(~F.col("remote"), T.normalize_path(F.col("path"))))
+        .join(files, ["dataset", "norm"], "left")
+        .where(F.col("exists").isNull())
     )
-    far = _rows(
-        refs.where(remote), IMAGE, F.lit(0), F.col("sub"), "image_remote",
-        F.concat("file_name", F.lit(" uses remote image reference: "), "path"),
-    )
-    return far.unionByName(
-        _rows(
-            lost, IMAGE, F.lit(0), F.col("sub"), "image_missing",
-            F.concat("file_name", F.lit(" references missing image: "), "path"),
-        )
+    far = F.col("remote")
+    text = F.when(far, " uses remote image reference: ").otherwise(" references missing image: ")
+    return bad.select(
+        "dataset",
+        F.lit(IMAGE).alias("section"),
+        F.lit(0).cast("bigint").alias("pos"),
+        F.col("sub").cast("bigint").alias("sub"),
+        F.when(far, "image_remote").otherwise("image_missing").alias("code"),
+        F.concat("file_name", text, "path").alias("message"),
     )
 
 
@@ -384,8 +404,8 @@ def check_thresholds(pkg: Package) -> DataFrame:
 # --- queries ---------------------------------------------------------------
 
 
-def check_query_fields(pkg: Package) -> DataFrame:
-    """Row-local query checks."""
+def check_query_fields(pkg: Package, lists: bool = True) -> DataFrame:
+    """Row-local query checks, with ``lists`` also packages without any query."""
     ok = F.col("is_mapping")
     has_any = F.col("expect_any_kind") != "absent"
     has_none = F.coalesce("expect_none", F.lit(False))
@@ -416,10 +436,7 @@ def check_query_fields(pkg: Package) -> DataFrame:
             ),
         ],
     )
-    empty = _without(
-        pkg, pkg.queries, "has_queries", QUERY, "no_queries", "queries.yaml must contain non-empty queries list"
-    )
-    return empty.unionByName(fields)
+    return fields.unionByName(check_lists(pkg, ("queries",))) if lists else fields
 
 
 def check_query_duplicates(pkg: Package) -> DataFrame:
@@ -510,14 +527,22 @@ CHECKS = {
 
 
 def validate_packages(pkg: Package) -> DataFrame:
-    shared = {"asset_documents": check_target_documents, "chunk_documents": None}
-    out = None
-    for name, check in CHECKS.items():
-        check = shared.get(name, check)
-        if check is None:
-            continue
-        part = check(pkg).select(*OUT)
-        out = part if out is None else out.unionByName(part)
+    """All checks. Those that read the same tables run as one pass here."""
+    parts = [
+        check_presence(pkg),
+        check_lists(pkg),
+        check_targets(pkg),
+        check_asset_files(pkg),
+        check_chunk_assets(pkg),
+        check_images(pkg),
+        check_thresholds(pkg),
+        check_query_fields(pkg, lists=False),
+        check_query_duplicates(pkg),
+        check_query_references(pkg),
+    ]
+    out = parts[0].select(*OUT)
+    for part in parts[1:]:
+        out = out.unionByName(part.select(*OUT))
     return out
 
 

@@ -51,7 +51,8 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "v_datasets": (
         ("v_docs",),
         """select dataset, cast(max(num) as int) as num, 'about ' || dataset as description, max(num) % 9 <> 5 as has_meta, max(num) % 9 <> 6 as has_queries,
-          max(num) % 4 <> 3 as has_targets, max(num) % 9 <> 7 as has_corpus from v_docs group by dataset""",
+          max(num) % 4 <> 3 as has_targets, max(num) % 9 <> 7 as has_corpus from v_docs group by dataset
+          union all select lower(p_brand), cast(max(p_size) as int), 'empty shell', true, max(p_size) % 2 = 0, max(p_size) % 3 <> 0, true from part group by p_brand""",
     ),
     "v_asset_files": (
         ("v_docs",),
@@ -394,8 +395,14 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
+        self._known: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
+        if name not in self._known:
+            self._known[name] = self._read(name)
+        return self._known[name]
+
+    def _read(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         tasks = self.spark.sparkContext.defaultParallelism
         if name in LONG_TEXT and df.rdd.getNumPartitions() < tasks:
@@ -404,13 +411,17 @@ class Tables:
         return df
 
     def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
         if name in TABLES:
             return self.base(name)
         view = "v_" + name
         if view not in VIEWS:
             raise AttributeError(name)
-        sql = with_clause([view], SPARK_SPELLING)
-        for table in TABLES:
-            if f" {table}" in sql:
-                self.base(table).createOrReplaceTempView(table)
-        return self.spark.sql(f"{sql} select * from {view}")
+        if view not in self._known:
+            sql = with_clause([view], SPARK_SPELLING)
+            for table in TABLES:
+                if f" {table}" in sql:
+                    self.base(table).createOrReplaceTempView(table)
+            self._known[view] = self.spark.sql(f"{sql} select * from {view}")
+        return self._known[view]

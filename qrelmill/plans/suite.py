@@ -751,7 +751,8 @@ def _(t):
 
 def _package(t) -> validate.Package:
     return validate.Package(
-        datasets=t.datasets,
+        # One row per package, read by every check.
+        datasets=t.datasets.persist(),
         thresholds=t.thresholds,
         queries=t.queries,
         assets=t.assets,
@@ -818,7 +819,8 @@ CHECK_SQL = {
       union all select dataset, 'query_neither', '{_hash("query")} must set expect_any or expect_none' from q where is_mapping and not has_any and not expect_none
       union all select dataset, 'query_expect_not_list', '{_hash("query")} expect_any must be a list' from q where is_mapping and expect_any_kind = 'other'
       union all select dataset, 'query_asset_not_list', '{_hash("query")} expect_asset_any must be a non-empty list' from q where is_mapping and expect_asset_kind = 'bad'
-      union all select dataset, 'query_chunk_not_list', '{_hash("query")} expect_chunk_any must be a non-empty list' from q where is_mapping and expect_chunk_kind = 'bad'""",
+      union all select dataset, 'query_chunk_not_list', '{_hash("query")} expect_chunk_any must be a non-empty list' from q where is_mapping and expect_chunk_kind = 'bad'
+      union all select dataset, 'no_queries', 'queries.yaml must contain non-empty queries list' from live where has_queries and dataset not in (select dataset from v_queries)""",
     "query_duplicates": """select dataset, 'query_duplicate_id' as code, 'duplicate query id: ' || id as message from q where is_mapping and trim(id) <> '' qualify row_number() over (partition by dataset, id order by pos) > 1
       union all select dataset, 'query_duplicate_text', 'duplicate query text: ' || q from (select dataset, pos, q as q from q where is_mapping and trim(q) <> '' qualify row_number() over (partition by dataset, q order by pos) > 1)""",
     "query_references": f"""select x.dataset, 'query_missing_' || split_part(what, ' ', 1) as code, '{_hash("query")} references missing ' || what || ': ' || item as message from (
