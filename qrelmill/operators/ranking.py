@@ -132,15 +132,18 @@ def _ranked(hits: DataFrame, top: int) -> DataFrame:
 # --- BM25 ------------------------------------------------------------------
 
 
-def corpus_statistics(asked: DataFrame, tokens: DataFrame) -> DataFrame:
+def corpus_statistics(asked: DataFrame, tokens: DataFrame, small: bool = False) -> DataFrame:
     """(dataset, term, docs, length) of the asked terms in one pass over
     ``tokens(dataset, doc, tokens)``.
 
     Every document also counts once for the empty term, whose row holds the
     number of documents and their total length. Other terms are dropped before
-    counting, so the shuffle carries counts of asked terms only."""
+    counting, so the shuffle carries counts of asked terms only. ``small`` says
+    the asked terms were measured to fit a broadcast; otherwise both sides are
+    shuffled by term."""
     wanted = asked.select("dataset", "term").distinct()
     wanted = wanted.unionByName(asked.select("dataset").distinct().withColumn("term", F.lit("")))
+    wanted = F.broadcast(wanted) if small else wanted
     present = F.explode(F.array_append(F.array_distinct("tokens"), F.lit(""))).alias("term")
     return (
         tokens.select("dataset", F.size("tokens").alias("len"), present)
@@ -219,13 +222,17 @@ def rank_bm25(
 
     ``queries(dataset, id, q)``, ``corpus(dataset, stem, text)``."""
     tokens = corpus.select("dataset", F.col("stem").alias("doc"), tokenize(F.col("text")).alias("tokens"))
-    asked = query_terms(queries)
-    statistics = corpus_statistics(asked, tokens).persist()
+    asked = query_terms(queries).persist()
+    wanted_small = asked.count() * 64 <= BROADCAST_BYTES
+    statistics = corpus_statistics(asked, tokens, wanted_small).persist()
     average = statistics.where("term = ''").select("dataset", (F.col("length") / F.col("docs")).alias("avg_len"))
     weights = term_weights(asked, statistics).persist()
     measured = weights.count() * 64
     limit_hit = broadcast_bytes is not None and measured > broadcast_bytes
     size = BROADCAST_BYTES + 1 if limit_hit else measured
+    # At most one row per dataset of the statistics, whose row count is known now.
+    if statistics.count() * 64 <= BROADCAST_BYTES:
+        average = F.broadcast(average)
     docs = tokens.join(average, "dataset")
     return _blocked_top(weights, docs, _bm25_scorer(k1, b), size, top, block_docs)
 
