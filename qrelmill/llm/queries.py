@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qrelmill.llm import exact_dedup, warc
+from qrelmill.llm import exact_dedup, jaccard_join, sentence_pieces, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_binary_fuse_dedup": exact_dedup.op2_binary_fuse_dedup,
+    "op3_streaming_viterbi": sentence_pieces.op3_streaming_viterbi,
+    "op4_transducer_token_counts": token_counts.op4_transducer_token_counts,
+    "op7_divide_skip_jaccard": jaccard_join.op7_divide_skip_jaccard,
     "op9_seekable_warc": warc.op9_seekable_warc,
 }
-ORACLES = {"op2_binary_fuse_dedup": exact_dedup.ORACLE, "op9_seekable_warc": warc.ORACLE}
+ORACLES: dict[str, str] = {
+    "op2_binary_fuse_dedup": exact_dedup.ORACLE,
+    "op7_divide_skip_jaccard": jaccard_join.ORACLE,
+    "op9_seekable_warc": warc.ORACLE,
+}
