@@ -56,12 +56,15 @@ def screen(batch: DataFrame, filters: DataFrame) -> DataFrame:
     return batch.groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInArrow(_screen, schema)
 
 
-def _byte_check(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (sha, new_id, old_id), after their two texts were found equal byte by byte."""
-    ids = pairs.select("sha", F.explode(F.array("new_id", "old_id")).alias("doc_id"))
-    texts = docs.join(ids, "doc_id").groupBy("sha").agg(F.min("text").alias("lo"), F.max("text").alias("hi"))
+def _byte_check(docs: DataFrame, hits: DataFrame) -> DataFrame:
+    """The hits (sha, top, old_id, ...), once all texts of a digest were found equal.
+
+    All texts meet their ids in one shuffle by id, whatever the number of hits: a plan
+    that broadcasts few hits would say nothing about many."""
+    ids = hits.select("sha", F.explode(F.array("top", "old_id")).alias("doc_id")).distinct()
+    texts = docs.join(ids.hint("merge"), "doc_id").groupBy("sha").agg(F.min("text").alias("lo"), F.max("text").alias("hi"))
     same = texts.select("sha", (F.col("lo") == F.col("hi")).alias("same"))
-    return pairs.join(same, "sha", "left").filter(
+    return hits.join(same, "sha", "left").filter(
         F.when(F.coalesce("same", F.lit(True)), F.lit(True)).otherwise(
             F.raise_error(F.concat(F.lit("different texts share a SHA-256 digest: "), F.hex("sha")))
         )
@@ -115,8 +118,7 @@ def exact_dedup(
             screened = work.save(screen(batch, reduce(DataFrame.unionByName, filters)), f"screened{b}")
             exact = reduce(DataFrame.unionByName, fresh).select("bucket", "sha", F.col("top").alias("old_id"))
             hits = work.save(screened.filter("maybe").join(exact, ["bucket", "sha"]), f"hits{b}")
-            checked = _byte_check(docs, hits.select("sha", F.col("top").alias("new_id"), "old_id"))
-            known.append(work.save(hits.join(checked.select("sha"), "sha", "left_semi").select("sha", "top", "n"), f"known{b}"))
+            known.append(hits)
             batch = screened.filter("not maybe").unionByName(
                 screened.filter("maybe").join(known[-1], "sha", "left_anti")
             ).drop("maybe")
@@ -125,9 +127,10 @@ def exact_dedup(
             filters.append(work.save(build_filters(fresh[-1]), f"filters{b}"))
     copies = reduce(DataFrame.unionByName, fresh).select("sha", "top", "n")
     if known:
+        hits = reduce(DataFrame.unionByName, known)
+        checked = work.save(_byte_check(docs, hits.select("sha", "top", "n", "old_id")).select("sha", "top", "n"), "checked")
         found = (
-            reduce(DataFrame.unionByName, known)
-            .groupBy("sha")
+            checked.groupBy("sha")
             .agg(F.max("top").alias("top_found"), F.sum("n").alias("n_found"))
         )
         copies = copies.join(found, "sha", "left").select(
