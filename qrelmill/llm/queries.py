@@ -6,17 +6,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qrelmill.llm import exact_dedup, jaccard_join, sentence_pieces, token_counts, warc
+from qrelmill.llm import (
+    context_mixing,
+    exact_dedup,
+    hamming_search,
+    jaccard_join,
+    mixing,
+    resampling,
+    sentence_pieces,
+    suffix_dedup,
+    token_counts,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_importance_resampling": resampling.op1_importance_resampling,
     "op2_binary_fuse_dedup": exact_dedup.op2_binary_fuse_dedup,
     "op3_streaming_viterbi": sentence_pieces.op3_streaming_viterbi,
     "op4_transducer_token_counts": token_counts.op4_transducer_token_counts,
+    "op5_bucket_pointer_dedup": suffix_dedup.op5_bucket_pointer_dedup,
+    "op6_entropy_balancing": mixing.op6_entropy_balancing,
     "op7_divide_skip_jaccard": jaccard_join.op7_divide_skip_jaccard,
+    "op8_multi_index_hashing": hamming_search.op8_multi_index_hashing,
     "op9_seekable_warc": warc.op9_seekable_warc,
+    "op10_logistic_context_mixing": context_mixing.op10_logistic_context_mixing,
 }
 ORACLES: dict[str, str] = {
     "op2_binary_fuse_dedup": exact_dedup.ORACLE,
     "op7_divide_skip_jaccard": jaccard_join.ORACLE,
+    "op8_multi_index_hashing": hamming_search.ORACLE,
     "op9_seekable_warc": warc.ORACLE,
 }
