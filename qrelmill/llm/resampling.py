@@ -4,7 +4,8 @@ Two generative models of hashed n-grams are counted: one over target texts (docu
 are labelled good), one over all raw texts. A document's weight is the log ratio of its
 n-grams under both. It is kept if it is among the k largest sums of weight and Gumbel
 noise, which draws k documents without replacement in proportion to their weights; k is
-the number of documents that the target model explains at least as well as the raw one.
+the number of documents that the target model explains about as well as the raw one: with
+a mean log ratio of no less than -``TOLERANCE`` per n-gram.
 
 N-grams are words, pairs of words, and runs of three token shapes: what kind of token it is
 and whether it repeats one just before. Shapes let the models see repetition and symbol
@@ -30,7 +31,8 @@ from qrelmill.llm.work import Work, table
 
 BUCKETS = 1 << 16
 TARGET_ROWS = 20_000
-SMOOTHING = 0.5
+SMOOTHING = 8.0  # counts, in the target text, by which a bucket's ratio is drawn to 1
+TOLERANCE = 0.1
 SEED = 20_240_611
 BINS = 1024
 RECENT = 4
@@ -98,6 +100,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, target_ids: DataFrame, target_rows: int = TARGET_ROWS) -> np.ndarray:
     """The log ratio of target and raw model for each bucket.
 
+    A bucket that the raw model would expect a few times in the target text, and that does
+    not occur there, says little: both models share a prior of ``SMOOTHING`` counts.
+
     The raw model is counted over all ``docs`` (doc_id, text), the target model over those
     in ``target_ids`` (doc_id): all of them up to ``target_rows``, else that many, drawn by
     hash. That bound is what makes the broadcast of ids safe. Without any, all ratios
@@ -116,22 +121,27 @@ def fit(docs: DataFrame, target_ids: DataFrame, target_rows: int = TARGET_ROWS)
     counts[:, counted["bucket"].to_numpy(np.int64)] = counted[["raw", "target"]].to_numpy(np.float64).T
     if not counts[1].any():
         return np.zeros(BUCKETS)
-    smooth = counts + SMOOTHING
-    raw, target = np.log(smooth / smooth.sum(axis=1, keepdims=True))
-    return target - raw
+    expected = counts[0] * (counts[1].sum() / counts[0].sum())
+    return np.log((counts[1] + SMOOTHING) / (expected + SMOOTHING))
 
 
 def weigher(spark: SparkSession, ratios: np.ndarray):
-    """A function from a text column to its log weight."""
+    """A function from a text column to a struct of log weight and number of n-grams."""
     shared = spark.sparkContext.broadcast(ratios)  # BUCKETS numbers
 
-    @F.pandas_udf("double")
-    def log_weight(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("log_weight double, n_grams long")
+    def weigh(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         cache, table_ = Tokens(), shared.value
         for texts in batches:
-            yield pd.Series([float(table_[features(t, cache)].sum()) for t in texts], dtype="float64")
+            found = [features(t, cache) for t in texts]
+            yield pd.DataFrame(
+                {
+                    "log_weight": np.array([table_[f].sum() for f in found], np.float64),
+                    "n_grams": np.array([len(f) for f in found], np.int64),
+                }
+            )
 
-    return log_weight
+    return weigh
 
 
 def gumbel(id_column: str, seed: int = SEED) -> Column:
@@ -159,8 +169,8 @@ def kth_largest(rows: DataFrame, column: str, k: int) -> float:
 
 
 def threshold(weighed: DataFrame, keep: int | None = None) -> float:
-    """The least key that is kept, from ``weighed`` (log_weight, key); ``keep`` is k."""
-    k = weighed.filter("log_weight >= 0").count() if keep is None else keep
+    """The least key that is kept, from ``weighed`` (log_weight, n_grams, key); ``keep`` is k."""
+    k = weighed.filter(F.col("log_weight") >= -TOLERANCE * F.col("n_grams")).count() if keep is None else keep
     if k <= 0 or weighed.isEmpty():
         return float("inf")
     return kth_largest(weighed, "key", k)
@@ -173,22 +183,21 @@ def resample(docs: DataFrame, labels: DataFrame, keep: int | None = None, target
     work = Work(spark, "resampling")
     good = labels.filter("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id"))
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    log_weight = weigher(spark, fit(ids, good, target_rows))
-    weighed = ids.select("doc_id", log_weight("text").alias("log_weight"))
+    weigh = weigher(spark, fit(ids, good, target_rows))
+    weighed = ids.select("doc_id", weigh("text").alias("w")).select("doc_id", "w.log_weight", "w.n_grams")
     weighed = work.save(weighed.withColumn("key", F.col("log_weight") + gumbel("doc_id")), "weighed")
     limit = threshold(weighed, keep)
 
     def kept(rows: DataFrame) -> DataFrame:
-        noise = gumbel("doc_id") if dict(rows.dtypes)["doc_id"] == "bigint" else None
-        if noise is None:
+        if dict(rows.dtypes)["doc_id"] != "bigint":
             raise TypeError("doc_id must be a long")
-        return rows.filter(log_weight("text") + noise >= limit)
+        return rows.filter(weigh("text")["log_weight"] + gumbel("doc_id") >= limit)
 
     return weighed, kept, limit
 
 
 def classify(docs: DataFrame, labels: DataFrame, keep: int | None = None, target_rows: int = TARGET_ROWS) -> DataFrame:
-    """doc_id, log_weight, key, kept of each row of ``docs`` (doc_id, text).
+    """doc_id, log_weight, n_grams, key, kept of each row of ``docs`` (doc_id, text).
 
     ``labels`` (doc_id, quality) name the target documents by quality 1. A null or empty
     text has weight 0. Rows that tie with the last key kept are kept as well; repeated rows

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from qrelmill.llm import resampling
 from tests.llm.util import SCHEMA, awkward, with_clashes
 
-SF = "/root/testdata/sf0.01"
+SF = "/root/testdata/sf0.1"
 
 
 def test_labels_are_met_on_documents_not_learnt_from(spark):
@@ -39,7 +39,7 @@ def test_top_k_of_awkward_documents(spark):
     assert len(got) == docs.count()
     keys = sorted((r["key"] for r in got), reverse=True)
     assert {r["key"] for r in got if r["kept"]} == set(keys[:20])
-    assert got[0].asDict().keys() == {"doc_id", "log_weight", "key", "kept"}
+    assert got[0].asDict().keys() == {"doc_id", "log_weight", "n_grams", "key", "kept"}
     again = resampling.classify(docs.repartition(1), labels, keep=20).collect()
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, again), key=str)
     _, kept, _ = resampling.resample(docs, labels, keep=20)
