@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .curation import document_head
-from .ordering import assemble_text
+from .ordering import PART_PIECES, assemble_text
 
 HINT = "检索提示：{zh}、{en}、{title}、图片、颜色、形状、局部特征、用途。"
 
@@ -116,11 +116,10 @@ def catalog_pieces(items: DataFrame, version: str, hint: str = HINT) -> DataFram
     )
 
 
-def documents_of(pieces: DataFrame) -> DataFrame:
-    """Whole documents of the pieces, except those too large for one row,
-    which stay as ordered pieces."""
-    docs = assemble_text(pieces, ["dataset", "stem"], ["pos"], "text", "\n")
-    return docs.select("dataset", "stem", F.concat("stem", F.lit(".md")).alias("file_name"), "text")
+def documents_of(pieces: DataFrame, per_part: int = PART_PIECES) -> DataFrame:
+    """The documents of the pieces; one of very many pieces is several numbered parts."""
+    docs = assemble_text(pieces, ["dataset", "stem"], ["pos"], "text", "\n", per_part)
+    return docs.select("dataset", "stem", F.concat("stem", F.lit(".md")).alias("file_name"), "part", "parts", "text")
 
 
 def expand_catalog(items: DataFrame, version: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:

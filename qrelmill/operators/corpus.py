@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .ordering import SAFE_ROWS, assemble_text, dense_index
+from .ordering import PART_PIECES, SAFE_ROWS, assemble_text, dense_index
 
 DOC_KEY = ["dataset", "stem"]
 
@@ -130,14 +130,13 @@ def corpus_pack(corpus: DataFrame, path: str = "file_name", safe_rows: int = SAF
     """The prompt pack of each dataset as ordered pieces.
 
     Laying the pieces end to end by ``ord`` gives the pack; a dataset of any
-    size stays distributed. ``assemble_packs`` joins the pieces of those packs
-    that fit one string."""
+    size stays distributed. ``assemble_packs`` joins the pieces into parts."""
     placed = dense_index(corpus, ["dataset"], [path], "ord", None, safe_rows)
     piece = F.concat(F.lit("\n\n# STEM: "), F.col("stem"), F.lit("\n"), F.col("text"))
     return placed.select("dataset", "ord", "stem", piece.alias("piece"))
 
 
-def assemble_packs(pieces: DataFrame, max_chars: int = 4_000_000) -> DataFrame:
-    """One ``pack`` string per dataset whose pieces total at most ``max_chars``.
-    Larger packs are not cut: their pieces stay rows of ``corpus_pack``."""
-    return assemble_text(pieces.withColumnRenamed("piece", "pack"), ["dataset"], ["ord"], "pack", "", max_chars)
+def assemble_packs(pieces: DataFrame, per_part: int = PART_PIECES) -> DataFrame:
+    """The packs as strings: ``pack`` in numbered parts of ``per_part`` pieces,
+    one part for a dataset of at most that many documents."""
+    return assemble_text(pieces.withColumnRenamed("piece", "pack"), ["dataset"], ["ord"], "pack", "", per_part)

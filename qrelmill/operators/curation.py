@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import jsontext as J
 from ..functions import keys as K
 from ..functions import text as T
-from .ordering import SAFE_ROWS, assemble_text, even_spread
+from .ordering import PART_PIECES, SAFE_ROWS, assemble_text, chunk_rows, even_spread
 from .tasks import SUCCEEDED, fill, prompt_tasks
 
 EXPORTED = ("approve", "rewrite")
@@ -354,9 +354,6 @@ def document_head(title: str, language: str, source: str) -> Column:
 # --- topic clusters --------------------------------------------------------
 
 
-MAX_CLUSTER = 1000
-
-
 def cluster_entries(docs: DataFrame) -> DataFrame:
     """The two texts of a cluster document: its sibling entry and its listing line.
 
@@ -368,42 +365,32 @@ def cluster_entries(docs: DataFrame) -> DataFrame:
     return docs.select("dataset", "cluster", "pos", "slug", entry.alias("entry"), line.alias("line"))
 
 
-def _small_clusters(docs: DataFrame, max_docs: int) -> DataFrame:
-    sizes = docs.groupBy("dataset", "cluster").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.where(F.col("n") <= max_docs)
-
-
-def cluster_siblings(docs: DataFrame, max_docs: int = MAX_CLUSTER) -> DataFrame:
+def cluster_siblings(docs: DataFrame, per_part: int = PART_PIECES) -> DataFrame:
     """For each document of a cluster, the other documents as one text.
 
     The list of a cluster is built once and each document leaves itself out,
-    so no pairs are formed. A cluster of more than ``max_docs`` stays as the
-    rows of ``cluster_entries``, of which a document skips its own."""
-    small = docs.join(_small_clusters(docs, max_docs), ["dataset", "cluster"], "left_semi")
-    listed = (
-        cluster_entries(small)
-        .groupBy("dataset", "cluster")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "slug", "entry"))).alias("all"))
+    so no pairs are formed. A cluster of more than ``per_part`` documents is
+    cut into parts of neighbours by ``pos``; a document is told of its part, so
+    that texts grow with the cluster and not with its square."""
+    parts = chunk_rows(
+        cluster_entries(docs).drop("line"), per_part, ["dataset", "cluster"], ["pos", "slug"]
+    ).withColumnRenamed("grp", "part")
+    listed = parts.groupBy("dataset", "cluster", "part").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "slug", "entry"))).alias("all")
     )
     others = F.filter("all", lambda x: x["slug"] != F.col("slug"))
-    return small.join(listed, ["dataset", "cluster"]).select(
+    return parts.join(listed, ["dataset", "cluster", "part"]).select(
         "dataset", "cluster", "slug", F.array_join(F.transform(others, lambda x: x["entry"]), "; ").alias("siblings")
     )
 
 
-def cluster_listing(docs: DataFrame, max_docs: int = MAX_CLUSTER) -> DataFrame:
-    """One prompt listing per cluster with its document count. A larger cluster
-    stays as the ``line`` rows of ``cluster_entries``."""
-    small = _small_clusters(docs, max_docs)
-    return assemble_text(
-        cluster_entries(docs)
-        .join(small, ["dataset", "cluster"])
-        .select("dataset", "cluster", "n", "pos", F.col("line").alias("listing")),
-        ["dataset", "cluster", "n"],
-        ["pos"],
-        "listing",
-        "\n",
-    )
+def cluster_listing(docs: DataFrame, per_part: int = PART_PIECES) -> DataFrame:
+    """The prompt listing of each cluster in numbered parts, with the number
+    ``n`` of documents of the whole cluster."""
+    sizes = docs.groupBy("dataset", "cluster").agg(F.count(F.lit(1)).alias("n"))
+    lines = cluster_entries(docs).select("dataset", "cluster", "pos", "slug", F.col("line").alias("listing"))
+    listed = assemble_text(lines, ["dataset", "cluster"], ["pos", "slug"], "listing", "\n", per_part)
+    return listed.join(sizes, ["dataset", "cluster"]).select("dataset", "cluster", "n", "part", "parts", "listing")
 
 
 def cluster_doc_tasks(docs: DataFrame, version: str, system: str, user: str, stage: str = "generate_cluster_corpus") -> DataFrame:
@@ -418,8 +405,10 @@ def cluster_doc_tasks(docs: DataFrame, version: str, system: str, user: str, sta
 
 
 def cluster_query_tasks(docs: DataFrame, version: str, system: str, user: str, stage: str = "generate_cluster_queries") -> DataFrame:
-    """One query-drafting task per cluster. Placeholders: {n}, {listing}."""
+    """One query-drafting task per part of a cluster's listing; the first part's
+    source is that of a cluster of one part. Placeholders: {n}, {listing}."""
     rows = cluster_listing(docs)
-    source = F.concat_ws(":", "dataset", F.lit("queries"), "cluster", F.lit(version))
+    later = F.when(F.col("part") > 0, F.concat(F.lit("part"), F.col("part").cast("string")))
+    source = F.concat_ws(":", "dataset", F.lit("queries"), "cluster", F.lit(version), later)
     values = {"n": F.col("n"), "listing": F.col("listing")}
-    return prompt_tasks(rows, stage, version, F.lit(system), fill(user, values), source, True, ("cluster",))
+    return prompt_tasks(rows, stage, version, F.lit(system), fill(user, values), source, True, ("cluster", "part"))

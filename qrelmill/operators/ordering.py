@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 # Below this many rows in total no group can be too large for one task.
 SAFE_ROWS = 500_000
-MAX_RANGES = 256
+# Pieces of a text, or entries of a list, that share one row.
+PART_PIECES = 1000
 
 
 def _borders(df: DataFrame, cols: Sequence[str], n: int, ranges: int) -> list:
@@ -25,7 +26,6 @@ def _borders(df: DataFrame, cols: Sequence[str], n: int, ranges: int) -> list:
     rows = (
         df.select(*cols)
         .where(F.pmod(F.xxhash64(*cols), F.lit(step)) == 0)
-        .limit(ranges * 256)
         .collect()
     )
     rows = sorted({tuple(r) for r in rows}, key=lambda t: [(v is not None, v) for v in t])
@@ -71,7 +71,7 @@ def dense_index(
         return out
 
     cols = keys + order
-    ranges = int(min(MAX_RANGES, max(2, 2 * n // safe_rows)))
+    ranges = int(max(2, 2 * n // safe_rows))
     borders = _borders(df, cols, n, ranges)
     cut = df.withColumn("_range", _range_no(df, cols, borders))
     per_range = cut.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
@@ -126,18 +126,41 @@ def chunk_rows(
 
 
 def assemble_text(
-    pieces: DataFrame, keys: Sequence[str], order: Sequence[str], text: str, sep: str = "", max_chars: int = 4_000_000
+    pieces: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    text: str,
+    sep: str = "",
+    per_part: int = PART_PIECES,
+    safe_rows: int = SAFE_ROWS,
 ) -> DataFrame:
-    """Join the text pieces of each group in order into one ``text`` string.
+    """Join the text pieces of each group in order into numbered parts.
 
-    Only groups of at most ``max_chars`` are collected into a row. A larger
-    group is not cut: its ordered rows in ``pieces`` are the text."""
-    keys = list(keys)
-    sized = pieces.groupBy(*keys).agg(F.sum(F.length(text) + F.lit(len(sep))).alias("_chars"))
-    fits = sized.where(F.col("_chars") <= max_chars).select(*keys)
+    A part holds ``per_part`` consecutive pieces as one ``text`` string. Every
+    group has ``parts`` rows, ``part`` counting from 0; laid end to end with
+    ``sep`` between them they are the whole text, whatever its size."""
+    keys, order = list(keys), list(order)
+    placed = dense_index(pieces.select(*keys, *order, text), keys, order, "_idx", "_n", safe_rows)
+    part = F.floor(F.col("_idx") / per_part).cast("int")
+    parts = F.ceil(F.col("_n") / per_part).cast("int")
+    return (
+        placed.withColumn("part", part)
+        .withColumn("parts", parts)
+        .groupBy(*keys, "part", "parts")
+        .agg(F.sort_array(F.collect_list(F.struct("_idx", F.col(text).alias("_t")))).alias("_p"))
+        .select(*keys, "part", "parts", F.array_join(F.col("_p._t"), sep).alias(text))
+    )
+
+
+def list_parts(
+    rows: DataFrame, key: str, value: str, per_part: int = PART_PIECES, safe_rows: int = SAFE_ROWS
+) -> DataFrame:
+    """The sorted list of ``value`` per ``key`` in numbered parts:
+    key, part, parts, list."""
+    placed = dense_index(rows.select(key, value), [key], [value], "_idx", "_n", safe_rows)
     return (
-        pieces.join(fits, keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(F.struct(*order, F.col(text).alias("_t")))).alias("_p"))
-        .select(*keys, F.array_join(F.col("_p._t"), sep).alias(text))
+        placed.withColumn("part", F.floor(F.col("_idx") / per_part).cast("int"))
+        .withColumn("parts", F.ceil(F.col("_n") / per_part).cast("int"))
+        .groupBy(key, "part", "parts")
+        .agg(F.array_sort(F.collect_list(value)).alias("list"))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import jsontext as J
 from ..functions import text as T
 from .corpus import section_for, sections
-from .ordering import SAFE_ROWS, chunk_rows
+from .ordering import PART_PIECES, SAFE_ROWS, chunk_rows, list_parts
 from .tasks import SUCCEEDED, fill, prompt_tasks
 from .validate import Package
 
@@ -22,11 +22,6 @@ NOTE_NEGATIVE = "expect_none=true means this is an intentional out-of-domain neg
 NOTE_POSITIVE = "expect_any should resolve to one or more corpus document stems."
 # --- end of fixed values
 
-# Document lists are put into payloads only for datasets up to this size;
-# beyond it they stay a join away in the corpus table.
-INLINE_DOCS = 1000
-
-
 def dataset_mode(pkg: Package) -> DataFrame:
     """multimodal, multimodal_without_targets or text_doc_level per dataset."""
     images = pkg.corpus.groupBy("dataset").agg(F.bool_or(F.col("text").rlike(T.IMAGE)).alias("has_images"))
@@ -105,26 +100,38 @@ def expected_contexts(queries: DataFrame, corpus: DataFrame, limit: int = CONTEX
     )
 
 
-def _inline_lists(rows: DataFrame, value: str, limit: int) -> DataFrame:
-    """Sorted value lists of the datasets with at most ``limit`` rows."""
-    small = rows.groupBy("dataset").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= limit)
-    return (
-        rows.join(small, "dataset", "left_semi")
-        .groupBy("dataset")
-        .agg(F.array_sort(F.collect_list(value)).alias("list"))
-    )
-
-
-def review_targets(pkg: Package, inline_docs: int = INLINE_DOCS) -> DataFrame:
-    """Everything to review: dataset, corpus_doc, query, target_asset and
-    target_chunk rows with a JSON payload, ordered by (kind_ord, pos, name).
+def review_targets(pkg: Package, per_part: int = PART_PIECES) -> DataFrame:
+    """Everything to review: dataset, dataset_list, corpus_doc, query, target_asset
+    and target_chunk rows with a JSON payload, ordered by (kind_ord, pos, name).
 
-    Rows whose manifest entry is not a mapping are left out."""
+    A document list of any size is kept in parts of ``per_part`` names. The
+    dataset row holds the first part of each list and, where there are more,
+    their number; the other parts are dataset_list rows right behind it. Rows
+    whose manifest entry is not a mapping are left out."""
     queries = pkg.queries.where("is_mapping")
-    docs_list = _inline_lists(pkg.corpus.select("dataset", "stem"), "stem", inline_docs)
     wanted = summary_docs(queries, pkg.corpus)
-    expected = _inline_lists(wanted, "doc", inline_docs).withColumnRenamed("list", "expected")
-    missing = _inline_lists(wanted.where("missing"), "doc", inline_docs).withColumnRenamed("list", "missing")
+    lists = (
+        list_parts(pkg.corpus, "dataset", "stem", per_part)
+        .withColumn("which", F.lit("corpus_docs"))
+        .unionByName(
+            list_parts(wanted, "dataset", "doc", per_part).withColumn("which", F.lit("positive_expect_any_docs"))
+        )
+        .unionByName(
+            list_parts(wanted.where("missing"), "dataset", "doc", per_part).withColumn(
+                "which", F.lit("missing_expect_any_docs")
+            )
+        )
+    )
+    none_listed = F.array().cast("array<string>")
+
+    def first(which: str, name: str) -> DataFrame:
+        more = F.when(F.col("parts") > 1, F.col("parts"))
+        head = lists.where((F.col("which") == which) & (F.col("part") == 0))
+        return head.select("dataset", F.col("list").alias(name), more.alias(f"{name}_parts"))
+
+    docs_list = first("corpus_docs", "list")
+    expected = first("positive_expect_any_docs", "expected")
+    missing = first("missing_expect_any_docs", "missing")
     totals = pkg.corpus.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_docs"))
 
     def out(df: DataFrame, kind_ord: int, kind: str, target_id: Column, payload: Column, pos: Column, name: Column) -> DataFrame:
@@ -156,20 +163,32 @@ def review_targets(pkg: Package, inline_docs: int = INLINE_DOCS) -> DataFrame:
         F.struct(
             "dataset_mode",
             F.coalesce("n_docs", F.lit(0)).alias("corpus_doc_count"),
-            F.col("list").alias("corpus_docs"),
+            F.coalesce("list", none_listed).alias("corpus_docs"),
+            F.col("list_parts").alias("corpus_docs_parts"),
             F.col("has_targets").alias("has_targets_yaml"),
             F.when(text_level, NOTE_TEXT_LEVEL).otherwise(NOTE_MULTIMODAL).alias("targets_yaml_note"),
             F.struct(
                 F.coalesce("total", F.lit(0)).alias("total"),
                 F.coalesce("positive", F.lit(0)).alias("positive"),
                 F.coalesce("negative", F.lit(0)).alias("negative_expect_none"),
-                F.coalesce("missing", F.array().cast("array<string>")).alias("missing_expect_any_docs"),
-                F.col("expected").alias("positive_expect_any_docs"),
+                F.coalesce("missing", none_listed).alias("missing_expect_any_docs"),
+                F.col("missing_parts").alias("missing_expect_any_docs_parts"),
+                F.coalesce("expected", none_listed).alias("positive_expect_any_docs"),
+                F.col("expected_parts").alias("positive_expect_any_docs_parts"),
             ).alias("query_summary"),
         ),
         F.lit(0),
         none,
     )
+    later = out(
+        lists.where("part > 0"),
+        0,
+        "dataset_list",
+        F.concat_ws("#", "dataset", "which", F.col("part").cast("string")),
+        F.struct(F.col("which").alias("list"), "part", "parts", F.col("list").alias("docs")),
+        F.col("part"),
+        F.col("which"),
+    )
     text = F.col("text")
     docs = out(
         pkg.corpus,
@@ -197,7 +216,8 @@ def review_targets(pkg: Package, inline_docs: int = INLINE_DOCS) -> DataFrame:
         F.struct(
             F.struct("id", "q", "query_type", "expect_any", "expect_none", "expect_asset_any", "expect_chunk_any").alias("query"),
             F.when(negative, "negative").otherwise("positive").alias("query_role"),
-            F.col("list").alias("known_corpus_docs"),
+            F.coalesce("list", none_listed).alias("known_corpus_docs"),
+            F.col("list_parts").alias("known_corpus_docs_parts"),
             F.col("contexts").alias("expected_doc_contexts"),
             F.when(negative, NOTE_NEGATIVE).otherwise(NOTE_POSITIVE).alias("review_note"),
         ),
@@ -237,7 +257,7 @@ def review_targets(pkg: Package, inline_docs: int = INLINE_DOCS) -> DataFrame:
         F.coalesce(T.none_if_empty(F.col("id")), numbered).alias("target_id"),
         F.when(is_asset, F.to_json(asset)).otherwise(F.to_json(chunk)).alias("payload"),
     )
-    return data.unionByName(docs).unionByName(query_rows).unionByName(target_rows)
+    return data.unionByName(later).unionByName(docs).unionByName(query_rows).unionByName(target_rows)
 
 
 def review_groups(
@@ -249,8 +269,9 @@ def review_groups(
     safe_rows: int = SAFE_ROWS,
 ) -> DataFrame:
     """Tasks over consecutive groups of ``size`` targets, numbered from 1.
-    ``targets`` of each group are kept as (target_type, target_id) for later."""
-    placed = chunk_rows(targets, size, ["dataset"], ["kind_ord", "pos", "name", "target_id"], safe_rows)
+    ``targets`` of each group are kept as (target_type, target_id) for later.
+    Rows that go on with a dataset's lists are nothing to review by themselves."""
+    placed = chunk_rows(targets.where("target_type <> 'dataset_list'"), size, ["dataset"], ["kind_ord", "pos", "name", "target_id"], safe_rows)
     entry = F.concat(
         F.lit('{"target_type":'),
         J.json_quote(F.col("target_type")),

@@ -617,14 +617,34 @@ def _(t):
     )
 
 
+PACK_PART = 20
+PACK_SQL = f"""n as (select *, (row_number() over (partition by dataset order by file_name) - 1) // {PACK_PART} as part from v_corpus),
+packs as (select dataset, part, max(max(part)) over (partition by dataset) + 1 as parts,
+  string_agg(concat(chr(10), chr(10), '# STEM: ', stem, chr(10), text), '' order by file_name) as pack from n group by dataset, part)"""
+
+
 @register(
     "corpus_pack",
     "v_corpus",
-    "select dataset, md5(string_agg(concat(chr(10), chr(10), '# STEM: ', stem, chr(10), text), '' order by file_name)) as pack_md5 from v_corpus group by dataset",
+    f"with {PACK_SQL} select dataset, part, parts, md5(pack) as pack_md5 from packs",
 )
 def _(t):
-    packs = corpus.assemble_packs(corpus.corpus_pack(t.corpus), max_chars=1_000_000_000)
-    return packs.select("dataset", F.md5("pack").alias("pack_md5"))
+    packs = corpus.assemble_packs(corpus.corpus_pack(t.corpus), PACK_PART)
+    return packs.select("dataset", big("part", "part"), big("parts", "parts"), F.md5("pack").alias("pack_md5"))
+
+
+@register(
+    "corpus_pack_whole",
+    "v_corpus",
+    """with n as (select (row_number() over (order by file_name || '@' || dataset) - 1) // 1000 as part, file_name || '@' || dataset as f, stem, text from v_corpus)
+    select part, (select max(part) + 1 from n) as parts, md5(string_agg(concat(chr(10), chr(10), '# STEM: ', stem, chr(10), text), '' order by f)) as pack_md5 from n group by part""",
+)
+def _(t):
+    """All documents as one dataset: more than one part, none left out."""
+    path = F.concat("file_name", F.lit("@"), "dataset").alias("file_name")
+    whole = t.corpus.select(F.lit("all").alias("dataset"), path, "stem", "text")
+    packs = corpus.assemble_packs(corpus.corpus_pack(whole))
+    return packs.select(big("part", "part"), big("parts", "parts"), F.md5("pack").alias("pack_md5"))
 
 
 @register(
@@ -1120,23 +1140,31 @@ def _(t):
     return docs.join(asked, ["dataset", "stem"]).select("dataset", "stem", F.md5("text").alias("text_md5"), "q")
 
 
+def cluster_parts(size: int) -> str:
+    return f"cp as (select *, (row_number() over (partition by dataset, cluster order by pos, slug) - 1) // {size} as part from v_cluster_docs)"
+
+
 @register(
     "cluster_siblings",
     "v_cluster_docs",
-    """select a.dataset, a.cluster, a.slug, coalesce(string_agg(b.title || ' (' || b.focus || ')', '; ' order by b.pos), '') as siblings
-    from v_cluster_docs a left join v_cluster_docs b on b.dataset = a.dataset and b.cluster = a.cluster and b.slug <> a.slug group by all""",
+    f"""with {cluster_parts(30)} select a.dataset, a.cluster, a.slug, coalesce(string_agg(b.title || ' (' || b.focus || ')', '; ' order by b.pos, b.slug), '') as siblings
+    from cp a left join cp b on b.dataset = a.dataset and b.cluster = a.cluster and b.part = a.part and b.slug <> a.slug group by all""",
 )
 def _(t):
-    return curation.cluster_siblings(t.cluster_docs)
+    return curation.cluster_siblings(t.cluster_docs, 30)
 
 
 @register(
     "cluster_listing",
     "v_cluster_docs",
-    """select dataset, cluster, md5(string_agg(concat('- stem=', cluster, '-', slug, ' | title=', title, ' | focus: ', focus), chr(10) order by pos)) as listing_md5, count(*) as n from v_cluster_docs group by dataset, cluster""",
+    f"""with {cluster_parts(30)} select dataset, cluster, part, max(max(part)) over (partition by dataset, cluster) + 1 as parts,
+      md5(string_agg(concat('- stem=', cluster, '-', slug, ' | title=', title, ' | focus: ', focus), chr(10) order by pos, slug)) as listing_md5,
+      (sum(count(*)) over (partition by dataset, cluster))::bigint as n from cp group by dataset, cluster, part""",
 )
 def _(t):
-    return curation.cluster_listing(t.cluster_docs).select("dataset", "cluster", F.md5("listing").alias("listing_md5"), big("n", "n"))
+    return curation.cluster_listing(t.cluster_docs, 30).select(
+        "dataset", "cluster", big("part", "part"), big("parts", "parts"), F.md5("listing").alias("listing_md5"), big("n", "n")
+    )
 
 
 @register(
@@ -1214,19 +1242,19 @@ def _(t):
 @register(
     "pack_tasks",
     "v_corpus",
-    """with p as (select dataset, string_agg(concat(chr(10), chr(10), '# STEM: ', stem, chr(10), text), '' order by file_name) as pack from v_corpus group by dataset)
-    select dataset, substr(sha256(concat_ws(chr(10), dataset, 'generate_candidates', sha256(pack), 'v1', 'sys', 'Draft 30 queries.' || pack)), 1, 32) as task_id from p""",
+    f"""with {PACK_SQL}
+    select dataset, substr(sha256(concat_ws(chr(10), dataset, 'generate_candidates', sha256(pack), 'v1', 'sys', 'Draft 30 queries.' || pack)), 1, 32) as task_id from packs""",
 )
 def _(t):
-    packs = corpus.assemble_packs(corpus.corpus_pack(t.corpus), max_chars=1_000_000_000)
+    packs = corpus.assemble_packs(corpus.corpus_pack(t.corpus), PACK_PART)
     return tasks.pack_tasks(packs, 30, "v1", "sys", "Draft {queries} queries.{corpus}").select("dataset", "task_id")
 
 
 @register(
     "cluster_doc_tasks",
     "v_cluster_docs",
-    """with s as (select a.dataset, a.stem, a.language, a.title, coalesce(string_agg(b.title || ' (' || b.focus || ')', '; ' order by b.pos), '') as siblings
-      from v_cluster_docs a left join v_cluster_docs b on b.dataset = a.dataset and b.cluster = a.cluster and b.slug <> a.slug group by all)
+    f"""with {cluster_parts(1000)}, s as (select a.dataset, a.stem, a.language, a.title, coalesce(string_agg(b.title || ' (' || b.focus || ')', '; ' order by b.pos, b.slug), '') as siblings
+      from cp a left join cp b on b.dataset = a.dataset and b.cluster = a.cluster and b.part = a.part and b.slug <> a.slug group by all)
     select dataset, stem, substr(sha256(concat_ws(chr(10), dataset, 'generate_cluster_corpus', sha256(concat_ws(':', dataset, stem, language, 'v1')), 'v1', 'sys', concat(title, ' not ', siblings))), 1, 32) as task_id from s""",
 )
 def _(t):
@@ -1236,8 +1264,9 @@ def _(t):
 @register(
     "cluster_query_tasks",
     "v_cluster_docs",
-    """with l as (select dataset, cluster, string_agg(concat('- stem=', cluster, '-', slug, ' | title=', title, ' | focus: ', focus), chr(10) order by pos) as listing, count(*) as n from v_cluster_docs group by dataset, cluster)
-    select dataset, cluster, substr(sha256(concat_ws(chr(10), dataset, 'generate_cluster_queries', sha256(concat_ws(':', dataset, 'queries', cluster, 'v1')), 'v1', 'sys', concat(n, ' docs: ', listing))), 1, 32) as task_id from l""",
+    f"""with {cluster_parts(1000)}, l as (select dataset, cluster, part, string_agg(concat('- stem=', cluster, '-', slug, ' | title=', title, ' | focus: ', focus), chr(10) order by pos, slug) as listing,
+      (sum(count(*)) over (partition by dataset, cluster))::bigint as n from cp group by dataset, cluster, part)
+    select dataset, cluster, substr(sha256(concat_ws(chr(10), dataset, 'generate_cluster_queries', sha256(concat_ws(':', dataset, 'queries', cluster, 'v1', case when part > 0 then 'part' || part end)), 'v1', 'sys', concat(n, ' docs: ', listing))), 1, 32) as task_id from l""",
 )
 def _(t):
     return curation.cluster_query_tasks(t.cluster_docs, "v1", "sys", "{n} docs: {listing}").select("dataset", "cluster", "task_id")

@@ -210,7 +210,11 @@ def test_clusters(spark):
     assert {r.slug: r.siblings for r in curation.cluster_siblings(docs).collect()}["y"] == "X (f0); Z (f2)"
     listing = curation.cluster_listing(docs).first()
     assert listing["n"] == 3 and listing.listing.split("\n")[1] == "- stem=c-y | title=Y | focus: f1"
-    assert curation.cluster_siblings(docs, max_docs=2).count() == 0
+    cut = {r.slug: r.siblings for r in curation.cluster_siblings(docs, per_part=2).collect()}
+    assert cut == {"x": "Y (f1)", "y": "X (f0)", "z": ""}
+    parts = sorted((r.part, r.parts, r["n"], r.listing) for r in curation.cluster_listing(docs, per_part=2).collect())
+    assert [p[:3] for p in parts] == [(0, 2, 3), (1, 2, 3)]
+    assert "\n".join(p[3] for p in parts) == listing.listing
     results = spark.createDataFrame(
         [("d", "t", "c", "succeeded", '[{"stem":"c-x","q":" ask "},{"stem":"c-q","q":"no"},{"stem":"c-y","q":""},{"stem":"c-z","q":"gone"}]')],
         "dataset string, task_id string, cluster string, status string, result string",

@@ -49,8 +49,13 @@ def test_targets(spark):
     assert payload[2]["known_corpus_docs"] == ["alpha"]
     assert payload[4]["section_text"].startswith("## One") and payload[4]["image_refs_in_doc"] == [{"alt": "a", "path": "images/a.png"}]
     assert payload[5]["section_text"] == "" and payload[5]["section_image_refs"] == []
-    big = json.loads(G.review_targets(pkg, inline_docs=0).where("target_type = 'dataset'").first().payload)
-    assert "corpus_docs" not in big and big["corpus_doc_count"] == 1
+    cut = G.review_targets(pkg, per_part=1).where("kind_ord = 0").orderBy("pos").collect()
+    head, rest = json.loads(cut[0].payload), json.loads(cut[1].payload)
+    assert head["query_summary"]["positive_expect_any_docs"] == ["alpha"]
+    assert head["query_summary"]["positive_expect_any_docs_parts"] == 2 and "corpus_docs_parts" not in head
+    assert head["query_summary"]["missing_expect_any_docs"] == ["ghost"]
+    assert rest == {"list": "positive_expect_any_docs", "part": 1, "parts": 2, "docs": ["ghost"]}
+    assert len(cut) == 2 and cut[1].target_type == "dataset_list"
 
 
 def test_modes(spark):

@@ -177,4 +177,6 @@ def test_pack(spark):
     df = spark.createDataFrame(rows, "dataset string, stem string, file_name string, text string")
     packs = {r.dataset: r.pack for r in C.assemble_packs(C.corpus_pack(df)).collect()}
     assert packs == {"d": "\n\n# STEM: a\nA\n\n# STEM: b\nB", "e": "\n\n# STEM: c\nC"}
-    assert C.assemble_packs(C.corpus_pack(df), max_chars=20).count() == 1
+    parts = sorted((r.dataset, r.part, r.parts, r.pack) for r in C.assemble_packs(C.corpus_pack(df), per_part=1).collect())
+    assert [p[:3] for p in parts] == [("d", 0, 2), ("d", 1, 2), ("e", 0, 1)]
+    assert parts[0][3] + parts[1][3] == packs["d"]
