@@ -155,7 +155,14 @@ def parse_model_json(text: Column) -> Column:
 def json_quote(s: Column) -> Column:
     """A JSON string literal with non-ASCII kept, as ``json.dumps`` writes it."""
     arr = F.to_json(F.array(s))
-    return F.regexp_replace(F.substring(arr, F.lit(2), F.length(arr) - 2), r"\\/", "/")
+    quoted = F.regexp_replace(F.substring(arr, F.lit(2), F.length(arr) - 2), r"\\/", "/")
+    # Control characters are written with lower-case hex digits.
+    control = r"[\x00-\x07\x0b\x0e-\x1f]"
+    for digit in "ABCDEF":
+        quoted = F.when(
+            s.rlike(control), F.regexp_replace(quoted, rf"(?<!\\)((?:\\\\)*\\u00[01]){digit}", f"$1{digit.lower()}")
+        ).otherwise(quoted)
+    return quoted
 
 
 def clean_text(v: Column) -> Column:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import jsontext as J
 
@@ -21,6 +25,16 @@ def task_id(dataset, stage, source_hash, prompt_version, system, user) -> Column
     return F.substring(F.sha2(payload.cast("binary"), 256), 1, 32)
 
 
+@F.pandas_udf(StringType())
+def _sorted_json(texts: pd.Series) -> pd.Series:
+    """Nested JSON with sorted keys, ``", "`` and ``": "``; only such values get here."""
+
+    def spaced(text: str | None) -> str | None:
+        return None if text is None else json.dumps(json.loads(text), sort_keys=True, ensure_ascii=False)
+
+    return texts.map(spaced, na_action="ignore")
+
+
 def candidate_id(raw: Column, q: Column, expect_any: Column) -> Column:
     """The record's own id, else 12 hex digits over its text, labels and evidence."""
     evidence = J.field(raw, "evidence")
@@ -29,7 +43,7 @@ def candidate_id(raw: Column, q: Column, expect_any: Column) -> Column:
     evidence_json = (
         F.when(chosen.isNull(), F.lit('""'))
         .when(J.is_string(chosen), J.json_quote(F.try_variant_get(chosen, "$", "string")))
-        .otherwise(F.to_json(chosen))
+        .otherwise(_sorted_json(F.when(~J.is_string(chosen), F.to_json(chosen))))
     )
     payload = F.concat(
         F.lit('{"evidence": '),

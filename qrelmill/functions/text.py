@@ -211,10 +211,18 @@ def char_stats(text: Column) -> Column:
 
 
 def normalize_path(path: Column) -> Column:
-    """A relative path without ``./`` segments and doubled slashes."""
-    p = F.regexp_replace(path, r"/(\./)+", "/")
-    p = F.regexp_replace(F.regexp_replace(p, r"^(\./)+", ""), r"/{2,}", "/")
-    return p
+    """A relative path without ``.`` segments and doubled slashes, and with each
+    ``..`` taken together with the segment before it; one that leads out of the
+    folder stays."""
+    plain = F.regexp_replace(F.regexp_replace(path, r"/(\./)+", "/"), r"^(\./)+", "")
+    plain = F.regexp_replace(plain, r"/{2,}", "/")
+
+    def step(done: Column, segment: Column) -> Column:
+        up = (segment == "..") & (F.size(done) > 0) & (F.element_at(done, -1) != "..")
+        return F.when(up, F.slice(done, F.lit(1), F.size(done) - 1)).otherwise(F.concat(done, F.array(segment)))
+
+    resolved = F.array_join(F.aggregate(F.split(plain, "/"), F.array().cast("array<string>"), step), "/")
+    return F.when(F.contains(plain, F.lit("..")), resolved).otherwise(plain)
 
 
 def tokenize(text: Column) -> Column:

@@ -82,11 +82,15 @@ def load_candidates(lines: DataFrame) -> DataFrame:
 
 
 def upsert_decisions(log: DataFrame) -> DataFrame:
-    """The latest saved decision per candidate of an append-only log."""
+    """The latest saved decision per candidate of an append-only log.
+
+    Decisions saved at the same time are told apart by ``seq`` where the log
+    has it, else by their content, so that the choice is always the same."""
     cols = ["decision", "edited_q", "edited_expect_any", "notes", "updated_at"]
+    ties = [c for c in ("seq",) if c in log.columns] + cols[:-1]
     return (
         log.groupBy("dataset", "candidate_id")
-        .agg(F.max_by(F.struct(*cols), "updated_at").alias("d"))
+        .agg(F.max_by(F.struct(*cols), F.struct("updated_at", *ties)).alias("d"))
         .select("dataset", "candidate_id", "d.*")
     )
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from ..functions.keys import apply_overrides, variant_label
 from ..functions.ranking import METRICS
 
@@ -138,7 +139,7 @@ def baseline_log_check(added: DataFrame, headers: DataFrame, changed: DataFrame)
     facts = (
         added.select(
             "change_id",
-            F.rtrim(F.ltrim("text")).alias("head"),
+            T.strip(F.col("text")).alias("head"),
             F.col("text").rlike(ENTRY_HEADER).alias("is_header"),
             F.col("text").rlike(METRIC_TOKEN).alias("has_metric"),
         )

@@ -299,8 +299,16 @@ def review_groups(
 # --- responses -------------------------------------------------------------
 
 
+def _as_number(v: Column) -> Column:
+    """A number, or text that reads as one; a plain cast would take Java's
+    suffixes and hexadecimal forms as well."""
+    text = F.trim(F.try_variant_get(v, "$", "string"))
+    plain = text.rlike(r"^[+-]?(\d+(_\d+)*\.?\d*|\.\d+)([eE][+-]?\d+)?$") | text.rlike("(?i)^[+-]?(inf|infinity|nan)$")
+    return F.when(J.is_number(v) | (J.is_string(v) & plain), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+
+
 def _clamped_score(v: Column) -> Column:
-    number = F.when(J.is_number(v) | J.is_string(v), F.try_variant_get(v, "$", "string").try_cast("double")).when(
+    number = F.when(J.is_number(v) | J.is_string(v), _as_number(v)).when(
         J.kind(v) == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("int").cast("double")
     )
     ok = number.isNotNull() & ~F.isnan(number)
@@ -308,8 +316,7 @@ def _clamped_score(v: Column) -> Column:
 
 
 def _is_infinite(v: Column) -> Column:
-    number = F.when(J.is_number(v) | J.is_string(v), F.try_variant_get(v, "$", "string").try_cast("double"))
-    return F.coalesce(F.abs(number) == float("inf"), F.lit(False))
+    return F.coalesce(F.abs(_as_number(v)) == float("inf"), F.lit(False))
 
 
 def normalize_items(results: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import jsontext as J
 from ..functions import keys as K
+from ..functions import text as T
 from ..schemas import TASK_RESULTS
 
 SUCCEEDED, FAILED, MANUAL, RUNNING, DRY_RUN = (
@@ -255,56 +256,9 @@ def classify_responses(responses: DataFrame) -> DataFrame:
 
 
 def attempt_failed(status_code: Column, body: Column, error: Column) -> Column:
-    """An attempt fails on an error or an empty body."""
-    return error.isNotNull() | status_code.isNotNull() | F.coalesce(F.trim(body) == "", F.lit(True))
-
-
-def backoff_schedule(
-    attempts: DataFrame, policy: RetryPolicy = RetryPolicy(), bucket: int = 100_000
-) -> DataFrame:
-    """Waiting time range after each attempt and the slow-down wait once the
-    run of rate-limit answers since the last success is long enough.
-
-    ``attempts(task_id, attempt, status_code, body, error)``. The run length is
-    the number of rate-limit answers so far minus that number at the last
-    success. Both are counted inside buckets of ``bucket`` attempts and carried
-    over from the bucket totals, so one task may own any share of the log."""
-    failed = attempt_failed(F.col("status_code"), F.col("body"), F.col("error"))
-    limited = F.coalesce(F.col("status_code") == 429, F.lit(False)).cast("bigint")
-    inside = Window.partitionBy("task_id", "_b").orderBy("attempt").rowsBetween(Window.unboundedPreceding, 0)
-    local = (
-        attempts.withColumn("failed", failed)
-        .withColumn("_b", F.floor(F.col("attempt") / bucket))
-        .withColumn("_seen", F.sum(limited).over(inside))
-        .withColumn("_at_ok", F.max(F.when(~F.col("failed"), F.col("_seen"))).over(inside))
-    )
-    earlier = Window.partitionBy("task_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (
-        attempts.withColumn("_b", F.floor(F.col("attempt") / bucket))
-        .groupBy("task_id", "_b")
-        .agg(F.sum(limited).alias("_n"))
-    )
-    last_seen = local.where(~F.col("failed")).groupBy("task_id", "_b").agg(F.max("_seen").alias("_ok_seen"))
-    carried = (
-        totals.join(last_seen, ["task_id", "_b"], "left")
-        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .withColumn("_ok_before", F.max(F.col("_before") + F.col("_ok_seen")).over(earlier))
-        .select("task_id", "_b", "_before", "_ok_before")
-    )
-    at_success = F.greatest(F.col("_at_ok") + F.col("_before"), F.col("_ok_before"), F.lit(0))
-    base = F.least(
-        F.lit(policy.max_seconds), F.lit(policy.initial_seconds) * F.pow(F.lit(2.0), F.col("attempt") - 1)
-    )
-    low, high = (0.5, 1.5) if policy.jitter else (1.0, 1.0)
-    slow = F.least(F.lit(policy.max_seconds), F.lit(policy.initial_seconds) * F.col("streak"))
-    return (
-        local.join(carried, ["task_id", "_b"])
-        .withColumn("streak", F.col("_seen") + F.col("_before") - at_success)
-        .withColumn("wait_low", F.when(F.col("failed"), base * low))
-        .withColumn("wait_high", F.when(F.col("failed"), base * high))
-        .withColumn("slowdown", F.when(F.col("failed") & (F.col("streak") >= policy.slowdown_after), slow))
-        .drop("_b", "_seen", "_at_ok", "_before", "_ok_before")
-    )
+    """An attempt fails on an error, a status other than 2xx or a blank body."""
+    refused = F.coalesce(~status_code.between(200, 299), F.lit(False))
+    return error.isNotNull() | refused | T.is_blank(body)
 
 
 def attempt_rollup(attempts: DataFrame, budget: int | None = None, policy: RetryPolicy = RetryPolicy()) -> DataFrame:

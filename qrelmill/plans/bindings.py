@@ -145,8 +145,8 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         """select concat('task-', user_id, '-', event_type) as task_id,
           cast(row_number() over (partition by user_id, event_type order by event_id) as int) as attempt,
           cast(case when value < 8 then 429 when value < 12 then 529 when value < 15 then 500 when value < 16 then 401
-               when value < 17 then 404 end as int) as status_code,
-          case when value < 17 then null when value < 22 then ' ' else concat('ok ', event_id) end as body,
+               when value < 17 then 404 when value < 30 then 200 end as int) as status_code,
+          case when value < 17 then null when value < 20 then ' ' when value < 22 then concat(' ', chr(10), chr(9)) else concat('ok ', event_id) end as body,
           case when value < 17 then concat('http error ', event_id) end as error
           from events""",
     ),

@@ -1349,23 +1349,10 @@ def _(t):
     return t.attempts.select("task_id", "attempt", "status_code", K.retry_decision(F.col("status_code")).alias("retry"))
 
 
-@register(
-    "backoff_schedule",
-    "v_attempts",
-    """with a as (select *, status_code is not null or error is not null or trim(body) = '' as failed from v_attempts),
-    i as (select *, sum(case when failed then 0 else 1 end) over (partition by task_id order by attempt) as island from a),
-    s as (select *, sum(case when status_code = 429 then 1 else 0 end) over (partition by task_id, island order by attempt) as streak from i)
-    select task_id, attempt, failed, cast(streak as bigint) as streak, case when failed then least(60, 2 * pow(2, attempt - 1)) * 0.5 end as wait_low,
-      case when failed then least(60, 2 * pow(2, attempt - 1)) * 1.5 end as wait_high, case when failed and streak >= 3 then least(60::double, 2.0::double * streak) end as slowdown from s""",
-)
-def _(t):
-    return tasks.backoff_schedule(t.attempts).select("task_id", "attempt", "failed", "streak", "wait_low", "wait_high", "slowdown")
-
-
 @register(
     "attempt_rollup",
     "v_attempts",
-    """with a as (select *, status_code is not null or error is not null or trim(body) = '' as failed, status_code is null or status_code in (429, 529) or status_code >= 500 as retryable from v_attempts where attempt <= 4),
+    """with a as (select *, coalesce(status_code not between 200 and 299, false) or error is not null or trim(body, ' ' || chr(10) || chr(9)) = '' as failed, status_code is null or status_code in (429, 529) or status_code >= 500 as retryable from v_attempts where attempt <= 4),
     e as (select task_id, min(attempt) as at from a where not failed or not retryable or attempt = 4 group by task_id)
     select t.task_id, case when e.at is null then 'running' when x.failed then 'failed' else 'succeeded' end as status,
       cast(case when e.at is null then 0 when not x.failed then e.at when x.retryable then 4 else 1 end as int) as attempts,

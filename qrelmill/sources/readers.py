@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -28,6 +29,14 @@ def _whole_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
     )
 
 
+def below(path: Column, root: str) -> Column:
+    """The part of a file's path below ``root``, with a leading slash. The root
+    may be given with or without scheme and may hold any folder names."""
+    plain = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "", root).rstrip("/")
+    bare = F.regexp_replace(path, r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
+    return F.when(bare.startswith(plain + "/"), F.substr(bare, F.lit(len(plain) + 1))).otherwise(bare)
+
+
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """Paths and sizes below ``root``; file contents are not read."""
     return (
@@ -89,7 +98,7 @@ def scan_manifests(spark: SparkSession, root: str) -> DataFrame:
     pattern = r"/([^/]+)/(dataset|queries|targets)\.yaml$"
     files = (
         _whole_files(spark, root, "{dataset,queries,targets}.yaml")
-        .where(~F.col("path").contains("/corpus/"))
+        .where(~F.contains(below(F.col("path"), root), F.lit("/corpus/")))
         .select(
             F.regexp_extract("path", pattern, 1).alias("dataset"),
             F.regexp_extract("path", pattern, 2).alias("manifest"),
@@ -210,8 +219,9 @@ def load_packages(spark: SparkSession, root: str) -> Package:
     cannot be told from a missing one in a file listing."""
     files = list_files(spark, root)
     manifests = scan_manifests(spark, root)
-    inner = r"/([^/]+)/corpus/(.+)$"
-    asset_files = files.where(F.col("path").rlike(inner)).select(
+    inner = r"^/([^/]+)/corpus/(.+)$"
+    inside = files.withColumn("path", below(F.col("path"), root))
+    asset_files = inside.where(F.col("path").rlike(inner)).select(
         F.regexp_extract("path", inner, 1).alias("dataset"),
         F.regexp_extract("path", inner, 2).alias("path"),
         "length",
@@ -302,9 +312,10 @@ def report_metrics(report: DataFrame) -> DataFrame:
     ).where("value is not null")
 
 
-def scan_candidates(spark: SparkSession, root: str) -> DataFrame:
+def scan_candidates(spark: SparkSession, root: str, log: str | None = None) -> DataFrame:
     """Candidate lines per dataset: of ``<dataset>/candidates.jsonl`` where that
-    file exists, else of the audit log ``<dataset>/<dataset>.jsonl``."""
+    file exists, else of the audit log ``<dataset>/<dataset>.jsonl`` and, with
+    ``log``, of the task log that ``append_task_log`` wrote there."""
     pattern = r"/([^/]+)/([^/]+)\.jsonl$"
     lines = _lines(spark, root, "*.jsonl").select(
         F.regexp_extract("path", pattern, 1).alias("dataset"),
@@ -316,7 +327,16 @@ def scan_candidates(spark: SparkSession, root: str) -> DataFrame:
     lines = lines.where(direct | (F.col("file") == F.col("dataset"))).withColumn(
         "source", F.when(direct, "direct").otherwise("audit")
     )
-    return preferred_source(parse_lines(lines.drop("file")))
+    found = parse_lines(lines.drop("file"))
+    return preferred_source(found if log is None else found.unionByName(log_lines(spark, log)))
+
+
+def log_lines(spark: SparkSession, log: str) -> DataFrame:
+    """The events of a task log as candidate lines of source ``audit``."""
+    lines = parse_lines(_lines(spark, log).select("line_no", "value"))
+    return lines.select(J.as_string(J.field(F.col("v"), "dataset")).alias("dataset"), "line_no", F.lit("audit").alias("source"), "v").where(
+        "dataset is not null"
+    )
 
 
 def preferred_source(lines: DataFrame) -> DataFrame:

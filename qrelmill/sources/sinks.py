@@ -20,30 +20,40 @@ def _balanced(df: DataFrame, *keys: str) -> DataFrame:
     return df.hint("rebalance", *keys)
 
 
+def _by_dataset(df: DataFrame):
+    """A writer that replaces the datasets in ``df`` and leaves all others alone."""
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dataset")
+
+
 def write_queries(queries: DataFrame, violations: DataFrame, path: str, strict: bool = True) -> None:
     """Query records as JSON lines per dataset, absent keys left out.
 
-    A dataset with violations is not written. With ``strict`` any violation
-    stops the whole write before it starts."""
-    if strict and violations.limit(1).count():
-        sample = "; ".join(r["message"] for r in violations.select("message").limit(5).collect())
-        raise ExportBlocked(sample)
-    clean = queries.join(violations.select("dataset").distinct(), "dataset", "left_anti")
-    order = [c for c in ("pos", "updated_at", "candidate_id") if c in queries.columns]
-    fields = [F.col(c) for c in QUERY_FIELDS if c in queries.columns]
-    rows = _balanced(clean, "dataset").sortWithinPartitions("dataset", *order)
-    rows.select("dataset", *order, *fields).write.mode("overwrite").partitionBy("dataset").json(path)
+    A dataset with violations is not written; what an earlier export wrote for
+    it stays. With ``strict``, violations of a dataset that has queries here
+    stop the whole write before it starts; one without queries blocks nothing."""
+    found = violations.join(queries.select("dataset").distinct(), "dataset", "left_semi").select("dataset", "message")
+    blocked = found.groupBy("dataset").agg(F.min("message").alias("message")).persist()
+    try:
+        if strict:
+            sample = [r["message"] for r in blocked.select("message").limit(5).collect()]
+            if sample:
+                raise ExportBlocked("; ".join(sample))
+        clean = queries.join(blocked.select("dataset"), "dataset", "left_anti")
+        order = [c for c in ("pos", "updated_at", "candidate_id") if c in queries.columns]
+        fields = [F.col(c) for c in QUERY_FIELDS if c in queries.columns]
+        rows = _balanced(clean, "dataset").sortWithinPartitions("dataset", *order)
+        _by_dataset(rows.select("dataset", *order, *fields)).json(path)
+    finally:
+        blocked.unpersist()
 
 
 def write_targets(assets: DataFrame, chunks: DataFrame, path: str) -> None:
     for name, df in (("assets", assets), ("chunks", chunks)):
-        _balanced(df, "dataset").sortWithinPartitions("dataset", "pos").write.mode("overwrite").partitionBy(
-            "dataset"
-        ).parquet(f"{path}/{name}")
+        _by_dataset(_balanced(df, "dataset").sortWithinPartitions("dataset", "pos")).parquet(f"{path}/{name}")
 
 
 def write_corpus(docs: DataFrame, path: str) -> None:
-    _balanced(docs, "dataset").write.mode("overwrite").partitionBy("dataset").parquet(path)
+    _by_dataset(_balanced(docs, "dataset")).parquet(path)
 
 
 def quarantine(flagged: DataFrame, path: str, run_ts: str, apply: bool = False, noncanonical_only: bool = False) -> DataFrame:
@@ -69,7 +79,10 @@ def write_ablation(rows: DataFrame, path: str) -> None:
 
 
 def append_task_log(results: DataFrame, path: str, seq: str = "seq", ts: str = "ts") -> None:
-    """Append one finish event per task that was not skipped."""
+    """Append one finish event per task that was not skipped.
+
+    ``result`` is written as the JSON value it holds, so that the log reads
+    back as task state and as candidate lines (see ``scan_candidates``)."""
     events = results.where(~F.col("skipped")).select(
         "task_id",
         "dataset",
@@ -80,7 +93,20 @@ def append_task_log(results: DataFrame, path: str, seq: str = "seq", ts: str = "
         "attempts",
         F.col("error").alias("last_error"),
         "raw_response",
-        "result",
+        F.try_parse_json("result").alias("result"),
         F.col(ts).alias("ts") if ts in results.columns else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"),
     )
     events.write.mode("append").json(path)
+
+
+def append_task_starts(planned: DataFrame, path: str) -> None:
+    """Append one start event per task of a plan that is about to be sent. Its
+    ``seq`` is before that of every finish event written later."""
+    planned.where(~F.col("skipped")).select(
+        "task_id",
+        "dataset",
+        "stage",
+        F.lit("start").alias("kind"),
+        F.unix_micros(F.current_timestamp()).alias("seq"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"),
+    ).write.mode("append").json(path)

@@ -58,36 +58,17 @@ def test_attempt_rollup(spark, log, budget, want):
     assert (row.status, row.attempts) == want
 
 
-def test_retry_and_backoff(spark):
+def test_retry_decision(spark):
     codes = [408, 409, 429, 529, 500, 503, 400, 401, 403, 404, None]
     df = spark.createDataFrame([(c,) for c in codes], "c int")
     assert [r[0] for r in df.select(K.retry_decision(F.col("c"))).collect()] == [True] * 6 + [False] * 4 + [True]
-    log = [(429,), (429,), (429,), (None,), (429,)]
-    rows = [("t", i + 1, c[0], None if c[0] else "ok", None) for i, c in enumerate(log)]
-    got = T.backoff_schedule(spark.createDataFrame(rows, ATTEMPTS)).orderBy("attempt").collect()
-    assert [(r.streak, r.wait_low, r.wait_high, r.slowdown) for r in got] == [
-        (1, 1.0, 3.0, None), (2, 2.0, 6.0, None), (3, 4.0, 12.0, 6.0), (0, None, None, None), (1, 16.0, 48.0, None)
-    ]
-    flat = T.backoff_schedule(spark.createDataFrame(rows, ATTEMPTS), T.RetryPolicy(max_seconds=3, jitter=False)).orderBy("attempt").first()
-    assert (flat.wait_low, flat.wait_high) == (2.0, 2.0)
-
-
-def test_streak_across_buckets(spark):
-    import random
-
-    rnd = random.Random(3)
-    rows, want = [], {}
-    for task in range(4):
-        streak = 0
-        for k in range(1, 200):
-            code = rnd.choice([429, 429, 500, None])
-            streak = 0 if code is None else streak + (code == 429)
-            rows.append((f"t{task}", k, code, None if code else "ok", None))
-            want[f"t{task}", k] = streak
-    df = spark.createDataFrame(rows, ATTEMPTS)
-    for bucket in (7, 1000):
-        got = {(r.task_id, r.attempt): r.streak for r in T.backoff_schedule(df, bucket=bucket).collect()}
-        assert got == want
+
+
+def test_what_counts_as_a_failed_attempt(spark):
+    rows = [(200, "ok", None), (None, "ok", None), (204, "\n\t ", None), (None, "\n", None), (302, "ok", None), (200, "ok", "boom")]
+    df = spark.createDataFrame(rows, "s int, b string, e string")
+    failed = [r[0] for r in df.select(T.attempt_failed(F.col("s"), F.col("b"), F.col("e"))).collect()]
+    assert failed == [False, False, True, True, True, True]
 
 
 EVENTS = [
