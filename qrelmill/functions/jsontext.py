@@ -163,7 +163,3 @@ def json_quote(s: Column) -> Column:
             s.rlike(control), F.regexp_replace(quoted, rf"(?<!\\)((?:\\\\)*\\u00[01]){digit}", f"$1{digit.lower()}")
         ).otherwise(quoted)
     return quoted
-
-
-def clean_text(v: Column) -> Column:
-    return none_if_empty(strip(v))

@@ -19,7 +19,7 @@ from ..functions import text as T
 from ..operators import catalog, corpus, curation, gates, ordering, quality, ranking, review, scoring
 from ..operators import separation as sep
 from ..operators import tasks, validate
-from ..session import configure, ensure_checkpoint_dir
+from ..session import configure, shared_folder
 from ..sources import readers
 from ..streaming import audit
 from .bindings import Tables, duck
@@ -1679,7 +1679,7 @@ def _(t):
 
 
 def _streamed(t):
-    root = f"{ensure_checkpoint_dir(t.spark)}/audit-{uuid.uuid4().hex}"
+    root = f"{shared_folder(t.spark)}/audit-{uuid.uuid4().hex}"
     t.audit_events.write.json(f"{root}/log")
     audit.stream_status_counts(t.spark, f"{root}/log", f"{root}/state", f"{root}/counts", f"{root}/offsets").awaitTermination()
-    return audit.read_state(t.spark, f"{root}/state"), t.spark.read.parquet(f"{root}/counts")
+    return audit.read_state(t.spark, f"{root}/state"), audit.read_counts(t.spark, f"{root}/counts")

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Broadcasting is always decided on a measured size; above this many bytes a
 # side is never collected, whatever its row count.
@@ -37,20 +35,9 @@ def build_session(app: str = "qrelmill", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the cluster; a temporary one only where
-    the session names none, which is the case in tests."""
-    jsc = spark.sparkContext._jsc.sc()
-    current = jsc.getCheckpointDir()
-    if current.isDefined():
-        return current.get()
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    target = configured or tempfile.mkdtemp(prefix="qrelmill-ckpt-")
-    spark.sparkContext.setCheckpointDir(target)
-    return target
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` through the shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that driver and executors share: that of ``spark.checkpoint.dir``
+    or of the context, else the warehouse. Never a machine-local temporary one."""
+    current = spark.sparkContext._jsc.sc().getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or (current.get() if current.isDefined() else None)
+    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")

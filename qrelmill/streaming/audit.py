@@ -3,7 +3,8 @@
 Each micro-batch is folded on its own and written under its batch number, so a
 replayed batch overwrites itself and the cost of a batch does not grow with the
 state. Folds merge in any order; every ``compact_every`` batches they are merged
-into one base."""
+into one base, and the folds and bases behind it are removed. Counts are published
+under a new name per batch, so that a reader always finds a whole one."""
 
 from __future__ import annotations
 
@@ -14,16 +15,29 @@ from ..operators.tasks import audit_status_counts, fold_audit, merge_states
 from ..schemas import AUDIT_EVENTS
 
 
-def _complete(spark: SparkSession, path: str) -> dict[str, int]:
-    """Finished folds below ``path`` by folder name, with their number."""
+def _folder(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return jvm, root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _complete(spark: SparkSession, path: str) -> dict[str, int]:
+    """Finished folds below ``path`` by folder name, with their number: one
+    listing finds the marks that Spark leaves in finished folders."""
+    jvm, root, fs = _folder(spark, path)
     if not fs.exists(root):
         return {}
-    names = [s.getPath().getName() for s in fs.listStatus(root)]
-    done = [n for n in names if "-" in n and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
-    return {n: int(n.split("-")[1]) for n in done}
+    marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/*-*/_SUCCESS"))
+    names = [m.getPath().getParent().getName() for m in marks]
+    return {n: int(n.split("-")[1]) for n in names}
+
+
+def _prune(spark: SparkSession, path: str, base: int) -> None:
+    """Remove what the finished base of batch ``base`` replaces."""
+    jvm, _, fs = _folder(spark, path)
+    for name, number in _complete(spark, path).items():
+        if number < base or (number == base and name.startswith("batch-")):
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"), True)
 
 
 def _parts(spark: SparkSession, path: str, upto: int | None = None) -> list[str]:
@@ -43,6 +57,12 @@ def read_state(spark: SparkSession, state_path: str, upto: int | None = None) ->
     return merge_states(folds, folds.limit(0))
 
 
+def read_counts(spark: SparkSession, counts_path: str) -> DataFrame | None:
+    """The last published counts, or None before the first batch."""
+    found = _complete(spark, counts_path)
+    return spark.read.parquet(f"{counts_path}/{max(found, key=found.get)}") if found else None
+
+
 def stream_fold_audit(
     spark: SparkSession,
     log_path: str,
@@ -57,12 +77,15 @@ def stream_fold_audit(
     def fold(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         fold_audit(batch).write.mode("overwrite").parquet(f"{state_path}/batch-{batch_id}")
-        if (batch_id + 1) % compact_every == 0:
+        # A replayed batch finds its base finished and must not read and replace it.
+        if (batch_id + 1) % compact_every == 0 and f"base-{batch_id}" not in _complete(session, state_path):
             state = read_state(session, state_path, batch_id)
             state.write.mode("overwrite").parquet(f"{state_path}/base-{batch_id}")
+            _prune(session, state_path, batch_id)
         if counts_path:
             state = read_state(session, state_path, batch_id)
-            status_counts(state).write.mode("overwrite").parquet(counts_path)
+            status_counts(state).write.mode("overwrite").parquet(f"{counts_path}/counts-{batch_id}")
+            _prune(session, counts_path, batch_id - 1)
 
     stream = spark.readStream.schema(AUDIT_EVENTS).json(log_path)
     writer = stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
@@ -84,6 +107,7 @@ def stream_status_counts(
 
 __all__ = [
     "audit_status_counts",
+    "read_counts",
     "read_state",
     "status_counts",
     "stream_fold_audit",

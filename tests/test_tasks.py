@@ -170,5 +170,7 @@ def test_stream_equals_batch_over_replays_and_compaction(spark, tmp_path):
         df.where(f"seq between {lo} and {hi}").coalesce(1).write.mode("append").json(log)
         audit.stream_fold_audit(spark, log, state, str(tmp_path / "ck"), compact_every=2).awaitTermination()
     assert states(audit.read_state(spark, state)) == WANT
+    kept = {p.name for p in (tmp_path / "state").iterdir()}
+    assert sum(n.startswith("base-") for n in kept) <= 1 and len(kept) <= 2
     counts = {r.status: r["n"] for r in audit.status_counts(audit.read_state(spark, state)).collect()}
     assert counts == {"running": 2, "succeeded": 1}
