@@ -2,14 +2,17 @@
 
 Of all document rates that meet a source's target of words, entropy balancing takes those
 nearest to one (in relative entropy): documents tilted exponentially by their size,
-w = min(cap, exp(lambda * size / mean)), with one dual value per source. The dual is convex;
-Newton steps, kept inside a bracket, solve it for all sources at once. All a step needs of
-a source is how many documents it has of each size, so documents are counted by source and
-size first; a hot source and groups of copies become a few rows there.
-
-Rates become copies per (source, size): a rounded total, then corrected by whole copies of
-the largest size that still brings the source nearer to its target. Inside a class the
-documents that get the odd copies are the first by hash, ranked in hash ranges."""
+w = min(cap, exp(lambda * size / mean)), with one dual value per source. The dual is convex and
+Newton steps, kept inside a bracket, solve it, for all sources in parallel. All a step
+needs of a source is how many documents it has of each size, so documents are counted by
+source and size first, with partial sums: a hot source and groups of copies become a few
+numbers there. A source of w words has at most sqrt(2 w) sizes, so its counts are a list
+of a proven bound (1.5 million for 10^12 words) that one row can hold.
+
+Rates become copies per (source, size): a rounded total, then corrected from the largest
+size down by whole copies as long as they bring the source nearer to its target. Inside a
+class the documents that get the odd copies are the first by hash, ranked in hash
+ranges."""
 
 from __future__ import annotations
 
@@ -34,14 +37,12 @@ def word_count(column: str) -> Column:
 
 
 def targets(sources: DataFrame, work: Work, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """``sources`` (unnamed, name, source_size, docs) with weight and target.
+    """``sources`` (unnamed, name, source_size, ...) with weight and target.
 
     Weights go round the sources in code-point order, null last. A target above ``cap``
     times its source stops there; the rest is shared again by weight until none is above,
     which only needs the common level of target per weight."""
-    ranged = work.save(
-        sources.repartitionByRange(*KEY).withColumn("range", F.spark_partition_id()), "ranged"
-    )
+    ranged = work.save(sources.repartitionByRange(*KEY).withColumn("range", F.spark_partition_id()), "ranged")
     before = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
     before = before.withColumn("before", F.sum("n").over(Window.orderBy("range")) - F.col("n")).drop("n")
     place = F.row_number().over(Window.partitionBy("range").orderBy(*KEY)) - 1 + F.col("before")
@@ -61,85 +62,88 @@ def targets(sources: DataFrame, work: Work, weights: tuple[int, ...] = WEIGHTS,
     return weighed.withColumn("target", F.least(full, F.col("weight") * level))
 
 
-def balance(classes: DataFrame, aims: DataFrame, work: Work, cap: int = CAP) -> DataFrame:
-    """``aims`` (unnamed, name, source_size, docs, target) with ``dual``: the value at which the
-    tilted rates of ``classes`` (unnamed, name, size, n) give each source its target."""
-    mean = F.col("source_size") / F.col("docs")
-    now = work.save(
-        aims.filter("source_size > 0").select(
-            *KEY,
-            "target",
-            mean.alias("mean"),
-            (mean * F.log(F.lit(float(cap)))).alias("high"),
-            (mean * -60.0).alias("low"),
-            # Sources that need every copy, or none, start and stay at their end.
-            F.when(F.col("target") >= F.col("source_size") * cap * (1 - 1e-12), mean * F.log(F.lit(float(cap))))
-            .when(F.col("target") <= 0, mean * -60.0)
-            .otherwise(F.lit(0.0))
-            .alias("dual"),
-            F.lit(False).alias("done"),
-        ),
-        "dual0",
-    )
-    for i in range(1, NEWTON_ROUNDS + 1):
-        rate = rate_of(cap)
-        free = F.exp(F.col("dual") * F.col("size") / F.col("mean")) < cap
-        words = F.col("n") * F.col("size") * rate
-        sums = (
-            classes.filter("size > 0")
-            .join(now, KEY)
-            .groupBy(*KEY)
-            .agg(F.sum(words).alias("got"), F.sum(F.when(free, words * F.col("size") / F.col("mean"))).alias("slope"))
-        )
-        over = F.col("got") > F.col("target")
-        low, high = F.when(over, F.col("low")).otherwise(F.col("dual")), F.when(over, F.col("dual")).otherwise(F.col("high"))
-        newton = F.col("dual") - (F.col("got") - F.col("target")) / F.col("slope")
-        done = F.abs(F.col("got") - F.col("target")) <= TOLERANCE * F.col("target")
-        step = now.join(sums, KEY).withColumns({"low2": low, "high2": high, "newton": newton, "done": F.col("done") | done})
-        inside = (F.col("newton") > F.col("low2")) & (F.col("newton") < F.col("high2"))
-        dual = F.when(F.col("done"), F.col("dual")).when(inside, F.col("newton")).otherwise((F.col("low2") + F.col("high2")) / 2)
-        now = work.save(
-            step.select(*KEY, "target", "mean", F.col("high2").alias("high"), F.col("low2").alias("low"), dual.alias("dual"), "done"),
-            f"dual{i}",
-        )
-        work.drop(f"dual{i - 1}")
-        if not now.filter(~F.col("done")).limit(1).count():
-            break
-    return aims.join(now.select(*KEY, "mean", "dual"), KEY, "left")
-
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
-def rate_of(cap: int) -> Column:
-    return F.least(F.lit(float(cap)), F.exp(F.col("dual") * F.col("size") / F.col("mean")))
 
+def balanced(sources: DataFrame, cap: int = CAP) -> DataFrame:
+    """``sources`` (classes, source_size, docs, target, ...) with mean and ``dual``: the value
+    at which the tilted rates of a source's classes (size, n) give its target of words."""
+    most = F.lit(float(cap))
+    mean, target = F.col("mean"), F.col("target")
+    state = F.struct(
+        F.lit(0.0).alias("dual"), (mean * -60.0).alias("low"), (mean * F.log(most)).alias("high"), F.lit(False).alias("done")
+    )
 
-def copies(classes: DataFrame, aims: DataFrame, work: Work, cap: int = CAP) -> DataFrame:
-    """``classes`` with ``k``, the copies that all documents of a class have together."""
-    lot = F.xxhash64(*KEY, "size", F.lit(SEED)).bitwiseAND((1 << 53) - 1) / float(1 << 53)
-    most = F.col("n") * cap
-    wanted = F.coalesce(F.col("n") * rate_of(cap), F.lit(0.0))
-    now = classes.join(aims.select(*KEY, "mean", "dual", "target"), KEY).select(
-        *KEY, "size", "n", "target", F.when(F.col("size") > 0, F.least(most, F.floor(wanted + lot))).otherwise(0).alias("k")
+    def sums(dual: Column) -> Column:
+        def add(a: Column, c: Column) -> Column:
+            tilt = F.exp(dual * c["size"] / mean)
+            words = c["n"] * c["size"] * F.least(most, tilt)
+            slope = F.when(tilt < most, words * c["size"] / mean).otherwise(0.0)
+            return F.struct((a["got"] + words).alias("got"), (a["slope"] + slope).alias("slope"))
+
+        return F.aggregate("classes", F.struct(F.lit(0.0).alias("got"), F.lit(0.0).alias("slope")), add)
+
+    def newton(s: Column, _: Column) -> Column:
+        def move(f: Column) -> Column:
+            over = f["got"] > target
+            low, high = F.when(over, s["low"]).otherwise(s["dual"]), F.when(over, s["dual"]).otherwise(s["high"])
+            step = s["dual"] - F.try_divide(f["got"] - target, f["slope"])
+            inside = F.coalesce((step > low) & (step < high), F.lit(False))
+            done = F.abs(f["got"] - target) <= TOLERANCE * target
+            dual = F.when(done, s["dual"]).when(inside, step).otherwise((low + high) / 2)
+            return F.struct(dual.alias("dual"), low.alias("low"), high.alias("high"), done.alias("done"))
+
+        return F.when(s["done"], s).otherwise(_let(sums(s["dual"]), move))
+
+    # Sources that need every copy, or none, stay at their end of the bracket.
+    all_of_it = target >= F.col("source_size") * most * (1 - 1e-12)
+    solved = F.aggregate(F.sequence(F.lit(1), F.lit(NEWTON_ROUNDS)), state, newton)["dual"]
+    dual = F.when(F.col("source_size") == 0, 0.0).when(all_of_it, mean * F.log(most)).when(target <= 0, mean * -60.0)
+    return sources.withColumn("mean", F.greatest(F.lit(1.0), F.try_divide(F.col("source_size").cast("double"), F.col("docs")))).withColumn(
+        "dual", dual.otherwise(solved)
     )
-    now = work.save(now, "copies0")
-    for i in range(1, 200):
-        off = now.groupBy(*KEY).agg((F.first("target") - F.sum(F.col("k") * F.col("size"))).alias("off"))
-        room = F.when(F.col("off") > 0, most - F.col("k")).otherwise(F.col("k"))
-        pick = (
-            now.join(off, KEY)
-            .filter((F.col("size") > 0) & (room > 0) & (F.col("size") < 2 * F.abs("off")))
-            .groupBy(*KEY)
-            .agg(F.max("size").alias("size"), F.first("off").alias("off"))
-        )
-        pick = work.save(pick, f"pick{i}")
-        if not pick.limit(1).count():
-            break
-        many = F.least(room, F.greatest(F.lit(1), F.floor(F.abs("off") / F.col("size"))))
-        moved = F.when(F.col("off").isNull(), F.col("k")).otherwise(F.col("k") + F.signum("off").cast("long") * many)
-        now = work.save(
-            now.join(pick, [*KEY, "size"], "left").select(*KEY, "size", "n", "target", moved.alias("k")), f"copies{i}"
-        )
-        work.drop(f"copies{i - 1}", f"pick{i}")
-    return now
+
+
+def copies(sources: DataFrame, cap: int = CAP) -> DataFrame:
+    """``sources`` (classes from the largest size down, mean, dual, target, ...) with ``given``:
+    size, n and ``k``, the copies that all documents of the class have together."""
+
+    def rounded(c: Column) -> Column:
+        lot = F.xxhash64(*KEY, c["size"], F.lit(SEED)).bitwiseAND((1 << 53) - 1) / float(1 << 53)
+        rate = F.least(F.lit(float(cap)), F.exp(F.col("dual") * c["size"] / F.col("mean")))
+        k = F.when(c["size"] > 0, F.least(c["n"] * cap, F.floor(c["n"] * rate + lot))).otherwise(F.lit(0).cast("long"))
+        return F.struct(c["size"].alias("size"), c["n"].alias("n"), k.alias("k"))
+
+    drawn = sources.withColumn("drawn", F.transform("classes", rounded))
+    got = F.aggregate("drawn", F.lit(0).cast("long"), lambda a, c: a + c["k"] * c["size"])
+
+    def correct(s: Column, c: Column) -> Column:
+        room = F.when(s["off"] > 0, c["n"] * cap - c["k"]).otherwise(c["k"])
+        useful = (c["size"] > 0) & (room > 0) & (c["size"] < 2 * F.abs(s["off"]))
+
+        def move(many: Column) -> Column:
+            return F.struct(
+                (s["off"] - many * c["size"]).alias("off"),
+                F.concat(s["moves"], F.array(F.struct(c["size"].alias("size"), many.alias("many")))).alias("moves"),
+            )
+
+        nearest = F.greatest(F.lit(1).cast("long"), F.round(F.abs(s["off"]) / F.greatest(c["size"], F.lit(1))).cast("long"))
+        return F.when(useful, _let(F.signum(s["off"]).cast("long") * F.least(room, nearest), move)).otherwise(s)
+
+    none = F.expr("cast(array() as array<struct<size: bigint, many: bigint>>)")
+    start = F.struct((F.col("target") - got).alias("off"), none.alias("moves"))
+    moved = F.map_from_entries(F.aggregate("drawn", start, correct)["moves"])
+    return drawn.withColumn("moved", moved).withColumn(
+        "given",
+        F.transform(
+            "drawn",
+            lambda c: F.struct(
+                c["size"], c["n"], (c["k"] + F.coalesce(F.try_element_at(F.col("moved"), c["size"]), F.lit(0))).alias("k")
+            ),
+        ),
+    ).drop("drawn", "moved", "classes")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
@@ -162,13 +166,16 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) ->
         ).withColumns({"h": h, "range": F.pmod(h, F.lit(HASH_RANGES)).cast("int")}),
         "rows",
     )
-    classes = work.save(rows.groupBy(*KEY, "size").agg(F.count(F.lit(1)).alias("n")), "classes")
+    classes = rows.groupBy(*KEY, "size").agg(F.count(F.lit(1)).alias("n"))
     sources = classes.groupBy(*KEY).agg(
-        F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum(F.when(F.col("size") > 0, F.col("n"))).alias("docs")
+        F.sort_array(F.collect_list(F.struct("size", "n")), asc=False).alias("classes"),
+        F.sum(F.col("size") * F.col("n")).alias("source_size"),
+        F.sum(F.when(F.col("size") > 0, F.col("n"))).alias("docs"),
+    )
+    solved = work.save(copies(balanced(targets(sources, work, weights, cap), cap), cap), "solved")
+    given = solved.select(*KEY, "source_size", "target", F.explode("given").alias("g")).select(
+        *KEY, "source_size", "target", "g.size", "g.n", "g.k"
     )
-    aims = work.save(targets(sources, work, weights, cap), "aims")
-    aims = work.save(balance(classes, aims, work, cap), "balanced")
-    given = copies(classes, aims, work, cap).join(aims.select(*KEY, "source_size"), KEY)
     # A document's rank in its class: its hash range's offset and its place in the range.
     cells = rows.groupBy(*KEY, "size", "range").agg(F.count(F.lit(1)).alias("here"))
     offset = F.sum("here").over(Window.partitionBy(*KEY, "size").orderBy("range")) - F.col("here")

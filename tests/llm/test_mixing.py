@@ -1,10 +1,10 @@
+import math
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from qrelmill.llm import mixing
-from qrelmill.llm.work import Work
 from tests.llm.util import SCHEMA, awkward, with_clashes
 
 SF = "/root/testdata/sf0.01"
@@ -63,10 +63,15 @@ def test_awkward_documents(spark):
 
 
 def test_rates_are_tilted_and_meet_the_constraint(spark):
-    work = Work(spark, "mix-test")
-    classes = spark.createDataFrame([(False, "a", z, n) for z, n in [(1, 50), (10, 20), (200, 3), (5000, 1)]], "unnamed boolean, name string, size long, n long")
-    for target in (10.0, 900.0, 5850.0, 12_000.0, 17_549.0, 17_550.0):
-        aims = spark.createDataFrame([(False, "a", 5850, 74, target)], "unnamed boolean, name string, source_size long, docs long, target double")
-        row = mixing.balance(classes, aims, work).first()
-        rate = classes.select((F.col("n") * F.col("size") * F.least(F.lit(3.0), F.exp(F.lit(row["dual"]) * F.col("size") / row["mean"]))).alias("w"))
-        assert rate.agg(F.sum("w")).first()[0] == pytest.approx(target, rel=1e-6)
+    sizes = [(5000, 1), (200, 3), (10, 20), (1, 50)]
+    aims = [10.0, 900.0, 5850.0, 12_000.0, 17_549.0, 17_550.0]
+    rows = [(False, str(i), sizes, 5850, 74, t) for i, t in enumerate(aims)]
+    schema = "unnamed boolean, name string, classes array<struct<size: long, n: long>>, source_size long, docs long, target double"
+    for r in mixing.balanced(spark.createDataFrame(rows, schema)).collect():
+        got = sum(n * z * min(3.0, math.exp(min(700, r["dual"] * z / r["mean"]))) for z, n in sizes)
+        assert got == pytest.approx(r["target"], rel=1e-6)
+
+
+def test_copies_come_near(spark):
+    docs = spark.createDataFrame([(i, "w " * n, "en", f"s{i % 2}", 0) for i, n in enumerate([1, 2, 3, 5, 8, 70, 90, 1, 1, 2] * 9)], SCHEMA)
+    check(docs, mixing.mix(docs).collect(), lambda s, aim: 1.0)
