@@ -156,10 +156,8 @@ def json_quote(s: Column) -> Column:
     """A JSON string literal with non-ASCII kept, as ``json.dumps`` writes it."""
     arr = F.to_json(F.array(s))
     quoted = F.regexp_replace(F.substring(arr, F.lit(2), F.length(arr) - 2), r"\\/", "/")
-    # Control characters are written with lower-case hex digits.
-    control = r"[\x00-\x07\x0b\x0e-\x1f]"
+    # Control characters are written with lower-case hex digits; hardly a text has one.
+    low = quoted
     for digit in "ABCDEF":
-        quoted = F.when(
-            s.rlike(control), F.regexp_replace(quoted, rf"(?<!\\)((?:\\\\)*\\u00[01]){digit}", f"$1{digit.lower()}")
-        ).otherwise(quoted)
-    return quoted
+        low = F.regexp_replace(low, rf"(?<!\\)((?:\\\\)*\\u00[01]){digit}", f"$1{digit.lower()}")
+    return F.when(s.rlike(r"[\x00-\x07\x0b\x0e-\x1f]"), low).otherwise(quoted)
