@@ -106,9 +106,12 @@ def balanced(sources: DataFrame, cap: int = CAP) -> DataFrame:
     )
 
 
-def copies(sources: DataFrame, cap: int = CAP) -> DataFrame:
+def copies(sources: DataFrame, work: Work, cap: int = CAP) -> DataFrame:
     """``sources`` (classes from the largest size down, mean, dual, target, ...) with ``given``:
-    size, n and ``k``, the copies that all documents of the class have together."""
+    size, n and ``k``, the copies that all documents of the class have together.
+
+    Each step is written before the next reads it: a plan that merges them would
+    compute the step before once per class."""
 
     def rounded(c: Column) -> Column:
         lot = F.xxhash64(*KEY, c["size"], F.lit(SEED)).bitwiseAND((1 << 53) - 1) / float(1 << 53)
@@ -116,7 +119,7 @@ def copies(sources: DataFrame, cap: int = CAP) -> DataFrame:
         k = F.when(c["size"] > 0, F.least(c["n"] * cap, F.floor(c["n"] * rate + lot))).otherwise(F.lit(0).cast("long"))
         return F.struct(c["size"].alias("size"), c["n"].alias("n"), k.alias("k"))
 
-    drawn = sources.withColumn("drawn", F.transform("classes", rounded))
+    drawn = work.save(sources.withColumn("drawn", F.transform("classes", rounded)).drop("classes"), "drawn")
     got = F.aggregate("drawn", F.lit(0).cast("long"), lambda a, c: a + c["k"] * c["size"])
 
     def correct(s: Column, c: Column) -> Column:
@@ -134,8 +137,8 @@ def copies(sources: DataFrame, cap: int = CAP) -> DataFrame:
 
     none = F.expr("cast(array() as array<struct<size: bigint, many: bigint>>)")
     start = F.struct((F.col("target") - got).alias("off"), none.alias("moves"))
-    moved = F.map_from_entries(F.aggregate("drawn", start, correct)["moves"])
-    return drawn.withColumn("moved", moved).withColumn(
+    moved = work.save(drawn.withColumn("moved", F.map_from_entries(F.aggregate("drawn", start, correct)["moves"])), "moved")
+    return moved.withColumn(
         "given",
         F.transform(
             "drawn",
@@ -143,7 +146,7 @@ def copies(sources: DataFrame, cap: int = CAP) -> DataFrame:
                 c["size"], c["n"], (c["k"] + F.coalesce(F.try_element_at(F.col("moved"), c["size"]), F.lit(0))).alias("k")
             ),
         ),
-    ).drop("drawn", "moved", "classes")
+    ).drop("drawn", "moved")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
@@ -172,8 +175,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) ->
         F.sum(F.col("size") * F.col("n")).alias("source_size"),
         F.sum(F.when(F.col("size") > 0, F.col("n"))).alias("docs"),
     )
-    solved = work.save(copies(balanced(targets(sources, work, weights, cap), cap), cap), "solved")
-    given = solved.select(*KEY, "source_size", "target", F.explode("given").alias("g")).select(
+    solved = work.save(balanced(targets(sources, work, weights, cap), cap), "solved")
+    given = copies(solved, work, cap).select(*KEY, "source_size", "target", F.explode("given").alias("g")).select(
         *KEY, "source_size", "target", "g.size", "g.n", "g.k"
     )
     # A document's rank in its class: its hash range's offset and its place in the range.
