@@ -23,13 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qrelmill.llm.shingles import WordHashes, combine, word_hashes, words_of
-from qrelmill.llm.work import Work, table
+from qrelmill.llm.work import Work, slices, table
 
 CLASS_BITS = 6
 CLASSES = 1 << CLASS_BITS
 CONTEXT_BITS = 12
 ORDERS = 3
-HEAD = 1 << 21
+HEAD = 1 << 20
 ADDED = 0.1  # of the base score
 PRIOR = 0.4  # of a bit's counts
 START = (0.4, 0.3, 0.3)
@@ -89,7 +89,7 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays = [pa.array(np.full(len(key), kind, np.int8)), *(pa.array(x, pa.int64()) for x in (key, n, ones))]
         return pa.RecordBatch.from_arrays(arrays, ["kind", "key", "n", "ones"])
 
-    for batch in batches:
+    for batch in slices(batches, "text"):
         tokens = Tokens(batch.column("text"), cache)
         words, n = np.unique(tokens.hash, return_counts=True)
         yield rows(0, words.view(np.int64), n, np.zeros(len(n)))
@@ -172,7 +172,7 @@ def _score(shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, cache = shared.value, WordHashes()
-        for batch in batches:
+        for batch in slices(batches, "text"):
             tokens = Tokens(batch.column("text"), cache)
             texts = len(tokens.size)
             of = np.repeat(np.arange(texts), tokens.size)
@@ -232,12 +232,12 @@ def fit(training: DataFrame, work: Work, head: int = HEAD):
         if room < 0:
             break
         cut = s
-    frequent = words.filter(F.col("n") >= 2.0**cut).toPandas()  # at most ``head`` rows
-    contexts = counted.filter("kind = 1").select("key", "n", "ones").toPandas()  # of a table of fixed size
+    frequent = words.filter(F.col("n") >= 2.0**cut).toArrow()  # at most ``head`` rows
+    contexts = counted.filter("kind = 1").select("key", "n", "ones").toArrow()  # of a table of fixed size
     tables = np.zeros((2, ORDERS * CLASSES << CONTEXT_BITS))
-    tables[:, contexts["key"].to_numpy(np.int64)] = contexts[["n", "ones"]].to_numpy(np.float64).T
+    tables[:, contexts["key"].to_numpy()] = np.stack([contexts["n"].to_numpy(), contexts["ones"].to_numpy()])
     model = Model(
-        frequent["word"].to_numpy(np.int64).view(np.uint64), frequent["n"].to_numpy(np.int64), per_class, tables
+        frequent["word"].to_numpy().view(np.uint64), frequent["n"].to_numpy().astype(np.int32), per_class, tables
     )
     return model, words.filter(F.col("n") < 2.0**cut), int(per_class[0].sum()), int(per_class[1].sum())
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qrelmill.llm.work import Work, table
+from qrelmill.llm.work import Work, slices, table
 
 PIECE = 1 << 20
 GRAM = 64
@@ -156,7 +156,7 @@ def _batch(names: list[str], row: list[np.ndarray], columns: list[np.ndarray]) -
 def _anchors(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(length, gram)
-        for batch in batches:
+        for batch in slices(batches, "body"):
             row, columns = [], []
             for r, text in zip(batch.column("row").to_numpy(), batch.column("body"), strict=True):
                 found = windows.anchors(_bytes(text))
@@ -171,7 +171,7 @@ def _anchors(length: int, gram: int):
 def _cells(length: int, gram: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(length, gram)
-        for batch in batches:
+        for batch in slices(batches, "body"):
             row, columns = [], []
             for r, text, open_ in zip(batch.column("row").to_numpy(), batch.column("body"), batch.column("open"), strict=True):
                 x, low, high = (open_.values.field(c).to_numpy() for c in ("x", "low", "high"))
@@ -195,7 +195,7 @@ def _remove(length: int):
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "body"):
             rows = []
             for text, gone in zip(batch.column("body"), batch.column("gone"), strict=True):
                 data = _bytes(text)
@@ -279,9 +279,9 @@ def remove_repeats(docs: DataFrame, length: int = 400, gram: int = GRAM, cells:
         unsettled = shared.filter("whole IS NULL")
         beside = (
             shared.filter("whole")
-            .join(unsettled.select("core").distinct().hint("merge"), "core", "left_semi")
-            .groupBy("span")
+            .groupBy("core", "span")
             .agg(F.min(F.struct(*STATE)).alias("one"))
+            .join(unsettled.select("core").distinct().hint("merge"), "core", "left_semi")
         )
         still = unsettled.select(*STATE).unionByName(beside.select("one.*"))
     cover = gone[0]

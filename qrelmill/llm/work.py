@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -51,3 +55,15 @@ class Work:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``limit`` bytes of ``column``, one row at least,
+    so that a task's memory does not follow the number of rows in a batch."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes) // limit
+        starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else []
+        ends = [*starts[1:], batch.num_rows]
+        for start, end in zip(starts, ends, strict=True):
+            yield batch.slice(start, end - start)
