@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qrelmill.llm.work import table
+from qrelmill.llm.work import slices, table
 
 # Fixed values of the format.
 SPACE = "▁"
@@ -30,8 +30,8 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
 UNKNOWN_TEXT = " ⁇ "
 
-MAX_UNITS = 400_000
-MAX_PAIRS = 400_000
+MAX_UNITS = 700_000
+MAX_PAIRS = 600_000
 LONG_UNIT = 48
 
 
@@ -68,7 +68,9 @@ class PieceModel:
         #: No piece goes from another character to a space mark: all paths meet there.
         self.meets = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.pieces)
         self.unit = re.compile(f"[ {SPACE}]*[^ {SPACE}]+|[ {SPACE}]+" if self.meets else "(?s).+")
-        self._pairs: dict[tuple[str, str], bool] = {}
+        #: Ends of pieces: a candidate that is none cannot grow into a piece.
+        self.ends = {p[i:] for p in self.pieces for i in range(len(p))}
+        self._pairs: dict[tuple[str | None, str], bool] = {}
         self._units: dict[str, bytes] = {}
 
     def merge(self, text: str) -> list[str]:
@@ -84,47 +86,60 @@ class PieceModel:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def _stable(self, a: str, b: str) -> bool:
-        got = self._pairs.get((a, b))
-        if got is None:
-            if len(self._pairs) > MAX_PAIRS:
-                self._pairs.clear()
-            got = self._pairs[a, b] = self.merge(a + b) == [a, b]
+    def _stable(self, a: str | None, b: str) -> bool:
+        """Whether the merges over both pieces give them again; with no ``a``, over ``b``."""
+        if len(self._pairs) > MAX_PAIRS:
+            self._pairs.clear()
+        got = self._pairs[a, b] = (self.merge(b) == [b]) if a is None else (self.merge(a + b) == [a, b])
         return got
 
-    def best_last(self, text: str, end: int, score: list[float], last: list[str | None], base: int) -> tuple[float, str]:
-        """Score and piece of the best path to ``end``; the lists begin at ``base``."""
-        best, piece = None, ""
-        for start in range(max(base, end - self.longest), end):
+    def _candidates(self, text: str, end: int, base: int) -> list[tuple[int, str]]:
+        """(start, piece) of all pieces that end at ``end``, shortest first; a character
+        that is no piece is one."""
+        out, pieces, ends = [], self.pieces, self.ends
+        start = end - 1
+        p = text[start:end]
+        out.append((start, p))
+        while p in ends and start > base:
+            start -= 1
             p = text[start:end]
-            s = self.score.get(p)
-            if s is None:
-                if end - start > 1:
-                    continue
-                s = self.unknown_score
-            before = last[start - base]
-            if self.type == BPE:
-                if self._stable(before, p) if before is not None else self.merge(p) == [p]:
-                    return 0.0, p
-                continue
-            total = score[start - base] + s
-            if best is None or total > best:
-                best, piece = total, p
-        return best, piece
-
-    def segment(self, text: str) -> Iterator[str]:
-        """The pieces of ``text`` as they become certain."""
-        base, n = 0, len(text)
+            if p in pieces:
+                out.append((start, p))
+        return out
+
+    def segment(self, text: str) -> Iterator[list[str]]:
+        """The pieces of ``text``, in runs, as they become certain."""
+        base, n, limit = 0, len(text), 2 * self.longest
         score: list[float] = [0.0]
         last: list[str | None] = [None]
+        bpe, pieces, ends, pairs, stable = self.type == BPE, self.pieces, self.ends, self._pairs, self._stable
         for end in range(1, n + 1):
-            s, piece = self.best_last(text, end, score, last, base)
-            score.append(s)
-            last.append(piece)
-            if end == n or end - base >= 2 * self.longest:
+            if bpe:
+                # The longest end of a piece here, then the pieces from long to short.
+                start = end - 1
+                while start > base and text[start - 1 : end] in ends:
+                    start -= 1
+                while True:
+                    p = text[start:end]
+                    if p in pieces or start == end - 1:
+                        before = last[start - base]
+                        ok = pairs.get((before, p))
+                        if ok or (ok is None and stable(before, p)):
+                            break
+                    start += 1
+                last.append(p)
+            else:
+                best, piece = None, ""
+                for start, p in self._candidates(text, end, base):
+                    total = score[start - base] + self.score.get(p, self.unknown_score)
+                    if best is None or total > best:
+                        best, piece = total, p
+                score.append(best)
+                last.append(piece)
+            if end == n or end - base >= limit:
                 meet = end if end == n else self._meeting(base, end, last)
                 if meet > base:
-                    yield from self._path(base, meet, last)
+                    yield self._path(base, meet, last)
                     del score[: meet - base], last[: meet - base]
                     base = meet
 
@@ -147,14 +162,15 @@ class PieceModel:
 
     def _ids(self, unit: str) -> bytes:
         ids: list[int] = []
-        for piece in self.segment(unit.replace(" ", SPACE)):
-            i = self.pieces.get(piece)
-            if i is not None:
-                ids.append(i)
-            elif self.bytes:
-                ids += (self.bytes[b] for b in piece.encode())
-            else:
-                ids.append(self.unknown)
+        for run in self.segment(unit.replace(" ", SPACE)):
+            for piece in run:
+                i = self.pieces.get(piece)
+                if i is not None:
+                    ids.append(i)
+                elif self.bytes:
+                    ids += (self.bytes[b] for b in piece.encode())
+                else:
+                    ids.append(self.unknown)
         out = np.array(ids, np.int32).tobytes()
         if len(unit) <= LONG_UNIT:
             if len(self._units) > MAX_UNITS:
@@ -189,7 +205,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = loaded(model)
-        for batch in batches:
+        for batch in slices(batches, "text"):
             packed = [pieces.encode(t.as_py() or "") for t in batch.column("text")]
             ends = np.cumsum([0, *(len(p) // 4 for p in packed)])
             ids = np.frombuffer(b"".join(packed), np.int32)
@@ -221,7 +237,7 @@ def encode_checked(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = loaded(model)
-        for batch in batches:
+        for batch in slices(batches, "text"):
             packed, same = [], []
             for t in batch.column("text"):
                 text = t.as_py() or ""

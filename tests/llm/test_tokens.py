@@ -79,9 +79,9 @@ def test_window_commits_before_the_end():
     text = "".join(rng.choice("abcdefgh") for _ in range(5000))
     stream, seen = model.segment(text), 0
     for _ in range(50):
-        seen += len(next(stream))
-    rest = "".join(stream)
-    assert seen + len(rest) == len(text)
+        seen += len("".join(next(stream)))
+    rest = "".join("".join(run) for run in stream)
+    assert 0 < seen < len(text) and text.endswith(rest) and seen + len(rest) == len(text)
     assert np.frombuffer(model.encode(text), np.int32).tolist() == PIECES.encode(text)
 
 
@@ -96,7 +96,7 @@ def test_unigram_search_is_optimal():
                 s = model.score.get(text[start:end], model.unknown_score if end - start == 1 else None)
                 if s is not None:
                     best[end] = max(best[end], best[start] + s)
-        pieces = list(model.segment(text))
+        pieces = [p for run in model.segment(text) for p in run]
         assert "".join(pieces) == text
         assert abs(sum(model.score.get(p, model.unknown_score) for p in pieces) - best[-1]) < 1e-6 * abs(best[-1]) + 1e-6
 
