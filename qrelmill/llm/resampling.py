@@ -115,10 +115,10 @@ def fit(docs: DataFrame, target_ids: DataFrame, target_rows: int = TARGET_ROWS)
         .mapInArrow(_count, "bucket long, raw long, target long")
         .groupBy("bucket")
         .agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
-        .toPandas()  # at most BUCKETS rows
+        .toArrow()  # at most BUCKETS rows
     )
     counts = np.zeros((2, BUCKETS))
-    counts[:, counted["bucket"].to_numpy(np.int64)] = counted[["raw", "target"]].to_numpy(np.float64).T
+    counts[:, counted["bucket"].to_numpy()] = np.stack([counted["raw"].to_numpy(), counted["target"].to_numpy()])
     if not counts[1].any():
         return np.zeros(BUCKETS)
     expected = counts[0] * (counts[1].sum() / counts[0].sum())
