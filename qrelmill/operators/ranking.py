@@ -27,6 +27,9 @@ BM25_K1, BM25_B = 1.2, 0.75
 RRF_K, WEIGHT_BM25, WEIGHT_VECTOR = 60, 0.3, 1.5
 DIGITS = 9
 BLOCK_DOCS = 2000
+# Queries that are scored against a slice of documents at once: bounds the block of scores.
+BLOCK_QUERIES = 8192
+SLICE_DOCS = 512
 HITS = "dataset string, id string, doc string, score double"
 
 
@@ -80,16 +83,21 @@ def _blocked_top(
     """Best documents per query. ``queries(dataset, id, …)`` are prepared once
     per block by ``score``; ``docs(dataset, doc, …)`` are then scored in batches."""
 
+    def blocks(part: pd.DataFrame) -> list:
+        number = pd.factorize(part["id"])[0] // BLOCK_QUERIES
+        return [score(block) for _, block in part.groupby(number, sort=True)]
+
     def run(prepared: dict, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best: dict[str, _TopHits] = {}
         for batch in batches:
             for dataset, part in batch.groupby("dataset", sort=False):
                 if dataset not in prepared:
                     continue
-                ids, scorer = prepared[dataset]
-                for start in range(0, len(part), 512):
-                    rows = part.iloc[start : start + 512]
-                    best.setdefault(dataset, _TopHits(top)).add(ids, rows["doc"].to_numpy(), scorer(rows))
+                hits = best.setdefault(dataset, _TopHits(top))
+                for start in range(0, len(part), SLICE_DOCS):
+                    rows = part.iloc[start : start + SLICE_DOCS]
+                    for ids, scorer in prepared[dataset]:
+                        hits.add(ids, rows["doc"].to_numpy(), scorer(rows))
         for dataset, hits in best.items():
             yield hits.frame(dataset)
 
@@ -99,7 +107,7 @@ def _blocked_top(
 
         def by_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             frame = shared.value
-            prepared = {d: score(part) for d, part in frame.groupby("dataset", sort=False)}
+            prepared = {d: blocks(part) for d, part in frame.groupby("dataset", sort=False)}
             yield from run(prepared, batches)
 
         hits = docs.mapInPandas(by_task, HITS)
@@ -116,7 +124,7 @@ def _blocked_top(
         def by_pair(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             if left.empty or right.empty:
                 return pd.DataFrame({"dataset": [], "id": [], "doc": [], "score": []})
-            prepared = {left["dataset"].iloc[0]: score(left)}
+            prepared = {left["dataset"].iloc[0]: blocks(left)}
             return pd.concat(run(prepared, iter([right])), ignore_index=True)
 
         keys = ["dataset", "qb", "db"]

@@ -420,9 +420,23 @@ def running_batch(batches: DataFrame) -> DataFrame:
     return latest_batch(batches.where(F.col("status") == "running"))
 
 
-def batch_may_start(batches: DataFrame) -> DataFrame:
-    """Datasets that have batches but none running."""
-    return batches.groupBy("dataset").agg((F.count_if(F.col("status") == "running") == 0).alias("may_start"))
+def batch_may_start(batches: DataFrame, datasets: DataFrame | None = None) -> DataFrame:
+    """Whether a dataset may start a batch: it has none running. With
+    ``datasets``, those that never had a batch may as well."""
+    rows = batches.select("dataset", "status")
+    if datasets is not None:
+        rows = rows.unionByName(datasets.select("dataset", F.lit("").alias("status")))
+    return rows.groupBy("dataset").agg((F.count_if(F.col("status") == "running") == 0).alias("may_start"))
+
+
+def start_batches(batches: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The batch rows to append for ``wanted(dataset, batch_id, started_at, ...)``:
+    those of datasets without a running batch, one per dataset, as running."""
+    open_ = batch_may_start(batches, wanted).where("may_start").select("dataset")
+    first = wanted.groupBy("dataset").agg(F.min("batch_id").alias("batch_id"))
+    return wanted.join(first, ["dataset", "batch_id"], "left_semi").join(open_, "dataset", "left_semi").withColumn(
+        "status", F.lit("running")
+    )
 
 
 def _of_batch(items: DataFrame, batches: DataFrame, batch_id: str | None) -> DataFrame:

@@ -57,7 +57,7 @@ def score_summary(df: DataFrame, keys: Sequence[str], score: str = "score") -> D
         & (F.col("_start") + F.col("_c") > F.floor((F.col("_n") - 1) / 2))
     )
     median = middle.groupBy(*keys).agg(((F.min("_v") + F.max("_v")) / 2).alias("median"))
-    return basics.drop("_b").join(median, keys)
+    return basics.drop("_b").join(median, keys, "left")
 
 
 def expect_none_satisfaction(negatives: DataFrame, cutoff: Column, keys: Sequence[str] = ("run_id",)) -> DataFrame:

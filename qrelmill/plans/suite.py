@@ -1537,9 +1537,16 @@ def _(t):
     return review.running_batch(t.batches).select("dataset", "batch_id", "created_at")
 
 
-@register("batch_may_start", "v_batches", "select dataset, not bool_or(status = 'running') as may_start from v_batches group by dataset")
+@register(
+    "batch_may_start",
+    "v_batches v_corpus",
+    """select dataset, not bool_or(status = 'running') as may_start from (select dataset, status from v_batches
+    union all select distinct dataset, '' from v_corpus union all select distinct dataset || '-new', '' from v_corpus) group by dataset""",
+)
 def _(t):
-    return review.batch_may_start(t.batches)
+    known = t.corpus.select("dataset").distinct()
+    new = known.select(F.concat("dataset", F.lit("-new")).alias("dataset"))
+    return review.batch_may_start(t.batches, known.unionByName(new))
 
 
 @register("batch_items", "v_items v_batches", f"with {LATEST_SQL} select i.dataset, i.batch_id, target_type, target_id, decision, score, case decision when 'fail' then 0 when 'warn' then 1 else 2 end as severity from v_items i join latest l on l.dataset = i.dataset and l.batch_id = i.batch_id")

@@ -112,6 +112,11 @@ def test_batches(spark):
     assert {r.dataset: r.batch_id for r in G.latest_batch(batches).collect()} == {"d": "b2", "e": "b3"}
     assert [r.batch_id for r in G.running_batch(batches).collect()] == ["b2"]
     assert {r.dataset: r.may_start for r in G.batch_may_start(batches).collect()} == {"d": False, "e": True}
+    wanted = spark.createDataFrame([("d", "b9"), ("e", "b9"), ("new", "b1"), ("new", "b2")], "dataset string, batch_id string")
+    may = {r.dataset: r.may_start for r in G.batch_may_start(batches, wanted).collect()}
+    assert may == {"d": False, "e": True, "new": True}
+    started = sorted((r.dataset, r.batch_id, r.status) for r in G.start_batches(batches, wanted).collect())
+    assert started == [("e", "b9", "running"), ("new", "b1", "running")]
     rows = [("d", "b2", t, i, dec, 1) for t, i, dec in [("query", "q1", "fail"), ("asset", "a", "pass"), ("query", "q0", "fail"), ("x", "y", "odd")]]
     rows.append(("d", "b1", "query", "q9", "fail", 1))
     items = spark.createDataFrame(rows, "dataset string, batch_id string, target_type string, target_id string, decision string, score int")
