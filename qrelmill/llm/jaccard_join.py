@@ -334,10 +334,14 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
         locals_.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("local", F.coalesce("root", "rep").alias("component")),
         "placed",
     )
-    return own.join(placed, "local").select(
+    # The first id that a task met need not be the least of its set.
+    least = own.groupBy("local").agg(F.min("doc_id").alias("least")).join(placed, "local")
+    least = work.save(least.groupBy("component").agg(F.min("least").alias("component_id")), "least")
+    named = work.save(placed.join(least, "component").select("local", "component_id"), "named")
+    return own.join(named, "local").select(
         F.nullif("doc_id", F.lit(NULL_ID)).alias("doc_id"),
         "n_shingles",
-        F.nullif("component", F.lit(NULL_ID)).alias("component_id"),
+        F.nullif("component_id", F.lit(NULL_ID)).alias("component_id"),
     )
 
 

@@ -63,6 +63,13 @@ def test_large_blocks_are_cut_without_losing_links(spark, monkeypatch):
     assert sorted(map(tuple, got.collect()), key=str) == brute_force(docs.collect(), 3, 80)
 
 
+def test_the_least_id_names_a_component_in_any_order(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, text if i % 2 else text + " more", "en", "s", 0) for i in range(30, 0, -1)]
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    assert {r["component_id"] for r in jaccard_join.jaccard_components(docs, 3, 90).collect()} == {1}
+
+
 def test_empty_table(spark):
     assert jaccard_join.jaccard_components(spark.createDataFrame([], SCHEMA)).count() == 0
 
