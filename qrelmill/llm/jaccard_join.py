@@ -3,7 +3,9 @@
 1. Routing. Documents of similar size share a size class. For a class, at most d shingles
    can differ between two linked sets, so if hash space is cut into more than d segments,
    some segment holds the same shingles in both: its hash is a signature that linked sets
-   share. Signatures are reduced inside each task, so a group of copies sends one row per
+   share. A class has as many segments more as it may have empty ones, which sign
+   nothing. Where sets are too small for that, the sets' first shingles by hash sign for
+   them, as many as must include a common one (prefix filter). Signatures are reduced inside each task, so a group of copies sends one row per
    task. Equal sets become one set; sets that share a signature land in one block.
 2. Search. In a block the sets are indexed by inverted lists, one per shingle. For a set
    of a shingles a partner must occur on at least T = t * a of its lists. DivideSkip sets
@@ -17,7 +19,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import log2
+from math import exp, log2, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,6 @@ PART_SETS = 800
 PART_SHINGLES = 1_500_000
 FLUSH = 2_000_000
 NULL_ID = -(1 << 63)  # a null id sorts before all others
-SPARE = 2  # segments beyond the need, so that empty ones may be left out
 
 
 class SizeClasses:
@@ -41,6 +42,7 @@ class SizeClasses:
     def __init__(self, percent: int):
         self.percent = percent
         self.lows = np.array([1], np.int64)
+        self.plans: dict[int, tuple[int, int] | None] = {}
 
     def _extend(self, size: int) -> None:
         lows = self.lows.tolist()
@@ -49,21 +51,40 @@ class SizeClasses:
             lows.append(max(low + 1, (low - 1) * 100 // self.percent + 1))
         self.lows = np.array(lows, np.int64)
 
-    def segments(self, size: int) -> list[tuple[int, int]]:
-        """(class, segments) under which a set of ``size`` signs: as the smaller one of a
-        pair under its own class, as the larger one under the class before."""
+    def _plan(self, c: int) -> tuple[int, int] | None:
+        """(segments, of them spare) of class ``c``; (0, 0) where the prefix signs, None
+        where only equal sets can link."""
+        if c not in self.plans:
+            least, small = int(self.lows[c]), int(self.lows[c + 1]) - 1
+            large = small * 100 // self.percent
+            differ = (small + large) * (100 - self.percent) // (100 + self.percent)
+            plan = None
+            if differ:
+                plan = (0, 0)
+                for spare in range(2, differ // 2 + 4):
+                    m = differ + 1 + spare
+                    empty = m * exp(-least / m)  # expected of the smallest sets
+                    if empty + 5 * sqrt(empty) + 1 <= spare:
+                        plan = (m, spare)
+                        break
+            self.plans[c] = plan
+        return self.plans[c]
+
+    def prefix(self, size: int) -> int:
+        """How many first shingles two linked sets must have a common one among."""
+        return size - -(-size * self.percent // 100) + 1
+
+    def segments(self, size: int) -> list[tuple[int, int, int]]:
+        """(class, segments, spare) under which a set of ``size`` signs: as the smaller one
+        of a pair under its own class, as the larger one under the class before."""
         top = size * 100 // self.percent + 2
         if self.lows[-1] <= top:
             self._extend(2 * top)
         own = int(np.searchsorted(self.lows, size, side="right")) - 1
         out = []
         for c in (own, own - 1):
-            if c >= 0:
-                small = int(self.lows[c + 1]) - 1
-                large = small * 100 // self.percent
-                differ = (small + large) * (100 - self.percent) // (100 + self.percent)
-                if differ:  # else only equal sets can link
-                    out.append((c, differ + 1 + SPARE))
+            if c >= 0 and (plan := self._plan(c)) is not None:
+                out.append((c, *plan))
         return out
 
 
@@ -88,14 +109,17 @@ def signatures(s: np.ndarray, classes: SizeClasses) -> np.ndarray:
     out = []
     mixed = _scramble(s, 0x2545F491)
     high = s >> np.uint64(32)
-    for c, m in classes.segments(len(s)):
+    for c, m, spare in classes.segments(len(s)):
+        if not m:
+            out.append(_scramble(s[: classes.prefix(len(s))], 0x9E37 + 2 * c))
+            continue
         segment = (high * np.uint64(m)) >> np.uint64(32)
         starts = np.flatnonzero(np.concatenate(([True], segment[1:] != segment[:-1])))
         with np.errstate(over="ignore"):
             sums = np.add.reduceat(mixed, starts)
             place = segment[starts] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(c * 0x1000193 + 1)
         out.append(_scramble(sums + _scramble(place, 0x0C1A55), 0x516))
-        if m - len(starts) > SPARE:  # too many empty segments to leave them out
+        if m - len(starts) > spare:  # too many empty segments to leave them out
             out.append(_scramble(np.array([c], np.uint64), 0xE3717))
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
