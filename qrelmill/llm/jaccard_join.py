@@ -191,9 +191,8 @@ def t_occurrence(
     """Indexes of the sets that link with ``query``. ``lists`` are the distinct shingles of
     the index, where each one's list starts, and the lists, ascending."""
     shingles, starts, posts = lists
-    at = np.searchsorted(shingles, query)
-    at = at[at < len(shingles)]
-    at = at[np.isin(shingles[at], query, assume_unique=True)]
+    at = np.minimum(np.searchsorted(shingles, query), len(shingles) - 1)
+    at = at[shingles[at] == query]
     a = len(query)
     need = -(-percent * a // 100)
     if len(at) < need:
