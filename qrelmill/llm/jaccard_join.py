@@ -4,8 +4,8 @@
    can differ between two linked sets, so if hash space is cut into more than d segments,
    some segment holds the same shingles in both: its hash is a signature that linked sets
    share. A class has as many segments more as it may have empty ones, which sign
-   nothing. Where sets are too small for that, the sets' first shingles by hash sign for
-   them, as many as must include a common one (prefix filter). Signatures are reduced inside each task, so a group of copies sends one row per
+   nothing; a set with more empty ones, which small sets may have, signs the class as
+   well. Signatures are reduced inside each task, so a group of copies sends one row per
    task. Equal sets become one set; sets that share a signature land in one block.
 2. Search. In a block the sets are indexed by inverted lists, one per shingle. For a set
    of a shingles a partner must occur on at least T = t * a of its lists. DivideSkip sets
@@ -52,28 +52,22 @@ class SizeClasses:
         self.lows = np.array(lows, np.int64)
 
     def _plan(self, c: int) -> tuple[int, int] | None:
-        """(segments, of them spare) of class ``c``; (0, 0) where the prefix signs, None
-        where only equal sets can link."""
+        """(segments, of them spare) of class ``c``; None where only equal sets can link."""
         if c not in self.plans:
             least, small = int(self.lows[c]), int(self.lows[c + 1]) - 1
             large = small * 100 // self.percent
             differ = (small + large) * (100 - self.percent) // (100 + self.percent)
             plan = None
             if differ:
-                plan = (0, 0)
                 for spare in range(2, differ // 2 + 4):
                     m = differ + 1 + spare
+                    plan = (m, spare)
                     empty = m * exp(-least / m)  # expected of the smallest sets
-                    if empty + 5 * sqrt(empty) + 1 <= spare:
-                        plan = (m, spare)
+                    if empty + 4 * sqrt(empty) + 1 <= spare:
                         break
             self.plans[c] = plan
         return self.plans[c]
 
-    def prefix(self, size: int) -> int:
-        """How many first shingles two linked sets must have a common one among."""
-        return size - -(-size * self.percent // 100) + 1
-
     def segments(self, size: int) -> list[tuple[int, int, int]]:
         """(class, segments, spare) under which a set of ``size`` signs: as the smaller one
         of a pair under its own class, as the larger one under the class before."""
@@ -110,9 +104,6 @@ def signatures(s: np.ndarray, classes: SizeClasses) -> np.ndarray:
     mixed = _scramble(s, 0x2545F491)
     high = s >> np.uint64(32)
     for c, m, spare in classes.segments(len(s)):
-        if not m:
-            out.append(_scramble(s[: classes.prefix(len(s))], 0x9E37 + 2 * c))
-            continue
         segment = (high * np.uint64(m)) >> np.uint64(32)
         starts = np.flatnonzero(np.concatenate(([True], segment[1:] != segment[:-1])))
         with np.errstate(over="ignore"):
