@@ -2,10 +2,12 @@
 
 Two generative models of hashed n-grams are counted: one over target texts (documents that
 are labelled good), one over all raw texts. A document's weight is the log ratio of its
-n-grams under both. It is kept if it is among the k largest sums of weight and Gumbel
-noise, which draws k documents without replacement in proportion to their weights; k is
-the number of documents that the target model explains about as well as the raw one: with
-a mean log ratio of no less than -``TOLERANCE`` per n-gram.
+n-grams under both. The target model explains it about as well as the raw one if the mean
+log ratio is no less than -``TOLERANCE`` per n-gram; k is the number of such documents.
+A document is kept if it is among the k largest sums of its margin, the log ratio and
+``TOLERANCE`` for each n-gram, and Gumbel noise, which draws k documents without replacement
+in proportion to the exponential of their margins. Number and order so share one measure:
+a margin has the sign of the test that k counts, whatever the length of the text.
 
 N-grams are words, pairs of words, and runs of three token shapes: what kind of token it is
 and whether it repeats one just before. Shapes let the models see repetition and symbol
@@ -150,6 +152,11 @@ def gumbel(id_column: str, seed: int = SEED) -> Column:
     return -F.log(-F.log((bits + 0.5) / float(1 << 53)))
 
 
+def margin(log_weight: Column, n_grams: Column) -> Column:
+    """How far a log weight is above -``TOLERANCE`` per n-gram; at least 0 for what k counts."""
+    return log_weight + TOLERANCE * n_grams
+
+
 def kth_largest(rows: DataFrame, column: str, k: int) -> float:
     """The k-th largest value, exact, by counting in ever narrower bins."""
     low, high = rows.agg(F.min(column), F.max(column)).first()
@@ -170,7 +177,7 @@ def kth_largest(rows: DataFrame, column: str, k: int) -> float:
 
 def threshold(weighed: DataFrame, keep: int | None = None) -> float:
     """The least key that is kept, from ``weighed`` (log_weight, n_grams, key); ``keep`` is k."""
-    k = weighed.filter(F.col("log_weight") >= -TOLERANCE * F.col("n_grams")).count() if keep is None else keep
+    k = weighed.filter(margin(F.col("log_weight"), F.col("n_grams")) >= 0).count() if keep is None else keep
     if k <= 0 or weighed.isEmpty():
         return float("inf")
     return kth_largest(weighed, "key", k)
@@ -185,13 +192,16 @@ def resample(docs: DataFrame, labels: DataFrame, keep: int | None = None, target
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     weigh = weigher(spark, fit(ids, good, target_rows))
     weighed = ids.select("doc_id", weigh("text").alias("w")).select("doc_id", "w.log_weight", "w.n_grams")
-    weighed = work.save(weighed.withColumn("key", F.col("log_weight") + gumbel("doc_id")), "weighed")
+    weighed = work.save(
+        weighed.withColumn("key", margin(F.col("log_weight"), F.col("n_grams")) + gumbel("doc_id")), "weighed"
+    )
     limit = threshold(weighed, keep)
 
     def kept(rows: DataFrame) -> DataFrame:
         if dict(rows.dtypes)["doc_id"] != "bigint":
             raise TypeError("doc_id must be a long")
-        return rows.filter(weigh("text")["log_weight"] + gumbel("doc_id") >= limit)
+        w = weigh("text")
+        return rows.filter(margin(w["log_weight"], w["n_grams"]) + gumbel("doc_id") >= limit)
 
     return weighed, kept, limit
 

@@ -58,3 +58,36 @@ def test_weights_are_log_ratios():
     assert resampling.features("one", cache).size == 2
     assert resampling.features("a b c", cache).size == 3 + 2 + 1
     assert not np.array_equal(resampling.features("go go go", cache)[-1:], resampling.features("go to be", cache)[-1:])
+
+
+def test_long_clean_documents_stay_before_short_junk(spark):
+    """A long text a little below the raw model is good by the tolerance: its length must
+    not put it behind short texts that the tolerance rejects."""
+    rows = [(i, -0.02 * 60_000, 60_000) for i in range(20)]
+    rows += [(100 + i, 1.0, 90) for i in range(20)]
+    rows += [(200 + i, -0.3 * 90, 90) for i in range(40)]
+    weighed = spark.createDataFrame(rows, "doc_id long, log_weight double, n_grams long")
+    weighed = weighed.withColumn("key", resampling.margin(F.col("log_weight"), F.col("n_grams")) + resampling.gumbel("doc_id"))
+    limit = resampling.threshold(weighed)
+    assert {r["doc_id"] for r in weighed.filter(F.col("key") >= limit).collect()} == {*range(20), *range(100, 120)}
+
+
+def test_long_clean_texts_of_classify(spark):
+    """From texts to decisions: all texts within the tolerance stay, long ones among them."""
+    import random
+
+    rng = random.Random(5)
+    good, other = [f"good{i}" for i in range(200)], [f"plain{i}" for i in range(60)]
+
+    def text(n, share):
+        return " ".join(rng.choice(other if rng.random() < share else good) for _ in range(n))
+
+    rows = [(i, text(300, 0.05)) for i in range(200)]  # labelled
+    rows += [(1000 + i, text(20_000, 0.12)) for i in range(6)]  # long
+    rows += [(2000 + i, text(30, 0.5)) for i in range(100)]  # short
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(200)], "doc_id long, quality int")
+    got = resampling.classify(docs, labels).collect()
+    long = [r for r in got if 1000 <= r["doc_id"] < 2000]
+    assert all(-resampling.TOLERANCE < r["log_weight"] / r["n_grams"] < 0 for r in long), long
+    assert all(r["kept"] for r in long), long
