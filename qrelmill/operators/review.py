@@ -106,8 +106,9 @@ def review_targets(pkg: Package, per_part: int = PART_PIECES) -> DataFrame:
 
     A document list of any size is kept in parts of ``per_part`` names. The
     dataset row holds the first part of each list and, where there are more,
-    their number; the other parts are dataset_list rows right behind it. Rows
-    whose manifest entry is not a mapping are left out."""
+    their number; the other parts are dataset_list rows right behind it. A query
+    row names the first part of the documents and, of the others, those that it
+    expects. Rows whose manifest entry is not a mapping are left out."""
     queries = pkg.queries.where("is_mapping")
     wanted = summary_docs(queries, pkg.corpus)
     lists = (
@@ -208,6 +209,8 @@ def review_targets(pkg: Package, per_part: int = PART_PIECES) -> DataFrame:
     negative = F.coalesce("expect_none", F.lit(False))
     ctx = expected_contexts(queries, pkg.corpus).drop("id")
     asked = queries.join(ctx, ["dataset", "pos"], "left").join(docs_list, "dataset", "left")
+    # The contexts come from a join with the whole corpus, whatever part names the document.
+    expected_here = F.transform(F.filter("contexts", lambda c: c["exists"]), lambda c: c["doc"])
     query_rows = out(
         asked,
         2,
@@ -216,7 +219,9 @@ def review_targets(pkg: Package, per_part: int = PART_PIECES) -> DataFrame:
         F.struct(
             F.struct("id", "q", "query_type", "expect_any", "expect_none", "expect_asset_any", "expect_chunk_any").alias("query"),
             F.when(negative, "negative").otherwise("positive").alias("query_role"),
-            F.coalesce("list", none_listed).alias("known_corpus_docs"),
+            F.when(F.col("list_parts").isNull(), F.coalesce("list", none_listed))
+            .otherwise(F.array_union("list", expected_here))
+            .alias("known_corpus_docs"),
             F.col("list_parts").alias("known_corpus_docs_parts"),
             F.col("contexts").alias("expected_doc_contexts"),
             F.when(negative, NOTE_NEGATIVE).otherwise(NOTE_POSITIVE).alias("review_note"),
@@ -270,8 +275,9 @@ def review_groups(
 ) -> DataFrame:
     """Tasks over consecutive groups of ``size`` targets, numbered from 1.
     ``targets`` of each group are kept as (target_type, target_id) for later.
-    Rows that go on with a dataset's lists are nothing to review by themselves."""
-    placed = chunk_rows(targets.where("target_type <> 'dataset_list'"), size, ["dataset"], ["kind_ord", "pos", "name", "target_id"], safe_rows)
+    Rows that go on with a dataset's lists are targets as well: they come right
+    behind their dataset, so that every name of a list is in some task."""
+    placed = chunk_rows(targets, size, ["dataset"], ["kind_ord", "pos", "name", "target_id"], safe_rows)
     entry = F.concat(
         F.lit('{"target_type":'),
         J.json_quote(F.col("target_type")),

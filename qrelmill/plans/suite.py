@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import jsontext as J
@@ -1494,6 +1494,64 @@ def _(t):
     return g.select("dataset", "grp", big(F.size("targets"), "n"), "task_id")
 
 
+@register(
+    "review_groups_whole",
+    "v_bench_queries v_bench_corpus",
+    """with w as (select dataset, id, 'd' || substr(id, 2) as doc from v_bench_queries),
+    f as (select w.*, c.stem is null as missing from w left join v_bench_corpus c on c.dataset = w.dataset and c.stem = w.doc)
+    select dataset, 'corpus_docs' as list, stem as doc, count(*) as n from v_bench_corpus group by all
+    union all select dataset, 'positive_expect_any_docs', doc, 1 from (select distinct dataset, doc from f)
+    union all select dataset, 'missing_expect_any_docs', doc, 1 from (select distinct dataset, doc from f where missing)
+    union all select dataset, 'known to ' || id, doc, 1 from f where not missing""",
+)
+def _(t):
+    """Every name of one dataset of all documents, read back from the prompts."""
+    none = {"names": "cast(null as array<string>)", "text": "cast(null as string)"}
+    one = t.bench_corpus.select("dataset").distinct()
+    blank = _package(t)
+    asked = t.bench_queries.select(
+        "dataset",
+        F.row_number().over(Window.partitionBy("dataset").orderBy("id")).alias("pos"),
+        F.lit(True).alias("is_mapping"),
+        "id",
+        "q",
+        F.expr(none["text"]).alias("query_type"),
+        F.array(F.concat(F.lit("d"), F.substring("id", 2, 99))).alias("expect_any"),
+        F.lit("list").alias("expect_any_kind"),
+        F.lit(False).alias("expect_none"),
+        F.expr(none["names"]).alias("expect_asset_any"),
+        F.lit("absent").alias("expect_asset_kind"),
+        F.expr(none["names"]).alias("expect_chunk_any"),
+        F.lit("absent").alias("expect_chunk_kind"),
+    )
+    pkg = validate.Package(
+        datasets=one.select("dataset", F.lit("").alias("description"), *(F.lit(c != "has_targets").alias(c) for c in blank.datasets.columns[2:])),
+        thresholds=blank.thresholds.limit(0),
+        queries=asked,
+        assets=blank.assets.limit(0),
+        chunks=blank.chunks.limit(0),
+        corpus=t.bench_corpus.select("dataset", "stem", F.concat("stem", F.lit(".md")).alias("file_name"), "text"),
+        asset_files=blank.asset_files.limit(0),
+    )
+    shape = """array<struct<target_id:string,list:string,docs:array<string>,corpus_docs:array<string>,known_corpus_docs:array<string>,
+      query:struct<expect_any:array<string>>,query_summary:struct<positive_expect_any_docs:array<string>,missing_expect_any_docs:array<string>>>>"""
+    groups = review.review_groups(review.review_targets(pkg, per_part=100), 8, user="{source}")
+    seen = groups.select("dataset", F.explode(F.from_json("user", shape)).alias("x"))
+    head = ("corpus_docs", "query_summary.positive_expect_any_docs", "query_summary.missing_expect_any_docs")
+    named = F.concat(
+        F.array(*(F.struct(F.lit(c.split(".")[-1]).alias("list"), F.col(f"x.{c}").alias("docs")) for c in head)),
+        F.array(
+            F.struct(F.col("x.list").alias("list"), F.col("x.docs").alias("docs")),
+            F.struct(
+                F.concat(F.lit("known to "), "x.target_id").alias("list"),
+                F.array_intersect("x.query.expect_any", "x.known_corpus_docs").alias("docs"),
+            ),
+        ),
+    )
+    rows = seen.select("dataset", F.explode(named).alias("l")).select("dataset", "l.list", F.explode("l.docs").alias("doc"))
+    return rows.groupBy("dataset", "list", "doc").agg(F.count(F.lit(1)).alias("n"))
+
+
 NORMAL_SQL = """
 st as (select *, coalesce(status = 'succeeded' and doc_id % 17 <> 0 and not (doc_id % 7 = 0 and doc_id % 21 = 0) and not (doc_id % 7 <> 0 and doc_id % 13 = 0), false) as ok from v_review_results r),
 a as (select st.dataset, st.batch_id, st.task_id, st.doc_id, 0 as pos, 'query' as target_type, 't-' || d.n as target_id, case when st.doc_id % 2 = 0 then 'warn' else 'pass' end as decision,

@@ -1,5 +1,6 @@
 """Review targets, responses and batches."""
 
+import dataclasses
 import json
 
 from pyspark.sql import functions as F
@@ -82,6 +83,22 @@ def test_groups_and_failures(spark):
     assert {r.reason for r in items.collect()} == {"Invalid review JSON", "boom"}
 
 
+def test_every_part_of_a_list_is_in_a_task(spark):
+    """Names behind the first part reach a prompt, and a query knows its expected documents."""
+    pkg = package(spark)
+    names = [f"a{i}" for i in range(9)]
+    more = spark.createDataFrame([("d", n, f"{n}.md", DOC) for n in names], X.CORPUS)
+    pkg = dataclasses.replace(pkg, corpus=pkg.corpus.unionByName(more))
+    groups = G.review_groups(G.review_targets(pkg, per_part=2), 3, user="{source}").orderBy("grp").collect()
+    rows = [x for g in groups for x in json.loads(g.user)]
+    listed = [d for x in rows for d in (x.get("corpus_docs", []) + (x["docs"] if x.get("list") == "corpus_docs" else []))]
+    assert listed == sorted(["alpha", *names])
+    missing = [d for x in rows if x["target_type"] == "dataset" for d in x["query_summary"]["missing_expect_any_docs"]]
+    assert missing == ["ghost"]
+    known = {x["target_id"]: x["known_corpus_docs"] for x in rows if x["target_type"] == "query"}
+    assert known["q1"] == ["a0", "a1", "alpha"] and known["query-2"] == ["a0", "a1"]
+
+
 def normalized(spark, *results):
     rows = [("d", "b", f"t{i}", "succeeded", None, r) for i, r in enumerate(results)]
     return G.normalize_items(spark.createDataFrame(rows, "dataset string, batch_id string, task_id string, status string, error string, result string"))
