@@ -370,22 +370,43 @@ def cluster_entries(docs: DataFrame) -> DataFrame:
 
 
 def cluster_siblings(docs: DataFrame, per_part: int = PART_PIECES) -> DataFrame:
-    """For each document of a cluster, the other documents as one text.
+    """For each document of a cluster, the others of its own part as one text.
 
-    The list of a cluster is built once and each document leaves itself out,
-    so no pairs are formed. A cluster of more than ``per_part`` documents is
-    cut into parts of neighbours by ``pos``; a document is told of its part, so
-    that texts grow with the cluster and not with its square."""
+    A part holds ``per_part`` neighbours by ``pos``. In a cluster of one part these
+    are all others; ``cluster_sibling_parts`` has the whole of larger ones."""
+    parts, listed = _cluster_parts(docs, per_part)
+    return parts.join(listed, ["dataset", "cluster", "part"]).select("dataset", "cluster", "slug", _other_entries())
+
+
+def cluster_sibling_parts(docs: DataFrame, per_part: int = PART_PIECES) -> DataFrame:
+    """For each document of a cluster, all other documents in numbered parts:
+    dataset, cluster, slug, part, parts, siblings.
+
+    The list of a cluster is built once per part of ``per_part`` neighbours by ``pos``,
+    and each document reads all parts and leaves itself out, so no pairs are formed.
+    Laid end to end with "; " between them the parts name every other document. A
+    part without any is left out; a document that is alone has one empty part."""
+    placed, listed = _cluster_parts(docs, per_part)
+    parts = listed.groupBy("dataset", "cluster").agg(F.count(F.lit(1)).cast("int").alias("parts"))
+    read = placed.select("dataset", "cluster", "slug").join(listed.join(parts, ["dataset", "cluster"]), ["dataset", "cluster"])
+    told = F.exists("all", lambda x: x["slug"] != F.col("slug")) | (F.col("parts") == 1)
+    return read.where(told).select("dataset", "cluster", "slug", "part", "parts", _other_entries())
+
+
+def _cluster_parts(docs: DataFrame, per_part: int) -> tuple[DataFrame, DataFrame]:
+    """Each document with its part, and the entries of each part in order."""
     parts = chunk_rows(
         cluster_entries(docs).drop("line"), per_part, ["dataset", "cluster"], ["pos", "slug"]
     ).withColumnRenamed("grp", "part")
     listed = parts.groupBy("dataset", "cluster", "part").agg(
         F.sort_array(F.collect_list(F.struct("pos", "slug", "entry"))).alias("all")
     )
+    return parts, listed
+
+
+def _other_entries() -> Column:
     others = F.filter("all", lambda x: x["slug"] != F.col("slug"))
-    return parts.join(listed, ["dataset", "cluster", "part"]).select(
-        "dataset", "cluster", "slug", F.array_join(F.transform(others, lambda x: x["entry"]), "; ").alias("siblings")
-    )
+    return F.array_join(F.transform(others, lambda x: x["entry"]), "; ").alias("siblings")
 
 
 def cluster_listing(docs: DataFrame, per_part: int = PART_PIECES) -> DataFrame:
@@ -397,15 +418,25 @@ def cluster_listing(docs: DataFrame, per_part: int = PART_PIECES) -> DataFrame:
     return listed.join(sizes, ["dataset", "cluster"]).select("dataset", "cluster", "n", "part", "parts", "listing")
 
 
-def cluster_doc_tasks(docs: DataFrame, version: str, system: str, user: str, stage: str = "generate_cluster_corpus") -> DataFrame:
-    """One writing task per cluster document, told about its siblings.
+def cluster_doc_tasks(
+    docs: DataFrame,
+    version: str,
+    system: str,
+    user: str,
+    stage: str = "generate_cluster_corpus",
+    per_part: int = PART_PIECES,
+) -> DataFrame:
+    """One writing task per cluster document and part of its siblings, so that its tasks
+    tell it of all of them; the first part's source is that of a cluster of one part.
 
     Placeholders: {title}, {focus}, {siblings}, {language}."""
-    sib = cluster_siblings(docs)
+    sib = cluster_sibling_parts(docs, per_part)
     rows = docs.join(sib, ["dataset", "cluster", "slug"]).withColumn("stem", F.concat_ws("-", "cluster", "slug"))
     values = {c: F.col(c) for c in ("title", "focus", "siblings", "language")}
-    source = F.concat_ws(":", "dataset", "stem", "language", F.lit(version))
-    return prompt_tasks(rows, stage, version, F.lit(system), fill(user, values), source, False, ("stem", "language", "title"))
+    later = F.when(F.col("part") > 0, F.concat(F.lit("part"), F.col("part").cast("string")))
+    source = F.concat_ws(":", "dataset", "stem", "language", F.lit(version), later)
+    extra = ("stem", "language", "title", "part")
+    return prompt_tasks(rows, stage, version, F.lit(system), fill(user, values), source, False, extra)
 
 
 def cluster_query_tasks(docs: DataFrame, version: str, system: str, user: str, stage: str = "generate_cluster_queries") -> DataFrame:

@@ -1154,6 +1154,18 @@ def _(t):
     return curation.cluster_siblings(t.cluster_docs, 30)
 
 
+@register(
+    "cluster_siblings_whole",
+    "v_cluster_docs",
+    """select a.dataset, a.cluster, a.slug, coalesce(string_agg(b.title || ' (' || b.focus || ')', '; ' order by b.pos), '') as siblings
+    from v_cluster_docs a left join v_cluster_docs b on b.dataset = a.dataset and b.cluster = a.cluster and b.slug <> a.slug group by all""",
+)
+def _(t):
+    told = curation.cluster_sibling_parts(t.cluster_docs, 3).groupBy("dataset", "cluster", "slug")
+    laid = F.array_sort(F.collect_list(F.struct("part", "siblings")))["siblings"]
+    return told.agg(F.array_join(laid, "; ").alias("siblings"))
+
+
 @register(
     "cluster_listing",
     "v_cluster_docs",

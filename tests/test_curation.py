@@ -251,3 +251,21 @@ def test_quality_and_repair(spark):
     c = counts.first()
     assert (c.moved, c.repaired, c.total) == (1, 3, 4) and moved.count() == 1
     assert sorted(r.stem for r in quality.missing_documents(df, 4).collect()) == ["zh-synthetic-003"]
+
+
+def test_siblings_of_all_parts(spark):
+    """A document of a cluster of several parts is told of every other one, in its tasks too."""
+    docs = spark.createDataFrame(
+        [("d", "c", i, s, s.upper(), "f", "en") for i, s in enumerate("vwxyz")] + [("d", "one", 0, "a", "A", "f", "en")],
+        "dataset string, cluster string, pos int, slug string, title string, focus string, language string",
+    )
+    got = curation.cluster_sibling_parts(docs, per_part=2).collect()
+    told = {}
+    for r in sorted(got, key=lambda r: (r.cluster, r.slug, r.part)):
+        told.setdefault(r.slug, []).append(r.siblings)
+    assert told.pop("a") == [""]
+    for slug in "vwxyz":
+        assert "; ".join(told[slug]) == "; ".join(f"{o.upper()} (f)" for o in "vwxyz" if o != slug)
+    tasks = curation.cluster_doc_tasks(docs, "v1", "sys", "{title}: {siblings}", per_part=2).collect()
+    assert sorted(t.user for t in tasks if t.stem == "c-v") == ["V: W (f)", "V: X (f); Y (f)", "V: Z (f)"]
+    assert len({t.task_id for t in tasks}) == len(tasks)
