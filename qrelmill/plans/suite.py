@@ -1760,3 +1760,43 @@ def _streamed(t):
     t.audit_events.write.json(f"{root}/log")
     audit.stream_status_counts(t.spark, f"{root}/log", f"{root}/state", f"{root}/counts", f"{root}/offsets").awaitTermination()
     return audit.read_state(t.spark, f"{root}/state"), audit.read_counts(t.spark, f"{root}/counts")
+
+
+VECTOR_WHOLE_SQL = """
+ev as (select vec_id, cast(embedding as double[]) as vec from embeddings),
+cs as (select q.dataset, q.id, 'd' || b.vec_id as doc, round(list_inner_product(a.vec, b.vec) / sqrt(list_inner_product(a.vec, a.vec)) / sqrt(list_inner_product(b.vec, b.vec)), 9) as score
+  from v_bench_queries q join ev a on q.id = 'b' || a.vec_id cross join ev b),
+vec as (select *, row_number() over (partition by dataset, id order by score desc, doc) as rank from cs qualify rank <= 100)"""
+WHOLE_LEGS_SQL = VECTOR_WHOLE_SQL + "," + _bm25_sql("v_bench_queries", "v_bench_corpus", 100)
+
+
+def _whole_legs(t):
+    """Both legs at full depth in one dataset: all documents, and all embeddings. A
+    benchmark text asks with the embedding of its number, where there is one."""
+    vectors = t.embeddings.select("vec_id", F.col("embedding").alias("vec"))
+    asking = t.bench_queries.join(vectors, F.col("id") == F.concat(F.lit("b"), "vec_id")).select("dataset", "id", "vec")
+    docs = vectors.select(F.lit("all").alias("dataset"), F.concat(F.lit("d"), "vec_id").alias("doc"), "vec")
+    return ranking.rank_bm25(t.bench_queries, t.bench_corpus), ranking.rank_vector(asking, docs)
+
+
+@register(
+    "rank_hybrid_whole",
+    "v_bench_queries v_bench_corpus",
+    f"with {WHOLE_LEGS_SQL}, f as ({_rrf_sql('x', '60', '0.3', '1.5')}) select dataset, id, doc, round(score, 6) as score, row_number() over (partition by dataset, id order by score desc, doc) as rank from f qualify rank <= 100",
+)
+def _(t):
+    bm25, vec = _whole_legs(t)
+    return ranking.rank_hybrid(bm25, vec).select("dataset", "id", "doc", r6("score").alias("score"), big("rank", "rank"))
+
+
+@register(
+    "sweep_hybrid_whole",
+    "v_bench_queries v_bench_corpus",
+    f"""with {WHOLE_LEGS_SQL}, f as ({_rrf_sql('baseline', '60', '0.3', '1.5')} union all {_rrf_sql('rrf_k=30', '30', '0.3', '1.5')} union all {_rrf_sql('w_bm25=1.0,w_vec=1.0', '60', '1.0', '1.0')})
+    select label, dataset, id, doc, round(score, 6) as score, row_number() over (partition by label, dataset, id order by score desc, doc) as rank from f qualify rank <= 100""",
+)
+def _(t):
+    bm25, vec = _whole_legs(t)
+    grid = gates.variant_grid(t.bench_queries.select("dataset").distinct(), VARIANTS, BASE_SETTINGS)
+    out = ranking.sweep_hybrid(bm25, vec, grid, top=100)
+    return out.select("label", "dataset", "id", "doc", r6("score").alias("score"), big("rank", "rank"))

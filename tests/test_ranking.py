@@ -86,3 +86,15 @@ def test_no_query_terms(spark):
     q = spark.createDataFrame([("d", "q", "unknown"), ("other", "q", "hello")], "dataset string, id string, q string")
     assert K.rank_bm25(q, c).count() == 0
     assert K.rank_bm25(q.withColumn("q", F.lit("hello")).where("dataset = 'd'"), c).first().doc == "s"
+
+
+def test_whole_hybrid_reads_all_documents_at_full_depth(spark):
+    """Documents without a vector are ranked as well, and hits behind the twentieth reach the fusion."""
+    from qrelmill.plans.suite import QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    hits = QUERIES["rank_hybrid_whole"](spark, sf).collect()
+    assert {r.id for r in hits} == {f"b{r.item_id}" for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
+    with_vector = {f"d{r.vec_id}" for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id").collect()}
+    assert any(r.doc not in with_vector for r in hits)
+    assert max(r["rank"] for r in hits) == 100
