@@ -1,16 +1,17 @@
 """LM scoring by online logistic context mixing.
 
 A word is coded by the six bits of its class, a hash, and by its frequency inside the
-class. Each bit is predicted from counts in several hashed contexts: the bits before it
+class. Each bit is predicted from exact counts in several contexts: the bits before it
 alone, with the last word, and with the last two words. The predictions are mixed in the
 logistic domain by weights that a gate selects: the bit's place and how often the longest
 context was seen. A text starts with the same weights everywhere and refines them as it
 goes, block by block, by the gradient of its coding cost, so its score depends on the
 training counts and on itself only.
 
-Training counts cover all training texts: words in a table that grows with the corpus,
-contexts in hashed tables of fixed size. The most frequent words, at most ``HEAD``, and the
-context tables are sent to all tasks; all other words meet their counts in a join."""
+Training counts cover all training texts: words and contexts are tables that grow with the
+corpus. A context's row holds how often each class followed it, at most ``CLASSES`` numbers.
+The most frequent words, at most ``HEAD``, and contexts, at most 2^``CONTEXT_BITS`` of an
+order, are sent to all tasks; all others meet their counts in a join."""
 
 from __future__ import annotations
 
@@ -27,7 +28,7 @@ from qrelmill.llm.work import Work, slices, table
 
 CLASS_BITS = 6
 CLASSES = 1 << CLASS_BITS
-CONTEXT_BITS = 12
+CONTEXT_BITS = 14  # frequent contexts of an order that every task holds
 ORDERS = 3
 HEAD = 1 << 20
 ADDED = 0.1  # of the base score
@@ -42,6 +43,9 @@ TOGETHER = 2048
 END, BEFORE = 0x9D8A7C6B5F4E3D21, 0x1B2C3D4E5F607182
 
 _DEPTHS = np.arange(CLASS_BITS)
+#: How many leading bits two classes share, by their exclusive or.
+_SHARED = np.array([CLASS_BITS - x.bit_length() for x in range(CLASSES)])
+_ROUND = np.uint64(CLASSES - 1)
 
 
 class Tokens:
@@ -54,9 +58,18 @@ class Tokens:
             hashes.append(word_hashes(words, cache))
             hashes.append(np.array([END], np.uint64))
             sizes.append(len(words) + 1)
-        self.size = np.array(sizes, np.int64)
+        self._set(np.concatenate(hashes) if hashes else np.empty(0, np.uint64), np.array(sizes, np.int64))
+
+    @classmethod
+    def again(cls, hashes: np.ndarray, sizes: np.ndarray) -> Tokens:
+        """The tokens that once had these hashes and sizes."""
+        out = cls.__new__(cls)
+        out._set(hashes, sizes)
+        return out
+
+    def _set(self, hashes: np.ndarray, sizes: np.ndarray) -> None:
+        self.size, self.hash = sizes, hashes
         self.start = np.cumsum(self.size) - self.size
-        self.hash = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
         self.group = (self.hash >> np.uint64(64 - CLASS_BITS)).astype(np.int64)
         n = len(self.hash)
         before = np.full(n + 2, np.uint64(BEFORE))
@@ -67,10 +80,10 @@ class Tokens:
         two[first] = np.uint64(BEFORE)
         second = first[self.size[self.size > 0] > 1] + 1
         two[second] = np.uint64(BEFORE)
-        shift = np.uint64(64 - CONTEXT_BITS)
-        last = (combine(one, 1) >> shift).astype(np.int64) if n else one.astype(np.int64)
-        both = combine(np.stack([two, one], axis=1).ravel(), 2)[::2] if n else one
-        self.context = np.stack([np.zeros(n, np.int64), last, (both >> shift).astype(np.int64)])
+        last = combine(one, 1) if n else one
+        both = combine(np.stack([two, one], axis=1).ravel(), 2)[::2] ^ np.uint64(END) if n else one
+        #: Contexts of the orders 1 and 2, with room for a class in the low bits.
+        self.keys = np.stack([last, both]) & ~_ROUND
 
 
 def slots(context: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,39 +96,50 @@ def slots(context: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cache = WordHashes()
-    counts = np.zeros((2, ORDERS * CLASSES << CONTEXT_BITS), np.int64)
 
-    def rows(kind: int, key: np.ndarray, n: np.ndarray, ones: np.ndarray) -> pa.RecordBatch:
-        arrays = [pa.array(np.full(len(key), kind, np.int8)), *(pa.array(x, pa.int64()) for x in (key, n, ones))]
-        return pa.RecordBatch.from_arrays(arrays, ["kind", "key", "n", "ones"])
+    def rows(kind: int, keys: np.ndarray) -> pa.RecordBatch:
+        key, n = np.unique(keys, return_counts=True)
+        arrays = [pa.array(np.full(len(key), kind, np.int8)), pa.array(key.view(np.int64)), pa.array(n, pa.int64())]
+        return pa.RecordBatch.from_arrays(arrays, ["kind", "key", "n"])
 
     for batch in slices(batches, "text"):
         tokens = Tokens(batch.column("text"), cache)
-        words, n = np.unique(tokens.hash, return_counts=True)
-        yield rows(0, words.view(np.int64), n, np.zeros(len(n)))
-        for at in range(0, len(tokens.hash), 1 << 18):
-            part = slice(at, at + (1 << 18))
-            where, bits = slots(tokens.context[:, part], tokens.group[part])
-            where = where.ravel()
-            counts[0] += np.bincount(where, minlength=counts.shape[1])
-            counts[1] += np.bincount(where[np.tile(bits.ravel() == 1, ORDERS)], minlength=counts.shape[1])
-    some = np.flatnonzero(counts[0])
-    yield rows(1, some, counts[0][some], counts[1][some])
+        yield rows(0, tokens.hash)
+        for order in (1, 2):
+            yield rows(order, tokens.keys[order - 1] | tokens.group.astype(np.uint64))
+
+
+def stretch(seen: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    p = (ones + PRIOR) / (seen + 2 * PRIOR)
+    return np.log(p / (1 - p)).astype(np.float32)
+
+
+def gates(seen: np.ndarray) -> np.ndarray:
+    return np.searchsorted([1, 16, 256], seen, side="right").astype(np.int8)
 
 
 class Model:
-    """What every scoring task holds: frequent words and context tables."""
+    """What every scoring task holds: frequent words and frequent contexts.
+
+    ``contexts`` are counts by slot, ``heads`` the sorted contexts of the orders 1 and 2
+    whose places are the slots."""
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, per_class: np.ndarray, contexts: np.ndarray):
+    def __init__(self, words: np.ndarray, counts: np.ndarray, per_class: np.ndarray, contexts: np.ndarray, heads=()):
         order = np.argsort(words)
         self.words, self.counts = words[order], counts[order]
         #: log10 of what a class's counts sum to, smoothed, with one unknown word a class
         self.class_total = np.log10(per_class[0] + ADDED * (per_class[1] + 1))
         seen, ones = contexts
-        p = (ones + PRIOR) / (seen + 2 * PRIOR)
-        self.stretched = np.log(p / (1 - p)).astype(np.float32)
-        longest = seen[(ORDERS - 1) * CLASSES << CONTEXT_BITS :]
-        self.gate = np.searchsorted([1, 16, 256], longest, side="right").astype(np.int8)
+        self.stretched = stretch(seen, ones)
+        self.gate = gates(seen[(ORDERS - 1) * CLASSES << CONTEXT_BITS :])
+        self.heads = heads
+
+    def place(self, keys: np.ndarray) -> np.ndarray:
+        """Slots (order, token) of contexts; -1 for those that are not frequent."""
+        out = np.zeros((ORDERS, keys.shape[1]), np.int64)
+        for o, head in enumerate(self.heads):
+            out[o + 1] = index_of(head, keys[o])
+        return out
 
     def count(self, hashes: np.ndarray) -> np.ndarray:
         """Counts of frequent words; 0 for all others."""
@@ -125,7 +149,48 @@ class Model:
         return np.where(self.words[at] == hashes, self.counts[at], 0)
 
 
-def mix(tokens: Tokens, model: Model) -> np.ndarray:
+def index_of(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Places of ``wanted`` in the sorted ``values``; -1 for none."""
+    if not len(values):
+        return np.full(len(wanted), -1)
+    at = np.minimum(np.searchsorted(values, wanted), len(values) - 1)
+    return np.where(values[at] == wanted, at, -1)
+
+
+class Found:
+    """Counts of the contexts that are not frequent, as joined to a batch's texts: for each
+    of ``keys`` the classes that followed, each as 64 times its count and the class."""
+
+    def __init__(self, tokens: Tokens, keys: np.ndarray, offsets: np.ndarray, classes: np.ndarray):
+        known, first = np.unique(keys, return_index=True)
+        self.begin, self.length = offsets[:-1][first], np.diff(offsets)[first]
+        self.classes = classes
+        self.at = np.stack([index_of(known, k) for k in tokens.keys])
+
+    def path(self, at: np.ndarray, group: np.ndarray) -> np.ndarray:
+        """Counts (token, depth) of the classes that share the first ``depth`` bits."""
+        if not len(self.length):
+            return np.zeros((len(at), CLASS_BITS + 1))
+        size = np.where(at >= 0, self.length[at], 0)
+        of = np.repeat(np.arange(len(at)), size)
+        inside = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+        entry = self.classes[np.repeat(self.begin[at], size) + inside]
+        cell = of * (CLASS_BITS + 1) + _SHARED[(entry & (CLASSES - 1)) ^ group[of]]
+        counts = np.bincount(cell, entry // CLASSES, minlength=len(at) * (CLASS_BITS + 1))
+        return counts.reshape(-1, CLASS_BITS + 1)[:, ::-1].cumsum(axis=1)[:, ::-1]
+
+    def put(self, tokens: Tokens, at: np.ndarray, bits: np.ndarray, stretched: np.ndarray, gate: np.ndarray) -> None:
+        """Set the predictions, and the gate, of tokens in contexts that are not frequent."""
+        for o in range(1, ORDERS):
+            out = np.flatnonzero(tokens.context[o, at] < 0)
+            path = self.path(self.at[o - 1, at[out]], tokens.group[at[out]])
+            seen, agree = path[:, :-1], path[:, 1:]
+            stretched[o, out] = stretch(seen, np.where(bits[out] == 1, agree, seen - agree))
+            if o == ORDERS - 1:
+                gate[out] = gates(seen)
+
+
+def mix(tokens: Tokens, model: Model, found: Found | None = None) -> np.ndarray:
     """log10 probability of the class bits of each text."""
     total = np.zeros(len(tokens.size))
     order = np.argsort(-tokens.size, kind="stable")
@@ -138,9 +203,11 @@ def mix(tokens: Tokens, model: Model) -> np.ndarray:
             inside = step + np.arange(BLOCK) < tokens.size[active][:, None]
             text, place = np.nonzero(inside)
             at = tokens.start[active[text]] + step + place
-            where, bits = slots(tokens.context[:, at], tokens.group[at])
-            stretched = model.stretched[where]
-            gate = (text[:, None] * GATES + model.gate[where[-1] - shift]) * CLASS_BITS + _DEPTHS
+            where, bits = slots(np.maximum(tokens.context[:, at], 0), tokens.group[at])
+            stretched, seen = model.stretched[where], model.gate[where[-1] - shift]
+            if found:
+                found.put(tokens, at, bits, stretched, seen)
+            gate = (text[:, None] * GATES + seen) * CLASS_BITS + _DEPTHS
             chosen = weights[gate]
             dot = sum(chosen[..., o] * stretched[o] for o in range(ORDERS))
             p = np.clip(1 / (1 + np.exp(-dot)), 1e-6, 1 - 1e-6)
@@ -164,9 +231,10 @@ def _score(shared):
             ("known", pa.int64()),
             ("logs", pa.float64()),
             ("class_logs", pa.float64()),
-            ("mixed", pa.float64()),
             ("n_bytes", pa.int64()),
             ("rare", pa.list_(pa.struct([("word", pa.int64()), ("n", pa.int64())]))),
+            ("hashes", pa.list_(pa.int64())),
+            ("wanted", pa.list_(pa.int64())),
         ]
     )
 
@@ -186,6 +254,15 @@ def _score(shared):
             structs = pa.StructArray.from_arrays(
                 [pa.array(rare[1].view(np.int64)), pa.array(n, pa.int64())], ["word", "n"]
             )
+            # Contexts outside the head: one row per text and context.
+            place = model.place(tokens.keys)[1:]
+            texts_of, keys = np.tile(of, 2)[place.ravel() < 0], tokens.keys.ravel()[place.ravel() < 0]
+            order = np.lexsort((keys, texts_of))
+            texts_of, keys = texts_of[order], keys[order]
+            new = np.ones(len(keys), bool)
+            new[1:] = (keys[1:] != keys[:-1]) | (texts_of[1:] != texts_of[:-1])
+            texts_of, keys = texts_of[new], keys[new]
+            of_text = np.searchsorted(texts_of, np.arange(texts + 1))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("row"),
@@ -195,9 +272,12 @@ def _score(shared):
                     pa.array(sums(known).astype(np.int64)),
                     pa.array(sums(np.where(known, np.log10(count + ADDED), 0.0))),
                     pa.array(sums(model.class_total[tokens.group])),
-                    pa.array(mix(tokens, model)),
                     batch.column("n_bytes"),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.append(tokens.start, len(tokens.hash)), pa.int32()), pa.array(tokens.hash.view(np.int64))
+                    ),
+                    pa.ListArray.from_arrays(pa.array(of_text, pa.int32()), pa.array(keys.view(np.int64))),
                 ],
                 schema=schema,
             )
@@ -205,16 +285,47 @@ def _score(shared):
     return run
 
 
-def fit(training: DataFrame, work: Work, head: int = HEAD):
-    """(model, words, tokens, distinct words) of ``training`` (text).
+def _mix(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            hashes, found = batch.column("hashes"), batch.column("found")
+            sizes = np.diff(hashes.offsets.to_numpy()).astype(np.int64)
+            tokens = Tokens.again(hashes.flatten().to_numpy().view(np.uint64), sizes)
+            tokens.context = model.place(tokens.keys)
+            flat = found.flatten()
+            lists = flat.field("classes")
+            keys = flat.field("context").to_numpy().view(np.uint64)
+            rare = Found(tokens, keys, lists.offsets.to_numpy(), lists.values.to_numpy())
+            mixed = pa.array(mix(tokens, model, rare))
+            names = [n for n in batch.schema.names if n not in ("hashes", "found")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), mixed], [*names, "mixed"])
+
+    return run
+
+
+def _cut(by_size: dict[int, int], room: int) -> int:
+    """The least power of two from which on at most ``room`` counts are as large."""
+    cut = 64
+    for s in range(63, -1, -1):
+        room -= by_size.get(s, 0)
+        if room < 0:
+            break
+        cut = s
+    return cut
+
+
+def fit(training: DataFrame, work: Work, head: int = HEAD, context_head: int = 1 << CONTEXT_BITS):
+    """(model, words, contexts, tokens, distinct words) of ``training`` (text).
 
     ``words`` (word, n) are the words too rare for the model's own list: all but the at
-    most ``head`` most frequent, cut where a power of two of the count begins."""
+    most ``head`` most frequent, cut where a power of two of the count begins; ``contexts``
+    (context, classes) in the same way all but ``context_head`` of an order."""
     counted = work.save(
         training.select("text")
-        .mapInArrow(_train, "kind byte, key long, n long, ones long")
+        .mapInArrow(_train, "kind byte, key long, n long")
         .groupBy("kind", "key")
-        .agg(F.sum("n").alias("n"), F.sum("ones").alias("ones")),
+        .agg(F.sum("n").alias("n")),
         "counted",
     )
     words = counted.filter("kind = 0").select(F.col("key").alias("word"), "n")
@@ -226,23 +337,45 @@ def fit(training: DataFrame, work: Work, head: int = HEAD):
     for c in cells:  # at most CLASSES * 64 rows
         per_class[:, c["c"]] += (c["n"], c["v"])
         by_size[c["s"]] = by_size.get(c["s"], 0) + c["v"]
-    cut, room = 64, head
-    for s in range(63, -1, -1):
-        room -= by_size.get(s, 0)
-        if room < 0:
-            break
-        cut = s
+    cut = _cut(by_size, head)
     frequent = words.filter(F.col("n") >= 2.0**cut).toArrow()  # at most ``head`` rows
-    contexts = counted.filter("kind = 1").select("key", "n", "ones").toArrow()  # of a table of fixed size
-    tables = np.zeros((2, ORDERS * CLASSES << CONTEXT_BITS))
-    tables[:, contexts["key"].to_numpy()] = np.stack([contexts["n"].to_numpy(), contexts["ones"].to_numpy()])
+    low = F.col("key").bitwiseAND(CLASSES - 1)
+    contexts = work.save(
+        counted.filter("kind > 0")
+        .groupBy("kind", (F.col("key") - low).alias("context"))
+        .agg(F.sum("n").alias("n"), F.collect_list(F.col("n") * CLASSES + low).alias("classes")),  # at most CLASSES
+        "contexts",
+    )
+    sizes = contexts.groupBy("kind", size.alias("s")).agg(F.count(F.lit(1)).alias("v")).collect()  # at most 2 * 64 rows
+    tables = np.zeros((2, ORDERS, CLASSES, 1 << CONTEXT_BITS))
+    heads, rare = [], F.lit(False)
+
+    def fill(order: int, followed: np.ndarray) -> None:
+        for d in range(CLASS_BITS):
+            nodes = followed.reshape(len(followed), 1 << d, 2, CLASSES >> (d + 1)).sum(axis=3)
+            tables[0, order, 1 << d : 2 << d, : len(followed)] = nodes.sum(axis=2).T
+            tables[1, order, 1 << d : 2 << d, : len(followed)] = nodes[:, :, 1].T
+
+    fill(0, per_class[:1])
+    for order in range(1, ORDERS):
+        least = 2.0 ** _cut({r["s"]: r["v"] for r in sizes if r["kind"] == order}, context_head)
+        mine = (F.col("kind") == order) & (F.col("n") >= least)
+        rare = rare | ((F.col("kind") == order) & (F.col("n") < least))
+        often = contexts.filter(mine).select("context", F.explode("classes").alias("c")).toArrow()  # at most ``context_head`` * CLASSES rows
+        known, slot = np.unique(often["context"].to_numpy().view(np.uint64), return_inverse=True)
+        entry = often["c"].to_numpy()
+        followed = np.zeros((len(known), CLASSES))
+        followed[slot, entry % CLASSES] = entry // CLASSES
+        fill(order, followed)
+        heads.append(known)
     model = Model(
-        frequent["word"].to_numpy().view(np.uint64), frequent["n"].to_numpy().astype(np.int32), per_class, tables
+        frequent["word"].to_numpy().view(np.uint64), frequent["n"].to_numpy().astype(np.int32), per_class, tables.reshape(2, -1), heads
     )
-    return model, words.filter(F.col("n") < 2.0**cut), int(per_class[0].sum()), int(per_class[1].sum())
+    rest = contexts.filter(rare).select("context", "classes")
+    return model, words.filter(F.col("n") < 2.0**cut), rest, int(per_class[0].sum()), int(per_class[1].sum())
 
 
-def score(docs: DataFrame, head: int = HEAD) -> DataFrame:
+def score(docs: DataFrame, head: int = HEAD, context_head: int = 1 << CONTEXT_BITS) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score, score, bits_per_byte.
 
@@ -250,7 +383,7 @@ def score(docs: DataFrame, head: int = HEAD) -> DataFrame:
     empty text, so it is held out. A null or empty text has its end token only, and no bits
     per byte. Repeated rows are scored, and learnt from, one by one. Without training rows
     no word is known. An empty table gives an empty result. Other columns are not read.
-    Words are compared by 64-bit hashes."""
+    Words are compared by 64-bit hashes, contexts by 58 bits of theirs."""
     spark = docs.sparkSession
     work = Work(spark, "context-mixing")
     rows = docs.select(
@@ -260,11 +393,11 @@ def score(docs: DataFrame, head: int = HEAD) -> DataFrame:
         F.coalesce("text", F.lit("")).alias("text"),
         F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
     )
-    model, rare, total, distinct = fit(rows.filter(~F.col("held_out")), work, head)
-    shared = spark.sparkContext.broadcast(model)  # at most ``head`` words and a fixed table
+    model, rare, contexts, total, distinct = fit(rows.filter(~F.col("held_out")), work, head, context_head)
+    shared = spark.sparkContext.broadcast(model)  # at most ``head`` words and ``context_head`` contexts
     schema = (
         "row long, doc_id long, held_out boolean, n_tokens long, known long, logs double, class_logs double, "
-        "mixed double, n_bytes long, rare array<struct<word:long,n:long>>"
+        "n_bytes long, rare array<struct<word:long,n:long>>, hashes array<long>, wanted array<long>"
     )
     scored = work.save(rows.mapInArrow(_score(shared), schema), "scored")
     looked_up = (
@@ -277,9 +410,19 @@ def score(docs: DataFrame, head: int = HEAD) -> DataFrame:
             F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("rare_known"),
         )
     )
+    found = (
+        scored.select("row", F.explode("wanted").alias("context"))
+        .join(contexts.hint("merge"), "context")
+        .groupBy("row")
+        .agg(F.collect_list(F.struct("context", "classes")).alias("found"))
+    )
+    none = F.expr("cast(array() as array<struct<context:long,classes:array<long>>>)")
+    together = scored.drop("rare", "wanted").join(found, "row", "left").withColumn("found", F.coalesce("found", none))
+    after = "row long, doc_id long, held_out boolean, n_tokens long, known long, logs double, class_logs double, n_bytes long, mixed double"
+    mixed = together.mapInArrow(_mix(shared), after)
     logs = F.col("logs") + F.coalesce("rare_logs", F.lit(0.0))
     result = logs - F.col("class_logs") + F.col("mixed")
-    return scored.drop("rare").join(looked_up, "row", "left").select(
+    return mixed.join(looked_up, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",

@@ -104,3 +104,13 @@ def test_class_probabilities_sum_to_one():
         inside = sum((counts[group == c] + 0.1) / 10 ** model.class_total[c]) + 0.1 / 10 ** model.class_total[c]
         total += 10 ** context_mixing.mix(t, model)[0] * inside
     assert total == pytest.approx(1, rel=1e-6)
+
+
+def test_context_counts_grow_with_the_corpus(spark):
+    """Counts are exact: what is sent to all tasks does not matter, and held-out texts of
+    the given documents beat the base."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    sent, joined = (context_mixing.score(docs, context_head=h).filter("held_out").collect() for h in (1 << 14, 50))
+    assert {r["doc_id"]: round(r["score"], 6) for r in sent} == {r["doc_id"]: round(r["score"], 6) for r in joined}
+    score, base, n = (sum(r[c] for r in sent) for c in ("score", "base_score", "n_tokens"))
+    assert (score - base) / n > 0.3, (score / n, base / n)

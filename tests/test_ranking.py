@@ -93,7 +93,7 @@ def test_whole_hybrid_reads_all_documents_at_full_depth(spark):
     from qrelmill.plans.suite import QUERIES
 
     sf = "/root/testdata/sf0.01"
-    hits = QUERIES["rank_hybrid_whole"](spark, sf).collect()
+    hits = QUERIES["sweep_hybrid_whole"](spark, sf).where("label = 'w_bm25=1.0,w_vec=1.0'").collect()
     assert {r.id for r in hits} == {f"b{r.item_id}" for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
     with_vector = {f"d{r.vec_id}" for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id").collect()}
     assert any(r.doc not in with_vector for r in hits)
