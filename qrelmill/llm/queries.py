@@ -14,6 +14,7 @@ from qrelmill.llm import (
     mixing,
     resampling,
     sentence_pieces,
+    simplex_clustering,
     suffix_dedup,
     token_counts,
     warc,
@@ -30,10 +31,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_multi_index_hashing": hamming_search.op8_multi_index_hashing,
     "op9_seekable_warc": warc.op9_seekable_warc,
     "op10_logistic_context_mixing": context_mixing.op10_logistic_context_mixing,
+    "op11_simplex_centroids": simplex_clustering.op11_simplex_centroids,
 }
 ORACLES: dict[str, str] = {
     "op2_binary_fuse_dedup": exact_dedup.ORACLE,
     "op7_divide_skip_jaccard": jaccard_join.ORACLE,
     "op8_multi_index_hashing": hamming_search.ORACLE,
     "op9_seekable_warc": warc.ORACLE,
+    "op11_simplex_centroids": simplex_clustering.ORACLE,
 }
