@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from qrelmill.llm import (
     context_mixing,
     exact_dedup,
+    filter_audit,
     hamming_search,
     jaccard_join,
     mixing,
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_seekable_warc": warc.op9_seekable_warc,
     "op10_logistic_context_mixing": context_mixing.op10_logistic_context_mixing,
     "op11_simplex_centroids": simplex_clustering.op11_simplex_centroids,
+    "op12_posting_list_audit": filter_audit.op12_posting_list_audit,
 }
 ORACLES: dict[str, str] = {
     "op2_binary_fuse_dedup": exact_dedup.ORACLE,
@@ -39,4 +41,5 @@ ORACLES: dict[str, str] = {
     "op8_multi_index_hashing": hamming_search.ORACLE,
     "op9_seekable_warc": warc.ORACLE,
     "op11_simplex_centroids": simplex_clustering.ORACLE,
+    "op12_posting_list_audit": filter_audit.ORACLE,
 }
