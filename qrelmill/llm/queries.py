@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from qrelmill.llm import (
     context_mixing,
+    decontamination,
     exact_dedup,
     filter_audit,
     hamming_search,
@@ -34,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_logistic_context_mixing": context_mixing.op10_logistic_context_mixing,
     "op11_simplex_centroids": simplex_clustering.op11_simplex_centroids,
     "op12_posting_list_audit": filter_audit.op12_posting_list_audit,
+    "op13_benchmark_windows": decontamination.op13_benchmark_windows,
 }
 ORACLES: dict[str, str] = {
     "op2_binary_fuse_dedup": exact_dedup.ORACLE,
@@ -42,4 +44,5 @@ ORACLES: dict[str, str] = {
     "op9_seekable_warc": warc.ORACLE,
     "op11_simplex_centroids": simplex_clustering.ORACLE,
     "op12_posting_list_audit": filter_audit.ORACLE,
+    "op13_benchmark_windows": decontamination.ORACLE,
 }
