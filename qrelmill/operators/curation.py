@@ -370,15 +370,6 @@ def cluster_entries(docs: DataFrame) -> DataFrame:
 
 
 def cluster_siblings(docs: DataFrame, per_part: int = PART_PIECES) -> DataFrame:
-    """For each document of a cluster, the others of its own part as one text.
-
-    A part holds ``per_part`` neighbours by ``pos``. In a cluster of one part these
-    are all others; ``cluster_sibling_parts`` has the whole of larger ones."""
-    parts, listed = _cluster_parts(docs, per_part)
-    return parts.join(listed, ["dataset", "cluster", "part"]).select("dataset", "cluster", "slug", _other_entries())
-
-
-def cluster_sibling_parts(docs: DataFrame, per_part: int = PART_PIECES) -> DataFrame:
     """For each document of a cluster, all other documents in numbered parts:
     dataset, cluster, slug, part, parts, siblings.
 
@@ -430,7 +421,7 @@ def cluster_doc_tasks(
     tell it of all of them; the first part's source is that of a cluster of one part.
 
     Placeholders: {title}, {focus}, {siblings}, {language}."""
-    sib = cluster_sibling_parts(docs, per_part)
+    sib = cluster_siblings(docs, per_part)
     rows = docs.join(sib, ["dataset", "cluster", "slug"]).withColumn("stem", F.concat_ws("-", "cluster", "slug"))
     values = {c: F.col(c) for c in ("title", "focus", "siblings", "language")}
     later = F.when(F.col("part") > 0, F.concat(F.lit("part"), F.col("part").cast("string")))

@@ -1,10 +1,10 @@
 """Bulk ranking of corpora: BM25, vectors and rank fusion.
 
-Both scorers work in blocks: a task holds one block of queries, streams
-documents past it and keeps the best ``top`` per query, so (query, document)
-pairs exist only inside numpy and at most ``top`` rows per query and task are
-shuffled. A query side of proven small size is shipped to every task; a larger
-one is cut into hash blocks that meet document blocks in a cogroup.
+BM25 joins queries with the postings of their terms; a query with very many
+postings skips the document blocks whose highest scores cannot reach its best
+hits. Vectors are scored in numpy blocks that keep the best ``top`` per query, so
+pairs are never emitted: queries of measured small size are sent to all tasks, others
+meet only the documents that the angles to a few pivots leave open.
 
 Scores are rounded to nine places before ranking and ties go to the smaller
 document name, so ranks do not depend on block shapes or summation order.
@@ -12,7 +12,7 @@ document name, so ranks do not depend on block shapes or summation order.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -20,13 +20,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
-from ..session import BROADCAST_BYTES
+from ..session import BROADCAST_BYTES, written
 
 # fixed values: published BM25 defaults and the fusion settings
 BM25_K1, BM25_B = 1.2, 0.75
 RRF_K, WEIGHT_BM25, WEIGHT_VECTOR = 60, 0.3, 1.5
 DIGITS = 9
 BLOCK_DOCS = 2000
+# Of the best blocks, ``top`` / FIRST_SHARE are scored before any bound is used; SLACK is for rounded sums.
+FIRST_SHARE = 4
+WHOLE_POSTINGS = 1_000_000
+# Fixed numbers of pivots and of rings around each, so a query has at most their product of bounds.
+PIVOTS, RINGS = 64, 24
+SLACK = 1e-6
 # Queries that are scored against a slice of documents at once: bounds the block of scores.
 BLOCK_QUERIES = 8192
 SLICE_DOCS = 512
@@ -69,69 +75,6 @@ class _TopHits:
         return pd.DataFrame({"dataset": dataset, "id": ids, "doc": docs, "score": scores})
 
 
-Scorer = Callable[[pd.DataFrame, pd.DataFrame], np.ndarray]
-
-
-def _blocked_top(
-    queries: DataFrame,
-    docs: DataFrame,
-    score: Callable[[pd.DataFrame], tuple[list[str], Callable[[pd.DataFrame], np.ndarray]]],
-    query_bytes: int,
-    top: int,
-    block_docs: int,
-) -> DataFrame:
-    """Best documents per query. ``queries(dataset, id, …)`` are prepared once
-    per block by ``score``; ``docs(dataset, doc, …)`` are then scored in batches."""
-
-    def blocks(part: pd.DataFrame) -> list:
-        number = pd.factorize(part["id"])[0] // BLOCK_QUERIES
-        return [score(block) for _, block in part.groupby(number, sort=True)]
-
-    def run(prepared: dict, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best: dict[str, _TopHits] = {}
-        for batch in batches:
-            for dataset, part in batch.groupby("dataset", sort=False):
-                if dataset not in prepared:
-                    continue
-                hits = best.setdefault(dataset, _TopHits(top))
-                for start in range(0, len(part), SLICE_DOCS):
-                    rows = part.iloc[start : start + SLICE_DOCS]
-                    for ids, scorer in prepared[dataset]:
-                        hits.add(ids, rows["doc"].to_numpy(), scorer(rows))
-        for dataset, hits in best.items():
-            yield hits.frame(dataset)
-
-    if query_bytes <= BROADCAST_BYTES:
-        local = queries.toPandas()  # size checked by the caller's estimate
-        shared = docs.sparkSession.sparkContext.broadcast(local)
-
-        def by_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            frame = shared.value
-            prepared = {d: blocks(part) for d, part in frame.groupby("dataset", sort=False)}
-            yield from run(prepared, batches)
-
-        hits = docs.mapInPandas(by_task, HITS)
-    else:
-        n_query_blocks = int(-(-query_bytes // BROADCAST_BYTES))
-        n_doc_blocks = max(1, -(-docs.count() // block_docs))
-        q = queries.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(n_query_blocks))).withColumn(
-            "db", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_doc_blocks - 1).cast("bigint")))
-        )
-        d = docs.withColumn("db", F.pmod(F.xxhash64("doc"), F.lit(n_doc_blocks))).withColumn(
-            "qb", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_query_blocks - 1).cast("bigint")))
-        )
-
-        def by_pair(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            if left.empty or right.empty:
-                return pd.DataFrame({"dataset": [], "id": [], "doc": [], "score": []})
-            prepared = {left["dataset"].iloc[0]: blocks(left)}
-            return pd.concat(run(prepared, iter([right])), ignore_index=True)
-
-        keys = ["dataset", "qb", "db"]
-        hits = q.groupBy(*keys).cogroup(d.groupBy(*keys)).applyInPandas(by_pair, HITS)
-    return _ranked(hits, top)
-
-
 def _ranked(hits: DataFrame, top: int) -> DataFrame:
     w = Window.partitionBy("dataset", "id").orderBy(F.col("score").desc(), "doc")
     return hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
@@ -140,81 +83,106 @@ def _ranked(hits: DataFrame, top: int) -> DataFrame:
 # --- BM25 ------------------------------------------------------------------
 
 
-def corpus_statistics(asked: DataFrame, tokens: DataFrame, small: bool = False) -> DataFrame:
-    """(dataset, term, docs, length) of the asked terms in one pass over
-    ``tokens(dataset, doc, tokens)``.
+def query_terms(queries: DataFrame) -> DataFrame:
+    return (
+        queries.select("dataset", "id", F.explode(tokenize(F.col("q"))).alias("term"))
+        .groupBy("dataset", "id", "term")
+        .agg(F.count(F.lit(1)).alias("times"))
+    )
+
 
-    Every document also counts once for the empty term, whose row holds the
-    number of documents and their total length. Other terms are dropped before
-    counting, so the shuffle carries counts of asked terms only. ``small`` says
-    the asked terms were measured to fit a broadcast; otherwise both sides are
-    shuffled by term."""
+def postings(corpus: DataFrame, asked: DataFrame, small: bool = False) -> DataFrame:
+    """(dataset, doc, length, term, tf) of the asked terms in one pass over
+    ``corpus(dataset, stem, text)``; ``asked(dataset, term, …)``.
+
+    Every document of an asked dataset has one more posting, of the empty term, so that the
+    number of documents and their lengths can be read from the postings alone.
+    ``small`` says the asked terms were measured to fit a broadcast; otherwise
+    both sides are shuffled by term."""
     wanted = asked.select("dataset", "term").distinct()
     wanted = wanted.unionByName(asked.select("dataset").distinct().withColumn("term", F.lit("")))
     wanted = F.broadcast(wanted) if small else wanted
-    present = F.explode(F.array_append(F.array_distinct("tokens"), F.lit(""))).alias("term")
+    tokens = corpus.select("dataset", F.col("stem").alias("doc"), tokenize(F.col("text")).alias("tokens"))
+    terms = F.explode(F.array_append("tokens", F.lit(""))).alias("term")
     return (
-        tokens.select("dataset", F.size("tokens").alias("len"), present)
+        tokens.select("dataset", "doc", F.size("tokens").alias("length"), terms)
         .join(wanted, ["dataset", "term"], "left_semi")
-        .groupBy("dataset", "term")
-        .agg(F.count(F.lit(1)).alias("docs"), F.sum("len").alias("length"))
+        .groupBy("dataset", "doc", "length", "term")
+        .agg(F.count(F.lit(1)).alias("tf"))
     )
 
 
-def query_terms(queries: DataFrame) -> DataFrame:
-    return (
-        queries.select("dataset", "id", F.explode(tokenize(F.col("q"))).alias("term"))
-        .groupBy("dataset", "id", "term")
-        .agg(F.count(F.lit(1)).alias("times"))
-    )
+def corpus_statistics(listed: DataFrame) -> DataFrame:
+    """(dataset, term, docs, length) of postings; the empty term's row holds the
+    number of documents of a dataset and their total length."""
+    return listed.groupBy("dataset", "term").agg(F.count(F.lit(1)).alias("docs"), F.sum("length").alias("length"))
 
 
 def term_weights(asked: DataFrame, statistics: DataFrame) -> DataFrame:
-    """(dataset, id, term, weight): occurrences in the query times the term's
+    """(dataset, id, term, weight, docs): occurrences in the query times the term's
     inverse document frequency, for terms the corpus knows."""
     size = statistics.where("term = ''").select("dataset", F.col("docs").alias("n"))
     idf = F.log(F.lit(1.0) + (F.col("n") - F.col("docs") + 0.5) / (F.col("docs") + 0.5))
     return (
         asked.join(statistics.where("term <> ''"), ["dataset", "term"])
         .join(size, "dataset")
-        .select("dataset", "id", "term", (F.col("times") * idf).alias("weight"))
+        .select("dataset", "id", "term", (F.col("times") * idf).alias("weight"), "docs")
     )
 
 
-def _bm25_scorer(k1: float, b: float):
-    def prepare(weights: pd.DataFrame):
-        """``weights`` has one row per (id, term); terms are numbered in name
-        order so every document sums its terms in the same order."""
-        ids, query_no = np.unique(weights["id"].to_numpy(dtype=object), return_inverse=True)
-        terms, term_no = np.unique(weights["term"].to_numpy(dtype=object), return_inverse=True)
-        index = pd.Index(terms)
-        order = np.argsort(term_no, kind="stable")
-        edges = np.searchsorted(term_no[order], np.arange(len(terms) + 1))
-        query_no, weight = query_no[order], weights["weight"].to_numpy()[order]
-
-        def score(docs: pd.DataFrame) -> np.ndarray:
-            sizes = docs["tokens"].map(len).to_numpy()
-            flat = np.concatenate([np.asarray(t, dtype=object) for t in docs["tokens"]]) if sizes.sum() else []
-            number = index.get_indexer(flat) if len(flat) else np.empty(0, dtype=int)
-            doc_no = np.repeat(np.arange(len(docs)), sizes)[number >= 0]
-            number = number[number >= 0]
-            pair, tf = np.unique(number * len(docs) + doc_no, return_counts=True)
-            number, doc_no = pair // len(docs), pair % len(docs)
-            norm = k1 * (1 - b + b * sizes / docs["avg_len"].to_numpy())
-            part = tf * (k1 + 1) / (tf + norm[doc_no])
-            out = np.zeros((len(ids), len(docs)))
-            starts = np.searchsorted(number, np.arange(len(terms) + 1))
-            for t in np.unique(number):
-                q = slice(edges[t], edges[t + 1])
-                d = slice(starts[t], starts[t + 1])
-                out[np.ix_(query_no[q], doc_no[d])] += np.outer(weight[q], part[d])
-            out = np.round(out, DIGITS)
-            out[out <= 0] = np.nan  # no query term in the document
-            return out
-
-        return list(ids), score
-
-    return prepare
+def scored_postings(listed: DataFrame, sizes: DataFrame, k1: float, b: float, block_docs: int) -> DataFrame:
+    """(dataset, block, doc, term, part): what one occurrence of the term in a
+    query adds to the document's score, but for the term's weight. ``sizes(dataset, n, total)``.
+
+    Blocks hold documents of about one length, so that the highest part of a
+    block says much about all of it."""
+    shape = F.floor(4 * F.log2(F.col("length") + 1.0))
+    cell = F.pmod(F.xxhash64("doc"), F.ceil(F.col("n") / F.lit(block_docs)))
+    norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("length") * F.col("n") / F.col("total"))
+    return (
+        listed.where("term <> ''")
+        .join(sizes, "dataset")
+        .select(
+            "dataset",
+            (F.shiftleft(shape, 48) + cell).alias("block"),
+            "doc",
+            "term",
+            (F.col("tf") * F.lit(k1 + 1) / (F.col("tf") + norm)).alias("part"),
+        )
+    )
+
+
+def _scores(found: DataFrame) -> DataFrame:
+    return found.groupBy("dataset", "id", "doc").agg(F.round(F.sum(F.col("weight") * F.col("part")), DIGITS).alias("score"))
+
+
+def _by_blocks(weights: DataFrame, parts: DataFrame, top: int) -> DataFrame:
+    """Hits among which are the best ``top`` of every query, from the blocks that can hold one.
+
+    The highest part of each term in a block bounds the score of any document
+    there. The blocks with the highest bounds of a query are scored first; of
+    the others, only those whose bound reaches the query's ``top``-th score so
+    far. Terms meet postings block by block, so a frequent term is as many join
+    keys as it has blocks."""
+
+    def hits(blocks: DataFrame) -> DataFrame:
+        wanted = blocks.select("dataset", "id", "block").join(weights, ["dataset", "id"])
+        return _scores(wanted.join(parts, ["dataset", "block", "term"]))
+
+    highest = parts.groupBy("dataset", "block", "term").agg(F.max("part").alias("most"))
+    bounds = highest.join(weights, ["dataset", "term"]).groupBy("dataset", "id", "block")
+    bounds = written(bounds.agg(F.sum(F.col("weight") * F.col("most")).alias("bound")), "bm25-bounds")
+    order = Window.partitionBy("dataset", "id").orderBy(F.col("bound").desc(), "block")
+    ahead = bounds.withColumn("n", F.row_number().over(order)).where(F.col("n") <= max(1, top // FIRST_SHARE))
+    ahead = written(ahead.drop("n", "bound"), "bm25-ahead")
+    first = written(_ranked(hits(ahead), top), "bm25-first")
+    least = first.where(F.col("rank") == top).select("dataset", "id", F.col("score").alias("least"))
+    open_ = (
+        bounds.join(ahead, ["dataset", "id", "block"], "left_anti")
+        .join(least, ["dataset", "id"], "left")
+        .where(F.col("least").isNull() | (F.col("bound") >= F.col("least") - SLACK))
+    )
+    return first.drop("rank").unionByName(hits(open_))
 
 
 def rank_bm25(
@@ -224,25 +192,38 @@ def rank_bm25(
     b: float = BM25_B,
     top: int = 100,
     block_docs: int = BLOCK_DOCS,
-    broadcast_bytes: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    whole_postings: int = WHOLE_POSTINGS,
 ) -> DataFrame:
     """Top documents per query: DF(dataset, id, doc, score, rank).
 
-    ``queries(dataset, id, q)``, ``corpus(dataset, stem, text)``."""
-    tokens = corpus.select("dataset", F.col("stem").alias("doc"), tokenize(F.col("text")).alias("tokens"))
-    asked = query_terms(queries).persist()
-    wanted_small = asked.count() * 64 <= BROADCAST_BYTES
-    statistics = corpus_statistics(asked, tokens, wanted_small).persist()
-    average = statistics.where("term = ''").select("dataset", (F.col("length") / F.col("docs")).alias("avg_len"))
-    weights = term_weights(asked, statistics).persist()
-    measured = weights.count() * 64
-    limit_hit = broadcast_bytes is not None and measured > broadcast_bytes
-    size = BROADCAST_BYTES + 1 if limit_hit else measured
-    # At most one row per dataset of the statistics, whose row count is known now.
-    if statistics.count() * 64 <= BROADCAST_BYTES:
-        average = F.broadcast(average)
-    docs = tokens.join(average, "dataset")
-    return _blocked_top(weights, docs, _bm25_scorer(k1, b), size, top, block_docs)
+    ``queries(dataset, id, q)``, ``corpus(dataset, stem, text)``.
+
+    Only postings of asked terms are kept. A query whose terms have at most
+    ``whole_postings`` postings, counted exactly, is scored from all of them; a
+    heavier one block by block, without the blocks that cannot reach its best."""
+    asked = query_terms(queries)
+    # A term takes two characters of its query at least, and a row with names and figures in the broadcast.
+    most = F.sum((F.length("q") / 2 + 1) * (F.length("dataset") + F.length("id") + 64))
+    small = (queries.agg(most).first()[0] or 0) <= broadcast_bytes
+
+    def light(df: DataFrame) -> DataFrame:
+        """For tables with at most one row per asked term and query."""
+        return F.broadcast(df) if small else df
+
+    # The postings of a document lie together, so that its scores are summed before they move.
+    listed = written(postings(corpus, asked, small).repartition("dataset", "doc"), "bm25-postings")
+    statistics = corpus_statistics(listed)
+    cost = Window.partitionBy("dataset", "id")  # the terms of one query
+    weights = written(term_weights(asked, statistics).withColumn("cost", F.sum("docs").over(cost)).drop("docs"), "bm25-weights")
+    sizes = statistics.where("term = ''").select("dataset", F.col("docs").alias("n"), F.greatest("length", F.lit(1)).alias("total"))
+    parts = scored_postings(listed, light(sizes), k1, b, block_docs)
+    cheap = weights.where(F.col("cost") <= whole_postings)
+    hits = _scores(parts.join(light(cheap), ["dataset", "term"]))
+    heavy = weights.where(F.col("cost") > whole_postings)
+    if heavy.limit(1).count():
+        hits = hits.unionByName(_by_blocks(heavy, parts, top))
+    return _ranked(hits, top)
 
 
 # --- vectors ---------------------------------------------------------------
@@ -254,9 +235,111 @@ def _unit(rows: pd.Series) -> np.ndarray:
     return m / np.where(norm == 0, 1.0, norm)
 
 
-def _cosine_scorer(queries: pd.DataFrame):
-    ids, q = list(queries["id"]), _unit(queries["vec"])
-    return ids, lambda docs: np.round(q @ _unit(docs["vec"]).T, DIGITS)
+Asked = list[tuple[list[str], np.ndarray]]
+
+
+def _asked(part: pd.DataFrame) -> Asked:
+    """Queries in blocks of ids and unit vectors."""
+    number = np.arange(len(part)) // BLOCK_QUERIES
+    return [(list(block["id"]), _unit(block["vec"])) for _, block in part.groupby(number, sort=True)]
+
+
+def _add_cosines(hits: _TopHits, asked: Asked, docs: pd.DataFrame) -> None:
+    for start in range(0, len(docs), SLICE_DOCS):
+        rows = docs.iloc[start : start + SLICE_DOCS]
+        unit = _unit(rows["vec"]).T
+        for ids, q in asked:
+            hits.add(ids, rows["doc"].to_numpy(), np.round(q @ unit, DIGITS))
+
+
+def _shipped_hits(queries: DataFrame, vectors: DataFrame, top: int) -> DataFrame:
+    """All queries are sent to every task; each keeps their best of its documents."""
+    shared = vectors.sparkSession.sparkContext.broadcast(queries.toPandas())  # size measured by the caller
+
+    def by_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        asked = {d: _asked(part) for d, part in shared.value.groupby("dataset", sort=False)}
+        best: dict[str, _TopHits] = {}
+        for batch in batches:
+            for dataset, part in batch.groupby("dataset", sort=False):
+                if dataset in asked:
+                    _add_cosines(best.setdefault(dataset, _TopHits(top)), asked[dataset], part)
+        for dataset, hits in best.items():
+            yield hits.frame(dataset)
+
+    return vectors.mapInPandas(by_task, HITS)
+
+
+def _angled(rows: DataFrame, name: str, pivots: np.ndarray) -> DataFrame:
+    """``rows`` (dataset, ``name``, vec) with their angles to all pivots."""
+
+    def angles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                found = np.arccos(np.clip(_unit(batch["vec"]) @ pivots.T, -1.0, 1.0))
+                yield batch.assign(angles=list(found))
+
+    found = rows.mapInPandas(angles, f"dataset string, {name} string, vec array<double>, angles array<double>")
+    return found.where(~F.isnan(F.array_max("angles")))  # a vector with NaN has no cosine to any other
+
+
+def _pivoted_hits(queries: DataFrame, vectors: DataFrame, top: int, block_docs: int) -> DataFrame:
+    """Hits among which are the best ``top`` of every query, by angles to pivots.
+
+    Documents are filed under their nearest pivot and a ring of angles around
+    it. The angle of a query to a document is at least the difference of their
+    angles to the pivot, which bounds the cosine in every ring. Rings that hold
+    ``top`` documents are searched first, best bound first; of the others, those
+    whose bound reaches the query's ``top``-th score so far. What a query
+    meets are at most PIVOTS x RINGS bounds and the rings that may hold a hit,
+    whatever the number of documents."""
+    some = vectors.orderBy(F.xxhash64("doc"), "doc").limit(PIVOTS).select("vec").toPandas()
+    if not len(some):
+        return vectors.sparkSession.createDataFrame([], HITS)
+    pivots = _unit(some["vec"])
+    place = ["dataset", "pivot", "ring"]
+    near = F.array_position("angles", F.array_min("angles")).cast("int") - 1
+    filed = _angled(vectors, "doc", pivots).select("dataset", "doc", "vec", near.alias("pivot"), F.array_min("angles").alias("angle"))
+    filed = written(filed.withColumn("ring", F.floor(F.col("angle") * (RINGS / np.pi)).cast("int")), "vectors-filed")
+    rings = filed.groupBy(*place).agg(
+        F.count(F.lit(1)).alias("n"), F.min("angle").alias("low"), F.max("angle").alias("high")
+    )
+    rings = written(rings.withColumn("slices", F.ceil(F.col("n") / block_docs)), "vectors-rings")
+    asked = written(_angled(queries, "id", pivots), "vectors-asked")
+    own = F.element_at("angles", F.col("pivot") + 1)
+    gap = F.greatest(F.lit(0.0), F.col("low") - own, own - F.col("high"))
+    bounds = asked.select("dataset", "id", "angles").join(rings, "dataset")
+    bounds = written(bounds.select(*place, "id", "n", F.cos(gap).alias("bound"), own.alias("own")), "vectors-bounds")
+    order = Window.partitionBy("dataset", "id").orderBy(F.col("bound").desc(), "own", "pivot", "ring")
+    before = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
+    ahead = written(bounds.withColumn("before", before).where(F.col("before") < top).select(*place, "id"), "vectors-ahead")
+
+    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        hits = _TopHits(top)
+        if len(left) and len(right):
+            _add_cosines(hits, _asked(left), right)
+        return hits.frame(left["dataset"].iloc[0] if len(left) else "")
+
+    def hits(pairs: DataFrame) -> DataFrame:
+        """Every block of queries of a ring meets every slice of the ring."""
+        asking = pairs.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) / BLOCK_QUERIES).alias("parts"))
+        ways = rings.select(*place, "slices").join(asking, place)
+        part, slice_ = F.pmod(F.xxhash64("id"), F.col("parts")), F.pmod(F.xxhash64("doc"), F.col("slices"))
+        other = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n).cast("bigint") - 1))
+        left = pairs.join(asked.drop("angles"), ["dataset", "id"]).join(ways, place)
+        left = left.select(*place, "id", "vec", part.alias("part"), other("slices").alias("slice"))
+        right = filed.join(ways, place).select(*place, "doc", "vec", slice_.alias("slice"), other("parts").alias("part"))
+        keys = [*place, "part", "slice"]
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(search, HITS)
+
+    first = written(_ranked(hits(ahead), top), "vectors-first")
+    least = first.where(F.col("rank") == top).select("dataset", "id", F.col("score").alias("least"))
+    open_ = (
+        bounds.join(ahead, [*place, "id"], "left_anti")
+        .join(least, ["dataset", "id"], "left")
+        .where(F.col("least").isNull() | (F.col("bound") >= F.col("least") - SLACK))
+        .select(*place, "id")
+    )
+    return first.drop("rank").unionByName(hits(written(open_, "vectors-open")))
 
 
 def rank_vector(
@@ -264,23 +347,19 @@ def rank_vector(
     vectors: DataFrame,
     top: int = 100,
     block_docs: int = BLOCK_DOCS,
-    broadcast_bytes: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Top documents per query by cosine: DF(dataset, id, doc, score, rank).
 
-    ``query_vectors(dataset, id, vec)``, ``vectors(dataset, doc, vec)``."""
-    width = query_vectors.agg(F.sum(F.size("vec"))).first()[0] or 0
-    measured = width * 8
-    limit_hit = broadcast_bytes is not None and measured > broadcast_bytes
-    size = BROADCAST_BYTES + 1 if limit_hit else measured
-    return _blocked_top(
-        query_vectors.select("dataset", "id", "vec"),
-        vectors.select("dataset", "doc", "vec"),
-        _cosine_scorer,
-        size,
-        top,
-        block_docs,
-    )
+    ``query_vectors(dataset, id, vec)``, ``vectors(dataset, doc, vec)``. Queries
+    that are measured to fit a broadcast meet all documents where they lie; more
+    of them are led by pivots to the documents that may be their best."""
+    wide = F.col("vec").cast("array<double>").alias("vec")
+    queries, docs = query_vectors.select("dataset", "id", wide), vectors.select("dataset", "doc", wide)
+    measured = queries.agg(F.sum(8 * F.size("vec") + F.length("id") + F.length("dataset") + 64)).first()[0] or 0
+    if measured <= broadcast_bytes:
+        return _ranked(_shipped_hits(queries, docs, top), top)
+    return _ranked(_pivoted_hits(queries, docs, top, block_docs), top)
 
 
 # --- fusion ----------------------------------------------------------------

@@ -322,11 +322,6 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
             when o_orderkey % 4001 = 7 then 3 else 0 end as int) as exit_code from orders""",
     ),
     "v_vectors": ((), """select concat('v-', cast(label as string)) as dataset, concat('e', vec_id) as id, concat('e', vec_id) as doc, embedding as vec, label from embeddings"""),
-    "v_vector_docs": (
-        (),
-        """select concat('v-', cast(label as string)) as dataset, concat('e', vec_id) as id, concat('e', vec_id) as stem, text as q, text
-          from embeddings join documents on vec_id = doc_id""",
-    ),
     "v_bench_queries": (
         (),
         """select case when item_id < 0 then 'none' else 'all' end as dataset, concat('b', item_id) as id, text as q from benchmark""",

@@ -1144,28 +1144,27 @@ def cluster_parts(size: int) -> str:
     return f"cp as (select *, (row_number() over (partition by dataset, cluster order by pos, slug) - 1) // {size} as part from v_cluster_docs)"
 
 
-@register(
-    "cluster_siblings",
-    "v_cluster_docs",
-    f"""with {cluster_parts(30)} select a.dataset, a.cluster, a.slug, coalesce(string_agg(b.title || ' (' || b.focus || ')', '; ' order by b.pos, b.slug), '') as siblings
-    from cp a left join cp b on b.dataset = a.dataset and b.cluster = a.cluster and b.part = a.part and b.slug <> a.slug group by all""",
-)
-def _(t):
-    return curation.cluster_siblings(t.cluster_docs, 30)
+SIBLINGS_SQL = """select a.dataset, a.cluster, a.slug, coalesce(string_agg(b.title || ' (' || b.focus || ')', '; ' order by b.pos, b.slug), '') as siblings
+    from v_cluster_docs a left join v_cluster_docs b on b.dataset = a.dataset and b.cluster = a.cluster and b.slug <> a.slug group by all"""
 
 
-@register(
-    "cluster_siblings_whole",
-    "v_cluster_docs",
-    """select a.dataset, a.cluster, a.slug, coalesce(string_agg(b.title || ' (' || b.focus || ')', '; ' order by b.pos), '') as siblings
-    from v_cluster_docs a left join v_cluster_docs b on b.dataset = a.dataset and b.cluster = a.cluster and b.slug <> a.slug group by all""",
-)
-def _(t):
-    told = curation.cluster_sibling_parts(t.cluster_docs, 3).groupBy("dataset", "cluster", "slug")
+def _siblings(t, per_part: int):
+    """The parts of each document's siblings, laid end to end."""
+    told = curation.cluster_siblings(t.cluster_docs, per_part).groupBy("dataset", "cluster", "slug")
     laid = F.array_sort(F.collect_list(F.struct("part", "siblings")))["siblings"]
     return told.agg(F.array_join(laid, "; ").alias("siblings"))
 
 
+@register("cluster_siblings", "v_cluster_docs", SIBLINGS_SQL)
+def _(t):
+    return _siblings(t, 1000)
+
+
+@register("cluster_siblings_whole", "v_cluster_docs", SIBLINGS_SQL)
+def _(t):
+    return _siblings(t, 3)
+
+
 @register(
     "cluster_listing",
     "v_cluster_docs",
@@ -1265,12 +1264,17 @@ def _(t):
 @register(
     "cluster_doc_tasks",
     "v_cluster_docs",
-    f"""with {cluster_parts(1000)}, s as (select a.dataset, a.stem, a.language, a.title, coalesce(string_agg(b.title || ' (' || b.focus || ')', '; ' order by b.pos, b.slug), '') as siblings
-      from cp a left join cp b on b.dataset = a.dataset and b.cluster = a.cluster and b.part = a.part and b.slug <> a.slug group by all)
-    select dataset, stem, substr(sha256(concat_ws(chr(10), dataset, 'generate_cluster_corpus', sha256(concat_ws(':', dataset, stem, language, 'v1')), 'v1', 'sys', concat(title, ' not ', siblings))), 1, 32) as task_id from s""",
+    f"""with {cluster_parts(7)}, n as (select dataset, cluster, max(part) + 1 as parts from cp group by all),
+    s as (select a.dataset, a.stem, a.language, a.title, b.part, coalesce(string_agg(b.title || ' (' || b.focus || ')', '; ' order by b.pos, b.slug) filter (b.slug <> a.slug), '') as siblings
+      from cp a join cp b on b.dataset = a.dataset and b.cluster = a.cluster join n on n.dataset = a.dataset and n.cluster = a.cluster
+      group by a.dataset, a.stem, a.language, a.title, b.part, n.parts having count(*) filter (b.slug <> a.slug) > 0 or n.parts = 1)
+    select dataset, stem, part, substr(sha256(concat_ws(chr(10), dataset, 'generate_cluster_corpus',
+      sha256(concat_ws(':', dataset, stem, language, 'v1', case when part > 0 then 'part' || part end)), 'v1', 'sys', concat(title, ' not ', siblings))), 1, 32) as task_id from s""",
 )
 def _(t):
-    return curation.cluster_doc_tasks(t.cluster_docs.drop("stem"), "v1", "sys", "{title} not {siblings}").select("dataset", "stem", "task_id")
+    docs = t.cluster_docs.drop("stem")
+    tasks_ = curation.cluster_doc_tasks(docs, "v1", "sys", "{title} not {siblings}", per_part=7)
+    return tasks_.select("dataset", "stem", big("part", "part"), "task_id")
 
 
 @register(
@@ -1659,27 +1663,34 @@ def _(t):
     return hits.select("id", "doc", r6("score").alias("score"), big("rank", "rank"))
 
 
-VECTOR_SQL = """
-vv as (select dataset, id, cast(vec as double[]) as vec from v_vectors),
-cs as (select a.dataset, a.id, b.id as doc, round(list_inner_product(a.vec, b.vec) / sqrt(list_inner_product(a.vec, a.vec)) / sqrt(list_inner_product(b.vec, b.vec)), 9) as score from vv a join vv b on a.dataset = b.dataset),
-vec as (select *, row_number() over (partition by dataset, id order by score desc, doc) as rank from cs qualify rank <= 20)"""
+@register("rank_bm25_blocks", "v_bench_queries v_bench_corpus", f"with {_bm25_sql('v_bench_queries', 'v_bench_corpus', 10)} select id, doc, round(score, 6) as score, rank from bm25")
+def _(t):
+    """The best ten, with every query scored block by block and nothing broadcast."""
+    hits = ranking.rank_bm25(t.bench_queries, t.bench_corpus, top=10, block_docs=64, broadcast_bytes=0, whole_postings=0)
+    return hits.select("id", "doc", r6("score").alias("score"), big("rank", "rank"))
 
 
-def _vector(t):
-    return ranking.rank_vector(t.vectors.select("dataset", "id", "vec"), t.vectors.select("dataset", "doc", "vec"), top=20)
+VECTOR_SQL = """
+vv as (select id, cast(vec as double[]) as vec from v_vectors),
+cs as (select 'all' as dataset, a.id, b.id as doc, round(list_inner_product(a.vec, b.vec) / sqrt(list_inner_product(a.vec, a.vec)) / sqrt(list_inner_product(b.vec, b.vec)), 9) as score from vv a, vv b),
+vec as (select *, row_number() over (partition by id order by score desc, doc) as rank from cs qualify rank <= 100)"""
 
 
-@register("rank_vector", "v_vectors", f"with {VECTOR_SQL} select dataset, id, doc, round(score, 6) as score, rank from vec")
+# Scores have nine places; a step off the middle makes both engines round to six alike.
+@register("rank_vector", "v_vectors", f"with {VECTOR_SQL} select dataset, id, doc, round(score + 1e-10, 6) as score, rank from vec")
 def _(t):
-    return _vector(t).select("dataset", "id", "doc", r6("score").alias("score"), big("rank", "rank"))
-
-
-LEGS_SQL = VECTOR_SQL + "," + _bm25_sql("v_vector_docs", "v_vector_docs", 20)
+    """Every vector asks, all are ranked."""
+    vectors = t.vectors.withColumn("dataset", F.lit("all"))
+    hits = ranking.rank_vector(vectors.select("dataset", "id", "vec"), vectors.select("dataset", "doc", "vec"))
+    return hits.select("dataset", "id", "doc", F.round(F.col("score") + 1e-10, 6).alias("score"), big("rank", "rank"))
 
 
-def _legs(t):
-    docs = t.vector_docs
-    return ranking.rank_bm25(docs, docs, top=20), _vector(t)
+@register("rank_vector_pivots", "v_vectors", f"with {VECTOR_SQL} select dataset, id, doc, round(score + 1e-10, 6) as score, rank from vec")
+def _(t):
+    """The same with queries that are not sent to the tasks."""
+    vectors = t.vectors.withColumn("dataset", F.lit("all"))
+    hits = ranking.rank_vector(vectors.select("dataset", "id", "vec"), vectors.select("dataset", "doc", "vec"), broadcast_bytes=0)
+    return hits.select("dataset", "id", "doc", F.round(F.col("score") + 1e-10, 6).alias("score"), big("rank", "rank"))
 
 
 def _rrf_sql(label: str, k: str, wb: str, wv: str) -> str:
@@ -1687,29 +1698,6 @@ def _rrf_sql(label: str, k: str, wb: str, wv: str) -> str:
       union all select dataset, id, doc, {wv}::double / ({k} + rank) from vec) group by all"""
 
 
-@register(
-    "rank_hybrid",
-    "v_vectors v_vector_docs",
-    f"with {LEGS_SQL}, f as ({_rrf_sql('x', '60', '0.3', '1.5')}) select dataset, id, doc, round(score, 6) as score, row_number() over (partition by dataset, id order by score desc, doc) as rank from f qualify rank <= 100",
-)
-def _(t):
-    bm25, vec = _legs(t)
-    return ranking.rank_hybrid(bm25, vec).select("dataset", "id", "doc", r6("score").alias("score"), big("rank", "rank"))
-
-
-@register(
-    "sweep_hybrid",
-    "v_vectors v_vector_docs",
-    f"""with {LEGS_SQL}, f as ({_rrf_sql('baseline', '60', '0.3', '1.5')} union all {_rrf_sql('rrf_k=30', '30', '0.3', '1.5')} union all {_rrf_sql('w_bm25=1.0,w_vec=1.0', '60', '1.0', '1.0')})
-    select label, dataset, id, doc, round(score, 6) as score, row_number() over (partition by label, dataset, id order by score desc, doc) as rank from f qualify rank <= 5""",
-)
-def _(t):
-    bm25, vec = _legs(t)
-    grid = gates.variant_grid(vec.select("dataset").distinct(), VARIANTS, BASE_SETTINGS)
-    out = ranking.sweep_hybrid(bm25, vec, grid, top=5)
-    return out.select("label", "dataset", "id", "doc", r6("score").alias("score"), big("rank", "rank"))
-
-
 @register(
     "evaluate_ranking",
     "v_vectors",
@@ -1780,7 +1768,7 @@ def _whole_legs(t):
 
 
 @register(
-    "rank_hybrid_whole",
+    "rank_hybrid",
     "v_bench_queries v_bench_corpus",
     f"with {WHOLE_LEGS_SQL}, f as ({_rrf_sql('x', '60', '0.3', '1.5')}) select dataset, id, doc, round(score, 6) as score, row_number() over (partition by dataset, id order by score desc, doc) as rank from f qualify rank <= 100",
 )
@@ -1790,7 +1778,7 @@ def _(t):
 
 
 @register(
-    "sweep_hybrid_whole",
+    "sweep_hybrid",
     "v_bench_queries v_bench_corpus",
     f"""with {WHOLE_LEGS_SQL}, f as ({_rrf_sql('baseline', '60', '0.3', '1.5')} union all {_rrf_sql('rrf_k=30', '30', '0.3', '1.5')} union all {_rrf_sql('w_bm25=1.0,w_vec=1.0', '60', '1.0', '1.0')})
     select label, dataset, id, doc, round(score, 6) as score, row_number() over (partition by label, dataset, id order by score desc, doc) as rank from f qualify rank <= 100""",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Broadcasting is always decided on a measured size; above this many bytes a
 # side is never collected, whatever its row count.
@@ -41,3 +43,12 @@ def shared_folder(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     named = spark.conf.get("spark.checkpoint.dir", None) or (current.get() if current.isDefined() else None)
     return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table below the shared folder: computed once, read by every later
+    step, and still there when an executor is lost. The folder is the caller's to
+    clear once the results that read it are stored."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -210,8 +210,8 @@ def test_clusters(spark):
     assert {r.slug: r.siblings for r in curation.cluster_siblings(docs).collect()}["y"] == "X (f0); Z (f2)"
     listing = curation.cluster_listing(docs).first()
     assert listing["n"] == 3 and listing.listing.split("\n")[1] == "- stem=c-y | title=Y | focus: f1"
-    cut = {r.slug: r.siblings for r in curation.cluster_siblings(docs, per_part=2).collect()}
-    assert cut == {"x": "Y (f1)", "y": "X (f0)", "z": ""}
+    cut = sorted((r.slug, r.part, r.siblings) for r in curation.cluster_siblings(docs, per_part=2).collect())
+    assert cut == [("x", 0, "Y (f1)"), ("x", 1, "Z (f2)"), ("y", 0, "X (f0)"), ("y", 1, "Z (f2)"), ("z", 0, "X (f0); Y (f1)")]
     parts = sorted((r.part, r.parts, r["n"], r.listing) for r in curation.cluster_listing(docs, per_part=2).collect())
     assert [p[:3] for p in parts] == [(0, 2, 3), (1, 2, 3)]
     assert "\n".join(p[3] for p in parts) == listing.listing
@@ -259,7 +259,7 @@ def test_siblings_of_all_parts(spark):
         [("d", "c", i, s, s.upper(), "f", "en") for i, s in enumerate("vwxyz")] + [("d", "one", 0, "a", "A", "f", "en")],
         "dataset string, cluster string, pos int, slug string, title string, focus string, language string",
     )
-    got = curation.cluster_sibling_parts(docs, per_part=2).collect()
+    got = curation.cluster_siblings(docs, per_part=2).collect()
     told = {}
     for r in sorted(got, key=lambda r: (r.cluster, r.slug, r.part)):
         told.setdefault(r.slug, []).append(r.siblings)

@@ -37,35 +37,67 @@ def brute_bm25(queries, docs, k1, b, top):
     return out
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_bm25(spark, limit):
+@pytest.mark.parametrize("limit, whole, top", [(1 << 20, 1000, 7), (0, 1000, 7), (1 << 20, 0, 7), (0, 60, 30)])
+def test_bm25(spark, limit, whole, top):
     docs = {ds: {f"d{i}": t for i, t in enumerate(texts(60, ds))} for ds in ("a", "b")}
     queries = {ds: {f"q{i}": t for i, t in enumerate(texts(8, ds + "q"))} for ds in ("a", "b")}
     c = spark.createDataFrame([(ds, d, t) for ds in docs for d, t in docs[ds].items()], "dataset string, stem string, text string").repartition(5)
     q = spark.createDataFrame([(ds, i, t) for ds in queries for i, t in queries[ds].items()], "dataset string, id string, q string")
-    hits = K.rank_bm25(q, c, k1=0.9, b=0.4, top=7, block_docs=25, broadcast_bytes=limit).collect()
+    hits = K.rank_bm25(q, c, k1=0.9, b=0.4, top=top, block_docs=9, broadcast_bytes=limit, whole_postings=whole).collect()
     got = {}
     for r in sorted(hits, key=lambda r: r.rank):
         got.setdefault((r.dataset, r.id), []).append(r.doc)
     for ds in docs:
-        for i, want in brute_bm25(queries[ds], docs[ds], 0.9, 0.4, 7).items():
+        for i, want in brute_bm25(queries[ds], docs[ds], 0.9, 0.4, top).items():
             assert got.get((ds, i), []) == want
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_vectors(spark, limit):
-    rng = np.random.default_rng(1)
-    vecs = rng.normal(size=(80, 6))
+def vector_rows(dataset, seed, spread):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(7, 6))
+    vecs = centres[rng.integers(0, 7, 120)] + rng.normal(size=(120, 6)) * spread
     vecs[10] = vecs[20] = vecs[3]  # equal vectors tie and go by name
-    rows = [("d", f"e{i:02d}", v.tolist()) for i, v in enumerate(vecs)]
-    v = spark.createDataFrame(rows, "dataset string, doc string, vec array<double>").repartition(4)
-    q = v.withColumnRenamed("doc", "id")
-    hits = K.rank_vector(q, v, top=9, block_docs=15, broadcast_bytes=limit).collect()
-    unit = vecs / np.linalg.norm(vecs, axis=1, keepdims=True)
+    vecs[30], vecs[31], vecs[32] = 0, -vecs[3], vecs[3] * 5
+    return [(dataset, f"e{i:03d}", v.tolist()) for i, v in enumerate(vecs)]
+
+
+def brute_cosine(rows, top):
+    vecs = np.array([v for _, _, v in rows])
+    norm = np.linalg.norm(vecs, axis=1, keepdims=True)
+    unit = vecs / np.where(norm == 0, 1, norm)
     scores = np.round(unit @ unit.T, 9)
-    for i in range(80):
-        want = [f"e{j:02d}" for j in sorted(range(80), key=lambda j: (-scores[i, j], f"e{j:02d}"))[:9]]
-        assert [r.doc for r in sorted(hits, key=lambda r: r.rank) if r.id == f"e{i:02d}"] == want
+    return {n: [rows[j][1] for j in sorted(range(len(rows)), key=lambda j: (-scores[i, j], rows[j][1]))[:top]] for i, (_, n, _) in enumerate(rows)}
+
+
+@pytest.mark.parametrize("limit, top, spread", [(1 << 20, 9, 1.0), (0, 9, 0.05), (0, 9, 1.0), (0, 200, 0.05)])
+def test_vectors(spark, limit, top, spread):
+    rows = {ds: vector_rows(ds, n, spread) for n, ds in enumerate("ab")}
+    v = spark.createDataFrame([*rows["a"], *rows["b"], ("a", "nan", [math.nan] * 6)], "dataset string, doc string, vec array<double>").repartition(4)
+    q = v.withColumnRenamed("doc", "id")
+    hits = K.rank_vector(q, v, top=top, block_docs=15, broadcast_bytes=limit).collect()
+    got = {}
+    for r in sorted(hits, key=lambda r: r.rank):
+        got.setdefault((r.dataset, r.id), []).append(r.doc)
+    assert got == {(ds, n): want for ds in rows for n, want in brute_cosine(rows[ds], top).items()}
+
+
+def test_pivots_leave_few_rings_open(spark, monkeypatch):
+    """With vectors in groups, a query is searched in few of all rings."""
+    seen = {}
+    kept = K.written
+
+    def keep(df, name):
+        seen[name] = kept(df, name)
+        return seen[name]
+
+    monkeypatch.setattr(K, "written", keep)
+    rows = vector_rows("a", 1, 0.01)
+    v = spark.createDataFrame(rows, "dataset string, doc string, vec array<double>").repartition(3)
+    assert K.rank_vector(v.withColumnRenamed("doc", "id"), v, top=5, broadcast_bytes=0).count() == 600
+    bounds = seen["vectors-bounds"].count()
+    assert seen["vectors-ahead"].count() + seen["vectors-open"].count() < bounds / 2
+    none = spark.createDataFrame([], "dataset string, doc string, vec array<double>")
+    assert K.rank_vector(v.withColumnRenamed("doc", "id"), none, broadcast_bytes=0).count() == 0
 
 
 def test_fusion(spark):
@@ -93,7 +125,7 @@ def test_whole_hybrid_reads_all_documents_at_full_depth(spark):
     from qrelmill.plans.suite import QUERIES
 
     sf = "/root/testdata/sf0.01"
-    hits = QUERIES["sweep_hybrid_whole"](spark, sf).where("label = 'w_bm25=1.0,w_vec=1.0'").collect()
+    hits = QUERIES["sweep_hybrid"](spark, sf).where("label = 'w_bm25=1.0,w_vec=1.0'").collect()
     assert {r.id for r in hits} == {f"b{r.item_id}" for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
     with_vector = {f"d{r.vec_id}" for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id").collect()}
     assert any(r.doc not in with_vector for r in hits)
