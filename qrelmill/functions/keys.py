@@ -60,6 +60,12 @@ def candidate_id(raw: Column, q: Column, expect_any: Column) -> Column:
     )
 
 
+def may_retry(status: int | None) -> bool:
+    """``retry_decision`` for one status outside a plan."""
+    known = isinstance(status, int)
+    return not known or (status not in NOT_RETRYABLE and (status in RETRYABLE or status >= 500))
+
+
 def retry_decision(status: Column) -> Column:
     """Whether a failed attempt may be repeated; an unknown status may."""
     return (

@@ -24,12 +24,14 @@ SUCCEEDED, FAILED, MANUAL, RUNNING, DRY_RUN = (
     "running",
     "dry_run",
 )
-STRICT_JSON = (
-    "\n\nReturn strict JSON only. Do not wrap the result in markdown fences. "
-    "Do not include commentary outside the JSON value."
-)
-REPAIR_SYSTEM = "You repair malformed JSON and output strict JSON only."
-REPAIR_USER = "Turn the following text into valid JSON only and keep all fields and values.\n\n"
+@dataclass(frozen=True)
+class Wording:
+    """The texts a run adds to its tasks: after the user prompt of a JSON task, and
+    the prompt that asks for a broken response to be mended (before that response)."""
+
+    json_only: str
+    repair_system: str
+    repair_user: str
 
 
 @dataclass(frozen=True)
@@ -311,15 +313,74 @@ class CallError(RuntimeError):
         self.status_code = status_code
 
 
-def _may_retry(status: object) -> bool:
-    if not isinstance(status, int):
-        return True
-    return status not in K.NOT_RETRYABLE and (status in K.RETRYABLE or status >= 500)
+class StopRun(BaseException):
+    """Raised by a completion function to end the whole run, not its task."""
+
+
+def pause_after(status: int | None, attempt: int, budget: int, limited: int, policy: RetryPolicy) -> float | None:
+    """Seconds between a failed attempt and the next, or None when there is no next.
+
+    ``limited`` is the number of attempts in a row that a rate limit refused."""
+    if attempt >= budget or not K.may_retry(status):
+        return None
+    slower = policy.initial_seconds * limited if limited >= policy.slowdown_after else 0.0
+    return min(policy.max_seconds, policy.initial_seconds * 2 ** (attempt - 1)) + min(policy.max_seconds, slower)
+
+
+def _settled(answered: DataFrame) -> DataFrame:
+    """Task results from responses (raw, repaired, expected_json, attempts) or, where a task
+    got none, its ``call_error``."""
+    lost = F.col("call_error").isNotNull()
+    return classify_responses(answered).withColumns(
+        {
+            "status": F.when(lost, FAILED).otherwise(F.col("status")),
+            "result": F.when(~lost, F.col("result")),
+            "error": F.when(lost, F.col("call_error")).otherwise(F.col("error")),
+            "skipped": F.lit(False),
+        }
+    )
+
+
+RESULT_COLUMNS = [c.strip().split(" ")[0] for c in TASK_RESULTS.split(",")]
+
+
+def skipped_results(plan: DataFrame) -> DataFrame:
+    """The stored results of tasks that a plan does not send."""
+    return plan.where("skipped").withColumn("error", F.lit(None).cast("string")).select(*RESULT_COLUMNS)
+
+
+def recorded_results(plan: DataFrame, attempts: DataFrame, repairs: DataFrame, budget: int | None = None) -> DataFrame:
+    """What a run of ``plan`` ends with, read from its log alone.
+
+    ``attempts(task_id, attempt, status_code, body, error)`` holds what each
+    call returned, ``repairs(task_id, repaired)`` the mended responses. Tasks
+    without a final attempt are still running. No call is made."""
+    rolled = attempt_rollup(attempts, budget)
+    bodies = attempts.select("task_id", F.col("attempt").alias("attempts"), F.col("body").alias("raw"))
+    answered = (
+        plan.where(~F.col("skipped"))
+        .select("task_id", "dataset", "stage", "expected_json")
+        .join(rolled.withColumnsRenamed({"status": "ended", "error": "call_error"}), "task_id", "left")
+        .join(bodies, ["task_id", "attempts"], "left")
+        .join(repairs.select("task_id", "repaired"), "task_id", "left")
+        .withColumn("raw", F.when(F.col("ended") == SUCCEEDED, F.col("raw")))
+    )
+    open_ = F.coalesce(F.col("ended") == RUNNING, F.lit(True))
+    settled = _settled(answered).withColumns(
+        {
+            "status": F.when(open_, RUNNING).otherwise(F.col("status")),
+            "attempts": F.coalesce("attempts", F.lit(0)),
+            "result": F.when(~open_, F.col("result")),
+            "error": F.when(~open_, F.col("error")),
+        }
+    )
+    return settled.select(*RESULT_COLUMNS).unionByName(skipped_results(plan))
 
 
 def run_tasks(
     plan: DataFrame,
     complete: Callable[[str, str, str], str],
+    wording: Wording,
     model: str = "",
     policy: RetryPolicy = RetryPolicy(),
     concurrency: int = 8,
@@ -332,54 +393,44 @@ def run_tasks(
     other with back-off; a response that is not JSON gets one repair call.
     Only the calls run in Python: parsing and the final state are column
     expressions. Tasks planned as skipped come back with their stored result
-    and are never sent. Write the result once (``append_task_log``) and read it
-    back: every action on the returned plan sends the calls again."""
+    and are never sent. Every action on the returned plan sends the calls
+    again: ``streaming.runs.run_resumable`` stores each batch once."""
     budget = max_attempts or policy.max_attempts
 
-    def attempt_all(system: str, user: str, streak: int) -> tuple[str | None, str | None, int, int]:
-        error = None
-        for attempt in range(1, budget + 1):
-            try:
-                text = complete(system, user, model)
-                if not text.strip():
-                    raise CallError("empty response")
-                return text, None, attempt, 0
-            except Exception as exc:  # the provider's errors are open-ended
-                error, status = str(exc), getattr(exc, "status_code", None)
-                streak += status == 429
-                if not _may_retry(status):
-                    return None, error, 1, streak
-                if attempt < budget:
-                    wait = min(policy.max_seconds, policy.initial_seconds * 2 ** (attempt - 1))
-                    sleep(wait * random.uniform(0.5, 1.5) if policy.jitter else wait)
-                    if streak >= policy.slowdown_after:
-                        sleep(min(policy.max_seconds, policy.initial_seconds * streak))
-        return None, error, budget, streak
+    def ask(system: str, user: str) -> tuple[str | None, str | None, int | None]:
+        """Text of one call, or its error and status."""
+        try:
+            text = complete(system, user, model)
+        except Exception as exc:  # the provider's errors are open-ended
+            return None, str(exc), getattr(exc, "status_code", None)
+        return (text, None, None) if text.strip() else (None, "empty response", None)
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        streak = 0
+        limited = 0
         for batch in batches:
-            answers = []
-            for t in batch.itertuples(index=False):
-                user = t.user + STRICT_JSON if t.expected_json else t.user
-                raw, error, attempts, streak = attempt_all(t.system, user, streak)
-                answers.append((raw, error, attempts))
-            raw, error, attempts = map(list, zip(*answers)) if answers else ([], [], [])
-            out = batch[["task_id", "dataset", "stage", "expected_json"]]
-            yield out.assign(raw=raw, call_error=error, attempts=attempts)
+            out = batch[["task_id", "dataset", "stage", "expected_json"]].assign(raw=None, call_error=None, attempts=0)
+            for n, t in enumerate(batch.itertuples(index=False)):
+                user = t.user + wording.json_only if t.expected_json else t.user
+                attempt, wait, status = 0, 0.0, None
+                while wait is not None:
+                    attempt += 1
+                    if wait:
+                        sleep(wait * random.uniform(0.5, 1.5) if policy.jitter else wait)
+                    text, error, status = ask(t.system, user)
+                    limited = 0 if error is None else limited + (status == 429)
+                    wait = None if error is None else pause_after(status, attempt, budget, limited, policy)
+                spent = attempt if error is None else budget if K.may_retry(status) else 1
+                out.iloc[n, -3:] = [text, error, spent]
+            yield out
 
     def repair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            fixed = []
-            for t in batch.itertuples(index=False):
-                text = None
-                if t.broken:
-                    try:
-                        text = complete(REPAIR_SYSTEM, REPAIR_USER + t.raw, model)
-                    except Exception:  # a failed repair leaves the response as it was
-                        text = None
-                fixed.append(text if text and text.strip() else None)
-            yield batch.drop(columns="broken").assign(repaired=fixed)
+            # A failed repair leaves the response as it was.
+            mended = [
+                ask(wording.repair_system, wording.repair_user + raw)[0] if broken else None
+                for raw, broken in zip(batch["raw"], batch["broken"], strict=True)
+            ]
+            yield batch.drop(columns="broken").assign(repaired=mended)
 
     called = "task_id string, dataset string, stage string, expected_json boolean, raw string, call_error string, attempts int"
     sent = (
@@ -389,18 +440,5 @@ def run_tasks(
         .mapInPandas(call, called)
     )
     no_json = F.col("raw").isNotNull() & F.col("expected_json") & J.parse_model_json(F.col("raw"))["v"].isNull()
-    answered = classify_responses(
-        sent.withColumn("broken", no_json).mapInPandas(repair, called + ", repaired string")
-    )
-    lost = F.col("call_error").isNotNull()
-    answered = answered.withColumns(
-        {
-            "status": F.when(lost, FAILED).otherwise(F.col("status")),
-            "result": F.when(~lost, F.col("result")),
-            "error": F.when(lost, F.col("call_error")).otherwise(F.col("error")),
-            "skipped": F.lit(False),
-        }
-    )
-    kept = plan.where("skipped").withColumn("error", F.lit(None).cast("string"))
-    cols = [c.strip().split(" ")[0] for c in TASK_RESULTS.split(",")]
-    return answered.select(*cols).unionByName(kept.select(*cols))
+    answered = sent.withColumn("broken", no_json).mapInPandas(repair, called + ", repaired string")
+    return _settled(answered).select(*RESULT_COLUMNS).unionByName(skipped_results(plan))

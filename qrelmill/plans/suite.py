@@ -1379,14 +1379,36 @@ def _(t):
     return tasks.attempt_rollup(t.attempts, 4)
 
 
-def _echo(system: str, user: str, model: str) -> str:
-    return '{"chars": %d}' % len(user.split("\n\nReturn strict JSON only")[0])
-
-
-@register("run_tasks", "v_docs", f"with {TASK_ID_SQL} select tk.task_id, 'succeeded' as status, 1 as attempts, concat('{{\"chars\":', len(concat('About ', lang, ':', chr(10), body)), '}}') as result, false as skipped from tk join v_docs d on d.doc_id = tk.doc_id")
-def _(t):
-    plan = tasks.plan_tasks(_doc_tasks(t), t.results.select(F.lit("none").alias("task_id"), "status", F.lit(1).alias("attempts"), "result", F.lit("").alias("raw_response")))
-    return tasks.run_tasks(plan, _echo).select("task_id", "status", "attempts", "result", "skipped")
+@register(
+    "run_tasks",
+    "v_attempts",
+    f"""with a as (select *, coalesce(status_code not between 200 and 299, false) or error is not null or trim(body, ' ' || chr(10) || chr(9)) = '' as failed, status_code is null or status_code in (429, 529) or status_code >= 500 as retryable from v_attempts where attempt <= 4),
+    e as (select task_id, min(attempt) as at from a where not failed or not retryable or attempt = 4 group by task_id),
+    t as (select distinct task_id, length(task_id) % 2 = 0 as expected_json, task_id like '%9-%' as skipped,
+      case when length(task_id) % 3 = 0 then '{{"fixed":true}}' else 'still bad' end as repaired from v_attempts)
+    select t.task_id, case when skipped then 'succeeded' when e.at is null then 'running' when x.failed then 'failed' when expected_json and repaired = 'still bad' then 'needs_manual_review' else 'succeeded' end as status,
+      cast(case when skipped then 2 when e.at is null then 0 when not x.failed then e.at when x.retryable then 4 else 1 end as int) as attempts,
+      case when skipped then '{{"kept":1}}' when e.at is null or x.failed then null when not expected_json then '{{"text":"' || x.body || '"}}' when repaired = 'still bad' then null else repaired end as result,
+      case when not skipped and x.failed then coalesce(x.error, 'empty response') end as error, skipped
+    from t left join e on e.task_id = t.task_id left join a x on x.task_id = e.task_id and x.attempt = e.at""",
+)
+def _(t):
+    """The end of every task of a recorded run: skipped, retried, repaired, failed or open."""
+    size, skipped = F.length("task_id"), F.col("task_id").like("%9-%")
+    named = t.attempts.select("task_id").distinct().select(
+        "task_id",
+        (size % 2 == 0).alias("expected_json"),
+        skipped.alias("skipped"),
+        F.when(size % 3 == 0, '{"fixed":true}').otherwise("still bad").alias("repaired"),
+    )
+    kept = lambda v: F.when(F.col("skipped"), F.lit(v))
+    plan = named.select(
+        "task_id", F.lit("d").alias("dataset"), F.lit("s").alias("stage"), "expected_json", "skipped",
+        kept("succeeded").alias("status"), kept(2).alias("attempts"), kept('{"kept":1}').alias("result"), kept("raw").alias("raw_response"),
+    )
+    out = tasks.recorded_results(plan, t.attempts, named.select("task_id", "repaired"), 4)
+    error = F.when(F.col("status") == "failed", F.col("error")).alias("error")
+    return out.select("task_id", "status", "attempts", "result", error, "skipped")
 
 
 @register("chunk_rows", "v_docs", "with r as (select dataset, doc_id, row_number() over (partition by dataset order by doc_id) - 1 as idx from v_docs) select dataset, doc_id, idx // 8 as grp, idx % 8 as slot from r")

@@ -10,7 +10,7 @@ from qrelmill import schemas as X
 from qrelmill.functions import keys as K
 from qrelmill.operators import tasks as T
 from qrelmill.sources import readers, sinks
-from qrelmill.streaming import audit
+from qrelmill.streaming import audit, runs
 
 ATTEMPTS = "task_id string, attempt int, status_code int, body string, error string"
 
@@ -115,6 +115,17 @@ def make_tasks(spark, users, expected_json=True):
     return T.prompt_tasks(df, "s", "v", F.lit("sys"), F.col("u"), F.col("u"), expected_json, ("u",))
 
 
+WORDING = T.Wording("\nJSON, please.", "Mend this.", "Text: ")
+
+
+def test_pause_after_a_failed_attempt():
+    policy = T.RetryPolicy(initial_seconds=2, max_seconds=5, slowdown_after=3)
+    pauses = [T.pause_after(429, n, 6, n, policy) for n in range(1, 7)]
+    assert pauses == [2, 4, 5 + 5, 5 + 5, 5 + 5, None]
+    assert T.pause_after(401, 1, 6, 0, policy) is None and T.pause_after(404, 1, 6, 0, policy) is None
+    assert T.pause_after(None, 1, 6, 0, policy) == 2 and T.pause_after(503, 2, 6, 2, policy) == 4
+
+
 def test_run_tasks(spark):
     def complete(system, user, model):
         if user.startswith("fail"):
@@ -125,14 +136,14 @@ def test_run_tasks(spark):
             return '```json\n{"a": 1}\n```'
         if user.startswith("broken") or user.startswith("hopeless"):
             return user.split("\n")[0]
-        if system.startswith("You repair"):
+        if system == WORDING.repair_system:
             return '{"fixed": true}' if "broken" in user else "still bad"
         return ""
 
     users = ["fail", "busy", "fenced", "broken", "hopeless", "empty"]
     plan = T.plan_tasks(make_tasks(spark, users), T.fold_audit(spark.createDataFrame([], X.AUDIT_EVENTS)))
     names = {r.task_id: r.u for r in plan.collect()}
-    res = T.run_tasks(plan, complete, policy=T.RetryPolicy(max_attempts=2), sleep=lambda s: None, concurrency=2)
+    res = T.run_tasks(plan, complete, WORDING, policy=T.RetryPolicy(max_attempts=2), sleep=lambda s: None, concurrency=2)
     got = {names[r.task_id]: (r.status, r.attempts, r.result, r.error) for r in res.collect()}
     assert got["fail"] == ("failed", 1, None, "denied")
     assert got["busy"] == ("failed", 2, None, "busy")
@@ -145,17 +156,74 @@ def test_run_tasks(spark):
 
 def test_text_tasks_and_skip(spark):
     plan = T.plan_tasks(make_tasks(spark, ["x"], False), T.fold_audit(spark.createDataFrame([], X.AUDIT_EVENTS)))
-    row = T.run_tasks(plan, lambda s, u, m: "not json").first()
+    row = T.run_tasks(plan, lambda s, u, m: "not json", WORDING).first()
     assert (row.status, json.loads(row.result), row.skipped) == ("succeeded", {"text": "not json"}, False)
     done = plan.select("task_id", F.lit("succeeded").alias("status"), F.lit(4).alias("attempts"), F.lit("{}").alias("result"), F.lit("r").alias("raw_response"))
 
     def never(s, u, m):
         raise AssertionError("called")
 
-    again = T.run_tasks(T.plan_tasks(make_tasks(spark, ["x"], False), done, retry_failed=True), never).first()
+    again = T.run_tasks(T.plan_tasks(make_tasks(spark, ["x"], False), done, retry_failed=True), never, WORDING).first()
     assert again.skipped and again.attempts == 4
 
 
+def test_a_stopped_run_goes_on(spark, tmp_path):
+    """A run that ends half-way sends only the tasks of its open batch again."""
+    path, calls = str(tmp_path / "run"), tmp_path / "calls"
+    calls.mkdir()
+    gate, names = tmp_path / "gate", [f"u{i:02d}" for i in range(20)]
+
+    def complete(system, user, model):
+        name = user.split("\n")[0]
+        if system == WORDING.repair_system:
+            return "still not"
+        if name == "u11" and not gate.exists():
+            raise T.StopRun("quota")
+        with open(calls / name, "a") as f:
+            f.write("x")
+        if name == "u03":
+            raise T.CallError("denied", 403)
+        return "no json" if name == "u05" else '{"a": 1}'
+
+    state = T.fold_audit(spark.createDataFrame([], X.AUDIT_EVENTS))
+    done = make_tasks(spark, ["old"]).select("task_id", F.lit("succeeded").alias("status"), F.lit(3).alias("attempts"), F.lit("{}").alias("result"), F.lit("r").alias("raw_response"))
+    plan = T.plan_tasks(make_tasks(spark, [*names, "old", "u01"]), done.unionByName(state.select(*done.columns)), resume=True).coalesce(1)
+
+    def go():
+        return runs.run_resumable(plan, path, complete, WORDING, batch_tasks=4, concurrency=2, sleep=lambda s: None)
+
+    with pytest.raises(Exception, match="quota"):
+        go()
+    closed = {r.task_id for r in runs.run_results(spark, path).where("NOT skipped").collect()}
+    gate.touch()
+    results = {r.task_id: r for r in go().collect()}
+    assert len(results) == 21 and results == {r.task_id: r for r in go().collect()}
+    users = {r.task_id: r.u for r in plan.collect()}
+    sent = {u: len((calls / u).read_text()) for u in names}
+    often = {u for u, n in sent.items() if n > 1}
+    assert len(closed) < 20 and not often & {users[t] for t in closed} and len(often) < 4
+    got = {users[t]: (r.status, r.attempts, r.skipped) for t, r in results.items()}
+    assert got["u03"] == ("failed", 1, False) and got["u05"][0] == "needs_manual_review" and got["old"] == ("succeeded", 3, True)
+    log = T.fold_audit(readers.read_audit_log(spark, f"{path}/log/*"))
+    assert {users[r.task_id]: (r.status, r.attempts) for r in log.collect()} == {u: v[:2] for u, v in got.items() if u != "old"}
+
+
+def test_results_of_a_recorded_run(spark):
+    plan = T.plan_tasks(make_tasks(spark, ["ok", "late", "denied", "broken", "bad", "open", "none"]), T.fold_audit(spark.createDataFrame([], X.AUDIT_EVENTS)))
+    ids = {r.u: r.task_id for r in plan.collect()}
+    log = [("ok", 1, None, "[1]", None), ("late", 1, 429, None, "busy"), ("late", 2, None, "{}", None), ("denied", 1, 403, None, "no")]
+    log += [("broken", 1, None, "x", None), ("bad", 1, None, "y", None), ("open", 1, 500, None, "e")]
+    attempts = spark.createDataFrame([(ids[u], *a) for u, *a in log], ATTEMPTS)
+    repairs = spark.createDataFrame([(ids["broken"], "[2]"), (ids["bad"], "z")], "task_id string, repaired string")
+    users = {v: k for k, v in ids.items()}
+    got = {users[r.task_id]: (r.status, r.attempts, r.result, r.error if r.status == "failed" else None) for r in T.recorded_results(plan, attempts, repairs, 3).collect()}
+    assert got == {
+        "ok": ("succeeded", 1, "[1]", None), "late": ("succeeded", 2, "{}", None), "denied": ("failed", 1, None, "no"),
+        "broken": ("succeeded", 1, "[2]", None), "bad": ("needs_manual_review", 1, None, None),
+        "open": ("running", 0, None, None), "none": ("running", 0, None, None),
+    }
+
+
 def test_log_round_trip(spark, tmp_path):
     res = spark.createDataFrame([("t", "d", "s", "succeeded", 2, "{}", "raw", None, False, 7, "ts")], X.TASK_RESULTS + ", seq bigint, ts string")
     sinks.append_task_log(res, str(tmp_path / "log"))
