@@ -7,16 +7,18 @@ inside a package, so no global sort is needed to report in order.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import written
 
 # fixed values: threshold keys a package may declare
 THRESHOLD_KEYS = ("hit_at_3", "hit_at_10", "mrr", "ndcg_at_10", "recall_at_100")
 
+# fixed values: the codes and messages of findings throughout this module
 OUT = ["dataset", "section", "pos", "sub", "code", "message"]
 PACKAGE, ASSET, CHUNK, IMAGE, THRESHOLD, QUERY = range(6)
 
@@ -24,7 +26,9 @@ PACKAGE, ASSET, CHUNK, IMAGE, THRESHOLD, QUERY = range(6)
 @dataclass(frozen=True)
 class Package:
     """The tables of all packages. ``datasets`` carries the presence flags
-    has_meta, has_queries, has_targets and has_corpus."""
+    has_meta, has_queries, has_targets and has_corpus. ``checked`` tables hold only
+    rows that are looked at (see ``_active``) and, for the corpus, the structure of
+    the documents in place of their text (see ``stored_package``)."""
 
     datasets: DataFrame
     thresholds: DataFrame
@@ -33,6 +37,7 @@ class Package:
     chunks: DataFrame
     corpus: DataFrame
     asset_files: DataFrame
+    checked: bool = False
 
 
 def with_query_kinds(queries: DataFrame) -> DataFrame:
@@ -117,6 +122,8 @@ def _shown(c: str | Column) -> Column:
 def _active(df: DataFrame, pkg: Package, flag: str | None = None) -> DataFrame:
     """Rows of packages that have a corpus folder (and the given manifest):
     without a corpus folder checking stops after the presence checks."""
+    if pkg.checked:
+        return df
     keep = F.col("has_corpus")
     if flag:
         keep = keep & F.col(flag)
@@ -184,49 +191,107 @@ def check_target_lists(pkg: Package) -> DataFrame:
     return check_lists(pkg, ("assets", "chunks"))
 
 
-# --- targets ---------------------------------------------------------------
+# --- structure and targets -------------------------------------------------
 
+HEADING, ANCHOR = "## ", "Target: "
 
-def _with_text_flags(pkg: Package, targets: DataFrame) -> DataFrame:
-    """Target rows plus found_doc, found_heading and found_anchor.
 
-    The inner join meets the corpus text with the (small) target rows and
-    keeps flags only, so a broadcastable target side leaves the text
-    unshuffled; the flags then return to all targets by position."""
-    text = pkg.corpus.select("dataset", F.col("stem").alias("doc"), "text")
-    needles = {
-        "found_heading": F.concat(F.lit("## "), F.coalesce("heading", F.lit(""))),
-        "found_anchor": F.concat(F.lit("Target: "), F.coalesce("anchor", F.lit(""))),
-    }
+def structure(corpus: DataFrame, longest: int) -> DataFrame:
+    """dataset, stem, file_name, heads, anchors, images of each document in one pass
+    over its text: up to ``longest`` characters behind every heading and target mark, and
+    the paths of its images. That is all the checks ask of a text."""
+
+    def behind(mark: str) -> Column:
+        # A look-ahead finds marks inside what stands behind an earlier one, too.
+        return F.array_distinct(F.regexp_extract_all("text", F.lit(rf"(?={mark}([\s\S]{{0,{longest}}}))"), F.lit(1)))
+
+    images = F.transform(T.image_refs(F.col("text")), lambda r: T.strip(r["path"]))
+    name = F.col("file_name") if "file_name" in corpus.columns else F.concat("stem", F.lit(".md"))
+    return corpus.select(
+        "dataset", "stem", name.alias("file_name"), behind(HEADING).alias("heads"), behind(ANCHOR).alias("anchors"), images.alias("images")
+    )
+
+
+TARGET_COLUMNS = ("section", "dataset", "pos", "is_mapping", "id", "doc", "path", "heading", "anchor", "asset_id", "asset_ids", "asset_ids_kind")
+
+
+def target_rows(pkg: Package, sections: tuple[int, ...] = (ASSET, CHUNK)) -> DataFrame:
+    """Asset and chunk rows of checked packages as one table."""
+    out = None
+    for section, rows in ((ASSET, pkg.assets), (CHUNK, pkg.chunks)):
+        if section not in sections:
+            continue
+        part = _active(rows, pkg, "has_targets").withColumn("section", F.lit(section))
+        kinds = {"asset_ids": "array<string>"}
+        part = part.select(*(F.col(c) if c in part.columns else F.lit(None).cast(kinds.get(c, "string")).alias(c) for c in TARGET_COLUMNS))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _longest(targets: DataFrame) -> int:
+    most = F.greatest(F.length("heading"), F.length("anchor"), F.lit(0))
+    return targets.agg(F.max(most)).first()[0] or 0
+
+
+def with_text_flags(targets: DataFrame, documents: DataFrame) -> DataFrame:
+    """Target rows plus found_doc, found_heading and found_anchor, from the
+    ``documents`` of ``structure``: texts neither move nor are read again."""
+
+    def begins(parts: str, needle: str) -> Column:
+        return F.exists(parts, lambda x: F.startswith(x, F.coalesce(F.col(needle), F.lit(""))))
+
     hits = (
         targets.where("is_mapping")
         .select("section", "dataset", "pos", "doc", "heading", "anchor")
-        .join(text, ["dataset", "doc"])
-        .select("section", "dataset", "pos", *[F.contains("text", n).alias(f) for f, n in needles.items()])
+        .join(documents.select("dataset", F.col("stem").alias("doc"), "heads", "anchors"), ["dataset", "doc"])
         .groupBy("section", "dataset", "pos")
-        .agg(*[F.bool_or(f).alias(f) for f in needles], F.lit(True).alias("found_doc"))
+        .agg(
+            F.bool_or(begins("heads", "heading")).alias("found_heading"),
+            F.bool_or(begins("anchors", "anchor")).alias("found_anchor"),
+            F.lit(True).alias("found_doc"),
+        )
     )
     out = targets.join(hits, ["section", "dataset", "pos"], "left")
-    return out.withColumns({f: F.coalesce(F.col(f), F.lit(False)) for f in [*needles, "found_doc"]})
+    return out.withColumns({f: F.coalesce(F.col(f), F.lit(False)) for f in ("found_doc", "found_heading", "found_anchor")})
+
+
+def flagged_targets(pkg: Package, sections: tuple[int, ...] = (ASSET, CHUNK)) -> DataFrame:
+    targets = target_rows(pkg, sections)
+    return with_text_flags(targets, pkg.corpus if pkg.checked else structure(pkg.corpus, _longest(targets)))
+
+
+def stored_package(pkg: Package) -> Package:
+    """The package tables as the checks read them, each written once: rows that are looked
+    at, and the structure of documents. The corpus text is read here and nowhere else."""
+    datasets = written(pkg.datasets, "package-datasets")
+    pkg = replace(pkg, datasets=datasets)
+    assets = written(_active(pkg.assets, pkg, "has_targets"), "package-assets")
+    chunks = written(_active(pkg.chunks, pkg, "has_targets"), "package-chunks")
+    narrow = replace(pkg, assets=assets, chunks=chunks, checked=True)
+    documents = structure(_active(pkg.corpus, pkg), _longest(target_rows(narrow)))
+    return replace(
+        narrow,
+        corpus=written(documents, "package-structure"),
+        queries=written(_active(pkg.queries, pkg, "has_queries"), "package-queries"),
+        thresholds=_active(pkg.thresholds, pkg, "has_meta"),
+    )
 
 
 def check_targets(
-    pkg: Package, sections: tuple[int, ...] = (ASSET, CHUNK), fields: bool = True, documents: bool = True
+    pkg: Package,
+    sections: tuple[int, ...] = (ASSET, CHUNK),
+    fields: bool = True,
+    documents: bool = True,
+    targets: DataFrame | None = None,
 ) -> DataFrame:
-    """Asset and chunk rows in one pass over them and over the corpus text.
+    """Asset and chunk rows in one pass over them; ``targets`` are ``flagged_targets`` where
+    they are known already.
 
     ``fields``: shape of the rows. ``documents``: missing document (which ends
     the checks of a chunk), heading or anchor absent from the text (as
     substrings), and the shape of a chunk's asset reference."""
-    parts = []
-    if ASSET in sections:
-        parts.append(_active(pkg.assets, pkg, "has_targets").withColumn("section", F.lit(ASSET)))
-    if CHUNK in sections:
-        parts.append(_active(pkg.chunks, pkg, "has_targets").withColumn("section", F.lit(CHUNK)))
-    targets = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
-    for name in ("asset_id", "asset_ids_kind", "path"):
-        if name not in targets.columns:
-            targets = targets.withColumn(name, F.lit(None).cast("string"))
+    if targets is None:
+        targets = flagged_targets(pkg, sections) if documents else target_rows(pkg, sections)
     chunk, asset = F.col("section") == CHUNK, F.col("section") == ASSET
     label = F.when(chunk, "chunk").otherwise("asset")
 
@@ -243,7 +308,6 @@ def check_targets(
             (asset & ok & _blank("heading"), "empty_heading", message("has empty heading")),
         ]
     if documents:
-        targets = _with_text_flags(pkg, targets)
         found = ok & F.col("found_doc")
         one, many = ~_blank("asset_id"), F.col("asset_ids_kind") == "list"
         findings += [
@@ -293,89 +357,141 @@ def check_chunk_documents(pkg: Package) -> DataFrame:
     return check_targets(pkg, (CHUNK,), fields=False)
 
 
-def check_asset_files(pkg: Package) -> DataFrame:
-    files = pkg.asset_files.select("dataset", T.normalize_path(F.col("path")).alias("norm"))
-    assets = _active(pkg.assets, pkg, "has_targets").where(F.col("is_mapping") & ~_blank("path"))
-    lost = assets.withColumn("norm", T.normalize_path(F.col("path"))).join(files, ["dataset", "norm"], "left_anti")
-    return _rows(
-        lost,
-        ASSET,
-        F.col("pos"),
-        2,
-        "asset_missing_file",
-        _numbered("asset target", "references missing file: %s", F.col("path")),
-    )
+# --- names -----------------------------------------------------------------
+
+STEM, ASSET_ID, CHUNK_ID, FILE = "stem", "asset target", "chunk target", "file"
+REFERENCE = ["dataset", "section", "pos", "sub", "what", "item", "shown", "label"]
 
 
 def _valid_ids(df: DataFrame) -> DataFrame:
-    return df.where(F.col("is_mapping") & ~_blank("id")).select("dataset", F.col("id").alias("item")).distinct()
+    return df.where(F.col("is_mapping") & ~_blank("id")).select("dataset", F.col("id").alias("item"))
 
 
-def check_chunk_assets(pkg: Package) -> DataFrame:
-    """Asset references of chunks that no asset target has. Nothing is
-    reported for a package without any valid asset id."""
+def known_names(pkg: Package, kinds: tuple[str, ...]) -> DataFrame:
+    """dataset, what, item: every name of the ``kinds`` that something may refer to, once."""
+    tables = {
+        STEM: lambda: pkg.corpus.select("dataset", F.col("stem").alias("item")),
+        ASSET_ID: lambda: _valid_ids(pkg.assets),
+        CHUNK_ID: lambda: _valid_ids(pkg.chunks),
+        FILE: lambda: pkg.asset_files.select("dataset", T.normalize_path(F.col("path")).alias("item")),
+    }
+    out = None
+    for what in kinds:
+        part = tables[what]().select("dataset", F.lit(what).alias("what"), "item")
+        out = part if out is None else out.unionByName(part)
+    return out.distinct()
+
+
+def _reference(df: DataFrame, section: int, pos: Column, sub: Column, what: Column | str, item: Column, shown: Column, label: Column) -> DataFrame:
+    what = F.lit(what) if isinstance(what, str) else what
+    columns = (F.col("dataset"), F.lit(section), pos.cast("bigint"), sub.cast("bigint"), what, item, shown, label)
+    return df.select(*(c.alias(n) for c, n in zip(columns, REFERENCE, strict=True)))
+
+
+def _file_references(pkg: Package, targets: DataFrame | None) -> DataFrame:
+    rows = target_rows(pkg, (ASSET,)) if targets is None else targets.where(F.col("section") == ASSET)
+    path = F.col("path")
+    rows = rows.where(F.col("is_mapping") & ~_blank("path"))
+    return _reference(rows, ASSET, F.col("pos"), F.lit(2), FILE, T.normalize_path(path), path, F.lit(None).cast("string"))
+
+
+def _image_references(pkg: Package, targets: DataFrame | None) -> DataFrame:
+    """A remote image has no local name, so that no file is found for it."""
+    documents = pkg.corpus if pkg.checked else structure(_active(pkg.corpus, pkg), 0)
+    rows = documents.select("dataset", "file_name", F.posexplode("images").alias("sub", "path"))
+    path = F.col("path")
+    far = path.startswith("http://") | path.startswith("https://")
+    return _reference(rows, IMAGE, F.lit(0), F.col("sub"), FILE, F.when(~far, T.normalize_path(path)), path, F.col("file_name"))
+
+
+def _chunk_references(pkg: Package, targets: DataFrame | None) -> DataFrame:
+    """Asset references of chunks whose document exists. A package without any valid
+    asset id has only its empty references reported."""
     one, many = ~_blank("asset_id"), F.col("asset_ids_kind") == "list"
-    docs = pkg.corpus.select("dataset", F.col("stem").alias("doc"))
-    refs = (
-        _active(pkg.chunks, pkg, "has_targets")
-        .where(F.col("is_mapping") & (one != many))
-        .join(docs, ["dataset", "doc"], "left_semi")
-        .select(
-            "dataset",
-            "pos",
-            F.posexplode(F.when(one, F.array("asset_id")).otherwise(F.col("asset_ids"))).alias("sub", "item"),
+    if targets is None:
+        docs = pkg.corpus.select("dataset", F.col("stem").alias("doc"))
+        targets = target_rows(pkg, (CHUNK,)).join(docs, ["dataset", "doc"], "left_semi").withColumn("found_doc", F.lit(True))
+    rows = targets.where((F.col("section") == CHUNK) & F.col("is_mapping") & F.col("found_doc") & (one != many))
+    any_known = _valid_ids(_active(pkg.assets, pkg, "has_targets")).select("dataset", F.lit(True).alias("any_known")).distinct()
+    listed = F.posexplode(F.when(one, F.array("asset_id")).otherwise(F.col("asset_ids"))).alias("sub", "item")
+    rows = rows.select("dataset", "pos", listed).join(any_known, "dataset", "left")
+    rows = rows.where(_blank("item") | F.col("any_known"))
+    item = F.when(~_blank("item"), F.col("item"))
+    return _reference(rows, CHUNK, F.col("pos"), F.col("sub") + 10, ASSET_ID, item, item, F.lit(None).cast("string"))
+
+
+def _query_references(pkg: Package, targets: DataFrame | None) -> DataFrame:
+    """Expected documents, assets and chunks; the three arrays are exploded in one pass."""
+    queries = _active(pkg.queries, pkg, "has_queries").where("is_mapping")
+
+    def refs(what: str, col: str, kind: str, base: int) -> Column:
+        return F.transform(
+            F.when(F.col(kind) == "list", F.col(col)).otherwise(F.array().cast("array<string>")),
+            lambda x, i: F.struct(F.lit(what).alias("what"), (i + base).cast("bigint").alias("sub"), x.alias("item")),
         )
+
+    several = F.concat(
+        refs(STEM, "expect_any", "expect_any_kind", 100),
+        refs(ASSET_ID, "expect_asset_any", "expect_asset_kind", 10**6),
+        refs(CHUNK_ID, "expect_chunk_any", "expect_chunk_kind", 2 * 10**6),
     )
-    known = _valid_ids(_active(pkg.assets, pkg, "has_targets")).withColumn("known", F.lit(True))
-    any_known = known.select("dataset").distinct().withColumn("any_known", F.lit(True))
-    bad = (
-        refs.join(known, ["dataset", "item"], "left")
-        .join(any_known, "dataset", "left")
-        .where(_blank("item") | (F.col("known").isNull() & F.col("any_known")))
+    flags = pkg.datasets.select("dataset", "has_targets")
+    rows = queries.select("dataset", "pos", F.explode(several).alias("r")).select("dataset", "pos", "r.*").join(flags, "dataset")
+    rows = rows.where((F.col("what") == STEM) | F.col("has_targets"))
+    return _reference(rows, QUERY, F.col("pos"), F.col("sub"), F.col("what"), F.col("item"), _shown("item"), F.lit(None).cast("string"))
+
+
+#: What refers to something, and the kinds of names it refers to.
+REFERENCES = {
+    "files": (_file_references, (FILE,)),
+    "images": (_image_references, (FILE,)),
+    "chunks": (_chunk_references, (ASSET_ID,)),
+    "queries": (_query_references, (STEM, ASSET_ID, CHUNK_ID)),
+}
+
+
+def check_references(pkg: Package, parts: tuple[str, ...] = tuple(REFERENCES), targets: DataFrame | None = None) -> DataFrame:
+    """References to documents, targets and files that do not exist: all of them as one
+    long table meet one table of names."""
+    refs, kinds = None, []
+    for part in parts:
+        make, names = REFERENCES[part]
+        rows = make(pkg, targets)
+        refs = rows if refs is None else refs.unionByName(rows)
+        kinds += [k for k in names if k not in kinds]
+    lost = refs.join(known_names(pkg, tuple(kinds)), ["dataset", "what", "item"], "left_anti")
+    section, shown, pos = F.col("section"), F.col("shown"), F.col("pos")
+    far = shown.startswith("http://") | shown.startswith("https://")
+    code = (
+        F.when(section == ASSET, "asset_missing_file")
+        .when(section == CHUNK, F.when(shown.isNull(), "chunk_empty_asset_ref").otherwise("chunk_missing_asset"))
+        .when(section == IMAGE, F.when(far, "image_remote").otherwise("image_missing"))
+        .otherwise(F.concat(F.lit("query_missing_"), F.substring_index("what", " ", 1)))
     )
-    return bad.select(
-        "dataset",
-        F.lit(CHUNK).alias("section"),
-        F.col("pos").cast("bigint").alias("pos"),
-        (F.col("sub") + 10).cast("bigint").alias("sub"),
-        F.when(_blank("item"), "chunk_empty_asset_ref").otherwise("chunk_missing_asset").alias("code"),
-        F.when(_blank("item"), _numbered("chunk target", "asset_ids contains empty id"))
-        .otherwise(_numbered("chunk target", "references missing asset target: %s", F.col("item")))
-        .alias("message"),
+    message = (
+        F.when(section == ASSET, _numbered("asset target", "references missing file: %s", shown))
+        .when((section == CHUNK) & shown.isNull(), _numbered("chunk target", "asset_ids contains empty id"))
+        .when(section == CHUNK, _numbered("chunk target", "references missing asset target: %s", shown))
+        .when(section == IMAGE, F.concat("label", F.when(far, " uses remote image reference: ").otherwise(" references missing image: "), "shown"))
+        .otherwise(_numbered("query", "references missing %s: %s", F.col("what"), shown))
     )
+    return lost.select("dataset", "section", pos, "sub", code.alias("code"), message.alias("message"))
 
 
-# --- images ----------------------------------------------------------------
+def check_asset_files(pkg: Package) -> DataFrame:
+    return check_references(pkg, ("files",))
+
+
+def check_chunk_assets(pkg: Package) -> DataFrame:
+    return check_references(pkg, ("chunks",))
 
 
 def check_images(pkg: Package) -> DataFrame:
-    """Remote image references and local ones without a file."""
-    refs = (
-        _active(pkg.corpus, pkg)
-        .select("dataset", "file_name", F.posexplode(T.image_refs(F.col("text"))).alias("sub", "ref"))
-        .select("dataset", "file_name", "sub", T.strip(F.col("ref.path")).alias("path"))
-    )
-    remote = F.col("path").startswith("http://") | F.col("path").startswith("https://")
-    files = pkg.asset_files.select(
-        "dataset", T.normalize_path(F.col("path")).alias("norm"), F.lit(True).alias("exists")
-    ).distinct()
-    # A remote reference has no local name, so it matches no file either.
-    bad = (
-        refs.withColumn("remote", remote)
-        .withColumn("norm", F.when(~F.col("remote"), T.normalize_path(F.col("path"))))
-        .join(files, ["dataset", "norm"], "left")
-        .where(F.col("exists").isNull())
-    )
-    far = F.col("remote")
-    text = F.when(far, " uses remote image reference: ").otherwise(" references missing image: ")
-    return bad.select(
-        "dataset",
-        F.lit(IMAGE).alias("section"),
-        F.lit(0).cast("bigint").alias("pos"),
-        F.col("sub").cast("bigint").alias("sub"),
-        F.when(far, "image_remote").otherwise("image_missing").alias("code"),
-        F.concat("file_name", text, "path").alias("message"),
-    )
+    return check_references(pkg, ("images",))
+
+
+def check_query_references(pkg: Package) -> DataFrame:
+    return check_references(pkg, ("queries",))
 
 
 # --- thresholds ------------------------------------------------------------
@@ -442,69 +558,28 @@ def check_query_fields(pkg: Package, lists: bool = True) -> DataFrame:
 def check_query_duplicates(pkg: Package) -> DataFrame:
     """Every occurrence after the first of an id, and of a text.
 
-    The first position per value is a map-side combined minimum and the join
-    back lets adaptive execution split a hot value, so a third of all rows may
-    share one text."""
-    queries = _active(pkg.queries, pkg, "has_queries").where("is_mapping")
-    out = None
-    for col, sub, code, label in (
-        ("id", 1, "query_duplicate_id", "duplicate query id: "),
-        ("q", 2, "query_duplicate_text", "duplicate query text: "),
-    ):
-        rows = queries.where(~T.is_blank(F.col(col))).select("dataset", "pos", F.col(col).alias("value"))
-        first = (
-            rows.groupBy("dataset", "value")
-            .agg(F.min("pos").alias("first_pos"), F.count(F.lit(1)).alias("n"))
-            .where("n > 1")
-            .drop("n")
-        )
-        again = rows.join(first, ["dataset", "value"]).where("pos > first_pos")
-        part = _rows(again, QUERY, F.col("pos"), sub, code, F.concat(F.lit(label), "value"))
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def check_query_references(pkg: Package) -> DataFrame:
-    """Expected documents, assets and chunks that do not exist. All three
-    expectation arrays are exploded in one pass and meet one table of known
-    names, so the query table is read once."""
+    Ids and texts are one long table. The first position per value is a map-side
+    combined minimum and the join back lets adaptive execution split a hot
+    value, so a third of all rows may share one text."""
     queries = _active(pkg.queries, pkg, "has_queries").where("is_mapping")
-
-    def refs(what: str, col: str, kind: str) -> Column:
-        return F.transform(
-            F.when(F.col(kind) == "list", F.col(col)).otherwise(F.array().cast("array<string>")),
-            lambda x, i: F.struct(F.lit(what).alias("what"), i.cast("bigint").alias("i"), x.alias("item")),
-        )
-
-    exploded = queries.select(
-        "dataset",
-        "pos",
-        F.explode(
-            F.concat(
-                refs("stem", "expect_any", "expect_any_kind"),
-                refs("asset target", "expect_asset_any", "expect_asset_kind"),
-                refs("chunk target", "expect_chunk_any", "expect_chunk_kind"),
-            )
-        ).alias("r"),
-    ).select("dataset", "pos", "r.*")
-    targeted = pkg.datasets.where("has_targets").select("dataset")
-    targets = exploded.where("what <> 'stem'").join(targeted, "dataset", "left_semi")
-    wanted = exploded.where("what = 'stem'").unionByName(targets)
-    known = (
-        pkg.corpus.select("dataset", F.lit("stem").alias("what"), F.col("stem").alias("item"))
-        .unionByName(_valid_ids(pkg.assets).withColumn("what", F.lit("asset target")))
-        .unionByName(_valid_ids(pkg.chunks).withColumn("what", F.lit("chunk target")))
+    given = lambda c, sub: F.when(~T.is_blank(F.col(c)), F.struct(F.lit(sub).alias("sub"), F.col(c).alias("value")))
+    both = F.explode(F.array_compact(F.array(given("id", 1), given("q", 2)))).alias("v")
+    rows = queries.select("dataset", "pos", both).select("dataset", "pos", "v.*")
+    first = (
+        rows.groupBy("dataset", "sub", "value")
+        .agg(F.min("pos").alias("first_pos"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+        .drop("n")
     )
-    lost = wanted.join(known, ["dataset", "what", "item"], "left_anti")
-    base = F.when(F.col("what") == "stem", 100).when(F.col("what") == "asset target", 10**6).otherwise(2 * 10**6)
-    code = F.concat(F.lit("query_missing_"), F.substring_index("what", " ", 1))
-    return lost.select(
+    again = rows.join(first, ["dataset", "sub", "value"]).where("pos > first_pos")
+    is_id = F.col("sub") == 1
+    return again.select(
         "dataset",
         F.lit(QUERY).alias("section"),
         F.col("pos").cast("bigint").alias("pos"),
-        (base + F.col("i")).cast("bigint").alias("sub"),
-        code.alias("code"),
-        _numbered("query", "references missing %s: %s", F.col("what"), _shown("item")).alias("message"),
+        F.col("sub").cast("bigint").alias("sub"),
+        F.when(is_id, "query_duplicate_id").otherwise("query_duplicate_text").alias("code"),
+        F.concat(F.when(is_id, "duplicate query id: ").otherwise("duplicate query text: "), "value").alias("message"),
     )
 
 
@@ -527,18 +602,17 @@ CHECKS = {
 
 
 def validate_packages(pkg: Package) -> DataFrame:
-    """All checks. Those that read the same tables run as one pass here."""
+    """All checks, over tables that are written once (``stored_package``)."""
+    pkg = stored_package(pkg)
+    targets = written(flagged_targets(pkg), "package-targets")
     parts = [
         check_presence(pkg),
         check_lists(pkg),
-        check_targets(pkg),
-        check_asset_files(pkg),
-        check_chunk_assets(pkg),
-        check_images(pkg),
+        check_targets(pkg, targets=targets),
+        check_references(pkg, targets=targets),
         check_thresholds(pkg),
         check_query_fields(pkg, lists=False),
         check_query_duplicates(pkg),
-        check_query_references(pkg),
     ]
     out = parts[0].select(*OUT)
     for part in parts[1:]:
