@@ -1757,19 +1757,22 @@ def _(t):
 @register("stream_fold_audit", "v_audit_events", f"with {FOLD_SQL} select task_id, dataset, stage, status, attempts, last_error, created_at, updated_at from fold")
 def _(t):
     """Write the audit log as JSON, stream it into the folded state, read that."""
-    return _streamed(t)[0].select("task_id", "dataset", "stage", "status", "attempts", "last_error", "created_at", "updated_at")
+    root = _logged(t)
+    audit.stream_fold_audit(t.spark, f"{root}/log", f"{root}/state", f"{root}/offsets").awaitTermination()
+    return audit.read_state(t.spark, f"{root}/state").select("task_id", "dataset", "stage", "status", "attempts", "last_error", "created_at", "updated_at")
 
 
 @register("stream_status_counts", "v_audit_events", f"with {FOLD_SQL} select dataset, stage, status, count(*) as n from fold group by dataset, stage, status")
 def _(t):
-    return _streamed(t)[1]
+    root = _logged(t)
+    audit.stream_status_counts(t.spark, f"{root}/log", f"{root}/counts", f"{root}/offsets").awaitTermination()
+    return audit.read_counts(t.spark, f"{root}/counts")
 
 
-def _streamed(t):
+def _logged(t) -> str:
     root = f"{shared_folder(t.spark)}/audit-{uuid.uuid4().hex}"
     t.audit_events.write.json(f"{root}/log")
-    audit.stream_status_counts(t.spark, f"{root}/log", f"{root}/state", f"{root}/counts", f"{root}/offsets").awaitTermination()
-    return audit.read_state(t.spark, f"{root}/state"), audit.read_counts(t.spark, f"{root}/counts")
+    return root
 
 
 VECTOR_WHOLE_SQL = """

@@ -3,17 +3,29 @@
 Each micro-batch is folded on its own and written under its batch number, so a
 replayed batch overwrites itself and the cost of a batch does not grow with the
 state. Folds merge in any order; every ``compact_every`` batches they are merged
-into one base, and the folds and bases behind it are removed. Counts are published
-under a new name per batch, so that a reader always finds a whole one."""
+into one base, and the folds and bases behind it are removed.
+
+Counts per status are kept as signed changes: the stream remembers the last event
+of every task, and when a later one arrives it takes the task out of its old
+status and adds it to the new. A batch writes the sums of its own changes, so that
+neither the task state nor earlier counts are read for it."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.tasks import audit_status_counts, fold_audit, merge_states
+from ..operators.tasks import RUNNING, audit_status_counts, fold_audit, merge_states
 from ..schemas import AUDIT_EVENTS
 
+LAST_EVENT = "seq bigint, dataset string, stage string, status string"
+CHANGES = "dataset string, stage string, status string, n bigint"
+
 
 def _folder(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -58,9 +70,13 @@ def read_state(spark: SparkSession, state_path: str, upto: int | None = None) ->
 
 
 def read_counts(spark: SparkSession, counts_path: str) -> DataFrame | None:
-    """The last published counts, or None before the first batch."""
-    found = _complete(spark, counts_path)
-    return spark.read.parquet(f"{counts_path}/{max(found, key=found.get)}") if found else None
+    """Tasks per (dataset, stage, status) now, or None before the first batch."""
+    parts = _parts(spark, counts_path)
+    return _added(spark.read.schema(CHANGES).parquet(*parts)) if parts else None
+
+
+def _added(changes: DataFrame) -> DataFrame:
+    return changes.groupBy("dataset", "stage", "status").agg(F.sum("n").alias("n")).where("n <> 0")
 
 
 def stream_fold_audit(
@@ -70,7 +86,6 @@ def stream_fold_audit(
     checkpoint: str,
     compact_every: int = 50,
     available_now: bool = True,
-    counts_path: str | None = None,
 ) -> StreamingQuery:
     """Keep the folded state of the JSON log at ``log_path`` current."""
 
@@ -82,33 +97,63 @@ def stream_fold_audit(
             state = read_state(session, state_path, batch_id)
             state.write.mode("overwrite").parquet(f"{state_path}/base-{batch_id}")
             _prune(session, state_path, batch_id)
-        if counts_path:
-            state = read_state(session, state_path, batch_id)
-            status_counts(state).write.mode("overwrite").parquet(f"{counts_path}/counts-{batch_id}")
-            _prune(session, counts_path, batch_id - 1)
 
-    stream = spark.readStream.schema(AUDIT_EVENTS).json(log_path)
-    writer = stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
-    return writer.start()
+    return _started(spark.readStream.schema(AUDIT_EVENTS).json(log_path).writeStream.foreachBatch(fold), checkpoint, available_now)
+
+
+def _started(writer, checkpoint: str, available_now: bool) -> StreamingQuery:
+    writer = writer.option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")).start()
 
 
 def status_counts(state: DataFrame) -> DataFrame:
-    """Tasks per (dataset, stage, status). Counted over the state, because a
-    task moves between states and a streaming count would keep both."""
+    """Tasks per (dataset, stage, status) of a whole state."""
     return state.groupBy("dataset", "stage", "status").count().withColumnRenamed("count", "n")
 
 
+def _signed(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """What the new events of one task change: -1 where it was, +1 where it is."""
+    before = now = tuple(state.get) if state.exists else None
+    for frame in frames:
+        for seq, *place in zip(frame["seq"], frame["dataset"], frame["stage"], frame["status"], strict=True):
+            if now is None or seq > now[0]:
+                now = (int(seq), *place)
+    if now != before:
+        state.update(now)
+    rows = [(*now[1:], 1)] if before is None else [] if now[1:] == before[1:] else [(*before[1:], -1), (*now[1:], 1)]
+    yield pd.DataFrame(rows, columns=["dataset", "stage", "status", "n"])
+
+
+def status_changes(events: DataFrame) -> DataFrame:
+    """Signed changes of the counts (dataset, stage, status, n) by a stream of audit
+    events. Replayed and late events change nothing: the highest ``seq`` decides."""
+    status = F.when(F.col("kind") == "finish", F.col("status")).otherwise(RUNNING)
+    last = events.where("seq IS NOT NULL").select("task_id", "seq", "dataset", "stage", status.alias("status"))
+    return last.groupBy("task_id").applyInPandasWithState(_signed, CHANGES, LAST_EVENT, "update", GroupStateTimeout.NoTimeout)
+
+
 def stream_status_counts(
-    spark: SparkSession, log_path: str, state_path: str, counts_path: str, checkpoint: str, **kw
+    spark: SparkSession, log_path: str, counts_path: str, checkpoint: str, compact_every: int = 50, available_now: bool = True
 ) -> StreamingQuery:
-    return stream_fold_audit(spark, log_path, state_path, checkpoint, counts_path=counts_path, **kw)
+    """Keep the counts (``read_counts``) of the JSON log at ``log_path`` current."""
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        _added(batch).write.mode("overwrite").parquet(f"{counts_path}/batch-{batch_id}")
+        if (batch_id + 1) % compact_every == 0 and f"base-{batch_id}" not in _complete(session, counts_path):
+            parts = _parts(session, counts_path, batch_id)
+            _added(session.read.schema(CHANGES).parquet(*parts)).write.mode("overwrite").parquet(f"{counts_path}/base-{batch_id}")
+            _prune(session, counts_path, batch_id)
+
+    changes = status_changes(spark.readStream.schema(AUDIT_EVENTS).json(log_path))
+    return _started(changes.writeStream.foreachBatch(add).outputMode("update"), checkpoint, available_now)
 
 
 __all__ = [
     "audit_status_counts",
     "read_counts",
     "read_state",
+    "status_changes",
     "status_counts",
     "stream_fold_audit",
     "stream_status_counts",

@@ -242,3 +242,17 @@ def test_stream_equals_batch_over_replays_and_compaction(spark, tmp_path):
     assert sum(n.startswith("base-") for n in kept) <= 1 and len(kept) <= 2
     counts = {r.status: r["n"] for r in audit.status_counts(audit.read_state(spark, state)).collect()}
     assert counts == {"running": 2, "succeeded": 1}
+
+
+def test_counts_by_signed_changes(spark, tmp_path, monkeypatch):
+    """Counts follow overlapping, late and replayed events, and no batch reads the task state."""
+    monkeypatch.setattr(audit, "read_state", None)
+    log, counts, offsets = (str(tmp_path / n) for n in ("log", "counts", "ck"))
+    df = spark.createDataFrame(EVENTS, X.AUDIT_EVENTS)
+    seen = []
+    for lo, hi in ((4, 5), (1, 2), (3, 3), (2, 5), (6, 6)):
+        df.where(f"seq between {lo} and {hi}").coalesce(1).write.mode("append").json(log)
+        audit.stream_status_counts(spark, log, counts, offsets, compact_every=2).awaitTermination()
+        seen.append({r.status: r["n"] for r in audit.read_counts(spark, counts).collect()})
+    assert seen == [{"succeeded": 1}, {"succeeded": 1, "failed": 1}, {"succeeded": 1, "running": 1}, {"succeeded": 1, "running": 1}, {"succeeded": 1, "running": 2}]
+    assert sum(p.name.startswith("base-") for p in (tmp_path / "counts").iterdir()) == 1
