@@ -1,10 +1,12 @@
 """Exact top-k search in binary codes by incremental multi-index hashing.
 
-Vectors become 64-bit codes of signs. The index files each distinct code under its four
-16-bit segments. A search looks up all segment values within a radius that grows by one
-per round. When radius r is done in all segments, every code within 4 * r + 3 bits has been
-seen, because a code that differs in so few bits differs in at most r of some segment. A
-query is done once its k-th verified distance is covered by that bound.
+Vectors become 64-bit codes of signs. The index files each distinct code under its m
+segments, about as wide as the logarithm of the number of codes, so that a segment value
+has few codes at any size. A search looks up all segment values within a radius, which
+grows by one in one segment after the other. When radius r is done in the first a + 1
+segments and r - 1 in the others, every code within m * r + a bits has been seen, because
+one that was not differs in more bits. A query is done once its k-th verified distance is
+covered by that bound.
 
 Equal codes are one entry with their k least ids, and equal queries one search, so a
 vector that many rows share is looked up once. Candidates are cut to the best k per query
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +26,10 @@ from pyspark.sql import functions as F
 from qrelmill.llm.work import Work, table
 
 BITS = 64
-SEGMENTS = 4
-WIDTH = BITS // SEGMENTS
+#: Widest segment: a radius of it has at most 12,870 changes, and all of them are 65,536.
+WIDEST = 16
+#: With up to this many changes of a segment, all segments are looked up in one round.
+TOGETHER = 600
 K = 10
 EVERY = 50
 PARTS = 32
@@ -63,23 +68,38 @@ def best(rows: DataFrame, group: list[str], order: list[str], k: int, salt: Colu
     return some.withColumn("place", again).filter(F.col("place") <= k)
 
 
-def _segment(n: int) -> Column:
-    return F.shiftrightunsigned("code", n * WIDTH).bitwiseAND((1 << WIDTH) - 1)
+def widths(codes: int) -> list[int]:
+    """Widths of the segments for a number of distinct codes."""
+    m = max(-(-BITS // WIDEST), min(BITS, round(BITS / np.log2(max(2, codes)))))
+    return [BITS // m + (i < BITS % m) for i in range(m)]
 
 
-def segments(rows: DataFrame) -> DataFrame:
-    """``rows`` (code, ...) once per segment, with segment and value."""
-    each = F.array(*(F.struct(F.lit(n).alias("segment"), _segment(n).alias("value")) for n in range(SEGMENTS)))
-    return rows.select("*", F.explode(each).alias("s")).select("*", "s.segment", "s.value").drop("s")
+def segments(rows: DataFrame, wide: list[int], some: list[int]) -> DataFrame:
+    """``rows`` (code, ...) once for ``some`` of the segments, with segment, width and value."""
+    starts = np.cumsum([0, *wide])
 
+    def cut(n: int) -> Column:
+        value = F.shiftrightunsigned("code", int(starts[n])).bitwiseAND((1 << wide[n]) - 1)
+        return F.struct(F.lit(n).alias("segment"), F.lit(wide[n]).alias("width"), value.alias("value"))
 
-def _masks(radius: int) -> Column:
-    """All changes of a segment value in ``radius`` bits."""
-    return F.filter(F.sequence(F.lit(0), F.lit((1 << WIDTH) - 1)), lambda m: F.bit_count(m) == radius)
+    return rows.select("*", F.explode(F.array(*map(cut, some))).alias("s")).select("*", "s.*").drop("s")
 
 
-def _covered(radius: int) -> int:
-    return SEGMENTS * (radius + 1) - 1
+def changes(spark: SparkSession, wide: list[int]) -> DataFrame:
+    """width, radius, masks: all changes of a segment in ``radius`` bits, 2 ** WIDEST at most a width."""
+    rows = [(w, r, [sum(1 << i for i in c) for c in combinations(range(w), r)]) for w in sorted(set(wide)) for r in range(w + 1)]
+    return spark.createDataFrame(rows, "width int, radius int, masks array<int>")
+
+
+def rounds(wide: list[int]) -> Iterator[tuple[int, list[int], int]]:
+    """Radius, segments to look up, and the distance up to which all codes are then seen."""
+    m = len(wide)
+    for radius in range(max(wide) + 1):
+        if comb(max(wide), radius) <= TOGETHER:
+            yield radius, list(range(m)), m * radius + m - 1
+        else:
+            for n in range(m):
+                yield radius, [n], m * radius + n
 
 
 def top_k(base: DataFrame, asked: DataFrame, k: int = K) -> DataFrame:
@@ -93,28 +113,33 @@ def top_k(base: DataFrame, asked: DataFrame, k: int = K) -> DataFrame:
     entries = work.save(
         nearest.groupBy("code").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "entries"
     )  # at most k ids each
+    wide = widths(entries.count())
+    every = list(range(len(wide)))
     index = work.save(
-        segments(entries.select("code", F.element_at("ids", 1).alias("least"), F.size("ids").alias("n"))), "index"
+        segments(entries.select("code", F.element_at("ids", 1).alias("least"), F.size("ids").alias("n")), wide, every).drop("width"), "index"
     ).withColumnRenamed("code", "other")
+    masks = work.save(changes(base.sparkSession, wide), "masks")
     active = work.save(asked.select("code").distinct(), "active")
     found: DataFrame | None = None
     done: list[DataFrame] = []
-    for radius in range(WIDTH + 1):
-        probes = segments(active).select("code", "segment", "value", F.explode(_masks(radius)).alias("mask"))
+    for step, (radius, some, covered) in enumerate(rounds(wide)):
+        own = F.broadcast(masks.filter(F.col("radius") == radius).drop("radius"))  # a row per width
+        probes = segments(active, wide, some).join(own, "width").select("code", "segment", "value", F.explode("masks").alias("mask"))
         probes = probes.select("code", "segment", F.col("value").bitwiseXOR(F.col("mask").cast("long")).alias("value"))
-        hits = probes.join(index, ["segment", "value"]).select(
+        hits = probes.join(index.hint("merge"), ["segment", "value"]).select(
             "code", "other", "least", "n", F.bit_count(F.col("code").bitwiseXOR(F.col("other"))).alias("distance")
         )
         # Of the k nearest rows, each is of one of the k codes that come first by distance and least id.
         seen = hits if found is None else hits.unionByName(found.join(active, "code", "left_semi"))
         found = work.save(
-            best(seen.distinct(), ["code"], ["distance", "least"], k, F.xxhash64("other")).drop("place"), f"found{radius}"
+            best(seen.distinct(), ["code"], ["distance", "least"], k, F.xxhash64("other")).drop("place"), f"found{step}"
         )
-        sure = found.groupBy("code").agg(F.sum(F.when(F.col("distance") <= _covered(radius), F.col("n"))).alias("rows"))
-        ends = active if radius == WIDTH else sure.filter(F.col("rows") >= k).select("code")
+        last = covered >= BITS
+        sure = found.groupBy("code").agg(F.sum(F.when(F.col("distance") <= covered, F.col("n"))).alias("rows"))
+        ends = active if last else sure.filter(F.col("rows") >= k).select("code")
         done.append(found.join(ends, "code", "left_semi"))
-        active = work.save(active.join(ends, "code", "left_anti"), f"active{radius}")
-        if not active.limit(1).count():
+        active = work.save(active.join(ends, "code", "left_anti"), f"active{step}")
+        if last or not active.limit(1).count():
             break
     result = done[0]
     for more in done[1:]:
