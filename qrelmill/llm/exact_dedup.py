@@ -59,10 +59,12 @@ def screen(batch: DataFrame, filters: DataFrame) -> DataFrame:
 def _byte_check(docs: DataFrame, hits: DataFrame) -> DataFrame:
     """The hits (sha, top, old_id, ...), once all texts of a digest were found equal.
 
-    All texts meet their ids in one shuffle by id, whatever the number of hits: a plan
-    that broadcasts few hits would say nothing about many."""
+    All texts meet their ids in one shuffle by id and digest, whatever the number of hits:
+    a plan that broadcasts few hits would say nothing about many. An id may stand for
+    several texts, so the digest of ``docs``, where it is given, says which is meant."""
+    keys = [c for c in ("doc_id", "sha") if c in docs.columns]
     ids = hits.select("sha", F.explode(F.array("top", "old_id")).alias("doc_id")).distinct()
-    texts = docs.join(ids.hint("merge"), "doc_id").groupBy("sha").agg(F.min("text").alias("lo"), F.max("text").alias("hi"))
+    texts = docs.join(ids.hint("merge"), keys).groupBy("sha").agg(F.min("text").alias("lo"), F.max("text").alias("hi"))
     same = texts.select("sha", (F.col("lo") == F.col("hi")).alias("same"))
     return hits.join(same, "sha", "left").filter(
         F.when(F.coalesce("same", F.lit(True)), F.lit(True)).otherwise(
@@ -85,17 +87,18 @@ def exact_dedup(
     ``batch_of`` says which batch (0, 1, ...) a row arrives in; without it, ids are dealt
     to ``batches`` batches by hash. A null text counts as empty. Rows with a null id lose to
     any other; a group of null ids alone keeps them all. Rows that repeat id and text
-    are all kept and all counted. An empty table gives an empty result. Other columns of
+    are all kept and all counted; an id with several texts is a document per text. An empty table gives an empty result. Other columns of
     ``docs`` are not read."""
     spark = docs.sparkSession
     work = Work(spark, "exact-dedup")
     docs = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     if batch_of is None:
         batch_of = F.pmod(F.xxhash64("doc_id"), F.lit(batches))
+    sha = F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha")
     rows = work.save(
         docs.select(
             "doc_id",
-            F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha"),
+            sha,
             batch_of.cast("int").alias("batch"),
         ),
         "rows",
@@ -128,7 +131,7 @@ def exact_dedup(
     copies = reduce(DataFrame.unionByName, fresh).select("sha", "top", "n")
     if known:
         hits = reduce(DataFrame.unionByName, known)
-        checked = work.save(_byte_check(docs, hits.select("sha", "top", "n", "old_id")).select("sha", "top", "n"), "checked")
+        checked = work.save(_byte_check(docs.select("*", sha), hits.select("sha", "top", "n", "old_id")).select("sha", "top", "n"), "checked")
         found = (
             checked.groupBy("sha")
             .agg(F.max("top").alias("top_found"), F.sum("n").alias("n_found"))

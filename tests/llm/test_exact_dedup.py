@@ -47,3 +47,14 @@ def test_a_digest_of_two_texts_is_an_error(spark):
     hits = spark.createDataFrame([(bytearray(b"x"), 1, 2)], "sha binary, top long, old_id long")
     with pytest.raises(Exception, match="share a SHA-256"):
         exact_dedup._byte_check(docs, hits).collect()
+
+
+def test_an_id_with_several_texts(spark):
+    rows = [(i % 20, f"text {i % 60 // 2}", "en", "s", 1) for i in range(80)]
+    got = exact_dedup.exact_dedup(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    best, size = {}, {}
+    for d, t, *_ in rows:
+        best[t], size[t] = max(d, best.get(t, d)), size.get(t, 0) + 1
+    names = {hashlib.sha256(t.encode()).hexdigest(): t for t in best}
+    want = sorted((d, best[t], size[t], d == best[t], t) for d, t, *_ in rows)
+    assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept, names[r.text_sha256]) for r in got) == want
