@@ -20,12 +20,13 @@ from ..operators import catalog, corpus, curation, gates, ordering, quality, ran
 from ..operators import separation as sep
 from ..operators import tasks, validate
 from ..session import configure, shared_folder
-from ..sources import readers
+from ..sources import readers, sinks
 from ..streaming import audit
 from .bindings import Tables, duck
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+ORACLES_OF: dict[str, str] = {}  # without the views
 
 
 def register(name: str, views: str = "", sql: str | None = None):
@@ -35,6 +36,7 @@ def register(name: str, views: str = "", sql: str | None = None):
 
         QUERIES[name] = run
         if sql is not None:
+            ORACLES_OF[name] = sql
             ORACLES[name] = duck(views, sql)
         return fn
 
@@ -1813,3 +1815,106 @@ def _(t):
     grid = gates.variant_grid(t.bench_queries.select("dataset").distinct(), VARIANTS, BASE_SETTINGS)
     out = ranking.sweep_hybrid(bm25, vec, grid, top=100)
     return out.select("label", "dataset", "id", "doc", r6("score").alias("score"), big("rank", "rank"))
+
+
+# --- A: written and read back ----------------------------------------------
+
+
+def _folder(t, name: str) -> str:
+    return f"{shared_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@register(
+    "write_queries",
+    "v_queries",
+    """select dataset, pos, id, q, coalesce(array_to_string(expect_any, '|'), '') as expected, expect_none from v_queries where dataset not like '%3'
+    union all select dataset, pos, id, 'old', '', null from v_queries where dataset like '%3' and pos < 50""",
+)
+def _(t):
+    """Two exports: the second replaces the datasets that nothing blocks."""
+    path = _folder(t, "queries")
+    rows = t.queries.select("dataset", "pos", "id", "q", "expect_any", "expect_none")
+    none = rows.limit(0).select("dataset", F.lit("").alias("message"))
+    sinks.write_queries(rows.where("pos < 50").select("dataset", "pos", "id", F.lit("old").alias("q")), none, path)
+    bad = rows.where("dataset like '%3'").select("dataset", F.lit("blocked").alias("message"))
+    sinks.write_queries(rows, bad, path, strict=False)
+    shape = "pos bigint, id string, q string, expect_any array<string>, expect_none boolean, dataset string"
+    back = t.spark.read.schema(shape).json(path)
+    return back.select("dataset", "pos", "id", "q", F.coalesce(F.array_join("expect_any", "|"), F.lit("")).alias("expected"), "expect_none")
+
+
+@register(
+    "write_targets",
+    "v_assets v_chunks",
+    "select 'asset' as kind, dataset, pos, id, doc from v_assets union all select 'chunk', dataset, pos, id, doc from v_chunks",
+)
+def _(t):
+    path = _folder(t, "targets")
+    sinks.write_targets(t.assets, t.chunks, path)
+    out = None
+    for kind in ("asset", "chunk"):
+        rows = t.spark.read.parquet(f"{path}/{kind}s").select(F.lit(kind).alias("kind"), "dataset", "pos", "id", "doc")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register(
+    "write_corpus",
+    "v_corpus",
+    "select dataset, stem, case when dataset like '%1' then 'again ' || md5(text) else md5(text) end as body from v_corpus",
+)
+def _(t):
+    """All datasets, then some of them anew."""
+    path = _folder(t, "corpus")
+    docs = t.corpus.select("dataset", "stem", F.md5("text").alias("body"))
+    sinks.write_corpus(docs, path)
+    sinks.write_corpus(docs.where("dataset like '%1'").withColumn("body", F.concat(F.lit("again "), "body")), path)
+    return t.spark.read.parquet(path).select("dataset", "stem", "body")
+
+
+@register("quarantine", "v_corpus", f"with {REASONS_SQL} select dataset, file_name, case when reasons = '' then 'clean' else 'moved' end as place from reasons")
+def _(t):
+    path = _folder(t, "quarantine")
+    flagged = quality.quality_reasons(t.corpus)
+    clean = sinks.quarantine(flagged, path, "20240101", apply=True)
+    moved = t.spark.read.parquet(f"{path}/run_ts=20240101")
+    here = lambda df, place: df.select("dataset", "file_name", F.lit(place).alias("place"))
+    return here(clean, "clean").unionByName(here(moved, "moved"))
+
+
+@register("write_summary", "v_runs", ORACLES_OF["summarize_runs"])
+def _(t):
+    path = _folder(t, "summary")
+    summary = gates.summarize_runs(t.runs, ["dataset"])
+    sinks.write_summary(summary, path)
+    return t.spark.read.schema(summary.schema).json(path)
+
+
+@register("write_ablation", "v_runs", "select dataset as label, concat('| ', dataset, ' | ', max(exit_code), ' | ', printf('%.3f', count(*) / 8), ' | - | - | - | - |') as line from v_runs group by dataset")
+def _(t):
+    path = _folder(t, "ablation")
+    metrics = F.create_map(F.lit("hit_at_3"), F.col("n") / 8)
+    rows = t.runs.groupBy("dataset").agg(F.max("exit_code").alias("exit_code"), F.count(F.lit(1)).alias("n"))
+    sinks.write_ablation(rows.select(F.col("dataset").alias("label"), "exit_code", metrics.alias("metrics")), path)
+    lines = t.spark.read.text(f"{path}/table").select(F.trim(F.split("value", r"\|")[1]).alias("label"), F.col("value").alias("line"))
+    known = t.spark.read.json(f"{path}/json").select("label")
+    return lines.join(known, "label", "left_semi")
+
+
+@register(
+    "append_task_log",
+    "v_results",
+    """select task_id, status, cast(source_ord + 1 as int) as attempts, case when status = 'failed' then 'lost' end as last_error, result is not null as answered from v_results""",
+)
+def _(t):
+    """Starts and ends of a run appended to a log, and the state that is read from it."""
+    path = _folder(t, "log")
+    failed = F.col("status") == "failed"
+    results = t.results.select(
+        "task_id", "dataset", F.lit("s").alias("stage"), "status", (F.col("source_ord") + 1).cast("int").alias("attempts"), "result",
+        F.col("result").alias("raw_response"), F.when(failed, F.lit("lost")).alias("error"), F.lit(False).alias("skipped"),
+    )
+    sinks.append_task_starts(results, path)
+    sinks.append_task_log(results, path)
+    state = tasks.fold_audit(readers.read_audit_log(t.spark, path))
+    return state.select("task_id", "status", "attempts", "last_error", F.col("result").isNotNull().alias("answered"))
