@@ -19,8 +19,9 @@ from ..functions import text as T
 from ..operators import catalog, corpus, curation, gates, ordering, quality, ranking, review, scoring
 from ..operators import separation as sep
 from ..operators import tasks, validate
+from ..schemas import DECISIONS, REVIEW_ITEMS
 from ..session import configure, shared_folder
-from ..sources import readers, sinks
+from ..sources import changes, readers, sinks
 from ..streaming import audit
 from .bindings import Tables, duck
 
@@ -1918,3 +1919,49 @@ def _(t):
     sinks.append_task_log(results, path)
     state = tasks.fold_audit(readers.read_audit_log(t.spark, path))
     return state.select("task_id", "status", "attempts", "last_error", F.col("result").isNotNull().alias("answered"))
+
+
+# --- guarded change tables -------------------------------------------------
+
+
+@register(
+    "batch_ledger",
+    "v_batches",
+    """with old as (select dataset, batch_id, case when status = 'running' and batch_id = 'b-4' and dataset like '%2' then 'failed' else status end as status,
+      case when status = 'running' and batch_id = 'b-4' and dataset like '%2' then 'stopped' else error end as error from v_batches),
+    free as (select dataset from old group by dataset having count(*) filter (where status = 'running') = 0)
+    select dataset, batch_id, status, error from old union all select dataset, 'b-new', 'succeeded', null from free""",
+)
+def _(t):
+    """Stored batches, some failed, a new one started and finished where none was running."""
+    table = changes.batches_table(t.spark, _folder(t, "batches"))
+    table.add(t.batches)
+    current = changes.current_batches(table.read())
+    stopped = (F.col("status") == "running") & (F.col("batch_id") == "b-4") & F.col("dataset").like("%2")
+    failed = current.where(stopped).select("dataset", "batch_id", F.lit("failed").alias("status"), F.lit("stopped").alias("error"), F.lit("t2").alias("updated_at"))
+    changes.close_batches(table, failed)
+    fresh = current.select("dataset").distinct().select("dataset", F.lit("b-new").alias("batch_id"), F.lit("t3").alias("created_at"))
+    done = changes.start_batches(table, fresh).select(
+        "dataset", "batch_id", F.lit("succeeded").alias("status"), F.lit(None).cast("string").alias("error"), F.lit("t4").alias("updated_at")
+    )
+    changes.close_batches(table, done)
+    table.compact(changes.newest_batches)
+    return changes.current_batches(table.read()).select("dataset", "batch_id", "status", "error")
+
+
+@register("add_items", "v_items", "select dataset, batch_id, target_type, target_id, decision, score from v_items")
+def _(t):
+    table = changes.ChangeTable(t.spark, _folder(t, "items"), REVIEW_ITEMS)
+    empty = t.spark.createDataFrame([], REVIEW_ITEMS)
+    for part in (F.col("score") < 50, F.col("score") >= 50):
+        table.add(empty.unionByName(t.items.where(part), allowMissingColumns=True))
+    return table.read().select("dataset", "batch_id", "target_type", "target_id", "decision", "score")
+
+
+@register("save_decisions", "v_decision_log", ORACLES_OF["upsert_decisions"])
+def _(t):
+    table = changes.ChangeTable(t.spark, _folder(t, "decisions"), DECISIONS)
+    for part in range(3):
+        changes.save_decisions(table, t.decision_log.where(F.pmod(F.length("notes"), F.lit(3)) == part))
+    d = changes.saved_decisions(table)
+    return d.select("dataset", "candidate_id", "decision", "edited_q", joined("edited_expect_any").alias("edited_expect"), "notes", "updated_at")
