@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from .curation import document_head
 from .ordering import PART_PIECES, assemble_text
 
-HINT = "检索提示：{zh}、{en}、{title}、图片、颜色、形状、局部特征、用途。"
-
 
 def union_catalogs(base: DataFrame, extra: DataFrame) -> DataFrame:
     return base.unionByName(extra)
@@ -86,9 +84,10 @@ def _extended_head(version: str, extra: Column) -> Column:
     )
 
 
-def catalog_pieces(items: DataFrame, version: str, hint: str = HINT) -> DataFrame:
+def catalog_pieces(items: DataFrame, version: str, hint: str) -> DataFrame:
     """Ordered text pieces of the section document of each category: a head at
-    pos -1, then one section per item."""
+    pos -1, then one section per item. ``hint`` is the last line of a section, with
+    placeholders {zh}, {en} and {title}."""
     shown = F.lit(hint)
     for name in ("zh", "en", "title"):
         shown = F.replace(shown, F.lit("{" + name + "}"), F.col(name))
@@ -122,7 +121,7 @@ def documents_of(pieces: DataFrame, per_part: int = PART_PIECES) -> DataFrame:
     return docs.select("dataset", "stem", F.concat("stem", F.lit(".md")).alias("file_name"), "part", "parts", "text")
 
 
-def expand_catalog(items: DataFrame, version: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def expand_catalog(items: DataFrame, version: str, hint: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Assets, chunks, queries and corpus of ``items(dataset, category, title,
     intro, image_dir, pos, slug, zh, en, desc, visual, use, asset_query,
     chunk_query)``; ``pos`` orders items within the dataset."""
@@ -130,7 +129,7 @@ def expand_catalog(items: DataFrame, version: str) -> tuple[DataFrame, DataFrame
         catalog_assets(items),
         catalog_chunks(items),
         catalog_queries(items),
-        documents_of(catalog_pieces(items, version)),
+        documents_of(catalog_pieces(items, version, hint)),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import jsontext as J
 
-# fixed values: score fields probed in order
+# fixed values: score fields probed in order, and the report's text without any
 TOP1_KEYS = ("top1_score", "top_score", "max_score")
 SCORE_LIST_KEYS = ("scores", "ranked_scores", "hit_scores", "doc_scores")
 NO_SCORES = "no absolute relevance scores in eval output; separation is not computable. Showing rank-only negative observations."

@@ -1084,11 +1084,11 @@ def _flat_queries(df):
     """with parts as (select dataset, category, -1 as pos, concat('---', chr(10), 'title: ', any_value(title), chr(10), 'language: zh-CN', chr(10), 'source: local-synthetic', chr(10), 'modality: image-text', chr(10), 'version: v1', chr(10),
       'category: ', category, chr(10), '---', chr(10), chr(10), '# ', any_value(title), chr(10), chr(10), any_value(intro), chr(10)) as part from v_items_catalog group by dataset, category
     union all select dataset, category, pos, concat('## ', zh, ' / ', en, chr(10), chr(10), 'Target: ', category, '.', slug, chr(10), chr(10), '![', zh, '图片 - ', en, '](./images/', image_dir, '/', slug, '.png)', chr(10), chr(10),
-      "desc", chr(10), chr(10), visual, chr(10), chr(10), use, chr(10), chr(10), '检索提示：', zh, '、', en, '、', title, '、图片、颜色、形状、局部特征、用途。', chr(10)) from v_items_catalog)
+      "desc", chr(10), chr(10), visual, chr(10), chr(10), use, chr(10), chr(10), 'Find by: ', zh, ', ', en, ' (', title, ')', chr(10)) from v_items_catalog)
     select dataset, category as stem, md5(string_agg(part, chr(10) order by pos)) as text_md5 from parts group by dataset, category""",
 )
 def _(t):
-    return catalog.documents_of(catalog.catalog_pieces(t.items_catalog, "v1")).select("dataset", "stem", F.md5("text").alias("text_md5"))
+    return catalog.documents_of(catalog.catalog_pieces(t.items_catalog, "v1", "Find by: {zh}, {en} ({title})")).select("dataset", "stem", F.md5("text").alias("text_md5"))
 
 
 @register("union_catalogs", "v_items_catalog", "select dataset, count(*) * 2 as n, count(distinct slug) as n_slugs from v_items_catalog group by dataset")

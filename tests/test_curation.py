@@ -152,7 +152,7 @@ ITEM_SCHEMA = (
 
 
 def test_catalog(spark):
-    assets, chunks, queries, docs = catalog.expand_catalog(spark.createDataFrame(ITEM, ITEM_SCHEMA), "v1")
+    assets, chunks, queries, docs = catalog.expand_catalog(spark.createDataFrame(ITEM, ITEM_SCHEMA), "v1", "Find by: {zh}, {en} ({title})")
     a = assets.orderBy("pos").first()
     assert (a.id, a.path, a.heading, a.anchor) == ("fruits.apple.image", "images/fruits/apple.png", "苹果 / Apple", "fruits.apple")
     assert chunks.orderBy("pos").first().asset_id == "fruits.apple.image"
@@ -163,9 +163,9 @@ def test_catalog(spark):
         ["---", "title: 水果", "language: zh-CN", "source: local-synthetic", "modality: image-text", "version: v1", "category: fruits", "---", "",
          "# 水果", "", "intro", "",
          "## 苹果 / Apple", "", "Target: fruits.apple", "", "![苹果图片 - Apple](./images/fruits/apple.png)", "", "d1", "", "v1", "", "u1", "",
-         "检索提示：苹果、Apple、水果、图片、颜色、形状、局部特征、用途。", ""]
+         "Find by: 苹果, Apple (水果)", ""]
     )
-    assert text.startswith(want) and text.endswith("用途。\n")
+    assert text.startswith(want) and text.endswith("Find by: 梨, Pear (水果)\n")
 
 
 def test_groups(spark):
