@@ -282,7 +282,6 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
         .select("kind", "doc", F.col("to"), "n")
     )
     routed = work.save(linked, "routed")
-    work.settle()
     own = routed.filter("kind = 0").select(F.col("doc").alias("doc_id"), F.col("to").alias("local"), F.col("n").alias("n_shingles"))
     same = routed.filter("kind = 1").select(F.col("doc").alias("local"), F.col("to").alias("rep"))
 
@@ -308,8 +307,6 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
     texts = work.save(
         docs.join(cut.select(F.col("node").alias("doc_id"), "block", "parts", "part"), "doc_id"), "texts"
     )
-    work.drop("members")
-    work.settle()
     alone = F.col("parts") == 1
     groups = texts.withColumns(
         {
@@ -323,7 +320,6 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
     inside = work.save(
         groups.select("g", "p", "doc_id", "text", "ask", "hold").groupBy("g", "p").applyInArrow(search, "a long, b long"), "inside"
     )
-    work.settle()
     # Blocks of several parts: whatever is not in the largest component meets every part.
     large = cut.filter("parts > 1").select("node", "block", "parts")
     roots = components(inside.join(large.select(F.col("node").alias("a")), "a", "left_semi"), work, "partial")

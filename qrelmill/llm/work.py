@@ -44,11 +44,6 @@ class Work:
         df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
-    def settle(self) -> None:
-        """Let the driver collect its garbage, and with it the shuffle files of steps whose
-        results are written; else they stay until it happens to."""
-        self.spark.sparkContext._jvm.System.gc()
-
     def drop(self, *names: str) -> None:
         """Remove tables that no result reads any more."""
         jvm = self.spark.sparkContext._jvm
