@@ -1,17 +1,22 @@
 """LM scoring by online logistic context mixing.
 
 A word is coded by the six bits of its class, a hash, and by its frequency inside the
-class. Each bit is predicted from exact counts in several contexts: the bits before it
+class. Each bit is predicted from counts in several hashed contexts: the bits before it
 alone, with the last word, and with the last two words. The predictions are mixed in the
 logistic domain by weights that a gate selects: the bit's place and how often the longest
 context was seen. A text starts with the same weights everywhere and refines them as it
 goes, block by block, by the gradient of its coding cost, so its score depends on the
 training counts and on itself only.
 
-Training counts cover all training texts: words and contexts are tables that grow with the
-corpus. A context's row holds how often each class followed it, at most ``CLASSES`` numbers.
-The most frequent words, at most ``HEAD``, and contexts, at most 2^``CONTEXT_BITS`` of an
-order, are sent to all tasks; all others meet their counts in a join."""
+Training counts cover all training texts. Words are counted exactly; the at most ``HEAD``
+most frequent are sent to all tasks. Contexts have slots in a table that grows with the
+corpus: a bucket for each ``BUCKET_BYTES`` of text, 2^26 slots in a bucket, so that about
+one slot in a hundred is in use at any size. Rows between tasks are not single keys but
+sorted arrays of them: a slice of about ``SLICE`` bytes of text sends each bucket its keys
+and how often its training texts hold them; the bucket sums all slices and answers each with
+the counts on the way to its classes; slice and answers meet again to be mixed. Slices are
+the same in both passes as long as a partition's rows come in one order; if they do not, the
+answers do not fit and the job ends with an error."""
 
 from __future__ import annotations
 
@@ -28,7 +33,8 @@ from qrelmill.llm.work import Work, slices, table
 
 CLASS_BITS = 6
 CLASSES = 1 << CLASS_BITS
-CONTEXT_BITS = 14  # frequent contexts of an order that every task holds
+BUCKET_BYTES = 4 << 20  # of text, for each bucket of contexts
+SLICE = 2 << 20
 ORDERS = 3
 HEAD = 1 << 20
 ADDED = 0.1  # of the base score
@@ -43,8 +49,6 @@ TOGETHER = 2048
 END, BEFORE = 0x9D8A7C6B5F4E3D21, 0x1B2C3D4E5F607182
 
 _DEPTHS = np.arange(CLASS_BITS)
-#: How many leading bits two classes share, by their exclusive or.
-_SHARED = np.array([CLASS_BITS - x.bit_length() for x in range(CLASSES)])
 _ROUND = np.uint64(CLASSES - 1)
 
 
@@ -58,17 +62,8 @@ class Tokens:
             hashes.append(word_hashes(words, cache))
             hashes.append(np.array([END], np.uint64))
             sizes.append(len(words) + 1)
-        self._set(np.concatenate(hashes) if hashes else np.empty(0, np.uint64), np.array(sizes, np.int64))
-
-    @classmethod
-    def again(cls, hashes: np.ndarray, sizes: np.ndarray) -> Tokens:
-        """The tokens that once had these hashes and sizes."""
-        out = cls.__new__(cls)
-        out._set(hashes, sizes)
-        return out
-
-    def _set(self, hashes: np.ndarray, sizes: np.ndarray) -> None:
-        self.size, self.hash = sizes, hashes
+        self.hash = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
+        self.size = np.array(sizes, np.int64)
         self.start = np.cumsum(self.size) - self.size
         self.group = (self.hash >> np.uint64(64 - CLASS_BITS)).astype(np.int64)
         n = len(self.hash)
@@ -86,32 +81,35 @@ class Tokens:
         self.keys = np.stack([last, both]) & ~_ROUND
 
 
-def slots(context: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Slots (order, ..., depth) of the class bits, and the bits (..., depth)."""
-    node = (1 << _DEPTHS) | (group[..., None] >> (CLASS_BITS - _DEPTHS))
-    bits = (group[..., None] >> (CLASS_BITS - 1 - _DEPTHS)) & 1
-    order = np.arange(ORDERS).reshape(-1, *([1] * node.ndim))
-    return ((order * CLASSES + node) << CONTEXT_BITS) | context[..., None], bits
-
-
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cache = WordHashes()
+    for batch in slices(batches, "text", SLICE):
+        word, n = np.unique(Tokens(batch.column("text"), cache).hash, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n, pa.int64())], ["word", "n"])
 
-    def rows(kind: int, keys: np.ndarray) -> pa.RecordBatch:
-        key, n = np.unique(keys, return_counts=True)
-        arrays = [pa.array(np.full(len(key), kind, np.int8)), pa.array(key.view(np.int64)), pa.array(n, pa.int64())]
-        return pa.RecordBatch.from_arrays(arrays, ["kind", "key", "n"])
 
-    for batch in slices(batches, "text"):
-        tokens = Tokens(batch.column("text"), cache)
-        yield rows(0, tokens.hash)
-        for order in (1, 2):
-            yield rows(order, tokens.keys[order - 1] | tokens.group.astype(np.uint64))
+def paths(entries: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """For sorted distinct entries, a slot and a class in the low bits, and their counts:
+    counts (entry, depth) of what shares the slot and the first ``depth`` bits of the class."""
+    out = np.empty((len(entries), CLASS_BITS + 1), np.float32)
+    for depth in range(CLASS_BITS + 1):
+        node = entries >> entries.dtype.type(CLASS_BITS - depth)
+        new = np.concatenate(([True], node[1:] != node[:-1]))
+        starts = np.flatnonzero(new)
+        out[:, depth] = np.add.reduceat(n, starts)[np.cumsum(new) - 1]
+    return out
 
 
-def stretch(seen: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    p = (ones + PRIOR) / (seen + 2 * PRIOR)
-    return np.log(p / (1 - p)).astype(np.float32)
+def bits_of(group: np.ndarray) -> np.ndarray:
+    return (group[:, None] >> (CLASS_BITS - 1 - _DEPTHS)) & 1
+
+
+def stretch(path: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """The prediction (entry, depth) that a bit is 1, in the logistic domain."""
+    seen, agree = path[:, :-1], path[:, 1:]
+    ones = np.where(bits_of(group) == 1, agree, seen - agree)
+    p = (ones + np.float32(PRIOR)) / (seen + np.float32(2 * PRIOR))
+    return np.log(p / (1 - p))
 
 
 def gates(seen: np.ndarray) -> np.ndarray:
@@ -119,82 +117,38 @@ def gates(seen: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """What every scoring task holds: frequent words and frequent contexts.
-
-    ``contexts`` are counts by slot, ``heads`` the sorted contexts of the orders 1 and 2
-    whose places are the slots."""
+    """What every scoring task holds: frequent words and what is known of classes."""
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, per_class: np.ndarray, contexts: np.ndarray, heads=()):
+    def __init__(self, words: np.ndarray, counts: np.ndarray, per_class: np.ndarray):
         order = np.argsort(words)
         self.words, self.counts = words[order], counts[order]
         #: log10 of what a class's counts sum to, smoothed, with one unknown word a class
         self.class_total = np.log10(per_class[0] + ADDED * (per_class[1] + 1))
-        seen, ones = contexts
-        self.stretched = stretch(seen, ones)
-        self.gate = gates(seen[(ORDERS - 1) * CLASSES << CONTEXT_BITS :])
-        self.heads = heads
-
-    def place(self, keys: np.ndarray) -> np.ndarray:
-        """Slots (order, token) of contexts; -1 for those that are not frequent."""
-        out = np.zeros((ORDERS, keys.shape[1]), np.int64)
-        for o, head in enumerate(self.heads):
-            out[o + 1] = index_of(head, keys[o])
-        return out
+        every = np.arange(CLASSES)
+        self.alone = stretch(paths(every, per_class[0]), every)
 
     def count(self, hashes: np.ndarray) -> np.ndarray:
         """Counts of frequent words; 0 for all others."""
-        if not len(self.words):
-            return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, self.counts[at], 0)
-
-
-def index_of(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Places of ``wanted`` in the sorted ``values``; -1 for none."""
-    if not len(values):
-        return np.full(len(wanted), -1)
-    at = np.minimum(np.searchsorted(values, wanted), len(values) - 1)
-    return np.where(values[at] == wanted, at, -1)
-
-
-class Found:
-    """Counts of the contexts that are not frequent, as joined to a batch's texts: for each
-    of ``keys`` the classes that followed, each as 64 times its count and the class."""
-
-    def __init__(self, tokens: Tokens, keys: np.ndarray, offsets: np.ndarray, classes: np.ndarray):
-        known, first = np.unique(keys, return_index=True)
-        self.begin, self.length = offsets[:-1][first], np.diff(offsets)[first]
-        self.classes = classes
-        self.at = np.stack([index_of(known, k) for k in tokens.keys])
-
-    def path(self, at: np.ndarray, group: np.ndarray) -> np.ndarray:
-        """Counts (token, depth) of the classes that share the first ``depth`` bits."""
-        if not len(self.length):
-            return np.zeros((len(at), CLASS_BITS + 1))
-        size = np.where(at >= 0, self.length[at], 0)
-        of = np.repeat(np.arange(len(at)), size)
-        inside = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
-        entry = self.classes[np.repeat(self.begin[at], size) + inside]
-        cell = of * (CLASS_BITS + 1) + _SHARED[(entry & (CLASSES - 1)) ^ group[of]]
-        counts = np.bincount(cell, entry // CLASSES, minlength=len(at) * (CLASS_BITS + 1))
-        return counts.reshape(-1, CLASS_BITS + 1)[:, ::-1].cumsum(axis=1)[:, ::-1]
-
-    def put(self, tokens: Tokens, at: np.ndarray, bits: np.ndarray, stretched: np.ndarray, gate: np.ndarray) -> None:
-        """Set the predictions, and the gate, of tokens in contexts that are not frequent."""
-        for o in range(1, ORDERS):
-            out = np.flatnonzero(tokens.context[o, at] < 0)
-            path = self.path(self.at[o - 1, at[out]], tokens.group[at[out]])
-            seen, agree = path[:, :-1], path[:, 1:]
-            stretched[o, out] = stretch(seen, np.where(bits[out] == 1, agree, seen - agree))
-            if o == ORDERS - 1:
-                gate[out] = gates(seen)
-
-
-def mix(tokens: Tokens, model: Model, found: Found | None = None) -> np.ndarray:
-    """log10 probability of the class bits of each text."""
+        return look_up(self.words, self.counts, hashes)
+
+
+def look_up(known: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The values of ``wanted`` in the sorted ``known``; 0 for none."""
+    if not len(known):
+        return np.zeros(len(wanted), np.int64)
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return np.where(known[at] == wanted, values[at], 0)
+
+
+def mix(tokens: Tokens, model: Model, seen: list[np.ndarray], at: list[np.ndarray], group: list[np.ndarray]) -> np.ndarray:
+    """log10 probability of the class bits of each text. For the orders 1 and 2, ``seen`` are
+    the paths of entries, ``at`` the entry of each token and ``group`` the class of an entry."""
     total = np.zeros(len(tokens.size))
+    tables = [model.alone, *(stretch(p, g) for p, g in zip(seen, group, strict=True))]
+    places = [tokens.group, *at]
+    gate_of = gates(seen[-1][:, :-1])
+    bits_all = bits_of(np.arange(CLASSES))
     order = np.argsort(-tokens.size, kind="stable")
-    shift = (ORDERS - 1) * CLASSES << CONTEXT_BITS
     for begin in range(0, len(order), TOGETHER):
         docs = order[begin : begin + TOGETHER]
         weights = np.tile(np.array(START), (len(docs) * GATES * CLASS_BITS, 1))
@@ -202,12 +156,10 @@ def mix(tokens: Tokens, model: Model, found: Found | None = None) -> np.ndarray:
             active = docs[tokens.size[docs] > step]  # the longest come first
             inside = step + np.arange(BLOCK) < tokens.size[active][:, None]
             text, place = np.nonzero(inside)
-            at = tokens.start[active[text]] + step + place
-            where, bits = slots(np.maximum(tokens.context[:, at], 0), tokens.group[at])
-            stretched, seen = model.stretched[where], model.gate[where[-1] - shift]
-            if found:
-                found.put(tokens, at, bits, stretched, seen)
-            gate = (text[:, None] * GATES + seen) * CLASS_BITS + _DEPTHS
+            here = tokens.start[active[text]] + step + place
+            bits = bits_all[tokens.group[here]]
+            stretched = [t[p[here]] for t, p in zip(tables, places, strict=True)]
+            gate = (text[:, None] * GATES + gate_of[places[-1][here]]) * CLASS_BITS + _DEPTHS
             chosen = weights[gate]
             dot = sum(chosen[..., o] * stretched[o] for o in range(ORDERS))
             p = np.clip(1 / (1 + np.exp(-dot)), 1e-6, 1 - 1e-6)
@@ -221,85 +173,166 @@ def mix(tokens: Tokens, model: Model, found: Found | None = None) -> np.ndarray:
     return total
 
 
-def _score(shared):
-    schema = pa.schema(
-        [
-            ("row", pa.int64()),
-            ("doc_id", pa.int64()),
-            ("held_out", pa.bool_()),
-            ("n_tokens", pa.int64()),
-            ("known", pa.int64()),
-            ("logs", pa.float64()),
-            ("class_logs", pa.float64()),
-            ("n_bytes", pa.int64()),
-            ("rare", pa.list_(pa.struct([("word", pa.int64()), ("n", pa.int64())]))),
-            ("hashes", pa.list_(pa.int64())),
-            ("wanted", pa.list_(pa.int64())),
-        ]
-    )
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    """(id, rows) of slices: they end with the row that fills ``SLICE`` bytes, where a text
+    counts a little more than its own, so that empty ones fill slices too."""
+    held, size = [], 0
+
+    def whole() -> tuple[int, pa.Table]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        return rows.column("row")[0].as_py(), rows
+
+    for batch in batches:
+        start, ends = 0, np.cumsum(batch.column("n_bytes").to_numpy() + 16)
+        while start < batch.num_rows:
+            end = int(np.searchsorted(ends, SLICE - size + (ends[start - 1] if start else 0))) + 1
+            full = end <= batch.num_rows
+            end = min(end, batch.num_rows)
+            held.append(batch.slice(start, end - start))
+            size += int(ends[end - 1] - (ends[start - 1] if start else 0))
+            start = end
+            if full:
+                yield whole()
+                held, size = [], 0
+    if held:
+        yield whole()
+
+
+def entries_of(keys: np.ndarray, buckets: int, low: int) -> np.ndarray:
+    """(bucket, rest) of hashes, as numbers that sort by bucket first: the bucket from the
+    upper half of a hash, ``low`` bits of the lower half as the rest."""
+    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    return (bucket << np.uint64(low)) | (keys & np.uint64((1 << low) - 1))
+
+
+def asked(tokens: Tokens, model: Model, buckets: int):
+    """For the kinds 0 (words outside the head), 1 and 2 (contexts): the keys in the order in
+    which buckets see and answer them, the bucket of each, and each token's place (-1: none)."""
+    rare = np.flatnonzero(model.count(tokens.hash) == 0)
+    words, back = np.unique(tokens.hash[rare], return_inverse=True)
+    at = np.full(len(tokens.hash), -1)
+    at[rare] = back
+    bucket = ((words >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    yield words, bucket.astype(np.int64), at
+    for keys in tokens.keys:
+        found, back = np.unique(entries_of(keys | tokens.group.astype(np.uint64), buckets, 32), return_inverse=True)
+        yield found.astype(np.uint32), (found >> np.uint64(32)).astype(np.int64), back
+
+
+def _ask(shared, buckets: int):
+    """Rows (kind, bucket, slice, keys, counts): what a slice asks and adds to each bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, cache = shared.value, WordHashes()
-        for batch in slices(batches, "text"):
-            tokens = Tokens(batch.column("text"), cache)
-            texts = len(tokens.size)
-            of = np.repeat(np.arange(texts), tokens.size)
-            count = model.count(tokens.hash)
-            known = count > 0
-            sums = lambda x: np.bincount(of, x, minlength=texts)
-            # Words outside the head: one row per text and word, counted elsewhere.
-            rare = np.stack([of[~known].astype(np.uint64), tokens.hash[~known]])
-            rare, n = np.unique(rare, axis=1, return_counts=True) if rare.size else (rare, np.empty(0, np.int64))
-            ends = np.searchsorted(rare[0], np.arange(texts + 1, dtype=np.uint64))
-            structs = pa.StructArray.from_arrays(
-                [pa.array(rare[1].view(np.int64)), pa.array(n, pa.int64())], ["word", "n"]
-            )
-            # Contexts outside the head: one row per text and context.
-            place = model.place(tokens.keys)[1:]
-            texts_of, keys = np.tile(of, 2)[place.ravel() < 0], tokens.keys.ravel()[place.ravel() < 0]
-            order = np.lexsort((keys, texts_of))
-            texts_of, keys = texts_of[order], keys[order]
-            new = np.ones(len(keys), bool)
-            new[1:] = (keys[1:] != keys[:-1]) | (texts_of[1:] != texts_of[:-1])
-            texts_of, keys = texts_of[new], keys[new]
-            of_text = np.searchsorted(texts_of, np.arange(texts + 1))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("row"),
-                    batch.column("doc_id"),
-                    batch.column("held_out"),
-                    pa.array(tokens.size),
-                    pa.array(sums(known).astype(np.int64)),
-                    pa.array(sums(np.where(known, np.log10(count + ADDED), 0.0))),
-                    pa.array(sums(model.class_total[tokens.group])),
-                    batch.column("n_bytes"),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs),
-                    pa.ListArray.from_arrays(
-                        pa.array(np.append(tokens.start, len(tokens.hash)), pa.int32()), pa.array(tokens.hash.view(np.int64))
-                    ),
-                    pa.ListArray.from_arrays(pa.array(of_text, pa.int32()), pa.array(keys.view(np.int64))),
-                ],
-                schema=schema,
-            )
+        for name, rows in sliced(batches):
+            tokens = Tokens(rows.column("text").chunk(0), cache)
+            learnt = ~np.repeat(rows.column("held_out").to_numpy(), tokens.size)
+            for kind, (keys, bucket, at) in enumerate(asked(tokens, model, buckets)):
+                counts = np.bincount(at[learnt & (at >= 0)], minlength=len(keys)).astype(np.uint32)
+                new = np.flatnonzero(np.diff(bucket, prepend=-1))
+                ends = np.append(new[1:], len(bucket))
+                parts = list(zip(new.tolist(), ends.tolist(), strict=True)) if len(bucket) else []
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(parts), kind, np.int8)),
+                        pa.array(bucket[[a for a, _ in parts]].astype(np.int32), pa.int32()),
+                        pa.array(np.full(len(parts), name, np.int64)),
+                        pa.array([keys[a:b].tobytes() for a, b in parts], pa.binary()),
+                        pa.array([counts[a:b].tobytes() for a, b in parts], pa.binary()),
+                    ],
+                    names=["kind", "bucket", "slice", "keys", "counts"],
+                )
 
     return run
 
 
-def _mix(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _answer(part: pa.Table) -> pa.Table:
+    """One bucket: the counts of all slices summed, and for each slice those of its keys.
+
+    A word has its count. A context's entry has the counts on its way: first how often the
+    context was seen, then, unless all of that was the same class, the rest of the way."""
+    kind = part.column("kind")[0].as_py()
+    raw = part.column("keys").to_pylist()
+    keys = np.frombuffer(b"".join(raw), np.uint32 if kind else np.uint64)
+    sizes = [len(r) // keys.itemsize for r in raw]
+    found, back = np.unique(keys, return_inverse=True)
+    n = np.bincount(back, np.frombuffer(b"".join(part.column("counts").to_pylist()), np.uint32), minlength=len(found))
+    way = paths(found, n) if kind else None
+    first, differ, rest = [], [], []
+    for one in np.split(back, np.cumsum(sizes)[:-1]):
+        if way is None:
+            first.append(n[one].astype(np.int64).tobytes())
+            differ.append(b"")
+            rest.append(b"")
+        else:
+            mine = way[one]
+            several = mine[:, 0] != mine[:, -1]
+            first.append(np.ascontiguousarray(mine[:, 0]).tobytes())
+            differ.append(np.packbits(several).tobytes())
+            rest.append(np.ascontiguousarray(mine[several, 1:]).tobytes())
+    return pa.table(
+        {
+            "slice": part.column("slice"),
+            "kind": part.column("kind"),
+            "bucket": part.column("bucket"),
+            "first": pa.array(first, pa.binary()),
+            "differ": pa.array(differ, pa.binary()),
+            "rest": pa.array(rest, pa.binary()),
+        }
+    )
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for name, rows in sliced(batches):
+        yield from rows.append_column("slice", pa.array(np.full(rows.num_rows, name, np.int64))).to_batches()
+
+
+def _mix(shared, buckets: int, total: int, distinct: int):
+    def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
         model = shared.value
-        for batch in batches:
-            hashes, found = batch.column("hashes"), batch.column("found")
-            sizes = np.diff(hashes.offsets.to_numpy()).astype(np.int64)
-            tokens = Tokens.again(hashes.flatten().to_numpy().view(np.uint64), sizes)
-            tokens.context = model.place(tokens.keys)
-            flat = found.flatten()
-            lists = flat.field("classes")
-            keys = flat.field("context").to_numpy().view(np.uint64)
-            rare = Found(tokens, keys, lists.offsets.to_numpy(), lists.values.to_numpy())
-            mixed = pa.array(mix(tokens, model, rare))
-            names = [n for n in batch.schema.names if n not in ("hashes", "found")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), mixed], [*names, "mixed"])
+        rows, answers = rows.sort_by("row"), answers.sort_by([("kind", "ascending"), ("bucket", "ascending")])
+        kinds = answers.column("kind").to_numpy()
+        tokens = Tokens(rows.column("text").combine_chunks(), WordHashes())
+        texts = len(tokens.size)
+
+        def blobs(name: str, kind: int) -> list[bytes]:
+            begin, end = np.searchsorted(kinds, [kind, kind + 1])
+            return answers.column(name).slice(begin, end - begin).to_pylist()
+
+        count = model.count(tokens.hash)
+        seen, at, group = [], [], []
+        for kind, (keys, _, where) in enumerate(asked(tokens, model, buckets)):
+            first = np.frombuffer(b"".join(blobs("first", kind)), np.float32 if kind else np.int64)
+            if len(first) != len(keys):
+                raise RuntimeError("a slice changed between two passes: store the input first")
+            if kind == 0:
+                rare = where >= 0
+                count[rare] = first[where[rare]]
+                continue
+            parts = zip(blobs("first", kind), blobs("differ", kind), strict=True)
+            differ = [np.unpackbits(np.frombuffer(d, np.uint8), count=len(f) // 4) for f, d in parts]
+            path = np.repeat(first[:, None], CLASS_BITS + 1, axis=1)
+            if differ:
+                path[np.concatenate(differ) == 1, 1:] = np.frombuffer(b"".join(blobs("rest", kind)), np.float32).reshape(-1, CLASS_BITS)
+            seen.append(path), at.append(where), group.append((keys & np.uint32(CLASSES - 1)).astype(np.int64))
+        mixed = mix(tokens, model, seen, at, group)
+        of = np.repeat(np.arange(texts), tokens.size)
+        sums = lambda x: np.bincount(of, x, minlength=texts)
+        logs = sums(np.log10(count + ADDED))
+        result = logs - sums(model.class_total[tokens.group]) + mixed
+        n_bytes = rows.column("n_bytes").to_numpy()
+        return pa.table(
+            {
+                "doc_id": rows.column("doc_id"),
+                "held_out": rows.column("held_out"),
+                "n_tokens": pa.array(tokens.size),
+                "n_known": pa.array(sums(count > 0).astype(np.int64)),
+                "train_tokens": pa.array(np.full(texts, total, np.int64)),
+                "base_score": pa.array(logs - tokens.size * log10(total + ADDED * (distinct + 1))),
+                "score": pa.array(result),
+                "bits_per_byte": pa.array(-result / log10(2) / np.maximum(n_bytes, 1), mask=n_bytes == 0),
+            }
+        )
 
     return run
 
@@ -315,20 +348,12 @@ def _cut(by_size: dict[int, int], room: int) -> int:
     return cut
 
 
-def fit(training: DataFrame, work: Work, head: int = HEAD, context_head: int = 1 << CONTEXT_BITS):
-    """(model, words, contexts, tokens, distinct words) of ``training`` (text).
-
-    ``words`` (word, n) are the words too rare for the model's own list: all but the at
-    most ``head`` most frequent, cut where a power of two of the count begins; ``contexts``
-    (context, classes) in the same way all but ``context_head`` of an order."""
-    counted = work.save(
-        training.select("text")
-        .mapInArrow(_train, "kind byte, key long, n long")
-        .groupBy("kind", "key")
-        .agg(F.sum("n").alias("n")),
-        "counted",
+def fit(training: DataFrame, work: Work, head: int = HEAD):
+    """(model, tokens, distinct words) of ``training`` (text). The model lists the at most
+    ``head`` most frequent words, cut where a power of two of the count begins."""
+    words = work.save(
+        training.select("text").mapInArrow(_train, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words"
     )
-    words = counted.filter("kind = 0").select(F.col("key").alias("word"), "n")
     group = F.shiftrightunsigned("word", 64 - CLASS_BITS)
     size = F.floor(F.log2("n")).cast("int")
     cells = words.groupBy(group.alias("c"), size.alias("s")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()
@@ -339,43 +364,11 @@ def fit(training: DataFrame, work: Work, head: int = HEAD, context_head: int = 1
         by_size[c["s"]] = by_size.get(c["s"], 0) + c["v"]
     cut = _cut(by_size, head)
     frequent = words.filter(F.col("n") >= 2.0**cut).toArrow()  # at most ``head`` rows
-    low = F.col("key").bitwiseAND(CLASSES - 1)
-    contexts = work.save(
-        counted.filter("kind > 0")
-        .groupBy("kind", (F.col("key") - low).alias("context"))
-        .agg(F.sum("n").alias("n"), F.collect_list(F.col("n") * CLASSES + low).alias("classes")),  # at most CLASSES
-        "contexts",
-    )
-    sizes = contexts.groupBy("kind", size.alias("s")).agg(F.count(F.lit(1)).alias("v")).collect()  # at most 2 * 64 rows
-    tables = np.zeros((2, ORDERS, CLASSES, 1 << CONTEXT_BITS))
-    heads, rare = [], F.lit(False)
-
-    def fill(order: int, followed: np.ndarray) -> None:
-        for d in range(CLASS_BITS):
-            nodes = followed.reshape(len(followed), 1 << d, 2, CLASSES >> (d + 1)).sum(axis=3)
-            tables[0, order, 1 << d : 2 << d, : len(followed)] = nodes.sum(axis=2).T
-            tables[1, order, 1 << d : 2 << d, : len(followed)] = nodes[:, :, 1].T
-
-    fill(0, per_class[:1])
-    for order in range(1, ORDERS):
-        least = 2.0 ** _cut({r["s"]: r["v"] for r in sizes if r["kind"] == order}, context_head)
-        mine = (F.col("kind") == order) & (F.col("n") >= least)
-        rare = rare | ((F.col("kind") == order) & (F.col("n") < least))
-        often = contexts.filter(mine).select("context", F.explode("classes").alias("c")).toArrow()  # at most ``context_head`` * CLASSES rows
-        known, slot = np.unique(often["context"].to_numpy().view(np.uint64), return_inverse=True)
-        entry = often["c"].to_numpy()
-        followed = np.zeros((len(known), CLASSES))
-        followed[slot, entry % CLASSES] = entry // CLASSES
-        fill(order, followed)
-        heads.append(known)
-    model = Model(
-        frequent["word"].to_numpy().view(np.uint64), frequent["n"].to_numpy().astype(np.int32), per_class, tables.reshape(2, -1), heads
-    )
-    rest = contexts.filter(rare).select("context", "classes")
-    return model, words.filter(F.col("n") < 2.0**cut), rest, int(per_class[0].sum()), int(per_class[1].sum())
+    model = Model(frequent["word"].to_numpy().view(np.uint64), frequent["n"].to_numpy(), per_class)
+    return model, int(per_class[0].sum()), int(per_class[1].sum())
 
 
-def score(docs: DataFrame, head: int = HEAD, context_head: int = 1 << CONTEXT_BITS) -> DataFrame:
+def score(docs: DataFrame, head: int = HEAD, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score, score, bits_per_byte.
 
@@ -383,7 +376,7 @@ def score(docs: DataFrame, head: int = HEAD, context_head: int = 1 << CONTEXT_BI
     empty text, so it is held out. A null or empty text has its end token only, and no bits
     per byte. Repeated rows are scored, and learnt from, one by one. Without training rows
     no word is known. An empty table gives an empty result. Other columns are not read.
-    Words are compared by 64-bit hashes, contexts by 58 bits of theirs."""
+    Words are compared by 64-bit hashes, contexts by their bucket and 26 bits of a hash."""
     spark = docs.sparkSession
     work = Work(spark, "context-mixing")
     rows = docs.select(
@@ -393,45 +386,19 @@ def score(docs: DataFrame, head: int = HEAD, context_head: int = 1 << CONTEXT_BI
         F.coalesce("text", F.lit("")).alias("text"),
         F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
     )
-    model, rare, contexts, total, distinct = fit(rows.filter(~F.col("held_out")), work, head, context_head)
-    shared = spark.sparkContext.broadcast(model)  # at most ``head`` words and ``context_head`` contexts
-    schema = (
-        "row long, doc_id long, held_out boolean, n_tokens long, known long, logs double, class_logs double, "
-        "n_bytes long, rare array<struct<word:long,n:long>>, hashes array<long>, wanted array<long>"
-    )
-    scored = work.save(rows.mapInArrow(_score(shared), schema), "scored")
-    looked_up = (
-        scored.select("row", F.explode("rare").alias("r"))
-        .select("row", "r.word", F.col("r.n").alias("times"))
-        .join(rare.hint("merge"), "word", "left")
-        .groupBy("row")
-        .agg(
-            F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + ADDED)).alias("rare_logs"),
-            F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("rare_known"),
-        )
-    )
-    found = (
-        scored.select("row", F.explode("wanted").alias("context"))
-        .join(contexts.hint("merge"), "context")
-        .groupBy("row")
-        .agg(F.collect_list(F.struct("context", "classes")).alias("found"))
+    buckets = -(-(rows.agg(F.sum("n_bytes")).first()[0] or 1) // bucket_bytes)
+    model, total, distinct = fit(rows.filter(~F.col("held_out")), work, head)
+    shared = spark.sparkContext.broadcast(model)  # at most ``head`` words
+    asks = rows.mapInArrow(_ask(shared, buckets), "kind byte, bucket int, slice long, keys binary, counts binary")
+    answers = asks.groupBy("kind", "bucket").applyInArrow(
+        _answer, "slice long, kind byte, bucket int, first binary, differ binary, rest binary"
     )
-    none = F.expr("cast(array() as array<struct<context:long,classes:array<long>>>)")
-    together = scored.drop("rare", "wanted").join(found, "row", "left").withColumn("found", F.coalesce("found", none))
-    after = "row long, doc_id long, held_out boolean, n_tokens long, known long, logs double, class_logs double, n_bytes long, mixed double"
-    mixed = together.mapInArrow(_mix(shared), after)
-    logs = F.col("logs") + F.coalesce("rare_logs", F.lit(0.0))
-    result = logs - F.col("class_logs") + F.col("mixed")
-    return mixed.join(looked_up, "row", "left").select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        (logs - F.col("n_tokens") * log10(total + ADDED * (distinct + 1))).alias("base_score"),
-        result.alias("score"),
-        F.when(F.col("n_bytes") > 0, -result / log10(2) / F.col("n_bytes")).alias("bits_per_byte"),
+    texts = rows.mapInArrow(_texts, "row long, doc_id long, held_out boolean, text string, n_bytes long, slice long")
+    schema = (
+        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
+        "score double, bits_per_byte double"
     )
+    return texts.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_mix(shared, buckets, total, distinct), schema)
 
 
 def op10_logistic_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,12 @@
 import re
 import zlib
 from collections import Counter
-from math import log10
+from math import exp, log, log10
 
+import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 
 from qrelmill.llm import context_mixing
 from tests.llm.util import SCHEMA, awkward, with_clashes
@@ -82,16 +85,14 @@ def test_held_out_text_is_not_worse_than_the_base(spark):
 
 
 def test_class_probabilities_sum_to_one():
-    import numpy as np
-
     rng = np.random.default_rng(1)
-    contexts = rng.integers(0, 50, (2, context_mixing.ORDERS * context_mixing.CLASSES << context_mixing.CONTEXT_BITS))
-    contexts[1] = np.minimum(contexts[1], contexts[0])
     words = rng.integers(0, 1 << 63, 500, dtype=np.uint64) * np.uint64(2)
     group = (words >> np.uint64(58)).astype(int)
     counts = rng.integers(1, 30, 500)
     per_class = np.stack([np.bincount(group, counts, 64), np.bincount(group, minlength=64)])
-    model = context_mixing.Model(words, counts, per_class, contexts)
+    model = context_mixing.Model(words, counts, per_class)
+    every = np.arange(64)
+    seen = [context_mixing.paths(every, rng.integers(0, 3, 64) * rng.integers(0, 40, 64)) for _ in range(2)]
 
     class One:
         pass
@@ -99,18 +100,103 @@ def test_class_probabilities_sum_to_one():
     total = 0.0
     for c in range(64):
         t = One()
-        t.size, t.start = np.array([1]), np.array([0])
-        t.group, t.context = np.array([c]), np.array([[0], [3], [9]])
+        t.size, t.start, t.group = np.array([1]), np.array([0]), np.array([c])
         inside = sum((counts[group == c] + 0.1) / 10 ** model.class_total[c]) + 0.1 / 10 ** model.class_total[c]
-        total += 10 ** context_mixing.mix(t, model)[0] * inside
+        total += 10 ** context_mixing.mix(t, model, seen, [t.group, t.group], [every, every])[0] * inside
     assert total == pytest.approx(1, rel=1e-6)
 
 
 def test_context_counts_grow_with_the_corpus(spark):
-    """Counts are exact: what is sent to all tasks does not matter, and held-out texts of
-    the given documents beat the base."""
+    """Counts are exact: which words are sent to all tasks does not matter, and held-out texts
+    of the given documents beat the base."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    sent, joined = (context_mixing.score(docs, context_head=h).filter("held_out").collect() for h in (1 << 14, 50))
+    sent, joined = (context_mixing.score(docs, head=h).filter("held_out").collect() for h in (1 << 20, 50))
     assert {r["doc_id"]: round(r["score"], 6) for r in sent} == {r["doc_id"]: round(r["score"], 6) for r in joined}
     score, base, n = (sum(r[c] for r in sent) for c in ("score", "base_score", "n_tokens"))
     assert (score - base) / n > 0.3, (score / n, base / n)
+
+
+def plain_scores(rows):
+    """The model in plain Python: contexts are words themselves, counts are dictionaries."""
+
+    def coded(text):
+        return [context_mixing.END if t is END else xxhash.xxh64_intdigest(t.encode()) for t in tokens(text)]
+
+    def contexts(words):
+        before = [context_mixing.BEFORE, context_mixing.BEFORE, *words]
+        return [((), (before[i + 1],), (before[i], before[i + 1])) for i in range(len(words))]
+
+    depths = range(context_mixing.CLASS_BITS)
+    trained = [coded(r["text"]) for r in rows if r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 10]
+    words, seen = Counter(w for t in trained for w in t), Counter()
+    for text in trained:
+        for word, around in zip(text, contexts(text), strict=True):
+            seen.update((c, d, word >> 58 >> (6 - d)) for c in around for d in range(7))
+    in_class, sorts = Counter(), Counter()
+    for w, n in words.items():
+        in_class[w >> 58] += n
+        sorts[w >> 58] += 1
+    out = []
+    for r in rows:
+        text, total = coded(r["text"]), 0.0
+        weights = {(g, d): list(context_mixing.START) for g in range(4) for d in depths}
+        around = contexts(text)
+        for begin in range(0, len(text), context_mixing.BLOCK):
+            change = Counter()
+            for i in range(begin, min(begin + context_mixing.BLOCK, len(text))):
+                group = text[i] >> 58
+                for d in depths:
+                    bit, parts = group >> (5 - d) & 1, []
+                    for c in around[i]:
+                        n, ones = seen[c, d, group >> (6 - d)], seen[c, d + 1, group >> (6 - d) << 1 | 1]
+                        p = (ones + context_mixing.PRIOR) / (n + 2 * context_mixing.PRIOR)
+                        parts.append(log(p / (1 - p)))
+                    gate = (sum(n >= x for x in (1, 16, 256)), d)
+                    p = 1 / (1 + exp(-sum(w * x for w, x in zip(weights[gate], parts, strict=True))))
+                    p = min(max(p, 1e-6), 1 - 1e-6)
+                    total += log10(p if bit else 1 - p)
+                    for o, x in enumerate(parts):
+                        change[gate, o] += (bit - p) * context_mixing.RATE * x
+                total += log10(words[text[i]] + 0.1) - log10(in_class[group] + 0.1 * (sorts[group] + 1))
+            for (gate, o), x in change.items():
+                weights[gate][o] = min(max(weights[gate][o] + x, -2), 4)
+        out.append((r["doc_id"], len(text), total))
+    return out
+
+
+@pytest.mark.parametrize("head", [0, 1 << 20])
+def test_scores_as_in_plain_python(spark, monkeypatch, head):
+    docs = awkward(spark)
+    order = lambda rows: sorted(rows, key=lambda x: (str(x[0]), x[1], round(x[2], 2)))
+    want = order(plain_scores(docs.collect()))
+    got = order((r["doc_id"], r["n_tokens"], r["score"]) for r in context_mixing.score(docs, head=head, bucket_bytes=20_000).collect())
+    for g, w in zip(got, want, strict=True):
+        assert g[:2] == w[:2] and g[2] == pytest.approx(w[2], rel=1e-3), (g, w)
+
+
+def test_slices_hold_every_row_once():
+    sizes = np.array([0, 5, context_mixing.SLICE, 1, 1, 3 * context_mixing.SLICE, 0, 0, 7] * 3, np.int64)
+    rows = pa.table({"row": np.arange(len(sizes)), "n_bytes": sizes})
+    for batch_rows in (1, 4, 100):
+        got = list(context_mixing.sliced(iter(rows.to_batches(max_chunksize=batch_rows))))
+        assert [r for _, t in got for r in t.column("row").to_pylist()] == list(range(len(sizes)))
+        assert [n for n, _ in got] == [t.column("row")[0].as_py() for _, t in got]
+        assert [t.num_rows for _, t in got] == [3, 3, 6, 3, 6, 3, 3]
+    assert list(context_mixing.sliced(iter([]))) == []
+
+
+def test_a_slice_that_changed_ends_the_job():
+    model = context_mixing.Model(np.empty(0, np.uint64), np.empty(0, np.int64), np.zeros((2, 64)))
+
+    class Held:
+        value = model
+
+    def rows(text):
+        return pa.table({"row": [0], "doc_id": [1], "held_out": [False], "text": [text], "n_bytes": pa.array([len(text)], pa.int64())})
+
+    batch = rows("a b c").to_batches()
+    answers = [context_mixing._answer(pa.Table.from_batches([b])) for b in context_mixing._ask(Held, 1)(iter(batch))]
+    together = pa.concat_tables(answers)
+    assert context_mixing._mix(Held, 1, 4, 4)(rows("a b c"), together).num_rows == 1
+    with pytest.raises(RuntimeError):
+        context_mixing._mix(Held, 1, 4, 4)(rows("a b c d"), together)
