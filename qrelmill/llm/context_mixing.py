@@ -10,8 +10,8 @@ training counts and on itself only.
 
 Training counts cover all training texts. Words are counted exactly; the at most ``HEAD``
 most frequent are sent to all tasks. Contexts have slots in a table that grows with the
-corpus: a bucket for each ``BUCKET_BYTES`` of text, 2^26 slots in a bucket, so that about
-one slot in a hundred is in use at any size. Rows between tasks are not single keys but
+corpus: a bucket for each ``BUCKET_BYTES`` of text, 2^26 slots in a bucket, so that one or
+two slots in a hundred are in use at any size. Rows between tasks are not single keys but
 sorted arrays of them: a slice of about ``SLICE`` bytes of text sends each bucket its keys
 and how often its training texts hold them; the bucket sums all slices and answers each with
 the counts on the way to its classes; slice and answers meet again to be mixed. Slices are
@@ -25,6 +25,7 @@ from math import log10
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,8 +34,8 @@ from qrelmill.llm.work import Work, slices, table
 
 CLASS_BITS = 6
 CLASSES = 1 << CLASS_BITS
-BUCKET_BYTES = 4 << 20  # of text, for each bucket of contexts
-SLICE = 2 << 20
+BUCKET_BYTES = 8 << 20  # of text, for each bucket of contexts
+SLICE = 4 << 20
 ORDERS = 3
 HEAD = 1 << 20
 ADDED = 0.1  # of the base score
@@ -51,6 +52,25 @@ END, BEFORE = 0x9D8A7C6B5F4E3D21, 0x1B2C3D4E5F607182
 _DEPTHS = np.arange(CLASS_BITS)
 _ROUND = np.uint64(CLASSES - 1)
 
+#: Of a worker process: hashes of the words that it met last.
+WORDS = WordHashes()
+
+
+def pack(values: np.ndarray) -> bytes:
+    """An array as compressed byte planes: all lowest bytes first, all highest last."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack(packed: bytes, dtype) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(planes.T).view(dtype).ravel()
+
+
+def joined(packed: list[bytes], dtype) -> np.ndarray:
+    return np.concatenate([np.empty(0, dtype), *(unpack(p, dtype) for p in packed)])
+
 
 class Tokens:
     """Hashed tokens of a batch of texts, one after the other."""
@@ -82,9 +102,8 @@ class Tokens:
 
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache = WordHashes()
     for batch in slices(batches, "text", SLICE):
-        word, n = np.unique(Tokens(batch.column("text"), cache).hash, return_counts=True)
+        word, n = np.unique(Tokens(batch.column("text"), WORDS).hash, return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n, pa.int64())], ["word", "n"])
 
 
@@ -205,10 +224,10 @@ def entries_of(keys: np.ndarray, buckets: int, low: int) -> np.ndarray:
     return (bucket << np.uint64(low)) | (keys & np.uint64((1 << low) - 1))
 
 
-def asked(tokens: Tokens, model: Model, buckets: int):
-    """For the kinds 0 (words outside the head), 1 and 2 (contexts): the keys in the order in
+def asked(tokens: Tokens, count: np.ndarray, buckets: int):
+    """For the kinds 0 (words that ``count`` does not know), 1 and 2 (contexts): the keys in the order in
     which buckets see and answer them, the bucket of each, and each token's place (-1: none)."""
-    rare = np.flatnonzero(model.count(tokens.hash) == 0)
+    rare = np.flatnonzero(count == 0)
     words, back = np.unique(tokens.hash[rare], return_inverse=True)
     at = np.full(len(tokens.hash), -1)
     at[rare] = back
@@ -223,11 +242,11 @@ def _ask(shared, buckets: int):
     """Rows (kind, bucket, slice, keys, counts): what a slice asks and adds to each bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, cache = shared.value, WordHashes()
+        model = shared.value
         for name, rows in sliced(batches):
-            tokens = Tokens(rows.column("text").chunk(0), cache)
+            tokens = Tokens(rows.column("text").chunk(0), WORDS)
             learnt = ~np.repeat(rows.column("held_out").to_numpy(), tokens.size)
-            for kind, (keys, bucket, at) in enumerate(asked(tokens, model, buckets)):
+            for kind, (keys, bucket, at) in enumerate(asked(tokens, model.count(tokens.hash), buckets)):
                 counts = np.bincount(at[learnt & (at >= 0)], minlength=len(keys)).astype(np.uint32)
                 new = np.flatnonzero(np.diff(bucket, prepend=-1))
                 ends = np.append(new[1:], len(bucket))
@@ -237,8 +256,8 @@ def _ask(shared, buckets: int):
                         pa.array(np.full(len(parts), kind, np.int8)),
                         pa.array(bucket[[a for a, _ in parts]].astype(np.int32), pa.int32()),
                         pa.array(np.full(len(parts), name, np.int64)),
-                        pa.array([keys[a:b].tobytes() for a, b in parts], pa.binary()),
-                        pa.array([counts[a:b].tobytes() for a, b in parts], pa.binary()),
+                        pa.array([pack(np.diff(keys[a:b], prepend=keys.dtype.type(0))) for a, b in parts], pa.binary()),
+                        pa.array([pack(counts[a:b]) for a, b in parts], pa.binary()),
                     ],
                     names=["kind", "bucket", "slice", "keys", "counts"],
                 )
@@ -252,24 +271,24 @@ def _answer(part: pa.Table) -> pa.Table:
     A word has its count. A context's entry has the counts on its way: first how often the
     context was seen, then, unless all of that was the same class, the rest of the way."""
     kind = part.column("kind")[0].as_py()
-    raw = part.column("keys").to_pylist()
-    keys = np.frombuffer(b"".join(raw), np.uint32 if kind else np.uint64)
-    sizes = [len(r) // keys.itemsize for r in raw]
-    found, back = np.unique(keys, return_inverse=True)
-    n = np.bincount(back, np.frombuffer(b"".join(part.column("counts").to_pylist()), np.uint32), minlength=len(found))
+    dtype = np.uint32 if kind else np.uint64
+    keys = [np.cumsum(unpack(k, dtype), dtype=dtype) for k in part.column("keys").to_pylist()]
+    ends = np.cumsum([len(k) for k in keys])[:-1]
+    found, back = np.unique(np.concatenate(keys), return_inverse=True)
+    n = np.bincount(back, joined(part.column("counts").to_pylist(), np.uint32), minlength=len(found))
     way = paths(found, n) if kind else None
     first, differ, rest = [], [], []
-    for one in np.split(back, np.cumsum(sizes)[:-1]):
+    for one in np.split(back, ends):
         if way is None:
-            first.append(n[one].astype(np.int64).tobytes())
+            first.append(pack(n[one].astype(np.int64)))
             differ.append(b"")
             rest.append(b"")
         else:
             mine = way[one]
             several = mine[:, 0] != mine[:, -1]
-            first.append(np.ascontiguousarray(mine[:, 0]).tobytes())
+            first.append(pack(mine[:, 0]))
             differ.append(np.packbits(several).tobytes())
-            rest.append(np.ascontiguousarray(mine[several, 1:]).tobytes())
+            rest.append(pack(mine[several, 1:]))
     return pa.table(
         {
             "slice": part.column("slice"),
@@ -283,17 +302,23 @@ def _answer(part: pa.Table) -> pa.Table:
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (slice, rows): a slice as one compressed Arrow stream."""
     for name, rows in sliced(batches):
-        yield from rows.append_column("slice", pa.array(np.full(rows.num_rows, name, np.int64))).to_batches()
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rows.schema) as out:
+            out.write_table(rows)
+        packed = zstandard.ZstdCompressor(level=3).compress(sink.getvalue())
+        yield pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), pa.array([packed], pa.binary())], ["slice", "rows"])
 
 
 def _mix(shared, buckets: int, total: int, distinct: int):
-    def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
         model = shared.value
-        rows, answers = rows.sort_by("row"), answers.sort_by([("kind", "ascending"), ("bucket", "ascending")])
+        rows = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(texts.column("rows")[0].as_py())).read_all()
+        answers = answers.sort_by([("kind", "ascending"), ("bucket", "ascending")])
         kinds = answers.column("kind").to_numpy()
-        tokens = Tokens(rows.column("text").combine_chunks(), WordHashes())
-        texts = len(tokens.size)
+        tokens = Tokens(rows.column("text").combine_chunks(), WORDS)
+        size = len(tokens.size)
 
         def blobs(name: str, kind: int) -> list[bytes]:
             begin, end = np.searchsorted(kinds, [kind, kind + 1])
@@ -301,23 +326,23 @@ def _mix(shared, buckets: int, total: int, distinct: int):
 
         count = model.count(tokens.hash)
         seen, at, group = [], [], []
-        for kind, (keys, _, where) in enumerate(asked(tokens, model, buckets)):
-            first = np.frombuffer(b"".join(blobs("first", kind)), np.float32 if kind else np.int64)
+        for kind, (keys, _, where) in enumerate(asked(tokens, count, buckets)):
+            parts = [unpack(b, np.float32 if kind else np.int64) for b in blobs("first", kind)]
+            first = np.concatenate(parts) if parts else np.empty(0, np.int64)
             if len(first) != len(keys):
                 raise RuntimeError("a slice changed between two passes: store the input first")
             if kind == 0:
                 rare = where >= 0
                 count[rare] = first[where[rare]]
                 continue
-            parts = zip(blobs("first", kind), blobs("differ", kind), strict=True)
-            differ = [np.unpackbits(np.frombuffer(d, np.uint8), count=len(f) // 4) for f, d in parts]
+            bits = zip(blobs("differ", kind), parts, strict=True)
+            differ = np.concatenate([np.unpackbits(np.frombuffer(d, np.uint8), count=len(f)) for d, f in bits])
             path = np.repeat(first[:, None], CLASS_BITS + 1, axis=1)
-            if differ:
-                path[np.concatenate(differ) == 1, 1:] = np.frombuffer(b"".join(blobs("rest", kind)), np.float32).reshape(-1, CLASS_BITS)
+            path[differ == 1, 1:] = joined(blobs("rest", kind), np.float32).reshape(-1, CLASS_BITS)
             seen.append(path), at.append(where), group.append((keys & np.uint32(CLASSES - 1)).astype(np.int64))
         mixed = mix(tokens, model, seen, at, group)
-        of = np.repeat(np.arange(texts), tokens.size)
-        sums = lambda x: np.bincount(of, x, minlength=texts)
+        of = np.repeat(np.arange(size), tokens.size)
+        sums = lambda x: np.bincount(of, x, minlength=size)
         logs = sums(np.log10(count + ADDED))
         result = logs - sums(model.class_total[tokens.group]) + mixed
         n_bytes = rows.column("n_bytes").to_numpy()
@@ -327,7 +352,7 @@ def _mix(shared, buckets: int, total: int, distinct: int):
                 "held_out": rows.column("held_out"),
                 "n_tokens": pa.array(tokens.size),
                 "n_known": pa.array(sums(count > 0).astype(np.int64)),
-                "train_tokens": pa.array(np.full(texts, total, np.int64)),
+                "train_tokens": pa.array(np.full(size, total, np.int64)),
                 "base_score": pa.array(logs - tokens.size * log10(total + ADDED * (distinct + 1))),
                 "score": pa.array(result),
                 "bits_per_byte": pa.array(-result / log10(2) / np.maximum(n_bytes, 1), mask=n_bytes == 0),
@@ -393,7 +418,7 @@ def score(docs: DataFrame, head: int = HEAD, bucket_bytes: int = BUCKET_BYTES) -
     answers = asks.groupBy("kind", "bucket").applyInArrow(
         _answer, "slice long, kind byte, bucket int, first binary, differ binary, rest binary"
     )
-    texts = rows.mapInArrow(_texts, "row long, doc_id long, held_out boolean, text string, n_bytes long, slice long")
+    texts = rows.mapInArrow(_texts, "slice long, rows binary")
     schema = (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
         "score double, bits_per_byte double"

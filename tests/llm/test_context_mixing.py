@@ -197,6 +197,18 @@ def test_a_slice_that_changed_ends_the_job():
     batch = rows("a b c").to_batches()
     answers = [context_mixing._answer(pa.Table.from_batches([b])) for b in context_mixing._ask(Held, 1)(iter(batch))]
     together = pa.concat_tables(answers)
-    assert context_mixing._mix(Held, 1, 4, 4)(rows("a b c"), together).num_rows == 1
+
+    def held(text):
+        return pa.Table.from_batches(context_mixing._texts(iter(rows(text).to_batches())))
+
+    assert context_mixing._mix(Held, 1, 4, 4)(held("a b c"), together).num_rows == 1
     with pytest.raises(RuntimeError):
-        context_mixing._mix(Held, 1, 4, 4)(rows("a b c d"), together)
+        context_mixing._mix(Held, 1, 4, 4)(held("a b c d"), together)
+
+
+@pytest.mark.parametrize("n", [0, 1, 1000])
+def test_packed_arrays_come_back(n):
+    rng = np.random.default_rng(n)
+    for dtype in (np.uint32, np.int64, np.float32):
+        values = rng.integers(0, 1 << 31, n).astype(dtype)
+        assert (context_mixing.unpack(context_mixing.pack(values), dtype) == values).all()
