@@ -44,7 +44,7 @@ START = (0.4, 0.3, 0.3)
 RATE = 0.004
 BLOCK = 32
 GATES = 4
-TOGETHER = 2048
+TOGETHER = 256
 
 #: Hashes of what is no word: the end, and the two places before the first word.
 END, BEFORE = 0x9D8A7C6B5F4E3D21, 0x1B2C3D4E5F607182
@@ -57,15 +57,18 @@ WORDS = WordHashes()
 
 
 def pack(values: np.ndarray) -> bytes:
-    """An array as compressed byte planes: all lowest bytes first, all highest last."""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    """Whole numbers, none negative, in the fewest bytes that hold the largest, as compressed
+    planes: all lowest bytes first, all highest last. The first byte says how many."""
+    width = max(1, -(-int(values.max()).bit_length() // 8)) if values.size else 1
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize)[:, :width].T
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def unpack(packed: bytes, dtype) -> np.ndarray:
-    size = np.dtype(dtype).itemsize
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(size, -1)
-    return np.ascontiguousarray(planes.T).view(dtype).ravel()
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed[1:]), np.uint8).reshape(packed[0], -1)
+    out = np.zeros((planes.shape[1], np.dtype(dtype).itemsize), np.uint8)
+    out[:, : packed[0]] = planes.T
+    return out.view(dtype).ravel()
 
 
 def joined(packed: list[bytes], dtype) -> np.ndarray:
@@ -84,6 +87,7 @@ class Tokens:
             sizes.append(len(words) + 1)
         self.hash = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
         self.size = np.array(sizes, np.int64)
+        self.words, self.word = np.unique(self.hash, return_inverse=True)
         self.start = np.cumsum(self.size) - self.size
         self.group = (self.hash >> np.uint64(64 - CLASS_BITS)).astype(np.int64)
         n = len(self.hash)
@@ -103,7 +107,8 @@ class Tokens:
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text", SLICE):
-        word, n = np.unique(Tokens(batch.column("text"), WORDS).hash, return_counts=True)
+        tokens = Tokens(batch.column("text"), WORDS)
+        word, n = tokens.words, np.bincount(tokens.word)
         yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n, pa.int64())], ["word", "n"])
 
 
@@ -119,20 +124,15 @@ def paths(entries: np.ndarray, n: np.ndarray) -> np.ndarray:
     return out
 
 
-def bits_of(group: np.ndarray) -> np.ndarray:
-    return (group[:, None] >> (CLASS_BITS - 1 - _DEPTHS)) & 1
-
-
-def stretch(path: np.ndarray, group: np.ndarray) -> np.ndarray:
-    """The prediction (entry, depth) that a bit is 1, in the logistic domain."""
+def stretch(path: np.ndarray) -> np.ndarray:
+    """The prediction (entry, depth) of the bits that follow, in the logistic domain. It is
+    that of the bit there is, not of a 1: the mixing is the same for both."""
     seen, agree = path[:, :-1], path[:, 1:]
-    ones = np.where(bits_of(group) == 1, agree, seen - agree)
-    p = (ones + np.float32(PRIOR)) / (seen + np.float32(2 * PRIOR))
-    return np.log(p / (1 - p))
+    return np.log((agree + np.float32(PRIOR)) / (seen - agree + np.float32(PRIOR)))
 
 
 def gates(seen: np.ndarray) -> np.ndarray:
-    return np.searchsorted([1, 16, 256], seen, side="right").astype(np.int8)
+    return (seen >= 1).astype(np.int16) + (seen >= 16) + (seen >= 256)
 
 
 class Model:
@@ -143,8 +143,7 @@ class Model:
         self.words, self.counts = words[order], counts[order]
         #: log10 of what a class's counts sum to, smoothed, with one unknown word a class
         self.class_total = np.log10(per_class[0] + ADDED * (per_class[1] + 1))
-        every = np.arange(CLASSES)
-        self.alone = stretch(paths(every, per_class[0]), every)
+        self.alone = stretch(paths(np.arange(CLASSES), per_class[0]))
 
     def count(self, hashes: np.ndarray) -> np.ndarray:
         """Counts of frequent words; 0 for all others."""
@@ -159,36 +158,34 @@ def look_up(known: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.nda
     return np.where(known[at] == wanted, values[at], 0)
 
 
-def mix(tokens: Tokens, model: Model, seen: list[np.ndarray], at: list[np.ndarray], group: list[np.ndarray]) -> np.ndarray:
+def mix(tokens: Tokens, model: Model, seen: list[np.ndarray], at: list[np.ndarray]) -> np.ndarray:
     """log10 probability of the class bits of each text. For the orders 1 and 2, ``seen`` are
-    the paths of entries, ``at`` the entry of each token and ``group`` the class of an entry."""
+    the paths of entries and ``at`` the entry of each token."""
     total = np.zeros(len(tokens.size))
-    tables = [model.alone, *(stretch(p, g) for p, g in zip(seen, group, strict=True))]
+    tables = [model.alone, *(stretch(p) for p in seen)]
     places = [tokens.group, *at]
-    gate_of = gates(seen[-1][:, :-1])
-    bits_all = bits_of(np.arange(CLASSES))
+    gate_of = gates(seen[-1][:, :-1]) * np.int16(CLASS_BITS) + _DEPTHS.astype(np.int16)
+    low, high, one = np.float32(1e-6), np.float32(1 - 1e-6), np.float32(1)
     order = np.argsort(-tokens.size, kind="stable")
     for begin in range(0, len(order), TOGETHER):
         docs = order[begin : begin + TOGETHER]
-        weights = np.tile(np.array(START), (len(docs) * GATES * CLASS_BITS, 1))
+        weights = np.repeat(np.array(START, np.float32)[:, None], len(docs) * GATES * CLASS_BITS, axis=1)
         for step in range(0, int(tokens.size[docs[0]]), BLOCK):
             active = docs[tokens.size[docs] > step]  # the longest come first
             inside = step + np.arange(BLOCK) < tokens.size[active][:, None]
             text, place = np.nonzero(inside)
             here = tokens.start[active[text]] + step + place
-            bits = bits_all[tokens.group[here]]
-            stretched = [t[p[here]] for t, p in zip(tables, places, strict=True)]
-            gate = (text[:, None] * GATES + gate_of[places[-1][here]]) * CLASS_BITS + _DEPTHS
-            chosen = weights[gate]
-            dot = sum(chosen[..., o] * stretched[o] for o in range(ORDERS))
-            p = np.clip(1 / (1 + np.exp(-dot)), 1e-6, 1 - 1e-6)
-            cost = np.log10(np.where(bits == 1, p, 1 - p)).sum(axis=1)
+            stretched = [t.take(p[here], axis=0) for t, p in zip(tables, places, strict=True)]
+            gate = gate_of.take(places[-1][here], axis=0) + text[:, None] * (GATES * CLASS_BITS)
+            dot = sum(w.take(gate) * x for w, x in zip(weights, stretched, strict=True))
+            p = np.clip(one / (one + np.exp(-dot)), low, high)
+            cost = np.log10(np.multiply.reduce(p, axis=1))  # at least 1e-36 before the logarithm
             total[active] += np.bincount(text, cost, minlength=len(active))
-            error = (bits - p).ravel() * RATE
+            error = (one - p) * np.float32(RATE)
             flat, size = gate.ravel(), len(active) * GATES * CLASS_BITS
-            for o in range(ORDERS):
-                weights[:size, o] += np.bincount(flat, error * stretched[o].ravel(), minlength=size)
-            np.clip(weights, -2, 4, out=weights)
+            for w, x in zip(weights, stretched, strict=True):
+                w[:size] += np.bincount(flat, (error * x).ravel(), minlength=size)
+            np.clip(weights[:, :size], -2, 4, out=weights[:, :size])
     return total
 
 
@@ -225,12 +222,11 @@ def entries_of(keys: np.ndarray, buckets: int, low: int) -> np.ndarray:
 
 
 def asked(tokens: Tokens, count: np.ndarray, buckets: int):
-    """For the kinds 0 (words that ``count`` does not know), 1 and 2 (contexts): the keys in the order in
+    """For the kinds 0 (words whose ``count`` is 0), 1 and 2 (contexts): the keys in the order in
     which buckets see and answer them, the bucket of each, and each token's place (-1: none)."""
-    rare = np.flatnonzero(count == 0)
-    words, back = np.unique(tokens.hash[rare], return_inverse=True)
-    at = np.full(len(tokens.hash), -1)
-    at[rare] = back
+    rare = count == 0
+    words = tokens.words[rare]
+    at = np.where(rare, np.cumsum(rare) - 1, -1)[tokens.word]
     bucket = ((words >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
     yield words, bucket.astype(np.int64), at
     for keys in tokens.keys:
@@ -246,7 +242,7 @@ def _ask(shared, buckets: int):
         for name, rows in sliced(batches):
             tokens = Tokens(rows.column("text").chunk(0), WORDS)
             learnt = ~np.repeat(rows.column("held_out").to_numpy(), tokens.size)
-            for kind, (keys, bucket, at) in enumerate(asked(tokens, model.count(tokens.hash), buckets)):
+            for kind, (keys, bucket, at) in enumerate(asked(tokens, model.count(tokens.words), buckets)):
                 counts = np.bincount(at[learnt & (at >= 0)], minlength=len(keys)).astype(np.uint32)
                 new = np.flatnonzero(np.diff(bucket, prepend=-1))
                 ends = np.append(new[1:], len(bucket))
@@ -269,7 +265,8 @@ def _answer(part: pa.Table) -> pa.Table:
     """One bucket: the counts of all slices summed, and for each slice those of its keys.
 
     A word has its count. A context's entry has the counts on its way: first how often the
-    context was seen, then, unless all of that was the same class, the rest of the way."""
+    context was seen, then, unless all of that was the same class, what is lost at each step
+    of the way."""
     kind = part.column("kind")[0].as_py()
     dtype = np.uint32 if kind else np.uint64
     keys = [np.cumsum(unpack(k, dtype), dtype=dtype) for k in part.column("keys").to_pylist()]
@@ -286,9 +283,9 @@ def _answer(part: pa.Table) -> pa.Table:
         else:
             mine = way[one]
             several = mine[:, 0] != mine[:, -1]
-            first.append(pack(mine[:, 0]))
+            first.append(pack(mine[:, 0].astype(np.int64)))
             differ.append(np.packbits(several).tobytes())
-            rest.append(pack(mine[several, 1:]))
+            rest.append(pack(-np.diff(mine[several].T.astype(np.int64), axis=0)))
     return pa.table(
         {
             "slice": part.column("slice"),
@@ -324,26 +321,26 @@ def _mix(shared, buckets: int, total: int, distinct: int):
             begin, end = np.searchsorted(kinds, [kind, kind + 1])
             return answers.column(name).slice(begin, end - begin).to_pylist()
 
-        count = model.count(tokens.hash)
-        seen, at, group = [], [], []
+        count = model.count(tokens.words)
+        seen, at = [], []
         for kind, (keys, _, where) in enumerate(asked(tokens, count, buckets)):
-            parts = [unpack(b, np.float32 if kind else np.int64) for b in blobs("first", kind)]
+            parts = [unpack(b, np.int64) for b in blobs("first", kind)]
             first = np.concatenate(parts) if parts else np.empty(0, np.int64)
             if len(first) != len(keys):
                 raise RuntimeError("a slice changed between two passes: store the input first")
             if kind == 0:
-                rare = where >= 0
-                count[rare] = first[where[rare]]
+                count[count == 0] = first
                 continue
             bits = zip(blobs("differ", kind), parts, strict=True)
             differ = np.concatenate([np.unpackbits(np.frombuffer(d, np.uint8), count=len(f)) for d, f in bits])
-            path = np.repeat(first[:, None], CLASS_BITS + 1, axis=1)
-            path[differ == 1, 1:] = joined(blobs("rest", kind), np.float32).reshape(-1, CLASS_BITS)
-            seen.append(path), at.append(where), group.append((keys & np.uint32(CLASSES - 1)).astype(np.int64))
-        mixed = mix(tokens, model, seen, at, group)
+            path = np.repeat(first.astype(np.float32)[:, None], CLASS_BITS + 1, axis=1)
+            lost = np.concatenate([unpack(r, np.int64).reshape(CLASS_BITS, -1) for r in blobs("rest", kind)], axis=1)
+            path[differ == 1, 1:] = (first[differ == 1] - np.cumsum(lost, axis=0)).T
+            seen.append(path), at.append(where)
+        mixed = mix(tokens, model, seen, at)
         of = np.repeat(np.arange(size), tokens.size)
         sums = lambda x: np.bincount(of, x, minlength=size)
-        logs = sums(np.log10(count + ADDED))
+        logs = sums(np.log10(count + ADDED)[tokens.word])
         result = logs - sums(model.class_total[tokens.group]) + mixed
         n_bytes = rows.column("n_bytes").to_numpy()
         return pa.table(
@@ -351,7 +348,7 @@ def _mix(shared, buckets: int, total: int, distinct: int):
                 "doc_id": rows.column("doc_id"),
                 "held_out": rows.column("held_out"),
                 "n_tokens": pa.array(tokens.size),
-                "n_known": pa.array(sums(count > 0).astype(np.int64)),
+                "n_known": pa.array(sums((count > 0)[tokens.word]).astype(np.int64)),
                 "train_tokens": pa.array(np.full(size, total, np.int64)),
                 "base_score": pa.array(logs - tokens.size * log10(total + ADDED * (distinct + 1))),
                 "score": pa.array(result),
