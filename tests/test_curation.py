@@ -131,6 +131,21 @@ def test_dense_index_over_ranges(spark):
     assert groups.agg(F.max("count")).first()[0] == 8
 
 
+def test_ranges_are_bounded(spark, monkeypatch):
+    """Borders lie on the driver and in the plan: their number must not grow with the rows."""
+    seen, found = [], ordering._borders
+
+    def keep(*args):
+        seen.append(found(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(ordering, "_borders", keep)
+    df = spark.range(4000).selectExpr("id % 3 as k", "id * 37 % 4001 as o").repartition(3)
+    got = {(r.k, r.o): r.idx for r in ordering.dense_index(df, ["k"], ["o"], safe_rows=2).collect()}
+    assert got == {(r.k, r.o): r.idx for r in ordering.dense_index(df, ["k"], ["o"]).collect()}
+    assert len(seen) == 1 and len(seen[0]) < 256
+
+
 def test_marker_queries_and_negatives(spark):
     docs = [("d", f"zh-{i}", f"zh-{i}.md", "") for i in range(3)] + [("d", f"en-{i}", f"en-{i}.md", "") for i in range(30)] + [("d", "x", "x.md", "")]
     q = curation.marker_queries(spark.createDataFrame(docs, X.CORPUS), 10)
