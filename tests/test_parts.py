@@ -6,7 +6,7 @@ import pytest
 from qrelmill.plans.suite import ORACLES, QUERIES
 
 
-@pytest.mark.parametrize("name, table, rows", [("catalog_documents", "part", 90_000)])
+@pytest.mark.parametrize("name, table, rows", [("catalog_documents", "part", 90_000), ("group_documents", "supplier", 13_000)])
 def test_documents_of_parts_are_laid_end_to_end(spark, tmp_path, name, table, rows):
     shape = {
         "part": "id as p_partkey, concat('part ', id) as p_name, concat('Brand#', id % 25) as p_brand, concat('TYPE ', id % 7) as p_type, cast(id % 3 as int) as p_size",
