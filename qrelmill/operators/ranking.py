@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
@@ -27,52 +27,63 @@ BM25_K1, BM25_B = 1.2, 0.75
 RRF_K, WEIGHT_BM25, WEIGHT_VECTOR = 60, 0.3, 1.5
 DIGITS = 9
 BLOCK_DOCS = 2000
-# Of the best blocks, ``top`` / FIRST_SHARE are scored before any bound is used; SLACK is for rounded sums.
-FIRST_SHARE = 4
+# SLACK is for rounded sums.
 WHOLE_POSTINGS = 1_000_000
-# Fixed numbers of pivots and of rings around each, so a query has at most their product of bounds.
+# Fixed numbers of pivots and of rings around each, so there are at most their product of rings.
 PIVOTS, RINGS = 64, 24
 SLACK = 1e-6
-# Queries that are scored against a slice of documents at once: bounds the block of scores.
-BLOCK_QUERIES = 8192
-SLICE_DOCS = 512
+# Queries and documents that one task holds at once, and the scores it computes at once.
+BLOCK_QUERIES, BLOCK_VECTORS = 8192, 16384
+UNIT_DOCS = 8192
+BLOCK_SCORES = 4_194_304
+# Above this many hits of one task, queries are not sent to all tasks.
+SHIPPED_HITS = 1_000_000
 HITS = "dataset string, id string, doc string, score double"
 
 
-def _best(scores: np.ndarray, docs: np.ndarray, top: int) -> np.ndarray:
-    """Positions of the best ``top`` positive-or-zero scores of one query, ties by name."""
-    ok = np.flatnonzero(~np.isnan(scores))
-    if len(ok) > top:
-        limit = np.partition(scores[ok], len(ok) - top)[len(ok) - top]
-        ok = ok[scores[ok] >= limit]
-    order = np.lexsort((docs[ok], -scores[ok]))
-    return ok[order[:top]]
-
-
 class _TopHits:
-    """The running best hits per query of one task and dataset."""
-
-    def __init__(self, top: int) -> None:
-        self.top = top
-        self.hits: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-
-    def add(self, ids: list[str], docs: np.ndarray, scores: np.ndarray) -> None:
-        for row, qid in enumerate(ids):
-            pick = _best(scores[row], docs, self.top)
-            found_docs, found = docs[pick], scores[row][pick]
-            if qid in self.hits:
-                old_docs, old = self.hits[qid]
-                found_docs, found = np.concatenate([old_docs, found_docs]), np.concatenate([old, found])
-                keep = _best(found, found_docs, self.top)
-                found_docs, found = found_docs[keep], found[keep]
-            if len(found):
-                self.hits[qid] = (found_docs, found)
+    """The running best hits of the queries ``ids``; a hit below ``least`` of its query is none.
+
+    Hits are taken as they come and cut to the best ``top`` per query now and then. Names
+    are compared only among hits that tie for the last place."""
+
+    def __init__(self, top: int, ids: np.ndarray, least: np.ndarray | None = None) -> None:
+        self.top, self.ids = top, ids
+        self.least = np.full(len(ids), -np.inf) if least is None else least.copy()
+        self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, docs: np.ndarray, scores: np.ndarray) -> None:
+        """``scores`` has a row per query and a column per document; NaN is no hit."""
+        row, col = np.nonzero(scores >= (self.least - 10.0**-DIGITS)[:, None])
+        score = np.round(scores[row, col], DIGITS)
+        near = score >= self.least[row]
+        self.found.append((row[near], docs[col[near]], score[near]))
+        self.size += int(near.sum())
+        if self.size > 3 * self.top * len(self.ids):
+            self._cut()
+
+    def _cut(self) -> None:
+        row, docs, score = (np.concatenate(x) for x in zip(*self.found))
+        order = np.lexsort((-score, row))
+        row, docs, score = row[order], docs[order], score[order]
+        first = np.searchsorted(row, np.arange(len(self.ids) + 1))
+        full = np.flatnonzero(np.diff(first) >= self.top)
+        self.least[full] = score[first[full] + self.top - 1]
+        keep = score > self.least[row]
+        above = np.bincount(row[keep], minlength=len(self.ids))
+        tied = np.flatnonzero(score == self.least[row])
+        tied = tied[np.lexsort((docs[tied], row[tied]))]
+        place = np.arange(len(tied)) - np.searchsorted(row[tied], row[tied])
+        keep[tied[place < self.top - above[row[tied]]]] = True
+        self.found = [(row[keep], docs[keep], score[keep])]
+        self.size = int(keep.sum())
 
     def frame(self, dataset: str) -> pd.DataFrame:
-        ids = [q for q, (d, _) in self.hits.items() for _ in range(len(d))]
-        docs = [x for d, _ in self.hits.values() for x in d]
-        scores = [x for _, s in self.hits.values() for x in s]
-        return pd.DataFrame({"dataset": dataset, "id": ids, "doc": docs, "score": scores})
+        if self.found:
+            self._cut()
+        row, docs, score = self.found[0] if self.found else (np.empty(0, dtype=int), [], [])
+        return pd.DataFrame({"dataset": dataset, "id": self.ids[row], "doc": docs, "score": score})
 
 
 def _ranked(hits: DataFrame, top: int) -> DataFrame:
@@ -112,10 +123,16 @@ def postings(corpus: DataFrame, asked: DataFrame, small: bool = False) -> DataFr
     )
 
 
+def by_document(listed: DataFrame) -> DataFrame:
+    """(dataset, doc, p): the postings of each document as one list of (length, term, tf)."""
+    return listed.groupBy("dataset", "doc").agg(F.collect_list(F.struct("length", "term", "tf")).alias("p"))
+
+
 def corpus_statistics(listed: DataFrame) -> DataFrame:
-    """(dataset, term, docs, length) of postings; the empty term's row holds the
-    number of documents of a dataset and their total length."""
-    return listed.groupBy("dataset", "term").agg(F.count(F.lit(1)).alias("docs"), F.sum("length").alias("length"))
+    """(dataset, term, docs, length) of documents with postings; the empty term's row holds
+    the number of documents of a dataset and their total length."""
+    rows = listed.select("dataset", F.inline("p"))
+    return rows.groupBy("dataset", "term").agg(F.count(F.lit(1)).alias("docs"), F.sum("length").alias("length"))
 
 
 def term_weights(asked: DataFrame, statistics: DataFrame) -> DataFrame:
@@ -130,59 +147,112 @@ def term_weights(asked: DataFrame, statistics: DataFrame) -> DataFrame:
     )
 
 
-def scored_postings(listed: DataFrame, sizes: DataFrame, k1: float, b: float, block_docs: int) -> DataFrame:
-    """(dataset, block, doc, term, part): what one occurrence of the term in a
-    query adds to the document's score, but for the term's weight. ``sizes(dataset, n, total)``.
+def scored_postings(listed: DataFrame, sizes: DataFrame, k1: float, b: float) -> DataFrame:
+    """(dataset, doc, p): per document a list of (term, part), where a part is what one
+    occurrence of the term in a query adds to the score, but for the term's weight.
+    ``sizes(dataset, n, total)``."""
 
-    Blocks hold documents of about one length, so that the highest part of a
-    block says much about all of it."""
-    shape = F.floor(4 * F.log2(F.col("length") + 1.0))
-    cell = F.pmod(F.xxhash64("doc"), F.ceil(F.col("n") / F.lit(block_docs)))
-    norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("length") * F.col("n") / F.col("total"))
-    return (
-        listed.where("term <> ''")
-        .join(sizes, "dataset")
-        .select(
-            "dataset",
-            (F.shiftleft(shape, 48) + cell).alias("block"),
-            "doc",
-            "term",
-            (F.col("tf") * F.lit(k1 + 1) / (F.col("tf") + norm)).alias("part"),
-        )
-    )
+    def scored(x: Column) -> Column:
+        norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * x["length"] * F.col("n") / F.col("total"))
+        return F.struct(x["term"].alias("term"), (x["tf"] * F.lit(k1 + 1) / (x["tf"] + norm)).alias("part"))
+
+    known = F.filter("p", lambda x: x["term"] != "")
+    return listed.join(sizes, "dataset").select("dataset", "doc", F.transform(known, scored).alias("p"))
 
 
 def _scores(found: DataFrame) -> DataFrame:
     return found.groupBy("dataset", "id", "doc").agg(F.round(F.sum(F.col("weight") * F.col("part")), DIGITS).alias("score"))
 
 
-def _by_blocks(weights: DataFrame, parts: DataFrame, top: int) -> DataFrame:
-    """Hits among which are the best ``top`` of every query, from the blocks that can hold one.
+class _Weights:
+    """The weights of some queries by term, and the scores they give to documents."""
+
+    def __init__(self, rows: pd.DataFrame) -> None:
+        ids, terms = pd.Index(rows["id"].unique()), pd.Index(rows["term"].unique())
+        self.ids, self.terms = ids.to_numpy(dtype=object), terms
+        code = terms.get_indexer(rows["term"])
+        order = np.argsort(code, kind="stable")
+        self.query = ids.get_indexer(rows["id"])[order]
+        self.weight = rows["weight"].to_numpy()[order]
+        self.first = np.searchsorted(code[order], np.arange(len(terms) + 1))
+
+    def add_scores(self, hits: _TopHits, docs: pd.DataFrame, block_docs: int) -> None:
+        """The hits among ``docs(doc, terms, parts)``, ``block_docs`` at once."""
+        step = max(1, min(block_docs, BLOCK_SCORES // len(self.ids)))
+        for start in range(0, len(docs), step):
+            rows = docs.iloc[start : start + step]
+            hits.add(rows["doc"].to_numpy(dtype=object), self._scores(rows))
+
+    def _scores(self, docs: pd.DataFrame) -> np.ndarray:
+        doc = np.repeat(np.arange(len(docs)), docs["terms"].map(len))
+        code, part = self.terms.get_indexer(np.concatenate(list(docs["terms"]))), np.concatenate(list(docs["parts"]))
+        known = code >= 0
+        doc, code, part = doc[known], code[known], part[known]
+        times = self.first[code + 1] - self.first[code]
+        at = np.repeat(self.first[code] - np.cumsum(times) + times, times) + np.arange(times.sum())
+        cell = self.query[at] * len(docs) + np.repeat(doc, times)
+        sums = np.bincount(cell, self.weight[at] * np.repeat(part, times), minlength=len(self.ids) * len(docs))
+        return np.where(sums > 0, sums, np.nan).reshape(len(self.ids), len(docs))
+
+
+def _shipped_scores(weights: DataFrame, parts: DataFrame, top: int, block_docs: int) -> DataFrame:
+    """All queries are sent to every task; each keeps their best of its documents."""
+    shared = weights.sparkSession.sparkContext.broadcast(weights.select("dataset", "id", "term", "weight").toPandas())
 
-    The highest part of each term in a block bounds the score of any document
-    there. The blocks with the highest bounds of a query are scored first; of
-    the others, only those whose bound reaches the query's ``top``-th score so
-    far. Terms meet postings block by block, so a frequent term is as many join
-    keys as it has blocks."""
+    def by_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        asked = {d: _Weights(part) for d, part in shared.value.groupby("dataset", sort=False)}
+        best: dict[str, _TopHits] = {}
+        for batch in batches:
+            for dataset, part in batch.groupby("dataset", sort=False):
+                if dataset in asked:
+                    hits = best.setdefault(dataset, _TopHits(top, asked[dataset].ids))
+                    asked[dataset].add_scores(hits, part, block_docs)
+        for dataset, hits in best.items():
+            yield hits.frame(dataset)
 
-    def hits(blocks: DataFrame) -> DataFrame:
-        wanted = blocks.select("dataset", "id", "block").join(weights, ["dataset", "id"])
-        return _scores(wanted.join(parts, ["dataset", "block", "term"]))
+    return parts.select("dataset", "doc", F.col("p.term").alias("terms"), F.col("p.part").alias("parts")).mapInPandas(by_task, HITS)
 
-    highest = parts.groupBy("dataset", "block", "term").agg(F.max("part").alias("most"))
-    bounds = highest.join(weights, ["dataset", "term"]).groupBy("dataset", "id", "block")
-    bounds = written(bounds.agg(F.sum(F.col("weight") * F.col("most")).alias("bound")), "bm25-bounds")
-    order = Window.partitionBy("dataset", "id").orderBy(F.col("bound").desc(), "block")
-    ahead = bounds.withColumn("n", F.row_number().over(order)).where(F.col("n") <= max(1, top // FIRST_SHARE))
-    ahead = written(ahead.drop("n", "bound"), "bm25-ahead")
-    first = written(_ranked(hits(ahead), top), "bm25-first")
-    least = first.where(F.col("rank") == top).select("dataset", "id", F.col("score").alias("least"))
-    open_ = (
-        bounds.join(ahead, ["dataset", "id", "block"], "left_anti")
-        .join(least, ["dataset", "id"], "left")
-        .where(F.col("least").isNull() | (F.col("bound") >= F.col("least") - SLACK))
+
+def _by_units(weights: DataFrame, parts: DataFrame, sizes: DataFrame, top: int, block_docs: int) -> DataFrame:
+    """Hits among which are the best ``top`` of every query; queries are not sent to all tasks.
+
+    Blocks of queries meet units of documents, and a pair of both gives at most ``top`` hits
+    per query. About the square root of all units go first; in the others, only scores count
+    that reach the query's ``top``-th so far. So a query has about twice that root times ``top`` hits."""
+    per_dataset = sizes.select("dataset", F.ceil(F.col("n") / UNIT_DOCS).alias("units"))
+    asking = weights.groupBy("dataset").agg(F.ceil(F.approx_count_distinct("id") / BLOCK_QUERIES).alias("blocks"))
+    ways = written(per_dataset.join(asking, "dataset"), "bm25-ways")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n).cast("bigint") - 1))
+    ahead = lambda unit: F.col(unit) % F.ceil(F.sqrt("units")) == 0
+    rows = weights.groupBy("dataset", "id").agg(F.collect_list(F.struct("term", "weight")).alias("w")).join(ways, "dataset")
+    left = rows.select("dataset", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block"), "id", F.col("w.term").alias("terms"), F.col("w.weight").alias("weights"), "units")
+    right = parts.join(ways, "dataset").select(
+        "dataset", F.pmod(F.xxhash64("doc"), F.col("units")).alias("unit"), "doc", F.col("p.term").alias("terms"), F.col("p.part").alias("parts"), "units", "blocks"
     )
-    return first.drop("rank").unionByName(hits(open_))
+
+    def search(asked: pd.DataFrame, docs: pd.DataFrame) -> pd.DataFrame:
+        if not len(asked) or not len(docs):
+            return _TopHits(top, np.empty(0, dtype=object)).frame("")
+        n = asked["terms"].map(len)
+        by_term = _Weights(pd.DataFrame({
+            "id": np.repeat(asked["id"].to_numpy(dtype=object), n), "term": np.concatenate(list(asked["terms"])), "weight": np.concatenate(list(asked["weights"])),
+        }))
+        least = asked.set_index("id")["least"].reindex(by_term.ids).to_numpy()
+        hits = _TopHits(top, by_term.ids, least)
+        by_term.add_scores(hits, docs, block_docs)
+        return hits.frame(asked["dataset"].iloc[0])
+
+    def hits(queries: DataFrame, first: bool) -> DataFrame:
+        met = queries.select("*", every("units").alias("unit")).where(ahead("unit") == F.lit(first)).drop("units")
+        docs = right.where(ahead("unit") == F.lit(first)).select("dataset", "unit", "doc", "terms", "parts", every("blocks").alias("block"))
+        keys = ["dataset", "unit", "block"]
+        return met.groupBy(*keys).cogroup(docs.groupBy(*keys)).applyInPandas(search, HITS)
+
+    none = F.lit(float("-inf"))
+    best = written(_ranked(hits(left.withColumn("least", none), True), top), "bm25-first")
+    least = best.where(F.col("rank") == top).select("dataset", "id", F.col("score").alias("least"))
+    rest = left.join(least, ["dataset", "id"], "left").withColumn("least", F.coalesce("least", none))
+    return best.drop("rank").unionByName(hits(rest, False))
 
 
 def rank_bm25(
@@ -199,30 +269,34 @@ def rank_bm25(
 
     ``queries(dataset, id, q)``, ``corpus(dataset, stem, text)``.
 
-    Only postings of asked terms are kept. A query whose terms have at most
-    ``whole_postings`` postings, counted exactly, is scored from all of them; a
-    heavier one block by block, without the blocks that cannot reach its best."""
+    Only postings of asked terms are kept, as a list per document. Some thousands of queries
+    that fit a broadcast are scored where the documents lie. Of more queries, those whose
+    terms have at most ``whole_postings`` postings, counted exactly, are joined with them;
+    heavier ones meet the documents unit by unit, ``block_docs`` of them at once."""
     asked = query_terms(queries)
     # A term takes two characters of its query at least, and a row with names and figures in the broadcast.
     most = F.sum((F.length("q") / 2 + 1) * (F.length("dataset") + F.length("id") + 64))
-    small = (queries.agg(most).first()[0] or 0) <= broadcast_bytes
+    needed, number = queries.agg(most, F.count(F.lit(1))).first()
+    small = (needed or 0) <= broadcast_bytes
 
     def light(df: DataFrame) -> DataFrame:
         """For tables with at most one row per asked term and query."""
         return F.broadcast(df) if small else df
 
-    # The postings of a document lie together, so that its scores are summed before they move.
-    listed = written(postings(corpus, asked, small).repartition("dataset", "doc"), "bm25-postings")
+    listed = written(by_document(postings(corpus, asked, small)), "bm25-postings")
     statistics = corpus_statistics(listed)
     cost = Window.partitionBy("dataset", "id")  # the terms of one query
     weights = written(term_weights(asked, statistics).withColumn("cost", F.sum("docs").over(cost)).drop("docs"), "bm25-weights")
     sizes = statistics.where("term = ''").select("dataset", F.col("docs").alias("n"), F.greatest("length", F.lit(1)).alias("total"))
-    parts = scored_postings(listed, light(sizes), k1, b, block_docs)
+    sizes = written(sizes, "bm25-sizes")
+    parts = scored_postings(listed, light(sizes), k1, b)
+    if small and number <= BLOCK_QUERIES:
+        return _ranked(_shipped_scores(weights, parts, top, block_docs), top)
     cheap = weights.where(F.col("cost") <= whole_postings)
-    hits = _scores(parts.join(light(cheap), ["dataset", "term"]))
+    hits = _scores(parts.select("dataset", "doc", F.inline("p")).join(light(cheap), ["dataset", "term"]))
     heavy = weights.where(F.col("cost") > whole_postings)
     if heavy.limit(1).count():
-        hits = hits.unionByName(_by_blocks(heavy, parts, top))
+        hits = hits.unionByName(_by_units(heavy, parts, sizes, top, block_docs))
     return _ranked(hits, top)
 
 
@@ -235,34 +309,25 @@ def _unit(rows: pd.Series) -> np.ndarray:
     return m / np.where(norm == 0, 1.0, norm)
 
 
-Asked = list[tuple[list[str], np.ndarray]]
-
-
-def _asked(part: pd.DataFrame) -> Asked:
-    """Queries in blocks of ids and unit vectors."""
-    number = np.arange(len(part)) // BLOCK_QUERIES
-    return [(list(block["id"]), _unit(block["vec"])) for _, block in part.groupby(number, sort=True)]
-
-
-def _add_cosines(hits: _TopHits, asked: Asked, docs: pd.DataFrame) -> None:
-    for start in range(0, len(docs), SLICE_DOCS):
-        rows = docs.iloc[start : start + SLICE_DOCS]
-        unit = _unit(rows["vec"]).T
-        for ids, q in asked:
-            hits.add(ids, rows["doc"].to_numpy(), np.round(q @ unit, DIGITS))
+def _add_cosines(hits: _TopHits, asked: np.ndarray, docs: pd.DataFrame, block_docs: int) -> None:
+    step = max(1, min(block_docs, BLOCK_SCORES // len(asked)))
+    for start in range(0, len(docs), step):
+        rows = docs.iloc[start : start + step]
+        hits.add(rows["doc"].to_numpy(dtype=object), asked @ _unit(rows["vec"]).T)
 
 
-def _shipped_hits(queries: DataFrame, vectors: DataFrame, top: int) -> DataFrame:
+def _shipped_hits(queries: DataFrame, vectors: DataFrame, top: int, block_docs: int) -> DataFrame:
     """All queries are sent to every task; each keeps their best of its documents."""
     shared = vectors.sparkSession.sparkContext.broadcast(queries.toPandas())  # size measured by the caller
 
     def by_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        asked = {d: _asked(part) for d, part in shared.value.groupby("dataset", sort=False)}
+        asked = {d: (part["id"].to_numpy(dtype=object), _unit(part["vec"])) for d, part in shared.value.groupby("dataset", sort=False)}
         best: dict[str, _TopHits] = {}
         for batch in batches:
             for dataset, part in batch.groupby("dataset", sort=False):
                 if dataset in asked:
-                    _add_cosines(best.setdefault(dataset, _TopHits(top)), asked[dataset], part)
+                    ids, unit = asked[dataset]
+                    _add_cosines(best.setdefault(dataset, _TopHits(top, ids)), unit, part, block_docs)
         for dataset, hits in best.items():
             yield hits.frame(dataset)
 
@@ -282,64 +347,92 @@ def _angled(rows: DataFrame, name: str, pivots: np.ndarray) -> DataFrame:
     return found.where(~F.isnan(F.array_max("angles")))  # a vector with NaN has no cosine to any other
 
 
+def _filed(rows: DataFrame, name: str, pivots: np.ndarray) -> DataFrame:
+    """``rows`` with their nearest pivot, the angle to it and its ring."""
+    near = F.array_position("angles", F.array_min("angles")).cast("int") - 1
+    rows = _angled(rows, name, pivots).withColumns({"pivot": near, "angle": F.array_min("angles")})
+    return rows.withColumn("ring", F.floor(F.col("angle") * (RINGS / np.pi)).cast("int"))
+
+
 def _pivoted_hits(queries: DataFrame, vectors: DataFrame, top: int, block_docs: int) -> DataFrame:
     """Hits among which are the best ``top`` of every query, by angles to pivots.
 
-    Documents are filed under their nearest pivot and a ring of angles around
-    it. The angle of a query to a document is at least the difference of their
-    angles to the pivot, which bounds the cosine in every ring. Rings that hold
-    ``top`` documents are searched first, best bound first; of the others, those
-    whose bound reaches the query's ``top``-th score so far. What a query
-    meets are at most PIVOTS x RINGS bounds and the rings that may hold a hit,
-    whatever the number of documents."""
+    Documents and queries are filed under their nearest pivot and a ring of angles around
+    it. The angle of a query to a document is at least the difference of their angles to
+    the pivot, which bounds the cosine between all queries of a ring and all documents of
+    another. Rings that hold ``top`` documents are searched first, best bound first; of the
+    others, those whose bound reaches the ``top``-th score so far of a query of the ring.
+
+    There are at most (PIVOTS x RINGS) squared bounds per dataset. Rings of queries next to
+    each other form blocks, which meet the documents of their rings one after the other
+    in one task, so that a query gives ``top`` hits, whatever the number of documents."""
     some = vectors.orderBy(F.xxhash64("doc"), "doc").limit(PIVOTS).select("vec").toPandas()
     if not len(some):
         return vectors.sparkSession.createDataFrame([], HITS)
     pivots = _unit(some["vec"])
-    place = ["dataset", "pivot", "ring"]
-    near = F.array_position("angles", F.array_min("angles")).cast("int") - 1
-    filed = _angled(vectors, "doc", pivots).select("dataset", "doc", "vec", near.alias("pivot"), F.array_min("angles").alias("angle"))
-    filed = written(filed.withColumn("ring", F.floor(F.col("angle") * (RINGS / np.pi)).cast("int")), "vectors-filed")
-    rings = filed.groupBy(*place).agg(
-        F.count(F.lit(1)).alias("n"), F.min("angle").alias("low"), F.max("angle").alias("high")
-    )
-    rings = written(rings.withColumn("slices", F.ceil(F.col("n") / block_docs)), "vectors-rings")
-    asked = written(_angled(queries, "id", pivots), "vectors-asked")
-    own = F.element_at("angles", F.col("pivot") + 1)
-    gap = F.greatest(F.lit(0.0), F.col("low") - own, own - F.col("high"))
-    bounds = asked.select("dataset", "id", "angles").join(rings, "dataset")
-    bounds = written(bounds.select(*place, "id", "n", F.cos(gap).alias("bound"), own.alias("own")), "vectors-bounds")
-    order = Window.partitionBy("dataset", "id").orderBy(F.col("bound").desc(), "own", "pivot", "ring")
-    before = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
-    ahead = written(bounds.withColumn("before", before).where(F.col("before") < top).select(*place, "id"), "vectors-ahead")
-
-    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        hits = _TopHits(top)
-        if len(left) and len(right):
-            _add_cosines(hits, _asked(left), right)
-        return hits.frame(left["dataset"].iloc[0] if len(left) else "")
-
-    def hits(pairs: DataFrame) -> DataFrame:
-        """Every block of queries of a ring meets every slice of the ring."""
-        asking = pairs.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) / BLOCK_QUERIES).alias("parts"))
-        ways = rings.select(*place, "slices").join(asking, place)
-        part, slice_ = F.pmod(F.xxhash64("id"), F.col("parts")), F.pmod(F.xxhash64("doc"), F.col("slices"))
-        other = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n).cast("bigint") - 1))
-        left = pairs.join(asked.drop("angles"), ["dataset", "id"]).join(ways, place)
-        left = left.select(*place, "id", "vec", part.alias("part"), other("slices").alias("slice"))
-        right = filed.join(ways, place).select(*place, "doc", "vec", slice_.alias("slice"), other("parts").alias("part"))
-        keys = [*place, "part", "slice"]
-        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(search, HITS)
-
-    first = written(_ranked(hits(ahead), top), "vectors-first")
+    place, cell, unit = ["dataset", "pivot", "ring"], ["dataset", "at", "around"], ["dataset", "block", "part"]
+    filed = written(_filed(vectors, "doc", pivots).drop("angles"), "vectors-filed")
+    rings = filed.groupBy(*place).agg(F.count(F.lit(1)).alias("n"), F.min("angle").alias("low"), F.max("angle").alias("high"))
+    asked = written(_filed(queries, "id", pivots).withColumnsRenamed({"pivot": "at", "ring": "around"}), "vectors-asked")
+    before = Window.partitionBy("dataset").orderBy("at", "around").rowsBetween(Window.unboundedPreceding, -1)
+    cells = asked.groupBy(*cell).agg(F.count(F.lit(1)).alias("asking"))
+    cells = cells.withColumn("block", F.floor(F.coalesce(F.sum("asking").over(before), F.lit(0)) / BLOCK_VECTORS))
+    cells = written(cells.withColumn("parts", F.ceil(F.col("asking") / BLOCK_VECTORS)), "vectors-cells")
+    spans = asked.select(*cell, F.posexplode("angles").alias("pivot", "own")).groupBy(*cell, "pivot")
+    spans = spans.agg(F.min("own").alias("least_own"), F.max("own").alias("most_own"))
+    gap = F.greatest(F.lit(0.0), F.col("low") - F.col("most_own"), F.col("least_own") - F.col("high"))
+    bounds = spans.join(rings, ["dataset", "pivot"])
+    bounds = written(bounds.select(*cell, "pivot", "ring", "n", F.cos(gap).alias("bound"), "least_own"), "vectors-bounds")
+    order = Window.partitionBy(*cell).orderBy(F.col("bound").desc(), "least_own", "pivot", "ring")
+    passed = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
+    ahead = written(bounds.withColumn("passed", passed).where(F.col("passed") < top).select(*cell, "pivot", "ring"), "vectors-ahead")
+
+    def blocks(pairs: DataFrame) -> DataFrame:
+        parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts").cast("bigint") - 1)).alias("part")
+        return pairs.join(cells, cell).select("dataset", "pivot", "ring", "block", parts).distinct()
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Blocks one after the other, the queries of each before its documents."""
+        key, asking, vecs, hits = None, [], None, None
+        for batch in batches:
+            for now, rows in batch.groupby(unit, sort=False):
+                if now != key:
+                    if hits:
+                        yield hits.frame(key[0])
+                    key, asking, hits = now, [], None
+                is_doc = rows["is_doc"].to_numpy()
+                if not is_doc.all():
+                    asking.append(rows[~is_doc])
+                if is_doc.any():
+                    if not hits:
+                        every = pd.concat(asking)
+                        hits, vecs = _TopHits(top, every["doc"].to_numpy(dtype=object), every["least"].to_numpy()), _unit(every["vec"])
+                    _add_cosines(hits, vecs, rows[is_doc], block_docs)
+        if hits:
+            yield hits.frame(key[0])
+
+    def hits(met: DataFrame, least: Column, asking: DataFrame) -> DataFrame:
+        part = F.pmod(F.xxhash64("id"), F.col("parts")).alias("part")
+        left = asking.join(F.broadcast(cells), cell).select("dataset", "block", part, F.lit(False).alias("is_doc"), F.col("id").alias("doc"), "vec", least.alias("least"))
+        right = filed.join(met, place).select(*unit, F.lit(True).alias("is_doc"), "doc", "vec", F.lit(0.0).alias("least"))
+        rows = left.unionByName(right).repartition(*unit).sortWithinPartitions(*unit, "is_doc")
+        return rows.mapInPandas(search, HITS)
+
+    none = F.lit(float("-inf"))
+    met = written(blocks(ahead), "vectors-blocks")
+    first = written(_ranked(hits(met, none, asked), top), "vectors-first")
     least = first.where(F.col("rank") == top).select("dataset", "id", F.col("score").alias("least"))
+    reached = asked.select(*cell, "id").join(least, ["dataset", "id"], "left").withColumn("least", F.coalesce("least", none))
+    lowest = reached.groupBy(*cell).agg(F.min("least").alias("lowest"))
     open_ = (
-        bounds.join(ahead, [*place, "id"], "left_anti")
-        .join(least, ["dataset", "id"], "left")
-        .where(F.col("least").isNull() | (F.col("bound") >= F.col("least") - SLACK))
-        .select(*place, "id")
+        bounds.join(ahead, [*cell, "pivot", "ring"], "left_anti")
+        .join(lowest, cell)
+        .where(F.col("bound") >= F.col("lowest") - SLACK)
+        .select(*cell, "pivot", "ring")
     )
-    return first.drop("rank").unionByName(hits(written(open_, "vectors-open")))
+    rest = written(blocks(written(open_, "vectors-open")).join(met, [*unit, "pivot", "ring"], "left_anti"), "vectors-rest")
+    asking = asked.join(least, ["dataset", "id"], "left")
+    return first.drop("rank").unionByName(hits(rest, F.coalesce("least", none), asking))
 
 
 def rank_vector(
@@ -352,13 +445,14 @@ def rank_vector(
     """Top documents per query by cosine: DF(dataset, id, doc, score, rank).
 
     ``query_vectors(dataset, id, vec)``, ``vectors(dataset, doc, vec)``. Queries
-    that are measured to fit a broadcast meet all documents where they lie; more
+    that are measured to fit a broadcast, and whose hits are few enough for every task to
+    give all of them, meet all documents where they lie; more
     of them are led by pivots to the documents that may be their best."""
     wide = F.col("vec").cast("array<double>").alias("vec")
     queries, docs = query_vectors.select("dataset", "id", wide), vectors.select("dataset", "doc", wide)
-    measured = queries.agg(F.sum(8 * F.size("vec") + F.length("id") + F.length("dataset") + 64)).first()[0] or 0
-    if measured <= broadcast_bytes:
-        return _ranked(_shipped_hits(queries, docs, top), top)
+    measured, number = queries.agg(F.sum(8 * F.size("vec") + F.length("id") + F.length("dataset") + 64), F.count(F.lit(1))).first()
+    if (measured or 0) <= broadcast_bytes and number * top <= SHIPPED_HITS:
+        return _ranked(_shipped_hits(queries, docs, top, block_docs), top)
     return _ranked(_pivoted_hits(queries, docs, top, block_docs), top)
 
 
