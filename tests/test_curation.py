@@ -284,3 +284,16 @@ def test_siblings_of_all_parts(spark):
     tasks = curation.cluster_doc_tasks(docs, "v1", "sys", "{title}: {siblings}", per_part=2).collect()
     assert sorted(t.user for t in tasks if t.stem == "c-v") == ["V: W (f)", "V: X (f); Y (f)", "V: Z (f)"]
     assert len({t.task_id for t in tasks}) == len(tasks)
+
+
+def test_sibling_texts_are_not_shuffled(spark):
+    """Texts of a cluster grow with its square: no exchange may carry them."""
+    shape = "dataset string, cluster string, pos int, slug string, title string, focus string, language string"
+    docs = spark.createDataFrame([("d", "c", i, f"s{i:02d}", f"T{i}", "f", "en") for i in range(40)] + [("d", "one", 0, "a", "A", "f", "en")], shape)
+    laid = curation.cluster_siblings_laid(docs, per_part=3)
+    want = {f"s{i:02d}": "; ".join(f"T{o} (f)" for o in range(40) if o != i) for i in range(40)} | {"a": ""}
+    assert {r.slug: r.siblings for r in laid.collect()} == want
+    for df in (laid, curation.cluster_doc_tasks(docs, "v1", "sys", "{title}: {siblings}", per_part=3)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        above = plan[: plan.index("Join")]
+        assert "Aggregate" not in above and "siblings" in above
