@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import written
 
 # --- fixed values: prompt leftovers (first match wins) and rule limits
 LEAK_PATTERNS = (
@@ -83,7 +84,9 @@ def audit_corpus(corpus: DataFrame) -> DataFrame:
 
 
 def split_clean(corpus: DataFrame) -> tuple[DataFrame, DataFrame]:
-    flagged = quality_reasons(corpus)
+    """Clean documents and the others. The rules read every text several times, so they are
+    applied once and their result is stored for both sides."""
+    flagged = written(quality_reasons(corpus), "flagged")
     return (
         flagged.where(F.size("reasons") == 0).drop("reasons"),
         flagged.where(F.size("reasons") > 0),
