@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import is_canonical
 from ..operators.gates import ablation_lines, ablation_table
+from ..session import written
 
 QUERY_FIELDS = ("id", "query_type", "q", "expect_any", "expect_none", "expect_asset_any", "expect_chunk_any")
 
@@ -58,10 +59,11 @@ def write_corpus(docs: DataFrame, path: str) -> None:
 
 def quarantine(flagged: DataFrame, path: str, run_ts: str, apply: bool = False, noncanonical_only: bool = False) -> DataFrame:
     """The clean rows of a flagged corpus (see ``quality_reasons``). With
-    ``apply`` the others are first written to ``path/run_ts=…``; without it
-    nothing is written."""
+    ``apply`` the others are first written to ``path/run_ts=…``, and the rules are
+    applied once for both; without it nothing is written."""
     bad = ~is_canonical(F.col("file_name")) if noncanonical_only else F.size("reasons") > 0
     if apply:
+        flagged = written(flagged, "flagged")
         _balanced(flagged.where(bad), "dataset").write.mode("overwrite").partitionBy("dataset").parquet(
             f"{path}/run_ts={run_ts}"
         )
