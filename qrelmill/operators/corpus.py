@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .ordering import PART_PIECES, SAFE_ROWS, assemble_text, dense_index
+from .ordering import PART_PIECES, SAFE_TEXTS, assemble_text, dense_index
 
 DOC_KEY = ["dataset", "stem"]
 
@@ -126,7 +126,7 @@ def corpus_listing(corpus: DataFrame) -> DataFrame:
     return corpus.select("dataset", "file_name", F.octet_length("text").alias("bytes"))
 
 
-def corpus_pack(corpus: DataFrame, path: str = "file_name", safe_rows: int = SAFE_ROWS) -> DataFrame:
+def corpus_pack(corpus: DataFrame, path: str = "file_name", safe_rows: int = SAFE_TEXTS) -> DataFrame:
     """The prompt pack of each dataset as ordered pieces.
 
     Laying the pieces end to end by ``ord`` gives the pack; a dataset of any
@@ -136,7 +136,7 @@ def corpus_pack(corpus: DataFrame, path: str = "file_name", safe_rows: int = SAF
     return placed.select("dataset", "ord", "stem", piece.alias("piece"))
 
 
-def assemble_packs(pieces: DataFrame, per_part: int = PART_PIECES) -> DataFrame:
+def assemble_packs(pieces: DataFrame, per_part: int = PART_PIECES, safe_rows: int = SAFE_TEXTS) -> DataFrame:
     """The packs as strings: ``pack`` in numbered parts of ``per_part`` pieces,
     one part for a dataset of at most that many documents."""
-    return assemble_text(pieces.withColumnRenamed("piece", "pack"), ["dataset"], ["ord"], "pack", "", per_part)
+    return assemble_text(pieces.withColumnRenamed("piece", "pack"), ["dataset"], ["ord"], "pack", "", per_part, safe_rows)
