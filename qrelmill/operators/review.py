@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import jsontext as J
 from ..functions import text as T
+from ..session import written
 from .corpus import section_for, sections
-from .ordering import PART_PIECES, SAFE_ROWS, chunk_rows, list_parts
+from .ordering import PART_PIECES, SAFE_TEXTS, chunk_rows, list_parts
 from .tasks import SUCCEEDED, fill, prompt_tasks
 from .validate import Package
 
@@ -271,13 +272,14 @@ def review_groups(
     version: str = "v1",
     system: str = "You are a strict evaluator for retrieval evaluation datasets.",
     user: str = "Review the following dataset targets.\nDataset: {dataset}\nBatch index: {index}\nTargets:\n{source}",
-    safe_rows: int = SAFE_ROWS,
+    safe_rows: int = SAFE_TEXTS,
 ) -> DataFrame:
     """Tasks over consecutive groups of ``size`` targets, numbered from 1.
     ``targets`` of each group are kept as (target_type, target_id) for later.
     Rows that go on with a dataset's lists are targets as well: they come right
     behind their dataset, so that every name of a list is in some task."""
-    placed = chunk_rows(targets, size, ["dataset"], ["kind_ord", "pos", "name", "target_id"], safe_rows)
+    stored = written(targets, "review-targets")  # numbering reads them several times
+    placed = chunk_rows(stored, size, ["dataset"], ["kind_ord", "pos", "name", "target_id"], safe_rows)
     entry = F.concat(
         F.lit('{"target_type":'),
         J.json_quote(F.col("target_type")),

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from qrelmill.operators import corpus as C
-from qrelmill.operators import ordering
+from qrelmill.operators import ordering, review
 
 N = ordering.SAFE_TEXTS + 1500
 
@@ -22,3 +22,14 @@ def test_packs_of_many_texts_are_cut_into_ranges(spark):
     rows = packs.orderBy("part").collect()
     assert [(r.part, r.parts) for r in rows] == [(i, len(rows)) for i in range(-(-N // ordering.PART_PIECES))]
     assert "".join(r.pack for r in rows) == "".join(f"\n\n# STEM: {i:06d}\nt" for i in range(N))
+
+
+def test_groups_of_many_targets_are_cut_into_ranges(spark):
+    rows = spark.range(N).select(
+        F.lit("all").alias("dataset"), F.lit(1).alias("kind_ord"), F.col("id").alias("pos"), F.lit("").alias("name"),
+        F.lit("corpus_doc").alias("target_type"), F.format_string("%06d", F.col("id")).alias("target_id"), F.lit('{"a":1}').alias("payload"),
+    )
+    groups = review.review_groups(rows, 8)
+    assert _ranges(groups)
+    got = [[t.target_id for t in r.targets] for r in groups.orderBy("grp").collect()]
+    assert got == [[f"{i:06d}" for i in range(g, min(g + 8, N))] for g in range(0, N, 8)]
