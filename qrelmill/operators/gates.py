@@ -30,11 +30,12 @@ def threshold_gate(metrics: DataFrame, thresholds: DataFrame, keys: Sequence[str
     not measured fails."""
     keys = list(keys)
     wanted = thresholds.select("dataset", F.col("key").alias("metric"), F.col("value").alias("threshold"))
-    runs = metrics.select(*keys).distinct()
-    values = long_metrics(metrics, keys)
+    # The value is looked up in the row itself, so the metrics are computed once.
+    measured = F.create_map(*[x for m in METRICS for x in (F.lit(m), F.col(m).cast("double"))])
     return (
-        runs.join(wanted, "dataset")
-        .join(values, [*keys, "metric"], "left")
+        metrics.select(*keys, measured.alias("_measured"))
+        .join(wanted, "dataset")
+        .withColumn("value", F.try_element_at("_measured", F.col("metric")))
         .withColumn("ok", F.coalesce(F.col("value") >= F.col("threshold"), F.lit(False)))
         .select(*keys, "metric", "value", "threshold", "ok")
     )
