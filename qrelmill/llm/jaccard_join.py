@@ -5,8 +5,12 @@
    some segment holds the same shingles in both: its hash is a signature that linked sets
    share. A class has as many segments more as it may have empty ones, which sign
    nothing; a set with more empty ones, which small sets may have, signs the class as
-   well. Signatures are reduced inside each task, so a group of copies sends one row per
-   task. Equal sets become one set; sets that share a signature land in one block.
+   well. Shingles that very many sets hold, such as those of a licence line, are left out of
+   the segments first: a segment with nothing else would lay all those sets in one block.
+   A set that has too many empty segments without them signs with its whole set as well.
+   Signatures are reduced inside each task, so a group of copies sends a row for each
+   ``FLUSH`` signatures. Equal sets become one set; sets that share a signature land in
+   one block.
 2. Search. In a block the sets are indexed by inverted lists, one per shingle. For a set
    of a shingles a partner must occur on at least T = t * a of its lists. DivideSkip sets
    the L longest lists aside, merges the short ones, keeps what occurs T - L times there
@@ -23,6 +27,7 @@ from math import exp, log2, sqrt
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +37,11 @@ from qrelmill.llm.work import Work, table
 
 PART_SETS = 800
 PART_SHINGLES = 1_500_000
-FLUSH = 2_000_000
+FLUSH = 500_000  # signatures or shingles held by a task
+ROWS = 1 << 16  # of a batch that a task sends
+REPEATED = 3  # sets among those of one flush, from which a shingle may be frequent
+FREQUENT = 1 << 17  # shingles that are left out of segments
+NONE = np.empty(0, np.uint64)
 NULL_ID = -(1 << 63)  # a null id sorts before all others
 
 
@@ -98,57 +107,113 @@ def set_key(s: np.ndarray) -> np.uint64:
     return _scramble(both, 0x7A11)[0]
 
 
-def signatures(s: np.ndarray, classes: SizeClasses) -> np.ndarray:
-    """The signatures of a sorted set; linked unequal sets share at least one."""
+def without(s: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """What a sorted set holds besides ``some``, sorted as well."""
+    if not len(some):
+        return s
+    at = np.minimum(np.searchsorted(some, s), len(some) - 1)
+    return s[some[at] != s]
+
+
+def signatures(s: np.ndarray, classes: SizeClasses, frequent: np.ndarray = NONE) -> np.ndarray:
+    """The signatures of a sorted set; linked unequal sets share at least one, whatever
+    shingles are ``frequent`` (sorted). Where two sets agree in empty segments only, both
+    have too many of them without the frequent shingles, and sign with all."""
     out = []
-    mixed = _scramble(s, 0x2545F491)
-    high = s >> np.uint64(32)
-    for c, m, spare in classes.segments(len(s)):
-        segment = (high * np.uint64(m)) >> np.uint64(32)
+
+    def sign(part: np.ndarray, c: int, m: int, salt: int) -> int:
+        """The number of empty segments."""
+        if not len(part):
+            return m
+        segment = ((part >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
         starts = np.flatnonzero(np.concatenate(([True], segment[1:] != segment[:-1])))
         with np.errstate(over="ignore"):
-            sums = np.add.reduceat(mixed, starts)
+            sums = np.add.reduceat(_scramble(part, 0x2545F491), starts)
             place = segment[starts] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(c * 0x1000193 + 1)
-        out.append(_scramble(sums + _scramble(place, 0x0C1A55), 0x516))
-        if m - len(starts) > spare:  # too many empty segments to leave them out
+        out.append(_scramble(sums + _scramble(place, 0x0C1A55), salt))
+        return m - len(starts)
+
+    rare = without(s, frequent)
+    for c, m, spare in classes.segments(len(s)):
+        # Too many empty segments cannot be left out.
+        if sign(rare, c, m, 0x516) > spare and (not len(frequent) or sign(s, c, m, 0xA11) > spare):
             out.append(_scramble(np.array([c], np.uint64), 0xE3717))
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+    return np.concatenate(out) if out else NONE
 
 
-def _sign(k: int, percent: int):
+def _repeated(k: int):
+    """Rows (shingle, n): shingles that at least ``REPEATED`` sets of one flush hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = WordHashes()
+        sets: list[np.ndarray] = []
+        held = 0
+
+        def counted() -> pa.RecordBatch:
+            shingles, n = np.unique(np.concatenate([NONE, *sets]), return_counts=True)
+            some = n >= REPEATED
+            sets.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(shingles[some].view(np.int64)), pa.array(n[some], pa.int64())], ["shingle", "n"]
+            )
+
+        for batch in batches:
+            for text in batch.column("text"):
+                sets.append(shingle_set(text.as_py(), k, cache))
+                held += len(sets[-1])
+                if held > FLUSH:
+                    yield counted()
+                    held = 0
+        yield counted()
+
+    return run
+
+
+def frequent_shingles(docs: DataFrame, k: int) -> np.ndarray:
+    """The ``FREQUENT`` shingles that repeat most in ``docs`` (text), sorted. Every text is
+    counted; which shingles these are decides how sets are dealt to blocks, not what links."""
+    counts = docs.select("text").mapInArrow(_repeated(k), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    most = counts.orderBy(F.desc("n"), "shingle").limit(FREQUENT).toArrow()
+    return np.sort(most["shingle"].to_numpy().view(np.uint64))
+
+
+def _sign(k: int, percent: int, frequent: Broadcast):
     """Rows (kind, key, doc, other, n): kind 0 maps a row to its set's first id in the task,
     kind 1 and 2 carry the keys of sets and signatures, kind 3 links ids inside the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, classes = WordHashes(), SizeClasses(percent)
+        cache, classes, often = WordHashes(), SizeClasses(percent), frequent.value
         first: dict[int, int] = {}
         keys: list[np.ndarray] = []
-        docs: list[np.ndarray] = []
+        docs: list[int] = []
         held = 0
 
-        def rows(kind: int, key, doc, other, n) -> pa.RecordBatch:
-            size = len(doc)
-            wide = lambda x: pa.array(x, pa.int64()) if x is not None else pa.nulls(size, pa.int64())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(size, kind, np.int8)), wide(key), wide(doc), wide(other), wide(n)],
-                ["kind", "key", "doc", "other", "n"],
-            )
+        def rows(kind: int, key, doc, other, n) -> Iterator[pa.RecordBatch]:
+            for start in range(0, len(doc), ROWS):
+                part = slice(start, start + ROWS)
+                size = len(doc[part])
+                wide = lambda x: pa.array(x[part], pa.int64()) if x is not None else pa.nulls(size, pa.int64())  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(size, kind, np.int8)), wide(key), wide(doc), wide(other), wide(n)],
+                    ["kind", "key", "doc", "other", "n"],
+                )
 
         def reduced() -> Iterator[pa.RecordBatch]:
             nonlocal held
             if keys:
-                key, doc = np.concatenate(keys), np.concatenate(docs)
+                key, doc = np.concatenate(keys), np.repeat(np.array(docs, np.int64), [len(x) for x in keys])
+                keys.clear()
                 order = np.lexsort((doc, key))
                 key, doc = key[order], doc[order]
                 new = np.concatenate(([True], key[1:] != key[:-1]))
                 least = doc[new]
-                yield rows(2, key[new].view(np.int64), least, None, None)
+                yield from rows(2, key[new].view(np.int64), least, None, None)
                 links = np.stack([doc, least[np.cumsum(new) - 1]])[:, ~new]
                 links = np.unique(links[:, links[0] != links[1]], axis=1)
                 if links.size:
-                    yield rows(3, _scramble(links[0].view(np.uint64), 3).view(np.int64), links[0], links[1], None)
+                    yield from rows(3, _scramble(links[0].view(np.uint64), 3).view(np.int64), links[0], links[1], None)
             if first:
-                yield rows(1, np.fromiter(first, np.uint64).view(np.int64), np.fromiter(first.values(), np.int64), None, None)
+                yield from rows(1, np.fromiter(first, np.uint64).view(np.int64), np.fromiter(first.values(), np.int64), None, None)
             keys.clear(), docs.clear(), first.clear()
             held = 0
 
@@ -163,14 +228,14 @@ def _sign(k: int, percent: int):
                     seen = first.get(int(own))
                     if seen is None:
                         first[int(own)] = int(ids[i])
-                        keys.append(signatures(s, classes))
-                        docs.append(np.full(len(keys[-1]), ids[i], np.int64))
+                        keys.append(signatures(s, classes, often))
+                        docs.append(int(ids[i]))
                         held += len(keys[-1])
                     else:
                         of[i] = seen
-            yield rows(0, _scramble(ids.astype(np.int64).view(np.uint64), 1).view(np.int64), ids, of, sizes)
-            if held > FLUSH:
-                yield from reduced()
+                if held > FLUSH:
+                    yield from reduced()
+            yield from rows(0, _scramble(ids.astype(np.int64).view(np.uint64), 1).view(np.int64), ids, of, sizes)
         yield from reduced()
 
     return run
@@ -272,7 +337,8 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
     spark = docs.sparkSession
     work = Work(spark, "jaccard")
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), "text")
-    signed = docs.mapInArrow(_sign(words, percent), "kind byte, key long, doc long, other long, n long")
+    frequent = spark.sparkContext.broadcast(frequent_shingles(docs, words))  # at most FREQUENT numbers
+    signed = docs.mapInArrow(_sign(words, percent, frequent), "kind byte, key long, doc long, other long, n long")
     # In key order, the first id of a key is what all later ones go to.
     ordered = Window.partitionBy("kind", "key").orderBy("doc").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     linked = (

@@ -1,6 +1,8 @@
 import random
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from qrelmill.llm import jaccard_join
@@ -118,3 +120,52 @@ def test_shingles():
     assert len(shingle_set(" \t", 3, cache)) == len(shingle_set(None, 3, cache)) == 0
     assert np.array_equal(shingle_set("A B c D", 3, cache), shingle_set("a\tb\nC d", 3, cache))
     assert not np.array_equal(shingle_set("a\xa0b", 1, cache), shingle_set("a b", 1, cache))
+
+
+def test_a_common_passage_lays_no_sets_together(spark):
+    """A passage that all texts hold gave them common segments, so all were one block."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = [f"{passage} " + " ".join(f"d{d}w{i}" for i in range(160)) for d in range(60)]
+    docs = spark.createDataFrame([(d, t) for d, t in enumerate(texts)], "doc_id long, text string").coalesce(2)
+    frequent = jaccard_join.frequent_shingles(docs, 5)
+    assert np.array_equal(frequent, shingle_set(passage, 5, WordHashes()))
+    classes = jaccard_join.SizeClasses(80)
+    sets = [shingle_set(t, 5, WordHashes()) for t in texts]
+    assert len(np.unique(np.concatenate([jaccard_join.signatures(s, classes) for s in sets]), return_counts=True)[1]) < sum(
+        len(jaccard_join.signatures(s, classes)) for s in sets
+    )
+    signed = np.concatenate([jaccard_join.signatures(s, classes, frequent) for s in sets])
+    assert len(np.unique(signed)) == len(signed)
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_linked_sets_share_a_signature_whatever_is_frequent(percent):
+    rng = np.random.default_rng(percent)
+    classes = jaccard_join.SizeClasses(percent)
+    linked = 0
+    for n in range(4000):
+        a = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 90), dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+        b = a[rng.random(len(a)) > 0.05]
+        b = np.union1d(b, rng.integers(0, 1 << 63, rng.integers(0, 1 + len(a) // 9), dtype=np.uint64))
+        shared = len(np.intersect1d(a, b))
+        if len(b) and 100 * shared >= percent * (len(a) + len(b) - shared) and not np.array_equal(a, b):
+            linked += 1
+            both = np.union1d(a, b)
+            often = both[rng.random(len(both)) < [0.1, 0.5, 0.95, 1][n % 4]]
+            mine, other = (jaccard_join.signatures(s, classes, often) for s in (a, b))
+            assert np.intersect1d(mine, other).size
+    assert linked > 500
+
+
+def test_tasks_send_short_batches_and_name_every_set(monkeypatch):
+    """Sets are reduced inside a batch as well; each set a row goes to has a row of its own."""
+    monkeypatch.setattr(jaccard_join, "FLUSH", 40)
+    monkeypatch.setattr(jaccard_join, "ROWS", 16)
+    texts = pa.array([" ".join(f"d{d % 7}w{i}" for i in range(60)) for d in range(20)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(20), pa.int64()), texts], ["doc_id", "text"])
+    sent = list(jaccard_join._sign(5, 80, SimpleNamespace(value=jaccard_join.NONE))(iter([batch])))
+    assert max(b.num_rows for b in sent) <= 16
+    rows = [r for b in sent for r in b.to_pylist()]
+    assert sorted(r["doc"] for r in rows if r["kind"] == 0) == list(range(20))
+    assert {r["other"] for r in rows if r["kind"] == 0} == {r["doc"] for r in rows if r["kind"] == 1}
+    assert len({r["key"] for r in rows if r["kind"] == 1}) == 7
