@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from qrelmill.llm.components import components
 from qrelmill.llm.shingles import WordHashes, shingle_set
-from qrelmill.llm.work import Work, table
+from qrelmill.llm.work import Work, shuffles_removed, table
 
 PART_SETS = 800
 PART_SHINGLES = 1_500_000
@@ -173,7 +173,8 @@ def frequent_shingles(docs: DataFrame, k: int) -> np.ndarray:
     """The ``FREQUENT`` shingles that repeat most in ``docs`` (text), sorted. Every text is
     counted; which shingles these are decides how sets are dealt to blocks, not what links."""
     counts = docs.select("text").mapInArrow(_repeated(k), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    most = counts.orderBy(F.desc("n"), "shingle").limit(FREQUENT).toArrow()
+    with shuffles_removed(docs.sparkSession):
+        most = counts.orderBy(F.desc("n"), "shingle").limit(FREQUENT).toArrow()
     return np.sort(most["shingle"].to_numpy().view(np.uint64))
 
 
@@ -408,6 +409,7 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
     )
     across = held.unionByName(asked).groupBy("block", "part", "chunk").applyInArrow(search, "a long, b long")
     final = components(inside.unionByName(across), work, "links")
+    work.drop("members", "cut", "texts", "inside", "rooted", "others")  # what follows reads routed and final
     # From each task's first id of a set to the component: no key larger than a task's rows.
     locals_ = own.select("local").distinct().join(same, "local", "left").select("local", F.coalesce("rep", "local").alias("rep"))
     placed = work.save(
