@@ -18,7 +18,8 @@
 3. Large blocks are cut into parts of bounded size. Each part is searched alone; then only
    sets outside the block's largest component are searched against all parts, since the
    others are connected already. No link between components is lost, and no pairs leave a
-   task: only as many links as join its sets."""
+   task: only as many links as join its sets. The copies this takes are made in rounds of
+   bounded size."""
 
 from __future__ import annotations
 
@@ -28,7 +29,7 @@ from math import exp, log2, sqrt
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from qrelmill.llm.components import components
@@ -39,6 +40,7 @@ PART_SETS = 800
 PART_SHINGLES = 1_500_000
 FLUSH = 500_000  # signatures or shingles held by a task
 ROWS = 1 << 16  # of a batch that a task sends
+ROW_BYTES = 64  # of a row besides its text
 REPEATED = 3  # sets among those of one flush, from which a shingle may be frequent
 FREQUENT = 1 << 17  # shingles that are left out of segments
 NONE = np.empty(0, np.uint64)
@@ -371,8 +373,9 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
     # Small blocks share parts: a part may hold any number of blocks, its links are exact.
     weight = cut.filter("parts = 1").agg(F.count(F.lit(1)), F.count_distinct("block")).first()
     shared = max(1, -(-weight[0] // (PART_SETS // 2)))
+    weighed = docs.withColumn("bytes", F.octet_length(F.coalesce("text", F.lit(""))).cast("long") + ROW_BYTES)
     texts = work.save(
-        docs.join(cut.select(F.col("node").alias("doc_id"), "block", "parts", "part"), "doc_id"), "texts"
+        weighed.join(cut.select(F.col("node").alias("doc_id"), "block", "parts", "part"), "doc_id"), "texts"
     )
     alone = F.col("parts") == 1
     groups = texts.withColumns(
@@ -398,18 +401,30 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
     others = work.save(rooted.join(main, "block").filter("root <> main").select("node", "block"), "others")
     chunks = others.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / PART_SETS).cast("int").alias("chunks"))
     wide = texts.filter("parts > 1").join(chunks, "block")
-    held = wide.select(
-        "block", "part", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "doc_id", "text",
-        F.lit(False).alias("ask"), F.lit(True).alias("hold"),
-    )
-    asked = wide.join(others.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select(
-        "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        F.pmod(F.xxhash64("doc_id", F.lit(7)), F.col("chunks")).cast("int").alias("chunk"), "doc_id", "text",
-        F.lit(True).alias("ask"), F.lit(False).alias("hold"),
-    )
-    across = held.unionByName(asked).groupBy("block", "part", "chunk").applyInArrow(search, "a long, b long")
-    final = components(inside.unionByName(across), work, "links")
-    work.drop("members", "cut", "texts", "inside", "rooted", "others")  # what follows reads routed and final
+    outside = wide.join(others.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    lone = work.save(outside.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.col("chunks")).cast("int")), "lone")
+    # Copies for all cells of a block's parts and chunks grow with the square of the block. They
+    # are made in rounds, each of about as many bytes as the texts have, and leave with their round.
+    copied = [wide.agg(F.sum(F.col("bytes") * F.col("chunks"))), lone.agg(F.sum(F.col("bytes") * F.col("parts")))]
+    moved = sum(c.first()[0] or 0 for c in copied)
+    rounds = max(1, -(-moved // (texts.agg(F.sum("bytes")).first()[0] or 1)))
+    for n in range(rounds):
+
+        def cells(count: str, of: str) -> Column:
+            """The numbers below ``count`` whose cell with the row's ``of`` is in this round."""
+            return F.explode(F.filter(F.sequence(F.lit(0), F.col(count) - 1), lambda x: F.pmod(x + F.col(of), F.lit(rounds)) == n))  # noqa: B023
+
+        held = wide.select(
+            "block", "part", cells("chunks", "part").alias("chunk"), "doc_id", "text", F.lit(False).alias("ask"), F.lit(True).alias("hold")
+        )
+        asked = lone.select(
+            "block", cells("parts", "chunk").alias("part"), "chunk", "doc_id", "text", F.lit(True).alias("ask"), F.lit(False).alias("hold")
+        )
+        across = held.unionByName(asked).groupBy("block", "part", "chunk").applyInArrow(search, "a long, b long")
+        work.save(across, f"across/{n}")
+    joined = spark.read.schema(inside.schema).parquet(work.path("inside"), *(work.path(f"across/{n}") for n in range(rounds)))
+    final = components(joined, work, "links")
+    work.drop("members", "cut", "texts", "inside", "rooted", "others", "lone", "across")  # what follows reads routed and final
     # From each task's first id of a set to the component: no key larger than a task's rows.
     locals_ = own.select("local").distinct().join(same, "local", "left").select("local", F.coalesce("rep", "local").alias("rep"))
     placed = work.save(

@@ -65,6 +65,22 @@ def test_large_blocks_are_cut_without_losing_links(spark, monkeypatch):
     assert sorted(map(tuple, got.collect()), key=str) == brute_force(docs.collect(), 3, 80)
 
 
+def test_copies_for_large_blocks_are_made_in_rounds(spark, monkeypatch):
+    """Copies grow with the square of a block: no plan may move many times the texts."""
+    monkeypatch.setattr(jaccard_join, "PART_SETS", 6)
+    saved = []
+    save = jaccard_join.Work.save
+    monkeypatch.setattr(jaccard_join.Work, "save", lambda self, df, name: saved.append(name) or save(self, df, name))
+    rng = random.Random(6)
+    often = [f"c{i}" for i in range(60)]
+    rows = [(i, " ".join([f"w{i // 2}-{j}" for j in range(7)] + often), "en", "s", 0) for i in range(60)]
+    rows += [(100 + i, " ".join(rng.choice(["a", "b"]) for _ in range(5)), "en", "s", 0) for i in range(60)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    got = jaccard_join.jaccard_components(docs, 3, 80)
+    assert sorted(map(tuple, got.collect()), key=str) == brute_force(docs.collect(), 3, 80)
+    assert sum(name.startswith("across") for name in saved) > 1
+
+
 def test_the_least_id_names_a_component_in_any_order(spark):
     text = " ".join(f"w{i}" for i in range(60))
     rows = [(i, text if i % 2 else text + " more", "en", "s", 0) for i in range(30, 0, -1)]
